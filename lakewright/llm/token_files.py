@@ -169,7 +169,7 @@ def build_index(entries: DataFrame, folder: str, buckets: int) -> DataFrame:
                 "levels": np.asarray([len(b) for b in table.bits], np.int64),
                 "bits": np.concatenate(table.bits),
                 "fingerprints": (mixed(keys, 1000) >> np.uint64(32)).astype(np.uint32)[order],
-                "file": file_at.astype(np.int32)[order],
+                "file_at": file_at.astype(np.int32)[order],
                 "offset": df["token_offset"].to_numpy(np.int64)[order],
                 "length": df["n_tokens"].to_numpy(np.int64)[order],
                 "files": np.frombuffer("\n".join(files).encode(), np.uint8),
@@ -208,7 +208,7 @@ def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
                 known = slots >= 0
                 known[known] = parts["fingerprints"][slots[known]] == (mixed(wanted[known], 1000) >> np.uint64(32)).astype(np.uint32)
                 at = slots[known]
-                yield df.loc[known, ["doc_id", "occurrence"]].assign(file=files[parts["file"][at]], token_offset=parts["offset"][at], n_tokens=parts["length"][at])
+                yield df.loc[known, ["doc_id", "occurrence"]].assign(file=files[parts["file_at"][at]], token_offset=parts["offset"][at], n_tokens=parts["length"][at])
 
     rows = _with_bucket(keys.select("doc_id", "occurrence"), buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return rows.mapInPandas(run, "doc_id long, occurrence int, file string, token_offset long, n_tokens long")
