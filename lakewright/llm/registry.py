@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import decontamination, packing, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed matches of all documents with all benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), "verdict").select("doc_id", "verdict.*")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in token shards, read back by key through the perfect hash index."""
     return token_files.token_files(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -25,7 +31,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_decontamination": op7_decontamination,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": decontamination.SQL,
+}
