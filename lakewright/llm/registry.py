@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, packing, token_files
+from . import decontamination, packing, quality, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weakly supervised verdicts on all documents."""
+    return quality.rate(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed matches of all documents with all benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,10 +36,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": quality.SQL,
     "op7_decontamination": decontamination.SQL,
 }
