@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 _U64 = np.uint64
@@ -39,6 +42,11 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a column value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI; a plain path is local."""
     if "://" not in uri and not uri.startswith("file:"):
@@ -152,6 +160,12 @@ class ChunkTokenizer:
         return out
 
 
+@functools.cache
+def chunk_tokenizer(vocabulary: str, spaces: bool) -> ChunkTokenizer:
+    """One tokenizer a worker process, so that the tasks it runs share what it has learned."""
+    return ChunkTokenizer(public_tokenizer_path(vocabulary), spaces)
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered up to ``entries`` words."""
 
@@ -169,6 +183,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), _U64, len(words))
 
 
+@functools.cache
+def word_hashes() -> WordHashes:
+    """One table of words a worker process."""
+    return WordHashes()
+
+
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scrambling of 64-bit values; each seed gives another order."""
     x = (x + _U64((seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)).astype(_U64)

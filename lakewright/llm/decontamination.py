@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, ngram_hashes
+from .common import WordHashes, ngram_hashes, word_hashes
 
 #: ASCII digits and letters (in lower case) and all bytes of other characters; the rest separates words.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -118,7 +118,7 @@ def _found(text: Column, earlier: Column | None, index) -> Column:
 
     def run(columns: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         table = BenchmarkIndex([(name, np.frombuffer(raw, np.uint64)) for name, raw in index.value])
-        hashes = WordHashes()
+        hashes = word_hashes()
         for texts, *before in columns:
             out = []
             for i, text in enumerate(texts):

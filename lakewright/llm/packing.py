@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ChunkTokenizer, public_tokenizer_path, shared_folder, stored
+from .common import chunk_tokenizer, shared_folder, stored
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BIN_SCHEMA = f"{PIECE_SCHEMA}, bin long, offset long, fill long, done boolean"
@@ -36,7 +36,7 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, vocabulary: str = "byte_
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkTokenizer(public_tokenizer_path(vocabulary), spaces=True)
+        encode = chunk_tokenizer(vocabulary, spaces=True)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []

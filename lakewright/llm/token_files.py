@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ChunkTokenizer, NewFile, mixed, open_file, public_tokenizer_path, shared_folder, stored
+from .common import NewFile, chunk_tokenizer, mixed, open_file, shared_folder, stored
 
 MAGIC = b"LWTOKS01"
 HEADER = "<8sIQQ"
@@ -42,7 +42,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_49k.j
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkTokenizer(public_tokenizer_path(vocabulary), spaces=False)
+        encode = chunk_tokenizer(vocabulary, spaces=False)
         width = 2 if max(encode.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.asarray([end_id], "<u4").tobytes()
         task = TaskContext.get()
