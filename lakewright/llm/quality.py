@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder, stored
+from .common import let, shared_folder, stored
 
 BLANK = r"[\x20\x09-\x0D]+"
 #: Rule votes are 0 (bad), 1 (abstain) and 2 (good).
@@ -24,11 +24,6 @@ ITERATIONS = 20
 START_BAD, START_GOOD, START_PRIOR, WEIGHT = (0.45, 0.15, 0.40), (0.02, 0.18, 0.80), 0.8, 5.0
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _covered(hashes: Column) -> Column:
     """Word positions in 3-word windows that occur twice or more, given all windows' hashes."""
 
@@ -39,20 +34,20 @@ def _covered(hashes: Column) -> Column:
             twin = ((i > 0) & (places[F.greatest(i - 1, F.lit(0))]["h"] == e["h"])) | ((i < last) & (places[F.least(i + 1, last)]["h"] == e["h"]))
             return F.when(twin, e["p"])
 
-        return _let(F.sort_array(F.filter(F.transform(places, place), lambda p: p.isNotNull())), spread)
+        return let(F.sort_array(F.filter(F.transform(places, place), lambda p: p.isNotNull())), spread)
 
     def spread(starts: Column) -> Column:
         new = F.transform(starts, lambda p, i: F.when(i == 0, 3).otherwise(F.least(F.lit(3), p - starts[F.greatest(i - 1, F.lit(0))])))
         return F.aggregate(new, F.lit(0), lambda a, x: a + x)
 
     places = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(_let(places, sorted_places))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(let(places, sorted_places))
 
 
 def _word_figures(words: Column) -> Column:
     n = F.size(words)
     hashes = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
-    repeated = F.when(n < 3, 0).otherwise(_let(hashes, _covered))
+    repeated = F.when(n < 3, 0).otherwise(let(hashes, _covered))
     return F.struct(n.cast("long").alias("n_words"), repeated.cast("long").alias("n_repeat_words"))
 
 
@@ -71,14 +66,14 @@ def figures(text: Column) -> Column:
     def of(t: Column) -> Column:
         removed = lambda pattern: F.length(F.regexp_replace(t, pattern, ""))
         return F.struct(
-            _let(F.filter(F.split(t, BLANK), lambda w: w != ""), _word_figures).alias("w"),
-            _let(F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), _line_figures).alias("l"),
+            let(F.filter(F.split(t, BLANK), lambda w: w != ""), _word_figures).alias("w"),
+            let(F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), _line_figures).alias("l"),
             removed(BLANK).cast("long").alias("word_chars"),
             (F.length(t) - removed(r"[#*$%&|<>]+")).cast("long").alias("n_symbols"),
             (F.length(t) - removed("[A-Z]+")).alias("n_capitals"),
         )
 
-    return _let(text, of)
+    return let(text, of)
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -132,19 +127,19 @@ def pattern_probabilities(patterns: DataFrame, iterations: int = ITERATIONS) ->
 
             def shares(weight: Callable[[Column], Column], prior: tuple[float, ...]) -> Column:
                 pseudo = F.array(*[F.lit(float(s * WEIGHT)) for s in prior] * m)
-                return _let(total(weight), lambda whole: F.transform(indexes, lambda k: (pseudo[k] + total(lambda y: F.when(y["v"][F.floor(k / 3).cast("int")] == k % 3, weight(y)).otherwise(0.0))) / (WEIGHT + whole)))
+                return let(total(weight), lambda whole: F.transform(indexes, lambda k: (pseudo[k] + total(lambda y: F.when(y["v"][F.floor(k / 3).cast("int")] == k % 3, weight(y)).otherwise(0.0))) / (WEIGHT + whole)))
 
             good, bad = (lambda y: y["n"] * y["q"]), (lambda y: y["n"] * (1 - y["q"]))
             prior = (total(good) + WEIGHT * START_PRIOR) / (total(lambda y: y["n"]) + WEIGHT)
             return F.struct(prior.alias("prior"), shares(good, START_GOOD).alias("good"), shares(bad, START_BAD).alias("bad"))
 
-        return _let(F.transform(xs, lambda x: F.struct(x["n"].alias("n"), x["v"].alias("v"), probability(state)(x).alias("q"))), maximise)
+        return let(F.transform(xs, lambda x: F.struct(x["n"].alias("n"), x["v"].alias("v"), probability(state)(x).alias("q"))), maximise)
 
     def learned(xs: Column) -> Column:
         first = F.struct(F.lit(START_PRIOR).alias("prior"), start(START_GOOD).alias("good"), start(START_BAD).alias("bad"))
         return F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), first, lambda state, _: step(state, xs))
 
-    rated = _let(F.col("xs"), lambda xs: _let(learned(xs), lambda state: F.transform(xs, lambda x: F.struct(x["pattern"].alias("pattern"), probability(state)(x).alias("p_good")))))
+    rated = let(F.col("xs"), lambda xs: let(learned(xs), lambda state: F.transform(xs, lambda x: F.struct(x["pattern"].alias("pattern"), probability(state)(x).alias("p_good")))))
     return row.filter(F.size("xs") > 0).select(F.inline(rated))
 
 

@@ -6,13 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, packing, quality, token_files
+from . import boilerplate, decontamination, line_dedup, packing, quality, shingles, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return boilerplate.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages in Zstandard web archives, read back record by record."""
+    return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 5-word shingle sets have a similarity of 0.8 or more."""
+    return shingles.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hierarchical residual packing of all documents into sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -29,19 +44,30 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), "verdict").select("doc_id", "verdict.*")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line counts and remaining texts (as digests) of all documents."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in token shards, read back by key through the perfect hash index."""
     return token_files.token_files(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_warc": op2_warc,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc": warc.SQL,
     "op6_quality_rules": quality.SQL,
     "op7_decontamination": decontamination.SQL,
+    "op9_line_dedup": line_dedup.SQL,
 }
