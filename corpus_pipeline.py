@@ -1,13 +1,61 @@
-"""Corpus pipeline; see STAGES."""
+"""Corpus pipeline: from raw documents to packed training sequences.
 
-from lakewright.llm import packing
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before
+kept.  All but the last return the columns of ``documents``.  ``run`` writes each
+stage's result as Parquet in the shared folder and reads it for the next, so a
+lost executor costs one stage at most.
+"""
 
-STAGES = [("best-fit packing", lambda spark, docs, sf_dir: packing.pack_documents(docs))]
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakewright.llm import decontamination, line_dedup, packing, quality, shingles
+from lakewright.llm.common import shared_folder, stored
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.kept_documents(docs)
+
+
+def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line go, and documents of which nothing is left; n_chars follows."""
+    return line_dedup.without_repeats(docs, drop_emptied=True).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return shingles.one_of_each_group(docs)
+
+
+def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark passages go."""
+    return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences of 2048 ids."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", unique_lines),
+    ("n-gram Jaccard join", unique_documents),
+    ("benchmark decontamination", clean_of_benchmarks),
+    ("best-fit packing", packed),
+]
+
+#: Greedy packing has no SQL; tests hold every stage against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows."""
+    folder = shared_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stored(stage(spark, docs, sf_dir), f"{folder}/stage-{i}")
     return docs

@@ -1,0 +1,63 @@
+"""Numbered manifests: complete descriptions of a store's state, committed atomically."""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer committed the version first."""
+
+
+class Manifests:
+    """JSON manifests below ``root``/manifests, on any file system that Spark can write.
+
+    A manifest is written under a temporary name and renamed to the next free
+    number; a rename onto a number that is taken fails.  Readers see a whole
+    manifest or none.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._paths = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self._paths(f"{self.root}/{name}" if name else self.root)
+
+    def _name(self, version: int) -> str:
+        return f"manifests/{version:012d}.json"
+
+    def newest(self) -> int:
+        """The newest version; 0 for an empty store."""
+        if not self.fs.exists(self.path("manifests")):
+            return 0
+        names = [s.getPath().getName() for s in self.fs.listStatus(self.path("manifests"))]
+        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] != "."), default=0)
+
+    def exists(self, version: int) -> bool:
+        return self.fs.exists(self.path(self._name(version)))
+
+    def read(self, version: int) -> dict:
+        rows = self.spark.read.text(self.path(self._name(version)).toString(), wholetext=True).collect()
+        held = json.loads(rows[0]["value"])
+        if held["version"] != version:
+            raise ValueError(f"manifest {version} is damaged")
+        return held
+
+    def commit(self, base: int, state: dict) -> int:
+        version = base + 1
+        temporary = self.path(f"manifests/.{version:012d}-{uuid.uuid4().hex}")
+        out = self.fs.create(temporary, False)
+        out.write(bytearray(json.dumps({"version": version, **state}).encode()))
+        out.close()
+        if self.exists(version) or not self.fs.rename(temporary, self.path(self._name(version))):
+            self.fs.delete(temporary, False)
+            raise ConcurrentCommit(f"version {version} exists already")
+        return version
+
+    def delete(self, version: int) -> None:
+        self.fs.delete(self.path(self._name(version)), False)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import boilerplate, decontamination, line_dedup, packing, quality, shingles, token_files, warc
+from . import boilerplate, compaction, decontamination, line_dedup, packing, quality, rollups, shingles, token_files, warc
+from .common import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +30,20 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, arrived one language after the other, compacted, and read from the newest manifest."""
+    docs = table(spark, sf_dir, "documents")
+    store = compaction.ShardStore(spark, shared_folder(spark, "store"))
+    arrivals = sorted((r[0] for r in docs.select("lang").distinct().collect()), key=lambda x: (x is None, x))
+    for lang in arrivals:
+        store.append(docs.filter(F.col("lang").eqNullSafe(F.lit(lang))))
+    if not arrivals:
+        store.append(docs)
+    store.compact()
+    store.expire()
+    return store.read().select("doc_id", "source", "lang", "n_chars", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("text_sha256"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hierarchical residual packing of all documents into sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -44,6 +60,21 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), "verdict").select("doc_id", "verdict.*")
 
 
+def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after all documents came, came again, lost those under 50 words and were stripped of symbols."""
+    docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
+    text = F.col("text")
+    stripped = F.regexp_replace(text, "[#*$%&|<>]", "")
+    store = rollups.TokenTotals(spark, shared_folder(spark, "totals"))
+    load = rollups.counted(docs, "insert", text)
+    store.commit("load", load)
+    store.commit("load", load)
+    words = rollups.word_count(F.coalesce(text, F.lit("")))
+    store.commit("short", rollups.counted(docs.filter(words < 50), "delete", text))
+    store.commit("symbols", rollups.counted(docs.filter((words >= 50) & text.rlike("[#*$%&|<>]")), "revise", stripped, text))
+    return store.totals()
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and remaining texts (as digests) of all documents."""
     return line_dedup.report(table(spark, sf_dir, "documents"))
@@ -58,16 +89,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_warc": op2_warc,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_compaction": op4_compaction,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op8_token_rollups": op8_token_rollups,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": warc.SQL,
+    "op4_compaction": compaction.SQL,
     "op6_quality_rules": quality.SQL,
     "op7_decontamination": decontamination.SQL,
+    "op8_token_rollups": rollups.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
