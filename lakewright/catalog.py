@@ -1,33 +1,10 @@
-"""Registry of the library's own queries and their SQL."""
+"""All queries of the library and their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .queries import base
+from .queries import explore as _explore  # noqa: F401
+from .queries import scalars as _scalars  # noqa: F401
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a query function, with the SQL that gives the same rows."""
-
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return add
-
-
-@query(
-    "a5_top_by_amount",
-    """SELECT l_returnflag AS programme, sum(CAST(replace(replace(replace(replace(printf('%.2f', l_extendedprice), '.', '#'), ',', '.'), '#', ','), ',', '.') AS DOUBLE)) AS total
-       FROM lineitem WHERE year(l_shipdate) = 1996 GROUP BY 1 ORDER BY total DESC LIMIT 5""",
-)
-def a5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return lines.filter(F.year("l_shipdate") == 1996).groupBy(F.col("l_returnflag").alias("programme")).agg(F.sum("l_extendedprice").alias("total")).orderBy(F.desc("total")).limit(5)
+QUERIES = base.QUERIES
+ORACLE_SQL = base.ORACLE_SQL
