@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .queries import base
 from .queries import explore as _explore  # noqa: F401
+from .queries import schema as _schema  # noqa: F401
 from .queries import scalars as _scalars  # noqa: F401
 
 QUERIES = base.QUERIES
