@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .queries import base
+from .queries import catalogue as _catalogue  # noqa: F401
 from .queries import explore as _explore  # noqa: F401
 from .queries import ledger as _ledger  # noqa: F401
 from .queries import schema as _schema  # noqa: F401
