@@ -8,6 +8,7 @@ from .queries import explore as _explore  # noqa: F401
 from .queries import ledger as _ledger  # noqa: F401
 from .queries import schema as _schema  # noqa: F401
 from .queries import sources as _sources  # noqa: F401
+from .queries import streams as _streams  # noqa: F401
 from .queries import scalars as _scalars  # noqa: F401
 
 QUERIES = base.QUERIES
