@@ -21,15 +21,18 @@ ROW_GROUP = 8 << 20
 
 def write_table(df: DataFrame, root: str, resource: str, version: str) -> str:
     """A resource's table as Parquet with row groups of about 8 MiB and valid names; returns its path."""
-    path = f"{root}/{resource}/ducklake_{version}.parquet"
-    normalize_nulls(normalize_names(df)).write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
+    return _write(normalize_nulls(normalize_names(df)), f"{root}/{resource}/ducklake_{version}.parquet")
+
+
+def _write(df: DataFrame, path: str) -> str:
+    df.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
     return path
 
 
 def write_geo_table(df: DataFrame, root: str, resource: str, version: str, geo: dict) -> str:
     """As ``write_table``, with the geographic metadata on the geometry column and beside the table."""
-    tagged = df.withMetadata("geometry", {"geo": json.dumps(geo)})
-    path = write_table(tagged, root, resource, version)
+    tagged = normalize_nulls(normalize_names(df)).withMetadata("geometry", {"geo": json.dumps(geo)})
+    path = _write(tagged, f"{root}/{resource}/ducklake_{version}.parquet")
     df.sparkSession.createDataFrame([(json.dumps(geo),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{resource}/geo_{version}")
     return path
 
