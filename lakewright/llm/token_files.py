@@ -183,7 +183,7 @@ def build_index(entries: DataFrame, folder: str, buckets: int) -> DataFrame:
             yield pd.DataFrame({"bucket": [bucket], "path": [path], "keys": [len(keys)]})
 
     rows = _with_bucket(entries.select("doc_id", "occurrence", "file", "token_offset", "n_tokens"), buckets)
-    return rows.repartition(buckets, "bucket").mapInPandas(run, INDEX_SCHEMA)
+    return rows.repartitionById(buckets, F.col("bucket")).mapInPandas(run, INDEX_SCHEMA)
 
 
 def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
@@ -210,7 +210,7 @@ def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
                 at = slots[known]
                 yield df.loc[known, ["doc_id", "occurrence"]].assign(file=files[parts["file_at"][at]], token_offset=parts["offset"][at], n_tokens=parts["length"][at])
 
-    rows = _with_bucket(keys.select("doc_id", "occurrence"), buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    rows = _with_bucket(keys.select("doc_id", "occurrence"), buckets).repartitionById(buckets, F.col("bucket"))
     return rows.mapInPandas(run, "doc_id long, occurrence int, file string, token_offset long, n_tokens long")
 
 
