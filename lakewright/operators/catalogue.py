@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import fold_accents, older_than, stable_id
+from ..plans.folders import shared_folder, stored
 
 #: Levels of a resource tree that are followed; a deeper or cyclic one is an error.
 DEPTH = 32
@@ -161,12 +162,13 @@ def validate_tree(resources: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 def available_collections(resources: DataFrame, tables: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(source_id, id) of live collections with a live table below; a deleted node stops the way up."""
+    folder = shared_folder(resources.sparkSession, "collections")
     live = resources.filter("deleted_at IS NULL").select("source_id", "id", "parent_id", "kind")
     now = live.join(tables.select("source_id", F.col("resource_id").alias("id")).distinct(), ["source_id", "id"], "left_semi")
     found = now
-    for _ in range(depth):
+    for level in range(depth):
         now = now.select("source_id", F.col("parent_id").alias("id")).filter("id IS NOT NULL").distinct().join(live, ["source_id", "id"])
-        now = now.join(found.select("source_id", "id"), ["source_id", "id"], "left_anti")
+        now = stored(now.join(found.select("source_id", "id"), ["source_id", "id"], "left_anti"), f"{folder}/{level}")
         if now.isEmpty():
             break
         found = found.unionByName(now)

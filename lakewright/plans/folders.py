@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
@@ -19,3 +19,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="lakewright-")
         _LOCAL[spark.sparkContext.applicationId] = base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet and read it again, so that later steps don't repeat its plan."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

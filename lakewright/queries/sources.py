@@ -1,4 +1,4 @@
-"""Queries over sources."""
+"""Queries over sources."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.explore import ranks
 from ..plans.folders import shared_folder
-from ..sources import archives, messages, pages
+from ..sources import archives, messages, pages, transit
 from ..sources import csv as V
 from ..sources import json as J
 from ..sources import routing as R
@@ -108,6 +109,23 @@ def s9(t: Tables) -> DataFrame:
     return J.scan_geojson(bodies.select(F.col("s_nationkey").cast("string").alias("file"), "body")).select("key", "name", "geometry_type")
 
 
+@query("s10_scan_gtfs_rt", "SELECT concat('t', o_orderkey) AS id, concat('c', o_custkey) AS route_id, count(l_linenumber) AS stops, -sum(l_partkey) AS delays FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL")
+def s10(t: Tables) -> DataFrame:
+    """Orders as trips with their lines as stops, in one feed for each order priority and customer remainder."""
+    stops = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("stops"))
+    trips = t.orders.join(stops, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("feed", F.concat("o_orderpriority", F.lit("-"), F.col("o_custkey") % 8))
+
+    def feed(df):
+        entity = lambda key, route, stops: {"id": f"t{key}", "trip_update": {"trip": {"trip_id": str(key), "route_id": f"c{route}"}, "stop_time_update": [{"stop_sequence": s["l_linenumber"], "arrival": {"delay": -s["l_partkey"]}} for s in stops]}}
+        message = {"header": {"gtfs_realtime_version": "2.0"}, "entity": [entity(*x) for x in zip(df["o_orderkey"], df["o_custkey"], df["stops"], strict=True)]}
+        return df[["feed"]].head(1).rename(columns={"feed": "file"}).assign(content=[transit.encode(message, transit.FEED)])
+
+    feeds = trips.select("feed", "o_orderkey", "o_custkey", "stops").groupBy("feed").applyInPandas(feed, "file string, content binary")
+    rows = transit.scan_gtfs_rt(feeds)
+    delays = F.aggregate("trip_update.stop_time_update", F.lit(0).cast("long"), lambda a, x: a + x["arrival"]["delay"])
+    return rows.select("id", F.col("trip_update.trip.route_id").alias("route_id"), F.size("trip_update.stop_time_update").cast("long").alias("stops"), delays.alias("delays"))
+
+
 @query("s11_ordered_lines", "SELECT doc_id, i + 1 AS \"order\", ls[i + 1] AS message FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))")
 def s11(t: Tables) -> DataFrame:
     lines = t.documents.select(F.col("doc_id").alias("file"), F.posexplode(F.split("text", "\n")).alias("i", "line")).repartition(4, "file").sortWithinPartitions("file", "i")
@@ -207,8 +225,7 @@ def s23(t: Tables) -> DataFrame:
 )
 def s24(t: Tables) -> DataFrame:
     """Pages as a binary tree of links, with links back to the root."""
-    k = F.dense_rank().over(__import__("pyspark.sql.window", fromlist=["Window"]).Window.orderBy("page_id")) - 1
-    numbered = t.pages.select("page_id", k.alias("k"))
+    numbered = ranks(t.pages.select("page_id"), "page_id", "k", 0)
     link = lambda x: F.concat(F.lit("<A HREF='/"), x, F.lit("#top'>x</A>"))
     made = numbered.select(F.concat(F.lit("http://h/"), "k").alias("url"), F.concat(link(F.col("k") * 2 + 1), link(F.col("k") * 2 + 2), link(F.lit(0))).alias("html"))
     return pages.crawl_frontier(made, made.filter("url = 'http://h/0'").select("url"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import matches_format, resolve_url, url_host, url_name, within_root
+from ..plans.folders import shared_folder, stored
 
 DEPTH, PAGES = 4, 10_000
 OPAQUE = ("HTML", "DOCX", "MAP", "PDF", "TAB", "TIF", "TIFF")
@@ -37,14 +38,15 @@ def crawl_frontier(pages: DataFrame, roots: DataFrame, depth: int = DEPTH, most:
     """(url, depth) of the captured pages that a bounded breadth-first walk from the roots (url) reaches.
 
     More than ``most`` pages is an error.  Each step is one join of links with
-    the pages found last.
+    the pages found last, and is written before the next.
     """
-    links = extract_links(pages).join(pages.select(F.col("url").alias("target")).distinct(), "target", "left_semi")
+    folder = shared_folder(pages.sparkSession, "crawl")
+    links = stored(extract_links(pages).join(pages.select(F.col("url").alias("target")).distinct(), "target", "left_semi"), f"{folder}/links")
     now = roots.select("url").distinct().join(pages.select("url").distinct(), "url", "left_semi").withColumn("depth", F.lit(0))
-    found = now
+    found = now = stored(now, f"{folder}/0")
     for step in range(1, depth + 1):
         reached = links.join(now.select("url"), "url").select(F.col("target").alias("url")).distinct()
-        now = reached.join(found.select("url"), "url", "left_anti").withColumn("depth", F.lit(step))
+        now = stored(reached.join(found.select("url"), "url", "left_anti").withColumn("depth", F.lit(step)), f"{folder}/{step}")
         found = found.unionByName(now)
     if found.limit(most + 1).count() > most:
         raise ValueError(f"the walk has more than {most} pages")
