@@ -169,7 +169,7 @@ def chunk_tokenizer(vocabulary: str, spaces: bool) -> ChunkTokenizer:
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered up to ``entries`` words."""
 
-    def __init__(self, entries: int = 600_000):
+    def __init__(self, entries: int = 250_000):
         super().__init__()
         self.entries = entries
 
@@ -189,6 +189,36 @@ def word_hashes() -> WordHashes:
     return WordHashes()
 
 
+_FACTOR = 0x9E3779B97F4A7C15 | 1
+
+
+@functools.lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd factor and of its inverse, modulo 2^64."""
+    inverse = pow(_FACTOR, -1, 1 << 64)
+    series = lambda f: np.concatenate([np.ones(1, _U64), np.multiply.accumulate(np.full(n - 1, f, _U64))])
+    return series(_FACTOR), series(inverse)
+
+
+def hashed_words(raw: bytes, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, 64-bit hashes) of the words of ``raw``, which are the runs of bytes that ``blank`` (256 booleans) doesn't mark.
+
+    The hashes are polynomials over a word's bytes, taken as differences of one
+    running sum over all bytes.
+    """
+    if not raw:
+        return np.zeros(0, np.int64), np.zeros(0, _U64)
+    data = np.frombuffer(raw, np.uint8)
+    gap = np.concatenate([[True], blank[data], [True]])
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    size = 1 << max(16, (len(data) + 1).bit_length())
+    up, down = _powers(size)
+    sums = np.zeros(len(data) + 1, _U64)
+    np.cumsum((data.astype(_U64) + _U64(1)) * up[: len(data)], out=sums[1:])
+    return starts, mixed((sums[ends] - sums[starts]) * down[starts])
+
+
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scrambling of 64-bit values; each seed gives another order."""
     x = (x + _U64((seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)).astype(_U64)
@@ -209,4 +239,6 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(value)
 
 
+#: The six ASCII white-space characters.
+ASCII_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 LOWER_ASCII = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import let, shared_folder, stored
-from .shingles import DEN, NUM, candidates, counted, spread, text_version
+from .shingles import DEN, NUM, bucket_count, candidates, counted, spread, text_version
 from .similarity import verified
 
-#: Position of a line: ids in ascending order with null last, then texts of one id by their hash, then lines.
-PLACE = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "version", "line")
+def _place() -> Column:
+    """Position of a line: ids in ascending order with null last, then texts of one id by their hash, then lines."""
+    return F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "version", "line")
 
 
 def _near_repeats(sets: DataFrame, firsts: DataFrame, folder: str) -> DataFrame:
@@ -33,7 +34,7 @@ def _near_repeats(sets: DataFrame, firsts: DataFrame, folder: str) -> DataFrame:
     hubs = postings.groupBy("token").agg(F.min_by("key", "first").alias("b"), F.min("first").alias("b_first"))
     met = postings.join(hubs, "token").filter("b_first < first").groupBy(F.col("key").alias("a"), "b").count()
     star = stored(met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")), f"{folder}/star")
-    tokens = sets.drop("prefix")
+    tokens = sets.select("key", "n", "tokens")
     settled = stored(verified(star, tokens, NUM, DEN).select("a").distinct(), f"{folder}/settled")
     open_ = postings.join(settled, postings["key"] == settled["a"], "left_anti")
     earlier = postings.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("first").alias("b_first"), F.col("at").alias("b_at"))
@@ -54,11 +55,11 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "lines")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(spark) // 2
     shared = stored(counted(spread(docs, buckets, lines=True), buckets), f"{folder}/counted")
     rows = shared.filter("part IS NULL").select("doc_id", "version", "line", "key")
     sets = stored(candidates(shared, buckets), f"{folder}/sets")
-    places = rows.select("key", PLACE.alias("place"))
+    places = rows.select("key", _place().alias("place"))
     firsts = stored(places.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")), f"{folder}/firsts")
     near = _near_repeats(sets, firsts.select("key", "first"), folder)
     # only keys that lose a line: those with a later place, and those that match an earlier key
@@ -68,9 +69,16 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return stored(lost, f"{folder}/lost")
 
 
+#: Up to so many lines to remove (about 8 bytes each, and 40 for each document) their list is broadcast; a longer one is joined by a shuffle.
+BROADCAST_LINES = 2_000_000
+
+
 def _marked(docs: DataFrame) -> DataFrame:
     """``docs`` with the numbers of the lines to remove in line__lost; null where none are."""
-    lost = repeated_lines(docs).select(F.col("doc_id").alias("line__doc"), F.col("version").alias("line__version"), F.col("lines").alias("line__lost"))
+    lost = repeated_lines(docs)
+    if (lost.agg(F.sum(F.size("lines"))).first()[0] or 0) <= BROADCAST_LINES:
+        lost = F.broadcast(lost)
+    lost = lost.select(F.col("doc_id").alias("line__doc"), F.col("version").alias("line__version"), F.col("lines").alias("line__lost"))
     keyed = docs.withColumn("line__key", text_version(F.col("text").cast("string")))
     same = keyed["doc_id"].cast("long").eqNullSafe(lost["line__doc"]) & (keyed["line__key"] == lost["line__version"])
     return keyed.join(lost, same, "left").drop("line__key", "line__doc", "line__version")

@@ -17,37 +17,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_ASCII, mixed, ngram_hashes, shared_folder, stored, word_hashes
+from .common import ASCII_BLANK, LOWER_ASCII, hashed_words, mixed, ngram_hashes, shared_folder, stored
 from .similarity import linked_components
 
 WORDS = 5
 NUM, DEN = 80, 100
-LOW48 = np.uint64((1 << 48) - 1)
 #: Seeds of the token orders whose filters are intersected with the first.
 ORDERS = (2, 3)
 
 
-def split_words(text: str | bytes) -> list[bytes]:
-    """Words of a text, A-Z in lower case; the six ASCII white-space characters separate them."""
-    return (text.encode("utf-8", "replace") if isinstance(text, str) else text).translate(LOWER_ASCII).split()
-
-
-def shingle_sets(units: list[list[bytes]], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of many units (texts or lines) at once.
+def shingle_sets(hashes: np.ndarray, sizes: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of many units (texts or lines) at once, given all their words' hashes and their numbers of words.
 
     A unit of fewer than ``words`` words has one shingle, all of it; one without
     words has none.  Returns the owners and hashes of all shingles, sorted by
     unit and hash, and each unit's number of shingles and key (equal sets have
     equal keys).
     """
-    sizes = np.fromiter(map(len, units), np.int64, len(units))
-    hashes = word_hashes().of([w for unit in units for w in unit])
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    word_owner = np.repeat(np.arange(len(units)), sizes)
+    word_owner = np.repeat(np.arange(len(sizes)), sizes)
     tokens, owners = [], []
     grams = ngram_hashes(hashes, words)
     if len(grams):
@@ -60,13 +52,16 @@ def shingle_sets(units: list[list[bytes]], words: int = WORDS) -> tuple[np.ndarr
             tokens.append(mixed(ngram_hashes(hashes, n)[starts[short]], n))
             owners.append(short)
     token, owner = np.concatenate([np.zeros(0, np.uint64), *tokens]), np.concatenate([np.zeros(0, np.int64), *owners])
-    order = np.lexsort((token, owner))
+    if len(sizes) < 1 << 14:
+        order = np.argsort((owner.astype(np.uint64) << np.uint64(50)) | (token >> np.uint64(14)))
+    else:
+        order = np.lexsort((token, owner))
     token, owner = token[order], owner[order]
     if len(token):
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])])
         token, owner = token[new], owner[new]
-    n = np.bincount(owner, minlength=len(units))
-    keys = np.zeros(len(units), np.uint64)
+    n = np.bincount(owner, minlength=len(sizes))
+    keys = np.zeros(len(sizes), np.uint64)
     if len(token):
         there = np.flatnonzero(n)
         keys[there] = np.add.reduceat(mixed(token, 11), (np.cumsum(n) - n)[there])
@@ -78,24 +73,33 @@ def needed(n: np.ndarray | int):
     return -(-NUM * n // DEN)
 
 
-def _pack(keys: np.ndarray, sizes: np.ndarray, counts: np.ndarray, *columns: np.ndarray) -> bytes:
-    head = np.asarray([len(keys)], "<u4").tobytes()
-    return b"".join([head, keys.astype("<u8").tobytes(), sizes.astype("<u4").tobytes(), counts.astype("<u4").tobytes(), *(c.tobytes() for c in columns)])
+def _pack_tokens(keys: np.ndarray, counts: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Sets' keys, how many of the tokens each has, and the tokens' columns."""
+    kind = "<u1" if counts.max() < 256 else "<u4"
+    return b"".join([b"T" if kind == "<u1" else b"W", np.asarray([len(keys)], "<u4").tobytes(), keys.astype("<u8").tobytes(), counts.astype(kind).tobytes(), *(c.tobytes() for c in columns)])
 
 
-def _unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
-    d = int(np.frombuffer(raw, "<u4", 1)[0])
-    at, out = 4, []
-    for kind in ("<u8", "<u4", "<u4"):
-        out.append(np.frombuffer(raw, kind, d, at))
-        at += d * np.dtype(kind).itemsize
-    n = int(out[2].sum())
+def _unpack_tokens(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    d = int(np.frombuffer(raw, "<u4", 1, 1)[0])
+    keys = np.frombuffer(raw, "<u8", d, 5)
+    count_kind = "<u1" if raw[:1] == b"T" else "<u4"
+    counts = np.frombuffer(raw, count_kind, d, 5 + 8 * d).astype(np.int64)
+    at, n, out = 5 + (8 + np.dtype(count_kind).itemsize) * d, int(counts.sum()), [keys, counts]
     for kind in kinds:
         out.append(np.frombuffer(raw, kind, n, at))
         at += n * np.dtype(kind).itemsize
     return out
 
 
+def _pack_sizes(keys: np.ndarray, sizes: np.ndarray) -> bytes:
+    return b"".join([b"S", keys.astype("<u8").tobytes(), sizes.astype("<u4").tobytes()])
+
+
+def _unpack_sizes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    d = (len(raw) - 1) // 12
+    return np.frombuffer(raw, "<u8", d, 1), np.frombuffer(raw, "<u4", d, 1 + 8 * d)
+
+
 MIXED_SCHEMA = "doc_id long, version long, line int, n_shingles long, key long, bucket int, part binary"
 MIXED_KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 
@@ -108,12 +112,44 @@ def _mixed_batch(rows: list, parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.concat_arrays(pair) for pair in zip(columns, rest, strict=True)], names=[f.split()[0] for f in MIXED_SCHEMA.split(", ")])
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of tokens; a task holds one, so twice as many as shuffle partitions halve its memory."""
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def text_version(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _units(raws: list[bytes], lines: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, words a unit, document of each unit, line of each unit); a unit is a text, or a line with words."""
+    joined = b" ".join(raws).translate(LOWER_ASCII)
+    starts, hashes = hashed_words(joined, ASCII_BLANK)
+    begins = np.cumsum([0, *(len(r) + 1 for r in raws[:-1])])
+    doc = np.searchsorted(begins, starts, side="right") - 1
+    if not lines:
+        return hashes, np.bincount(doc, minlength=len(raws)), np.arange(len(raws)), np.zeros(len(raws), np.int64)
+    breaks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 10)
+    line = np.searchsorted(breaks, starts) - np.searchsorted(breaks, begins)[doc]
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])) if len(doc) else np.zeros(0, np.int64)
+    return hashes, np.diff(np.append(first, len(doc))), doc[first], line[first]
+
+
+def _slices(batch: pa.RecordBatch, docs: int = 500, size: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with so many documents and bytes of text at most, or one document."""
+    lengths = np.diff(np.append(0, np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0)))))
+    start, held = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and (i - start >= docs or held + n > size):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(batch):
+        yield batch.slice(start)
+
+
 def spread(docs: DataFrame, buckets: int, lines: bool) -> DataFrame:
-    """One row per text (or line with words), and its tokens in one packed row per batch and bucket.
+    """One row per text (or line with words), and packed parts: the tokens of each bucket, and the sizes of the sets by key.
 
     ``version`` is a hash of the whole text, which tells rows with the same
     doc_id apart.
@@ -121,121 +157,144 @@ def spread(docs: DataFrame, buckets: int, lines: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        turn = 0
         for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                head, units = [], []
-                for doc, text, version in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    raw = (text or "").encode("utf-8", "replace")
-                    if lines:
-                        for i, line in enumerate(raw.split(b"\n")):
-                            if own := split_words(line):
-                                head.append((doc, version, i))
-                                units.append(own)
-                    else:
-                        head.append((doc, None, None))
-                        units.append(split_words(raw))
-                if not units:
+            for batch in _slices(whole):
+                raws = [(text or "").encode("utf-8", "replace") for text in batch.column(1).to_pylist()]
+                hashes, sizes, doc, line = _units(raws, lines)
+                if not len(sizes):
                     continue
-                owner, tokens, n, keys = shingle_sets(units)
-                rows = [*zip(*head, strict=True), n, pa.array(keys.astype(np.int64), mask=n == 0), (keys % np.uint64(buckets)).astype(np.int32)]
-                first = np.zeros(len(units), bool)
+                owner, tokens, n, keys = shingle_sets(hashes, sizes)
+                own_ids, versions = batch.column(0).take(pa.array(doc)), batch.column(2).take(pa.array(doc))
+                turn += 1
+                rows = [own_ids, versions, line.astype(np.int32), n, pa.array(keys.astype(np.int64), mask=n == 0), np.full(len(n), (turn * 7919 + whole.num_rows) % buckets, np.int32)]
+                first = np.zeros(len(n), bool)
                 first[np.unique(keys, return_index=True)[1]] = True
                 fresh = first & (n > 0) & ~np.fromiter(map(seen.__contains__, keys.tolist()), bool, len(keys))
-                if len(seen) < 1_000_000:
+                if len(seen) < 200_000:
                     seen.update(keys[fresh].tolist())
-                own = fresh[owner]
-                owner, tokens, parts = owner[own], tokens[own], []
-                bucket = ((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((owner, bucket))
-                owner, bucket, tokens = owner[order], bucket[order], tokens[order] & LOW48
-                edges = np.searchsorted(bucket, np.arange(buckets + 1))
-                for b in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
-                    there, counts = np.unique(owner[edges[b] : edges[b + 1]], return_counts=True)
-                    some = tokens[edges[b] : edges[b + 1]]
-                    parts.append((b, _pack(keys[there], n[there], counts, some.astype("<u4"), (some >> np.uint64(32)).astype("<u2"))))
-                yield _mixed_batch(rows, parts)
+                yield _mixed_batch(rows, [*_token_parts(keys, owner, tokens, fresh, buckets), *_size_parts(keys[fresh], n[fresh], buckets)])
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), text_version(text).alias("version")).mapInArrow(run, MIXED_SCHEMA)
 
 
+def _groups(target: np.ndarray, owner: np.ndarray, units: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order of tokens by bucket and owner, owner and count of each group, groups before each bucket)."""
+    place = target * units + owner
+    order = np.argsort(place)
+    place = place[order]
+    starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    group = place[starts]
+    return order, group % units, np.diff(np.append(starts, len(place))), np.searchsorted(group, np.arange(buckets + 1) * units)
+
+
+def _token_parts(keys: np.ndarray, owner: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    own = fresh[owner]
+    owner, tokens = owner[own], tokens[own]
+    if not len(tokens):
+        return []
+    order, owners, counts, cuts = _groups(((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64), owner, len(keys), buckets)
+    tokens = tokens[order]
+    low, high = tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(np.uint16)
+    ends = np.append(0, np.cumsum(counts))
+    out = []
+    for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        g = slice(cuts[b], cuts[b + 1])
+        t = slice(ends[cuts[b]], ends[cuts[b + 1]])
+        out.append((b, _pack_tokens(keys[owners[g]], counts[g], low[t], high[t])))
+    return out
+
+
+def _size_parts(keys: np.ndarray, n: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    target = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(target)
+    cuts = np.searchsorted(target[order], np.arange(buckets + 1))
+    return [(b, _pack_sizes(keys[order[cuts[b] : cuts[b + 1]]], n[order[cuts[b] : cuts[b + 1]]])) for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()]
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> tuple[list[pa.RecordBatch], list[list[np.ndarray]], list[int]]:
-    """Document rows as they are; packed rows unpacked, with their buckets."""
+    """Rows and parts with sizes as they are; parts with tokens unpacked, with their buckets."""
     plain, parts, buckets = [], [], []
     for batch in batches:
-        packed = batch.column(6).is_valid()
+        packed = pa.compute.fill_null(pa.compute.not_equal(pa.compute.binary_slice(batch.column(6), 0, 1), b"S"), False)
         plain.append(batch.filter(pa.compute.invert(packed)))
         some = batch.filter(packed)
         buckets += some.column(5).to_pylist()
-        parts += [_unpack(x.as_buffer(), *kinds) for x in some.column(6)]
+        parts += [_unpack_tokens(x.as_py(), *kinds) for x in some.column(6)]
     return [b for b in plain if len(b)], parts, buckets
 
 
 def counted(spread: DataFrame, buckets: int) -> DataFrame:
-    """Tokens of at least two distinct sets, packed for the bucket of each set's key, with their frequency."""
+    """Tokens of at least two distinct sets, packed for the bucket of each set's key, with their frequency; the rest stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, parts, own = _gathered(batches, ("<u4", "<u2"))
         yield from plain
+        del plain
         if not parts:
             return
-        keys = np.concatenate([p[0] for p in parts])
-        sizes = np.concatenate([p[1] for p in parts])
-        counts = np.concatenate([p[2] for p in parts])
+        keys, counts = (np.concatenate([p[i] for p in parts]) for i in range(2))
         bucket = np.repeat(np.asarray(own, np.uint64), [len(p[0]) for p in parts])
-        tokens = np.concatenate([p[3] for p in parts]).astype(np.uint64) | (np.concatenate([p[4] for p in parts]).astype(np.uint64) << np.uint64(32))
+        tokens = np.concatenate([p[3] for p in parts]).astype(np.uint64)
+        tokens <<= np.uint64(32)
+        tokens |= np.concatenate([p[2] for p in parts])
+        del parts
         tokens |= np.repeat(bucket, counts) << np.uint64(48)
         # a set that came from several tasks counts once in each bucket
         order = np.lexsort((bucket, keys))
         again = np.zeros(len(keys), bool)
         again[order[1:]] = (keys[order[1:]] == keys[order[:-1]]) & (bucket[order[1:]] == bucket[order[:-1]])
-        owner = np.repeat(np.arange(len(keys), dtype=np.int64), counts)
+        owner = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
         if again.any():
             stay = ~again[owner]
             tokens, owner = tokens[stay], owner[stay]
-        order = np.argsort(tokens, kind="stable")
+        order = np.argsort(tokens)
         tokens, owner = tokens[order], owner[order]
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         frequency = np.diff(np.append(starts, len(tokens)))
         many = np.repeat(frequency > 1, frequency)
-        tokens, owner, frequency = tokens[many], owner[many], np.repeat(np.minimum(frequency, 65535), frequency)[many]
+        tokens, owner, frequency = tokens[many], owner[many].astype(np.int64), np.repeat(np.minimum(frequency, 65535), frequency)[many]
         if not len(tokens):
             return
-        target = (keys[owner] % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((owner, target))
-        tokens, owner, frequency, target = tokens[order], owner[order], frequency[order], target[order]
-        edges = np.searchsorted(target, np.arange(buckets + 1))
+        order, owners, counts, cuts = _groups((keys[owner] % np.uint64(buckets)).astype(np.int64), owner, len(keys), buckets)
+        tokens, frequency = tokens[order], frequency[order].astype("<u2")
+        ends = np.append(0, np.cumsum(counts))
         out = []
-        for b in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
-            cut = slice(edges[b], edges[b + 1])
-            there, some = np.unique(owner[cut], return_counts=True)
-            out.append((b, _pack(keys[there], sizes[there], some, tokens[cut].astype("<u8"), frequency[cut].astype("<u2"))))
+        for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            g = slice(cuts[b], cuts[b + 1])
+            t = slice(ends[cuts[b]], ends[cuts[b + 1]])
+            out.append((b, _pack_tokens(keys[owners[g]], counts[g], tokens[t], frequency[t])))
         yield _mixed_batch([], out)
 
-    return spread.repartition(buckets, "bucket").mapInArrow(run, MIXED_SCHEMA)
+    return spread.repartitionById(buckets, F.col("bucket")).mapInArrow(run, MIXED_SCHEMA)
 
 
-SETS_SCHEMA = "key long, n long, tokens binary, prefix array<long>"
+SETS_SCHEMA = "key long, n long, weight double, tokens binary, prefix array<long>"
 
 
 def candidates(counted: DataFrame, buckets: int) -> DataFrame:
-    """Sets that share enough tokens to link at all: their shared tokens and their filter prefix."""
+    """Sets that share enough tokens to link at all: their shared tokens and their filter prefix.
+
+    ``weight`` is the mean frequency of a set's tokens.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, parts, _ = _gathered(batches, ("<u8", "<u2"))
+        plain, parts, _ = _gathered(batches, ("<u8", "<u2"))
         if not parts:
             return
-        keys, sizes, counts = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        tokens, frequency = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
+        known = [_unpack_sizes(x.as_py()) for batch in plain for x in batch.column(6)]
+        size_of = dict(zip(np.concatenate([k for k, _ in known]).tolist(), np.concatenate([n for _, n in known]).tolist(), strict=True))
+        keys, counts = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        tokens, frequency = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
         distinct, place = np.unique(keys, return_inverse=True)
-        n = np.zeros(len(distinct), np.int64)
-        n[place] = sizes
+        n = np.fromiter(map(size_of.__getitem__, distinct.tolist()), np.int64, len(distinct))
         owner = np.repeat(place, counts)
         shared = np.bincount(owner, minlength=len(distinct))
         enough = shared >= needed(n)
         stay = enough[owner]
         tokens, frequency, owner = tokens[stay], frequency[stay], owner[stay]
+        weight = (np.bincount(owner, weights=frequency, minlength=len(distinct)) + n - shared) / np.maximum(n, 1)
         order = np.lexsort((mixed(tokens, 1), frequency, owner))
         tokens, owner = tokens[order], owner[order]
         edges = np.searchsorted(owner, np.arange(len(distinct) + 1))
@@ -244,21 +303,19 @@ def candidates(counted: DataFrame, buckets: int) -> DataFrame:
             own = tokens[edges[i] : edges[i + 1]]
             # of the n - needed + 1 first tokens, those of this set alone come before all others
             length = int(n[i] - needed(int(n[i])) + 1 - (n[i] - len(own)))
-            rows.append((int(distinct[i].astype(np.int64)), int(n[i]), np.sort(own).tobytes(), own[:length].astype(np.int64)))
+            rows.append((int(distinct[i].astype(np.int64)), int(n[i]), float(weight[i]), np.sort(own).tobytes(), own[:length].astype(np.int64)))
             if len(rows) == 1000:
                 yield _sets_batch(rows)
                 rows = []
         if rows:
             yield _sets_batch(rows)
 
-    return counted.filter("part IS NOT NULL").repartition(buckets, "bucket").mapInArrow(run, SETS_SCHEMA)
+    return counted.filter("part IS NOT NULL").repartitionById(buckets, F.col("bucket")).mapInArrow(run, SETS_SCHEMA)
 
 
 def _sets_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))],
-        names=["key", "n", "tokens", "prefix"],
-    )
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["key", "n", "weight", "tokens", "prefix"])
 
 
 class SharedPrefix:
@@ -271,13 +328,11 @@ class SharedPrefix:
     def __init__(self, seed: int):
         self.seed = seed
 
-    def _prefix(self, tokens: np.ndarray, n: int) -> np.ndarray:
+    def __call__(self, tokens: np.ndarray, n: int) -> np.ndarray:
+        """The shared tokens of a set's prefix, sorted."""
         ranks = mixed(tokens, self.seed)
         length = n - needed(n) + 1 - (n - len(tokens))
-        return ranks if length >= len(ranks) else np.partition(ranks, length - 1)[:length]
-
-    def __call__(self, a: np.ndarray, na: int, b: np.ndarray, nb: int) -> bool:
-        return bool(np.isin(self._prefix(a, na), self._prefix(b, nb)).any())
+        return np.sort(ranks if length >= len(ranks) else np.partition(ranks, length - 1)[:length])
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -291,12 +346,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "shingles")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(spark)
     shared = stored(counted(spread(docs, buckets, lines=False), buckets), f"{folder}/counted")
     rows = shared.filter("part IS NULL").select("doc_id", "n_shingles", "key")
     sets = stored(candidates(shared, buckets), f"{folder}/sets")
-    postings = sets.select(F.explode("prefix").alias("token"), "key", "n")
-    labels = linked_components(postings, sets.drop("prefix"), folder, NUM, DEN, [SharedPrefix(s) for s in ORDERS])
+    size = F.shiftright(F.octet_length("tokens"), 3).cast("long")
+    postings = sets.select(F.posexplode("prefix").alias("i", "token"), "key", "n", size.alias("size"), "weight").withColumn("most", F.col("size") - F.col("i")).drop("i", "size")
+    labels = linked_components(postings, sets.select("key", "n", "tokens"), folder, NUM, DEN, [SharedPrefix(s) for s in ORDERS])
     least = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least")).join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     ids = stored(least.groupBy("label").agg(F.min("least").alias("component_id")).join(least.select("key", "label"), "label").select("key", "component_id"), f"{folder}/ids")
     joined = rows.join(ids, "key", "left")

@@ -9,7 +9,7 @@ a posting token.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-STAR_ROUNDS = 3
+STAR_ROUNDS = 6
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -29,19 +29,24 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, filters: list[Callable[[np.ndarray, int, np.ndarray, int], bool]] | None = None) -> DataFrame:
-    """The pairs (a, b) that are linked.  ``filters`` are tried on the sets' tokens before the count.
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, prefixes: Sequence[Callable[[np.ndarray, int], np.ndarray]] = ()) -> DataFrame:
+    """The pairs (a, b) that are linked.
 
-    ``b`` may hold a hub of very many pairs: its sets come in last, when the
-    rows are wide enough for an adaptive join to split the hub's partition.
+    Each of ``prefixes`` gives a set's filter tokens under one order; a pair
+    must share a token under every order before its sets are compared.  ``b``
+    may hold a hub of very many pairs: its sets come in last, when the rows are
+    wide enough for an adaptive join to split the hub's partition.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hub, hub_prefixes = None, []
         for df in frames:
             keep = []
-            for ta, na, tb, nb in zip(df["ta"], df["na"], df["tb"], df["nb"], strict=True):
+            for b, ta, na, tb, nb in zip(df["b"], df["ta"], df["na"], df["tb"], df["nb"], strict=True):
                 x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-                keep.append(all(f(x, na, y, nb) for f in filters or ()) and (den + num) * overlap(x, y) >= num * (na + nb))
+                if b != hub:
+                    hub, hub_prefixes = b, [f(y, nb) for f in prefixes]
+                keep.append(all(overlap(f(x, na), p) for f, p in zip(prefixes, hub_prefixes, strict=True)) and (den + num) * overlap(x, y) >= num * (na + nb))
             yield df.loc[keep, ["a", "b"]]
 
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
@@ -75,49 +80,55 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     return now.select(F.col("a").alias("key"), F.col("b").alias("label")).union(now.select(F.col("b").alias("key"), F.col("b").alias("label")).distinct())
 
 
-def linked_components(postings: DataFrame, sets: DataFrame, folder: str, num: int, den: int, filters: list | None = None, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def linked_components(postings: DataFrame, sets: DataFrame, folder: str, num: int, den: int, prefixes: Sequence = (), star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(key, label) of all sets that are linked to another one.
 
-    ``postings`` (token, key, n) are the candidates' filter tokens.  A star
+    ``postings`` (token, key, n, most, weight) are the candidates' filter
+    tokens; ``most`` is the number of shared tokens from this one on in the
+    global order.  A linked pair has all it has in common from its first common
+    token on, so at some token both bounds are enough for both sizes (the length
+    and positional filters); only such pairs are possible.  A star
     round compares every set with one partner of another component that shares
-    most filter tokens with it, so that a large group of near copies falls
-    together after few comparisons a set.  Then all remaining candidate pairs
-    that lie in different components are compared; a link inside a component
-    can't change it.
+    most filter tokens with it: in the first round the one of most weight (of a
+    group of near copies the one that the others were made from), then one at
+    random, as long as at least half of the pairs of a round are links.  So a
+    large group falls together after few comparisons a set.  Then
+    all remaining possible pairs that lie in different components are compared;
+    a link inside a component can't change it.
     """
-    spark = postings.sparkSession
     found: list[DataFrame] = []
-    tried: list[DataFrame] = []
     labels = None
-    for round_ in range(star_rounds + 1):
-        if labels is None:
-            rows = postings.withColumn("label", F.col("key"))
-        else:
-            rows = postings.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        rows = stored(rows, f"{folder}/labelled-{round_}")
-        split = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-        if round_ < star_rounds:
-            order = F.xxhash64("key", F.lit(round_))
-            hubs = rows.groupBy("token").agg(F.min_by("key", order).alias("h1"), F.min_by("label", order).alias("l1"), F.max_by("key", order).alias("h2"), F.max_by("label", order).alias("l2"))
-            near = rows.join(hubs.join(split, "token", "left_semi"), "token").select("key", "n", F.when(F.col("l1") != F.col("label"), F.col("h1")).when(F.col("l2") != F.col("label"), F.col("h2")).alias("hub"))
-            shared = near.filter(F.col("hub").isNotNull()).groupBy("key", "hub").count()
-            pairs = shared.groupBy("key").agg(F.max_by("hub", F.struct("count", F.xxhash64("hub"))).alias("hub")).select(F.col("key").alias("a"), F.col("hub").alias("b"))
-        else:
-            size = F.count("*").alias("c")
-            major = rows.join(split, "token", "left_semi").groupBy("token", "label").agg(size).groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("major"))
-            inner = rows.join(major, "token")
-            others = inner.filter("label <> major").select("token", F.col("key").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-            size_fits = (den * F.least("n", "nx") >= num * F.greatest("n", "nx")) & (F.col("label") != F.col("lx"))
-            pairs = others.join(inner.select("token", "key", "n", "label"), "token").filter(size_fits).select(F.least("key", "x").alias("a"), F.greatest("key", "x").alias("b")).distinct()
-        ends = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
-        for old in tried:
-            pairs = pairs.select("a", "b", *ends).join(old, ["low", "high"], "left_anti").select("a", "b")
-        pairs = stored(pairs, f"{folder}/pairs-{round_}")
-        if pairs.isEmpty():
-            continue
-        tried.append(pairs.select(*ends).distinct())
-        links = stored(verified(pairs, sets, num, den, filters), f"{folder}/links-{round_}")
-        if not links.isEmpty():
-            found.append(links)
-            labels = components(reduce(DataFrame.union, found), f"{folder}/components-{round_}")
-    return labels if labels is not None else spark.createDataFrame([], "key long, label long")
+    possible = ((den + num) * F.least("most", "other.most") >= num * (F.col("n") + F.col("other.n"))) & (den * F.least("n", "other.n") >= num * F.greatest("n", "other.n")) & (F.col("label") != F.col("other.label"))
+
+    def labelled(name: str) -> DataFrame:
+        rows = postings.withColumn("label", F.col("key")) if labels is None else postings.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        split = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
+        return stored(rows.join(split, "token", "left_semi").withColumn("other", F.struct("key", "n", "most", "label")), f"{folder}/labelled-{name}")
+
+    def compared(pairs: DataFrame, name: str) -> tuple[int, int]:
+        pairs = stored(pairs, f"{folder}/pairs-{name}")
+        links = stored(verified(pairs, sets, num, den, prefixes), f"{folder}/links-{name}")
+        found.append(links)
+        return pairs.count(), links.count()
+
+    for round_ in range(star_rounds):
+        rows = labelled(str(round_))
+        plain = rows.drop("other")
+        order = F.struct(F.col("weight") if not round_ else F.xxhash64("key", F.lit(round_)), "key")
+        first = rows.groupBy("token").agg(F.max_by("other", order).alias("first"))
+        second = rows.join(first, "token").filter(F.col("label") != F.col("first.label")).groupBy("token").agg(F.max_by("other", order).alias("second"))
+        hubs = first.join(second, "token")
+        near = plain.join(hubs, "token").withColumn("other", F.when(F.col("first.label") != F.col("label"), F.col("first")).otherwise(F.col("second")))
+        shared = near.filter(possible).groupBy("key", F.col("other.key").alias("hub")).count()
+        pairs = shared.groupBy("key").agg(F.max_by("hub", F.struct("count", F.xxhash64("hub"))).alias("hub")).select(F.col("key").alias("a"), F.col("hub").alias("b"))
+        tried, linked = compared(pairs, str(round_))
+        if 2 * linked < tried or not linked:
+            break  # stars have done what they can
+        labels = components(reduce(DataFrame.union, found), f"{folder}/components-{round_}")
+    rows = labelled("rest")
+    plain = rows.drop("other")
+    major = plain.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("major"))
+    others = rows.join(major, "token").filter("label <> major").select("token", "other")
+    pairs = others.join(plain, "token").filter(possible).select(F.least("key", "other.key").alias("a"), F.greatest("key", "other.key").alias("b")).distinct()
+    compared(pairs, "rest")
+    return components(reduce(DataFrame.union, found), f"{folder}/components")
