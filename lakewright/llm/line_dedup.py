@@ -38,11 +38,10 @@ def _near_repeats(sets: DataFrame, firsts: DataFrame, folder: str) -> DataFrame:
     settled = stored(verified(star, tokens, NUM, DEN).select("a").distinct(), f"{folder}/settled")
     open_ = postings.join(settled, postings["key"] == settled["a"], "left_anti")
     earlier = postings.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("first").alias("b_first"), F.col("at").alias("b_at"))
-    alike = (F.col("b_first") < F.col("first")) & (DEN * F.least("n", "nb") >= NUM * F.greatest("n", "nb"))
-    pairs = open_.join(earlier, "token").filter(alike).groupBy(F.col("key").alias("a"), "b", "n", "nb").agg(F.min("at").alias("at"), F.min("b_at").alias("b_at"))
     # from the first common token on, no more can be common than what is left of either set
     most = F.least(F.col("n") - F.col("at"), F.col("nb") - F.col("b_at"))
-    pairs = pairs.filter((DEN + NUM) * most >= NUM * (F.col("n") + F.col("nb"))).select("a", "b").join(star, ["a", "b"], "left_anti")
+    alike = (F.col("b_first") < F.col("first")) & (DEN * F.least("n", "nb") >= NUM * F.greatest("n", "nb")) & ((DEN + NUM) * most >= NUM * (F.col("n") + F.col("nb")))
+    pairs = open_.join(earlier, "token").filter(alike).select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
     rest = verified(stored(pairs, f"{folder}/pairs"), tokens, NUM, DEN).select("a").distinct()
     return settled.union(stored(rest, f"{folder}/rest")).distinct()
 
@@ -55,8 +54,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "lines")
-    buckets = bucket_count(spark) // 2
-    shared = stored(counted(spread(docs, buckets, lines=True), buckets), f"{folder}/counted")
+    buckets = max(1, bucket_count(spark) // 4)
+    shared = stored(counted(spread(docs, buckets, lines=True), buckets, lines=True), f"{folder}/counted")
     rows = shared.filter("part IS NULL").select("doc_id", "version", "line", "key")
     sets = stored(candidates(shared, buckets), f"{folder}/sets")
     places = rows.select("key", _place().alias("place"))

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ from .similarity import linked_components
 
 WORDS = 5
 NUM, DEN = 80, 100
+#: Bits of a token above its low 32 that are kept beside its bucket: 16 for texts, 8 for lines, which are short.
+HIGH_PART = {False: "<u2", True: "<u1"}
 #: Seeds of the token orders whose filters are intersected with the first.
 ORDERS = (2, 3)
 
@@ -157,7 +160,7 @@ def spread(docs: DataFrame, buckets: int, lines: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        turn = 0
+        turn = TaskContext.get().partitionId() * 7919
         for whole in batches:
             for batch in _slices(whole):
                 raws = [(text or "").encode("utf-8", "replace") for text in batch.column(1).to_pylist()]
@@ -167,13 +170,13 @@ def spread(docs: DataFrame, buckets: int, lines: bool) -> DataFrame:
                 owner, tokens, n, keys = shingle_sets(hashes, sizes)
                 own_ids, versions = batch.column(0).take(pa.array(doc)), batch.column(2).take(pa.array(doc))
                 turn += 1
-                rows = [own_ids, versions, line.astype(np.int32), n, pa.array(keys.astype(np.int64), mask=n == 0), np.full(len(n), (turn * 7919 + whole.num_rows) % buckets, np.int32)]
+                rows = [own_ids, versions, line.astype(np.int32), n, pa.array(keys.astype(np.int64), mask=n == 0), ((np.arange(len(n)) + turn) % buckets).astype(np.int32)]
                 first = np.zeros(len(n), bool)
                 first[np.unique(keys, return_index=True)[1]] = True
                 fresh = first & (n > 0) & ~np.fromiter(map(seen.__contains__, keys.tolist()), bool, len(keys))
                 if len(seen) < 200_000:
                     seen.update(keys[fresh].tolist())
-                yield _mixed_batch(rows, [*_token_parts(keys, owner, tokens, fresh, buckets), *_size_parts(keys[fresh], n[fresh], buckets)])
+                yield _mixed_batch(rows, [*_token_parts(keys, owner, tokens, fresh, buckets, lines), *_size_parts(keys[fresh], n[fresh], buckets)])
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), text_version(text).alias("version")).mapInArrow(run, MIXED_SCHEMA)
@@ -189,14 +192,14 @@ def _groups(target: np.ndarray, owner: np.ndarray, units: int, buckets: int) ->
     return order, group % units, np.diff(np.append(starts, len(place))), np.searchsorted(group, np.arange(buckets + 1) * units)
 
 
-def _token_parts(keys: np.ndarray, owner: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+def _token_parts(keys: np.ndarray, owner: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, buckets: int, lines: bool) -> list[tuple[int, bytes]]:
     own = fresh[owner]
     owner, tokens = owner[own], tokens[own]
     if not len(tokens):
         return []
     order, owners, counts, cuts = _groups(((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64), owner, len(keys), buckets)
     tokens = tokens[order]
-    low, high = tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(np.uint16)
+    low, high = tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(HIGH_PART[lines])
     ends = np.append(0, np.cumsum(counts))
     out = []
     for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
@@ -225,11 +228,11 @@ def _gathered(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> tupl
     return [b for b in plain if len(b)], parts, buckets
 
 
-def counted(spread: DataFrame, buckets: int) -> DataFrame:
+def counted(spread: DataFrame, buckets: int, lines: bool) -> DataFrame:
     """Tokens of at least two distinct sets, packed for the bucket of each set's key, with their frequency; the rest stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, parts, own = _gathered(batches, ("<u4", "<u2"))
+        plain, parts, own = _gathered(batches, ("<u4", HIGH_PART[lines]))
         yield from plain
         del plain
         if not parts:
@@ -347,7 +350,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     folder = shared_folder(spark, "shingles")
     buckets = bucket_count(spark)
-    shared = stored(counted(spread(docs, buckets, lines=False), buckets), f"{folder}/counted")
+    shared = stored(counted(spread(docs, buckets, lines=False), buckets, lines=False), f"{folder}/counted")
     rows = shared.filter("part IS NULL").select("doc_id", "n_shingles", "key")
     sets = stored(candidates(shared, buckets), f"{folder}/sets")
     size = F.shiftright(F.octet_length("tokens"), 3).cast("long")
