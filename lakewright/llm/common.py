@@ -94,8 +94,10 @@ class ChunkTokenizer:
     is tokenized once and then looked up.  With ``spaces`` the space before a
     chunk belongs to its first token; a text whose white space is not made of
     single spaces and line feeds between other characters is then tokenized as
-    one piece, without the shortcut.  The cache holds ``entries`` chunks; it
-    starts again when it is full, which costs time but changes nothing.
+    one piece, without the shortcut.  So is a text with the literal of an added
+    token (as ``<|endoftext|>``), which is that token's id.  The cache holds
+    ``entries`` chunks; it starts again when it is full, which costs time but
+    changes nothing.
     """
 
     def __init__(self, path: str, spaces: bool, entries: int = 900_000):
@@ -103,7 +105,7 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaces, self.entries = spaces, entries
         self.newline = self.direct("\n")
         self.first: dict[str, bytes] = {}
@@ -136,6 +138,13 @@ class ChunkTokenizer:
         return [line.split(" ") if line else [] for line in lines]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        whole = {i: self.direct(text) for i, text in enumerate(texts) if any(token in text for token in self.added)}
+        if not whole:
+            return self._encode_chunks(texts)
+        rest = iter(self._encode_chunks([text for i, text in enumerate(texts) if i not in whole]))
+        return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
+
+    def _encode_chunks(self, texts: list[str]) -> list[bytes]:
         if len(self.rest) + len(self.first) > self.entries:
             self.first, self.rest = {}, {"": b""}
         if not self.spaces:

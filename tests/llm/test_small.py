@@ -271,3 +271,21 @@ def test_chunks_give_the_tokenizer_s_own_ids(spaces):
     texts = [t or "" for t in ODD] + [t for _, t in documents(6)]
     for some in (texts, texts[:3], texts):
         assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(some)] == [ids_of(name, t, 0)[:-1].tolist() for t in some]
+
+
+def test_added_tokens_in_texts_are_their_ids(spark):
+    texts = ["end <|endoftext|> of", "<|endoftext|>", "a b<|endoftext|>c\n<|startoftext|> d", "plain  text", "x <|ENDOFTEXT|> <|endoftext| > y", "after it"]
+    rows = list(enumerate(texts))
+    wanted = {}
+    for name, spaces, end in (("byte_bpe_50k.json", True, 0), ("word_bpe_49k.json", False, 2)):
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        encode = common.ChunkTokenizer(public_tokenizers.path(name), spaces)
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(texts)] == ids
+        wanted[end] = [np.asarray([*x, end], "<u4") for x in ids]
+    assert 50256 in wanted[0][0] and 49407 in wanted[2][0]
+    packed = packing.pack_documents(table(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["length"], r["ids_crc32"]) for r in packed) == [(i, len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(wanted[0])]
+    starts = np.cumsum([0, *map(len, wanted[2])]).tolist()
+    filed = token_files.token_files(table(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in filed) == [(i, starts[i], len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(wanted[2])]
