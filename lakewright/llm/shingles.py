@@ -26,8 +26,6 @@ from .similarity import linked_components
 
 WORDS = 5
 NUM, DEN = 80, 100
-#: Bits of a token above its low 32 that are kept beside its bucket: 16 for texts, 8 for lines, which are short.
-HIGH_PART = {False: "<u2", True: "<u1"}
 #: Seeds of the token orders whose filters are intersected with the first.
 ORDERS = (2, 3)
 
@@ -76,6 +74,11 @@ def needed(n: np.ndarray | int):
     return -(-NUM * n // DEN)
 
 
+def links_unequal(n: np.ndarray | int):
+    """Whether a set of ``n`` tokens can link with any set but its equals; the next larger set has the most in common with it."""
+    return DEN * n >= NUM * (n + 1)
+
+
 def _pack_tokens(keys: np.ndarray, counts: np.ndarray, *columns: np.ndarray) -> bytes:
     """Sets' keys, how many of the tokens each has, and the tokens' columns."""
     kind = "<u1" if counts.max() < 256 else "<u4"
@@ -154,6 +157,8 @@ def _slices(batch: pa.RecordBatch, docs: int = 500, size: int = 1_500_000) -> It
 def spread(docs: DataFrame, buckets: int, lines: bool) -> DataFrame:
     """One row per text (or line with words), and packed parts: the tokens of each bucket, and the sizes of the sets by key.
 
+    Sets so small that only equal sets link with them have no parts, as their
+    keys are enough.
     ``version`` is a hash of the whole text, which tells rows with the same
     doc_id apart.
     """
@@ -173,10 +178,10 @@ def spread(docs: DataFrame, buckets: int, lines: bool) -> DataFrame:
                 rows = [own_ids, versions, line.astype(np.int32), n, pa.array(keys.astype(np.int64), mask=n == 0), ((np.arange(len(n)) + turn) % buckets).astype(np.int32)]
                 first = np.zeros(len(n), bool)
                 first[np.unique(keys, return_index=True)[1]] = True
-                fresh = first & (n > 0) & ~np.fromiter(map(seen.__contains__, keys.tolist()), bool, len(keys))
+                fresh = first & links_unequal(n) & ~np.fromiter(map(seen.__contains__, keys.tolist()), bool, len(keys))
                 if len(seen) < 200_000:
                     seen.update(keys[fresh].tolist())
-                yield _mixed_batch(rows, [*_token_parts(keys, owner, tokens, fresh, buckets, lines), *_size_parts(keys[fresh], n[fresh], buckets)])
+                yield _mixed_batch(rows, [*_token_parts(keys, owner, tokens, fresh, buckets), *_size_parts(keys[fresh], n[fresh], buckets)])
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), text_version(text).alias("version")).mapInArrow(run, MIXED_SCHEMA)
@@ -192,20 +197,19 @@ def _groups(target: np.ndarray, owner: np.ndarray, units: int, buckets: int) ->
     return order, group % units, np.diff(np.append(starts, len(place))), np.searchsorted(group, np.arange(buckets + 1) * units)
 
 
-def _token_parts(keys: np.ndarray, owner: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, buckets: int, lines: bool) -> list[tuple[int, bytes]]:
+def _token_parts(keys: np.ndarray, owner: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
     own = fresh[owner]
     owner, tokens = owner[own], tokens[own]
     if not len(tokens):
         return []
     order, owners, counts, cuts = _groups(((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64), owner, len(keys), buckets)
     tokens = tokens[order]
-    low, high = tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(HIGH_PART[lines])
     ends = np.append(0, np.cumsum(counts))
     out = []
     for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
         g = slice(cuts[b], cuts[b + 1])
         t = slice(ends[cuts[b]], ends[cuts[b + 1]])
-        out.append((b, _pack_tokens(keys[owners[g]], counts[g], low[t], high[t])))
+        out.append((b, _pack_tokens(keys[owners[g]], counts[g], tokens[t])))
     return out
 
 
@@ -228,22 +232,19 @@ def _gathered(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> tupl
     return [b for b in plain if len(b)], parts, buckets
 
 
-def counted(spread: DataFrame, buckets: int, lines: bool) -> DataFrame:
+def counted(spread: DataFrame, buckets: int) -> DataFrame:
     """Tokens of at least two distinct sets, packed for the bucket of each set's key, with their frequency; the rest stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, parts, own = _gathered(batches, ("<u4", HIGH_PART[lines]))
+        plain, parts, own = _gathered(batches, ("<u8",))
         yield from plain
         del plain
         if not parts:
             return
         keys, counts = (np.concatenate([p[i] for p in parts]) for i in range(2))
         bucket = np.repeat(np.asarray(own, np.uint64), [len(p[0]) for p in parts])
-        tokens = np.concatenate([p[3] for p in parts]).astype(np.uint64)
-        tokens <<= np.uint64(32)
-        tokens |= np.concatenate([p[2] for p in parts])
+        tokens = np.concatenate([p[2] for p in parts])
         del parts
-        tokens |= np.repeat(bucket, counts) << np.uint64(48)
         # a set that came from several tasks counts once in each bucket
         order = np.lexsort((bucket, keys))
         again = np.zeros(len(keys), bool)
@@ -350,7 +351,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     folder = shared_folder(spark, "shingles")
     buckets = bucket_count(spark)
-    shared = stored(counted(spread(docs, buckets, lines=False), buckets, lines=False), f"{folder}/counted")
+    shared = stored(counted(spread(docs, buckets, lines=False), buckets), f"{folder}/counted")
     rows = shared.filter("part IS NULL").select("doc_id", "n_shingles", "key")
     sets = stored(candidates(shared, buckets), f"{folder}/sets")
     size = F.shiftright(F.octet_length("tokens"), 3).cast("long")

@@ -289,3 +289,11 @@ def test_added_tokens_in_texts_are_their_ids(spark):
     starts = np.cumsum([0, *map(len, wanted[2])]).tolist()
     filed = token_files.token_files(table(spark, rows)).collect()
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in filed) == [(i, starts[i], len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(wanted[2])]
+
+
+def test_lines_with_tokens_that_agree_in_40_bits_stay(spark):
+    """Words found by search: their lines' last tokens have the same low 40 bits and the same bucket of two."""
+    seven = "one two three four five six seven"
+    rows = [(i, t) for i, t in enumerate(["k3584975", "k792291", "k2414552", "k47124", f"{seven} k1836260", f"{seven} k883337", f"{seven} k345385", f"{seven} k747055"])]
+    assert lines_left(rows) == dict(rows)
+    assert {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(table(spark, rows)).collect()} == dict(rows)
