@@ -71,8 +71,8 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
     return rows.select("file", (F.col("i") + 1).cast("long").alias("number"), F.regexp_replace("line", "\r$", "").alias("line"))
 
 
-def profile_csv(lines: DataFrame, hint: str | None = None, sample: int = 25_000) -> DataFrame:
-    """(file, delimiter, width, quoted, preamble, share) from the first ``sample`` lines of each file (file, number, line).
+def profile_csv(lines: DataFrame, hint: str | None = None) -> DataFrame:
+    """(file, delimiter, width, quoted, preamble, share) from all lines of each file (file, number, line).
 
     Each candidate delimiter cuts every line; the one whose most frequent width
     over one covers the largest share of lines wins, then the wider one.  Lines
@@ -80,7 +80,7 @@ def profile_csv(lines: DataFrame, hint: str | None = None, sample: int = 25_000)
     as it is.
     """
     delimiters = (Dialect(hint).delimiter,) if hint is not None else DELIMITERS
-    rows = lines.filter((F.col("number") <= sample) & (F.trim("line") != ""))
+    rows = lines.filter(F.trim("line") != "")
     cut = F.array(*[F.struct(F.lit(d).alias("delimiter"), F.size(split_fields(F.col("line"), d)).alias("width")) for d in delimiters])
     cuts = rows.select("file", "number", F.contains("line", F.lit('"')).alias("quote"), F.inline(cut))
     widths = cuts.groupBy("file", "delimiter", "width").agg(F.count("*").alias("n"), F.min("number").alias("first"), F.max("quote").alias("quoted"))

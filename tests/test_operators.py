@@ -131,6 +131,14 @@ def test_csv_files(spark, tmp_path):
     assert {tuple(r) for r in csv.scan_csv(spark, str(tmp_path / "b.csv"), latin, strict=False).collect()} == {("José", 1), ("Ana", None)}
 
 
+def test_csv_profile_reads_all_lines(spark):
+    late = F.when(F.col("id") == 26_000, '1,2,"3"').when(F.col("id") == 30_000, "1,2").otherwise("1,2,3")
+    wider = F.when(F.col("id") <= 25_000, "a;b").otherwise("a;b;c")
+    lines = [spark.range(1, 60_001).select(F.lit(f).alias("file"), F.col("id").alias("number"), line.alias("line")) for f, line in (("late", late), ("wider", wider))]
+    got = {r["file"]: (r["delimiter"], r["width"], r["quoted"], r["preamble"], r["share"]) for r in csv.profile_csv(lines[0].union(lines[1])).collect()}
+    assert got == {"late": (",", 3, True, 0, 59_999 / 60_000), "wider": (";", 3, False, 25_000, 35_000 / 60_000)}
+
+
 def test_json_documents(spark):
     bodies = lambda *texts: spark.createDataFrame(list(enumerate(texts)), "file string, body string")
     rows = J.scan_json(bodies('[{"a":1,"b":null,"c":{"d":[1]}},{"a":"x","b":null}]', '{"a":true}'))
