@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunk_tokenizer, shared_folder, stored
@@ -102,13 +102,35 @@ def _pack_round(rows: DataFrame, capacity: int, slack: int, number: int) -> Data
     return rows.mapInPandas(run, BIN_SCHEMA)
 
 
+def _mergeable(table: DataFrame, capacity: int) -> Column:
+    """Whether an underfull bin travels on.
+
+    Two bins over half full never fit together, and a round leaves at most one
+    bin up to half full in each partition.  All of these travel on, and of the
+    fuller ones of each fill about twice as many, and 32, as there are such bins
+    that fit in.  Which ones is told by a hash, as all of a fill are alike.
+    """
+    counts = dict(map(tuple, table.filter("NOT done AND offset = 0").groupBy("fill").count().collect()))
+    small = {f: n for f, n in counts.items() if 2 * f <= capacity}
+    part = []
+    for fill, count in counts.items():
+        takers = sum(n for f, n in small.items() if f + fill <= capacity)
+        if 2 * fill > capacity and takers:
+            part.append((fill, min(1 << 30, -(-((2 * takers + 32) << 30) // count))))
+    share = F.lit(0)
+    if part:
+        fills, shares = (F.array(*map(F.lit, x)) for x in zip(*part, strict=True))
+        share = F.coalesce(F.try_element_at(F.map_from_arrays(fills.cast("array<long>"), shares.cast("array<long>")), F.col("fill")), F.lit(0))
+    return ~F.col("done") & ((2 * F.col("fill") <= capacity) | (F.pmod(F.xxhash64("bin"), F.lit(1 << 30)) < share))
+
+
 def pack(pieces: DataFrame, capacity: int = 2048, slack: int | None = None, fan_in: int = 8) -> DataFrame:
     """Assign every piece a ``sequence_id`` and an ``offset`` in it.
 
     A bin counts as nearly full when at most ``slack`` places (1/128 of the
     capacity unless given) are free.  Each round joins ``fan_in`` partitions of
-    underfull bins; the rounds end when one partition is left.  A partition of
-    a later round holds the few underfull bins of ``fan_in`` earlier ones.
+    underfull bins; the rounds end when one partition is left.  Bins that can
+    take no other bin are emitted, so a partition of a later round holds few.
     An empty table gives no rows.
     """
     folder = shared_folder(pieces.sparkSession, "packing")
@@ -122,9 +144,10 @@ def pack(pieces: DataFrame, capacity: int = 2048, slack: int | None = None, fan_
         if parts == 1 or not underfull:
             finished.append(table)
             break
-        finished.append(table.filter("done"))
+        travels = _mergeable(table, capacity)
+        finished.append(table.filter(~travels))
         parts = math.ceil(parts / fan_in)
-        rows = table.filter("not done").repartition(parts, "bin")
+        rows = table.filter(travels).repartition(parts, "bin")
         number += 1
     whole = reduce(DataFrame.unionByName, finished)
     return whole.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")

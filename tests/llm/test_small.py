@@ -297,3 +297,19 @@ def test_lines_with_tokens_that_agree_in_40_bits_stay(spark):
     rows = [(i, t) for i, t in enumerate(["k3584975", "k792291", "k2414552", "k47124", f"{seven} k1836260", f"{seven} k883337", f"{seven} k345385", f"{seven} k747055"])]
     assert lines_left(rows) == dict(rows)
     assert {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(table(spark, rows)).collect()} == dict(rows)
+
+
+def test_bins_that_fit_with_none_do_not_meet_in_one_task(spark, monkeypatch):
+    counts, one_round = [], packing._pack_round
+    monkeypatch.setattr(packing, "_pack_round", lambda rows, *a: (counts.append(rows.count()), one_round(rows, *a))[1])
+    length = "CASE WHEN id % 400 = 0 THEN 500L WHEN id % 2 = 0 THEN 1300L ELSE 1200L END AS length"
+    pieces = spark.range(0, 4000, 1, 8).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", length, "0L AS ids_crc32")
+    out = packing.pack(pieces, fan_in=2).groupBy("sequence_id").agg({"length": "sum", "doc_id": "count"}).collect()
+    assert sum(r["count(doc_id)"] for r in out) == 4000 and len(out) == 3990 and max(r["sum(length)"] for r in out) <= 2048
+    assert counts[0] == 4000 and max([0, *counts[1:]]) <= 400
+    # pieces of just over half that find no partner, and one small one in each partition
+    small = spark.range(0, 4000, 1, 8).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "CASE WHEN id % 500 = 0 THEN 900L ELSE 1300L END AS length", "0L AS ids_crc32")
+    counts.clear()
+    out = packing.pack(small, fan_in=2)
+    assert out.count() == 4000 and out.select("sequence_id").distinct().count() == 3996
+    assert counts[0] == 4000 and max(counts[1:]) <= 400
