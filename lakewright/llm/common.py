@@ -5,9 +5,10 @@ from __future__ import annotations
 import functools
 import os
 import posixpath
+import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -86,87 +87,100 @@ def public_tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Letters that every Unicode version counts as such, in both cases: ASCII and the Latin blocks without the dotted capital I.
+STEM = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+MARKS = ".,;:!?%&$#*"
+#: Three blanks in a row, or two at the end: only such runs are cut by what stands around them.
+BLANK_RUN = re.compile(r"\s\s(?:\s|\Z)")
+
+
 class ChunkTokenizer:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
     Both vocabularies cut a text at white space before they merge bytes, so the
     ids of a text are the ids of its space-separated chunks in a row.  A chunk
-    is tokenized once and then looked up.  With ``spaces`` the space before a
-    chunk belongs to its first token; a text whose white space is not made of
-    single spaces and line feeds between other characters is then tokenized as
-    one piece, without the shortcut.  So is a text with the literal of an added
-    token (as ``<|endoftext|>``), which is that token's id.  The cache holds
-    ``entries`` chunks; it starts again when it is full, which costs time but
-    changes nothing.
+    is tokenized once and then looked up; of a word with marks after it, word
+    and marks are looked up apart.  With ``spaces`` the space before a chunk
+    belongs to its first token, and a line feed starts a chunk of its own kind;
+    a text with longer runs of white space, or with any at its start, is then
+    tokenized as one piece, without the shortcut.  So is a text with the literal of an added token (as
+    ``<|endoftext|>``), which is that token's id.  The cache holds ``entries``
+    chunks; it starts again when it is full, which costs time but changes
+    nothing.
     """
 
-    def __init__(self, path: str, spaces: bool, entries: int = 900_000):
+    def __init__(self, path: str, spaces: bool, entries: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaces, self.entries = spaces, entries
-        self.newline = self.direct("\n")
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        # tokens that begin (with spaces) or end (without) a word
+        edge = (lambda token: token.startswith("\u0120")) if spaces else (lambda token: token.endswith("</w>"))
+        self.edges = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.edges[[i for token, i in self.tokenizer.get_vocab().items() if edge(token)]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known = {"": self.direct(" ") if self.spaces else b"", "\n": self.direct("\n")}
 
     def direct(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Tokenize new chunks together, as one text, and cut the ids at the chunks' places."""
-        for i in range(0, len(chunks), 4096):
-            some = chunks[i : i + 4096]
-            found = self.tokenizer.encode((" " if self.spaces else "") + " ".join(some), add_special_tokens=False)
-            ids = np.asarray(found.ids, "<u4")
-            at = np.fromiter((x[0] for x in found.offsets), np.int64, len(ids))
-            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)) + 1)
-            cuts = np.searchsorted(at, ends[:-1]) * 4
+    def _learn(self, chunks: Iterable[str]) -> None:
+        """Tokenize new chunks: plain words together and the others one by one."""
+        words, marked, odd = set(), [], []
+        for chunk in chunks:
+            stem = chunk.rstrip(MARKS)
+            if not ((stem.isascii() and stem.isalpha()) or STEM.fullmatch(stem)):
+                odd.append(chunk)
+            else:
+                words.add(stem)
+                if stem != chunk:
+                    marked.append((chunk, stem))
+        known = self.known
+        self._learn_words([w for w in words if w not in known])
+        for chunk, stem in marked:
+            mark = chunk[len(stem) :]
+            ids = self.marks.get(mark)
+            if ids is None:
+                ids = self.marks[mark] = self.direct(mark)
+            known[chunk] = known[stem] + ids
+        if odd:
+            texts = [c if not self.spaces or c[0] == "\n" else " " + c for c in odd]
+            done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            known.update((c, np.asarray(x.ids, "<u4").tobytes()) for c, x in zip(odd, done, strict=True))
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Tokenize words of plain letters as one text and cut its ids at the words' edges."""
+        for i in range(0, len(words), 512):
+            some = words[i : i + 512]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([(" " if self.spaces else "") + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.edges[ids]) * 4 + (0 if self.spaces else 4)
+            if len(at) != len(some):
+                raise ValueError("the vocabulary cuts a word of plain letters")
+            starts, ends = (at.tolist(), [*at[1:].tolist(), 4 * len(ids)]) if self.spaces else ([0, *at[:-1].tolist()], at.tolist())
             raw = ids.tobytes()
-            self.rest.update(zip(some, map(raw.__getitem__, map(slice, [0, *cuts.tolist()], [*cuts.tolist(), len(raw)])), strict=True))
-
-    @staticmethod
-    def _odd(chunk: str) -> bool:
-        return not chunk or chunk[0].isspace() or chunk[-1].isspace()
-
-    def _lines(self, text: str) -> list[list[str]] | None:
-        """Chunks of each line, or None if white space stands where the shortcut doesn't hold."""
-        lines = text.split("\n")
-        if "" in lines and (not lines[0] or not lines[-1] or "\n\n\n" in text):
-            return None  # a lone blank line is two tokens; more than that or at an end is not
-        return [line.split(" ") if line else [] for line in lines]
+            self.known.update(zip(some, [raw[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        whole = {i: self.direct(text) for i, text in enumerate(texts) if any(token in text for token in self.added)}
-        if not whole:
-            return self._encode_chunks(texts)
-        rest = iter(self._encode_chunks([text for i, text in enumerate(texts) if i not in whole]))
-        return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
-
-    def _encode_chunks(self, texts: list[str]) -> list[bytes]:
-        if len(self.rest) + len(self.first) > self.entries:
-            self.first, self.rest = {}, {"": b""}
-        if not self.spaces:
-            cut = [text.replace("\n", " ").split(" ") for text in texts]
-            self._learn(list({c for chunks in cut for c in chunks if c not in self.rest}))
-            return [b"".join(map(self.rest.__getitem__, chunks)) for chunks in cut]
-        known = [self._lines(text) if text else [] for text in texts]
-        heads = {line[0] for lines in known if lines for line in lines if line}.difference(self.first)
-        tails = {c for lines in known if lines for line in lines for c in line[1:] if c not in self.rest}
-        odd = {c for c in heads | tails if self._odd(c)} | {""}
-        heads, tails = [c for c in heads if c not in odd], [c for c in tails if c not in odd]
-        if heads:
-            done = self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)
-            self.first.update((c, np.asarray(x.ids, "<u4").tobytes()) for c, x in zip(heads, done, strict=True))
-        self._learn(tails)
-        out = []
-        for text, lines in zip(texts, known, strict=True):
-            if lines is None or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or (len(odd) > 1 and any(c in odd for line in lines for c in line)):
-                out.append(self.direct(text))
-            else:
-                out.append(self.newline.join([self.first[line[0]] + b"".join(map(self.rest.__getitem__, line[1:])) if line else b"" for line in lines]))
-        return out
+        if len(self.known) > self.entries:
+            self._clear()
+        added = self.added
+        whole = [any(token in text for token in added) or (self.spaces and (text[:1].isspace() or BLANK_RUN.search(text) is not None)) for text in texts]
+        if self.spaces:
+            # a text is cut as if a line feed stood before it, whose id is then left out
+            cut = [[] if odd or not text else ("\n" + text).replace("\n", " \n").split(" ")[1:] for odd, text in zip(whole, texts, strict=True)]
+        else:
+            cut = [[] if odd else text.replace("\n", " ").split(" ") for odd, text in zip(whole, texts, strict=True)]
+        known = self.known
+        if new := set().union(*cut).difference(known):
+            self._learn(new)
+        look, skip = known.__getitem__, 4 if self.spaces else 0
+        return [self.direct(text) if odd else b"".join(map(look, chunks))[skip:] for odd, text, chunks in zip(whole, texts, cut, strict=True)]
 
 
 @functools.cache

@@ -30,7 +30,6 @@ def documents(seed=1, n=60):
 
 def ids_of(name, text, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return np.asarray([*t.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
@@ -273,6 +272,17 @@ def test_chunks_give_the_tokenizer_s_own_ids(spaces):
         assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(some)] == [ids_of(name, t, 0)[:-1].tolist() for t in some]
 
 
+@pytest.mark.parametrize("spaces", [True, False])
+def test_chunks_of_odd_texts_give_the_tokenizer_s_own_ids(spaces):
+    name = "byte_bpe_50k.json" if spaces else "word_bpe_49k.json"
+    encode = common.ChunkTokenizer(public_tokenizers.path(name), spaces, entries=3000)
+    rng = random.Random(11)
+    parts = [*"ab  \n\n\t '.,!Z\u00e9\u00df1 9\u6f22\u0301\u0130\u017f\u01c5\u0149\u00b5\u00ba\u2028\u00a0\x1c-%&\r", "<|endoftext|>", "'s", "the", "don't", "<|startoftext|>", "\u212a", "\ufb01"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(15))) for _ in range(8000)]
+    for some in (texts[i : i + 500] for i in range(0, len(texts), 500)):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(some)] == [ids_of(name, t, 0)[:-1].tolist() for t in some]
+
+
 def test_added_tokens_in_texts_are_their_ids(spark):
     texts = ["end <|endoftext|> of", "<|endoftext|>", "a b<|endoftext|>c\n<|startoftext|> d", "plain  text", "x <|ENDOFTEXT|> <|endoftext| > y", "after it"]
     rows = list(enumerate(texts))
