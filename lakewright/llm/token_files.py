@@ -1,8 +1,9 @@
 """Token ids in binary shards, found through a minimal perfect hash index.
 
-A shard file is the magic ``LWTOKS01``, the id width in bytes (unsigned 32-bit
-little-endian), the number of documents and of ids (unsigned 64-bit), then the
-raw ids of its documents in ascending ``doc_id`` order.  Index files map a
+A shard file is the magic ``LWTOKS02``, the raw ids of its documents in
+ascending ``doc_id`` order, and a footer: the id width in bytes (unsigned 32-bit
+little-endian), the number of documents and of ids (unsigned 64-bit) and the
+magic again.  Index files map a
 document key to its place: a minimal perfect hash gives the slot, the slot
 holds a 32-bit fingerprint of the key and the shard, offset and length.
 """
@@ -24,9 +25,9 @@ from pyspark.sql.window import Window
 
 from .common import NewFile, chunk_tokenizer, mixed, open_file, shared_folder, stored
 
-MAGIC = b"LWTOKS01"
-HEADER = "<8sIQQ"
-HEADER_SIZE = struct.calcsize(HEADER)
+MAGIC = b"LWTOKS02"
+FOOTER = "<IQQ8s"
+FOOTER_SIZE = struct.calcsize(FOOTER)
 ENTRY_SCHEMA = "doc_id long, occurrence int, shard long, file string, token_offset long, n_tokens long"
 
 
@@ -48,7 +49,8 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_49k.j
         task = TaskContext.get()
         name = f"{folder}/shard-{task.partitionId():06d}-{task.taskAttemptId()}.bin"
         total, count, last, seen = 0, 0, None, 0
-        spool = NewFile(f"{name}.ids")
+        shard = NewFile(name)
+        shard.write(MAGIC)
         for batch in batches:
             rows, chunks = [], []
             texts = [text or "" for text in batch.column(1).to_pylist()]
@@ -60,20 +62,14 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_49k.j
                 chunks.append(ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes())
                 rows.append((doc, seen, task.partitionId(), name, total, n))
                 total, count = total + n, count + 1
-            spool.write(b"".join(chunks))
+            shard.write(b"".join(chunks))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)],
                     names=["doc_id", "occurrence", "shard", "file", "token_offset", "n_tokens"],
                 )
-        spool.close()
-        final = NewFile(name)
-        final.write(struct.pack(HEADER, MAGIC, width, count, total))
-        with open_file(f"{name}.ids") as ids_file:
-            while block := ids_file.read(1 << 22):
-                final.write(block)
-        final.close()
-        spool.fs.delete_file(spool.path)
+        shard.write(struct.pack(FOOTER, width, count, total, MAGIC))
+        shard.close()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, ENTRY_SCHEMA)
@@ -215,7 +211,7 @@ def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
 
 
 def read_payloads(places: DataFrame, readers: int) -> DataFrame:
-    """Read the ids at the given places, each file front to back; checks header and bounds."""
+    """Read the ids at the given places, each file front to back; checks magic, footer and bounds."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, source, width, total = None, None, 0, 0
@@ -224,12 +220,14 @@ def read_payloads(places: DataFrame, readers: int) -> DataFrame:
             for file, offset, n in zip(df["file"], df["token_offset"], df["n_tokens"], strict=True):
                 if file != name:
                     name, source = file, open_file(file)
-                    magic, width, _, total = struct.unpack(HEADER, source.read(HEADER_SIZE))
-                    if magic != MAGIC:
-                        raise ValueError(f"{file} is not a token shard")
+                    size = source.size()
+                    source.seek(max(0, size - FOOTER_SIZE))
+                    width, _, total, magic = struct.unpack(FOOTER, source.read(FOOTER_SIZE).rjust(FOOTER_SIZE, b"\0"))
+                    if magic != MAGIC or size != len(MAGIC) + total * width + FOOTER_SIZE:
+                        raise ValueError(f"{file} is not a whole token shard")
                 if offset + n > total:
                     raise ValueError(f"{file} ends before the ids at {offset}")
-                source.seek(HEADER_SIZE + offset * width)
+                source.seek(len(MAGIC) + offset * width)
                 ids = np.frombuffer(source.read(n * width), f"<u{width}").astype("<u4")
                 if len(ids) != n:
                     raise ValueError(f"{file} is cut short")
