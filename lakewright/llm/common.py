@@ -37,9 +37,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it again: the lineage ends at replicated files."""
-    df.write.parquet(path)
+    """Write ``df`` as Parquet and read it again: the lineage ends at replicated files.
+
+    The shuffle files behind it are of no more use and go with the write.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before) if before is not None else conf.unset(CLEANUP)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

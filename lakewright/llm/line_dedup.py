@@ -13,74 +13,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import let, shared_folder, stored
-from .shingles import DEN, NUM, bucket_count, candidates, counted, spread, text_version
-from .similarity import verified
+from .shingles import DEN, NUM, Similar, posted, text_version
+from .similarity import salt, to_all_salts, verified
 
-def _place() -> Column:
-    """Position of a line: ids in ascending order with null last, then texts of one id by their hash, then lines."""
-    return F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "version", "line")
 
-
-def _near_repeats(sets: DataFrame, firsts: DataFrame, folder: str) -> DataFrame:
+def _near_repeats(similar: Similar, folder: str) -> DataFrame:
     """Keys (a) of line sets that match a set whose first line is earlier.
 
     First every set meets the earliest set that shares a prefix token with it;
     in a large group of near copies that settles most of them.  Then the rest
     meet all earlier candidates.
     """
-    position = F.col("n") - F.octet_length("tokens") / 8
-    postings = sets.join(firsts, "key").select(F.posexplode("prefix").alias("i", "token"), "key", "n", "first", position.cast("long").alias("alone"))
-    postings = stored(postings.select("token", "key", "n", "first", (F.col("alone") + F.col("i")).alias("at")), f"{folder}/postings")
-    hubs = postings.groupBy("token").agg(F.min_by("key", "first").alias("b"), F.min("first").alias("b_first"))
-    met = postings.join(hubs, "token").filter("b_first < first").groupBy(F.col("key").alias("a"), "b").count()
+    postings = posted(similar.found.join(similar.firsts.select("key", "first"), "key"), "key", "first")
+    postings = stored(postings.withColumn("salt", salt(F.col("key"), F.col("salts"))), f"{folder}/postings")
+    on = ["token", "salt"]
+    hubs = postings.groupBy("token").agg(F.first("salts").alias("salts"), F.min_by("key", "first").alias("b"), F.min("first").alias("b_first"))
+    met = postings.drop("salts").join(to_all_salts(hubs), on).filter("b_first < first").groupBy(F.col("key").alias("a"), "b").count()
     star = stored(met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")), f"{folder}/star")
-    tokens = sets.select("key", "n", "tokens")
-    settled = stored(verified(star, tokens, NUM, DEN).select("a").distinct(), f"{folder}/settled")
-    open_ = postings.join(settled, postings["key"] == settled["a"], "left_anti")
-    earlier = postings.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("first").alias("b_first"), F.col("at").alias("b_at"))
+    settled = stored(verified(star, similar.sets, NUM, DEN).select("a").distinct(), f"{folder}/settled")
+    open_ = to_all_salts(postings.drop("salt").join(settled, postings["key"] == settled["a"], "left_anti"))
+    earlier = postings.select("token", "salt", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("first").alias("b_first"), F.col("at").alias("b_at"))
     # from the first common token on, no more can be common than what is left of either set
     most = F.least(F.col("n") - F.col("at"), F.col("nb") - F.col("b_at"))
     alike = (F.col("b_first") < F.col("first")) & (DEN * F.least("n", "nb") >= NUM * F.greatest("n", "nb")) & ((DEN + NUM) * most >= NUM * (F.col("n") + F.col("nb")))
-    pairs = open_.join(earlier, "token").filter(alike).select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
-    rest = verified(stored(pairs, f"{folder}/pairs"), tokens, NUM, DEN).select("a").distinct()
+    pairs = open_.join(earlier, on).filter(alike).select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
+    rest = verified(stored(pairs, f"{folder}/pairs"), similar.sets, NUM, DEN).select("a").distinct()
     return settled.union(stored(rest, f"{folder}/rest")).distinct()
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, version, lines) of all documents with lines to remove; line numbers are from 0.
 
-    ``version`` is the hash of the text that ``with_version`` gives.  Rows with
-    the same id and text are one document.  Lines without words never repeat.
+    ``version`` is the hash of the text that ``text_version`` gives.  Lines are
+    in order of ids (null last), then of the versions of one id, then of their
+    numbers.  Rows with the same id and text are one document.  Lines without
+    words never repeat.
     """
-    spark = docs.sparkSession
-    folder = shared_folder(spark, "lines")
-    buckets = max(1, bucket_count(spark) // 4)
-    shared = stored(counted(spread(docs, buckets, lines=True), buckets), f"{folder}/counted")
-    rows = shared.filter("part IS NULL").select("doc_id", "version", "line", "key")
-    sets = stored(candidates(shared, buckets), f"{folder}/sets")
-    places = rows.select("key", _place().alias("place"))
-    firsts = stored(places.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")), f"{folder}/firsts")
-    near = _near_repeats(sets, firsts.select("key", "first"), folder)
+    folder = shared_folder(docs.sparkSession, "lines")
+    similar = Similar(docs, folder, lines=True)
+    near = _near_repeats(similar, folder)
     # only keys that lose a line: those with a later place, and those that match an earlier key
-    marks = firsts.join(near.withColumn("near", F.lit(True)).withColumnRenamed("a", "key"), "key", "left").filter("near OR last > first").select("key", F.when(F.col("near").isNull(), F.col("first")).alias("stays"))
-    gone = places.join(stored(marks, f"{folder}/marks"), "key").filter("stays IS NULL OR place > stays")
+    marks = similar.firsts.join(near.withColumn("near", F.lit(True)).withColumnRenamed("a", "key"), "key", "left").filter("near OR last > first").select("key", F.when(F.col("near").isNull(), F.col("first")).alias("stays"))
+    gone = similar.places.join(stored(marks, f"{folder}/marks"), "key").filter("stays IS NULL OR place > stays")
     lost = gone.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.version").alias("version")).agg(F.collect_set("place.line").alias("lines"))
     return stored(lost, f"{folder}/lost")
 
 
-#: Up to so many lines to remove (about 8 bytes each, and 40 for each document) their list is broadcast; a longer one is joined by a shuffle.
-BROADCAST_LINES = 2_000_000
-
-
 def _marked(docs: DataFrame) -> DataFrame:
-    """``docs`` with the numbers of the lines to remove in line__lost; null where none are."""
-    lost = repeated_lines(docs)
-    if (lost.agg(F.sum(F.size("lines"))).first()[0] or 0) <= BROADCAST_LINES:
-        lost = F.broadcast(lost)
-    lost = lost.select(F.col("doc_id").alias("line__doc"), F.col("version").alias("line__version"), F.col("lines").alias("line__lost"))
-    keyed = docs.withColumn("line__key", text_version(F.col("text").cast("string")))
-    same = keyed["doc_id"].cast("long").eqNullSafe(lost["line__doc"]) & (keyed["line__key"] == lost["line__version"])
-    return keyed.join(lost, same, "left").drop("line__key", "line__doc", "line__version")
+    """Every row of ``docs`` as a struct ``row``, with the numbers of its lines to remove in ``lost``; null where none are."""
+    lost = repeated_lines(docs).select(F.col("doc_id").alias("lost_id"), F.col("version").alias("lost_version"), F.col("lines").alias("lost"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(whole.alias("row"), F.col("doc_id").cast("long").alias("id"), text_version(F.col("text").cast("string")).alias("version"))
+    return keyed.join(lost, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("version") == F.col("lost_version")), "left").select("row", "lost")
 
 
 def _remaining(text: Column, lost: Column) -> Column:
@@ -89,23 +73,26 @@ def _remaining(text: Column, lost: Column) -> Column:
 
 
 def without_repeats(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
-    """``docs`` without repeated lines in ``text``; the columns stay, and so does their order.
+    """``docs`` without repeated lines in ``text``; the columns stay, whatever their names, and so does their order.
 
     With ``drop_emptied`` documents go of which no line with words is left.
-    Null and empty texts stay as they are.
+    Null and empty texts stay as they are.  An empty table gives no rows.
     """
-    text = F.col("text").cast("string")
-    out = _marked(docs).withColumn("text", _remaining(text, F.col("line__lost")))
+    out = _marked(docs).select("row", "lost", _remaining(F.col("row.text").cast("string"), F.col("lost")).alias("left"))
     if drop_emptied:
-        out = out.filter(F.col("line__lost").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.filter(F.col("lost").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    return out.select(*[F.col("left").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_removed, text_sha256) of every document; a null text has no lines."""
-    text, lost = F.col("text").cast("string"), F.col("line__lost")
+    """(doc_id, n_lines, n_removed, text_sha256) of every row; a null text has no lines and the digest of an empty text.
+
+    Null ids and repeated rows keep their rows.  Other columns are not read.
+    An empty table gives no rows.
+    """
+    text, lost = F.col("row.text").cast("string"), F.col("lost")
     return _marked(docs.select("doc_id", "text")).select(
-        "doc_id",
+        F.col("row.doc_id").alias("doc_id"),
         F.coalesce(F.size(F.split(text, "\n")).cast("long"), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size(lost).cast("long"), F.lit(0)).alias("n_removed"),
         F.sha2(F.encode(F.coalesce(_remaining(text, lost), F.lit("")), "UTF-8"), 256).alias("text_sha256"),

@@ -1,13 +1,18 @@
 """N-gram Jaccard join of whole texts, with filters under several token orders.
 
 1. Every text becomes its set of 5-word shingle hashes; equal sets have one key.
-2. Tokens are dealt to buckets by hash.  A bucket counts in how many distinct
-   sets each token occurs; tokens of a single set can match nothing.
+2. Short hashes of the tokens are dealt to buckets.  A bucket counts in how many
+   distinct sets each token occurs; tokens of a single set can match nothing.
 3. Each set meets its shared tokens again.  Sets with too few of them link with
-   nothing.  The rest get, under a global order (rarest first), the prefix that
-   two linked sets must share a token of.
-4. Candidates that share a prefix token under that order must also do so under
-   two other orders before the sets are compared.
+   nothing.  The rest get their prefixes under several global orders (rarest
+   first, and by two hashes): two linked sets share a token of each.
+4. Candidates share a token of the first order's prefixes.  Those that share
+   none under another order go before any set is fetched.
+5. The sets that are left are made again from their texts, with whole 64-bit
+   hashes, and compared.
+
+Short hashes only ever let too much through: tokens that fall together count as
+one token in common each time they occur, so no bound is missed.
 """
 
 from __future__ import annotations
@@ -28,6 +33,12 @@ WORDS = 5
 NUM, DEN = 80, 100
 #: Seeds of the token orders whose filters are intersected with the first.
 ORDERS = (2, 3)
+#: Bytes of text whose tokens make one bucket, which a task holds at a time.
+BUCKET_BYTES = 32 << 20
+#: Bytes of text that are cut into tokens at a time, or one text.
+SLICE_BYTES = 1_500_000
+#: Postings of a token that one task joins.
+SALT_SETS = 512
 
 
 def shingle_sets(hashes: np.ndarray, sizes: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -79,18 +90,18 @@ def links_unequal(n: np.ndarray | int):
     return DEN * n >= NUM * (n + 1)
 
 
-def _pack_tokens(keys: np.ndarray, counts: np.ndarray, *columns: np.ndarray) -> bytes:
-    """Sets' keys, how many of the tokens each has, and the tokens' columns."""
+def _pack_tokens(bucket: int, keys: np.ndarray, counts: np.ndarray, *columns: np.ndarray) -> bytes:
+    """The tokens' bucket, sets' keys, how many of the tokens each has, and the tokens' columns."""
     kind = "<u1" if counts.max() < 256 else "<u4"
-    return b"".join([b"T" if kind == "<u1" else b"W", np.asarray([len(keys)], "<u4").tobytes(), keys.astype("<u8").tobytes(), counts.astype(kind).tobytes(), *(c.tobytes() for c in columns)])
+    return b"".join([b"T" if kind == "<u1" else b"W", np.asarray([bucket, len(keys)], "<u4").tobytes(), keys.astype("<u8").tobytes(), counts.astype(kind).tobytes(), *(c.tobytes() for c in columns)])
 
 
 def _unpack_tokens(raw: bytes, *kinds: str) -> list[np.ndarray]:
-    d = int(np.frombuffer(raw, "<u4", 1, 1)[0])
-    keys = np.frombuffer(raw, "<u8", d, 5)
+    bucket, d = np.frombuffer(raw, "<u4", 2, 1).tolist()
+    keys = np.frombuffer(raw, "<u8", d, 9)
     count_kind = "<u1" if raw[:1] == b"T" else "<u4"
-    counts = np.frombuffer(raw, count_kind, d, 5 + 8 * d).astype(np.int64)
-    at, n, out = 5 + (8 + np.dtype(count_kind).itemsize) * d, int(counts.sum()), [keys, counts]
+    counts = np.frombuffer(raw, count_kind, d, 9 + 8 * d).astype(np.int64)
+    at, n, out = 9 + (8 + np.dtype(count_kind).itemsize) * d, int(counts.sum()), [np.asarray([bucket], np.uint64), keys, counts]
     for kind in kinds:
         out.append(np.frombuffer(raw, kind, n, at))
         at += n * np.dtype(kind).itemsize
@@ -118,9 +129,9 @@ def _mixed_batch(rows: list, parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.concat_arrays(pair) for pair in zip(columns, rest, strict=True)], names=[f.split()[0] for f in MIXED_SCHEMA.split(", ")])
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """Buckets of tokens; a task holds one, so twice as many as shuffle partitions halve its memory."""
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of tokens for all texts of ``docs``, by their bytes."""
+    return 1 + (docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0) // BUCKET_BYTES
 
 
 def text_version(text: Column) -> Column:
@@ -141,7 +152,7 @@ def _units(raws: list[bytes], lines: bool) -> tuple[np.ndarray, np.ndarray, np.n
     return hashes, np.diff(np.append(first, len(doc))), doc[first], line[first]
 
 
-def _slices(batch: pa.RecordBatch, docs: int = 500, size: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, docs: int = 500, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with so many documents and bytes of text at most, or one document."""
     lengths = np.diff(np.append(0, np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0)))))
     start, held = 0, 0
@@ -197,19 +208,25 @@ def _groups(target: np.ndarray, owner: np.ndarray, units: int, buckets: int) ->
     return order, group % units, np.diff(np.append(starts, len(place))), np.searchsorted(group, np.arange(buckets + 1) * units)
 
 
+def short_tokens(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, short hash in it) of tokens: from the high and the low half of their hashes."""
+    return ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), tokens.astype(np.uint32)
+
+
 def _token_parts(keys: np.ndarray, owner: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
     own = fresh[owner]
     owner, tokens = owner[own], tokens[own]
     if not len(tokens):
         return []
-    order, owners, counts, cuts = _groups(((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64), owner, len(keys), buckets)
+    bucket, tokens = short_tokens(tokens, buckets)
+    order, owners, counts, cuts = _groups(bucket, owner, len(keys), buckets)
     tokens = tokens[order]
     ends = np.append(0, np.cumsum(counts))
     out = []
     for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
         g = slice(cuts[b], cuts[b + 1])
         t = slice(ends[cuts[b]], ends[cuts[b + 1]])
-        out.append((b, _pack_tokens(keys[owners[g]], counts[g], tokens[t])))
+        out.append((b, _pack_tokens(b, keys[owners[g]], counts[g], tokens[t])))
     return out
 
 
@@ -220,35 +237,25 @@ def _size_parts(keys: np.ndarray, n: np.ndarray, buckets: int) -> list[tuple[int
     return [(b, _pack_sizes(keys[order[cuts[b] : cuts[b + 1]]], n[order[cuts[b] : cuts[b + 1]]])) for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist()]
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> tuple[list[pa.RecordBatch], list[list[np.ndarray]], list[int]]:
-    """Rows and parts with sizes as they are; parts with tokens unpacked, with their buckets."""
-    plain, parts, buckets = [], [], []
+def _gathered(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> tuple[list[pa.RecordBatch], list[list[np.ndarray]]]:
+    """Rows and parts with sizes as they are; parts with tokens unpacked."""
+    plain, parts = [], []
     for batch in batches:
         packed = pa.compute.fill_null(pa.compute.not_equal(pa.compute.binary_slice(batch.column(6), 0, 1), b"S"), False)
         plain.append(batch.filter(pa.compute.invert(packed)))
-        some = batch.filter(packed)
-        buckets += some.column(5).to_pylist()
-        parts += [_unpack_tokens(x.as_py(), *kinds) for x in some.column(6)]
-    return [b for b in plain if len(b)], parts, buckets
+        parts += [_unpack_tokens(x.as_py(), *kinds) for x in batch.filter(packed).column(6)]
+    return [b for b in plain if len(b)], parts
 
 
 def counted(spread: DataFrame, buckets: int) -> DataFrame:
     """Tokens of at least two distinct sets, packed for the bucket of each set's key, with their frequency; the rest stays."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, parts, own = _gathered(batches, ("<u8",))
-        yield from plain
-        del plain
-        if not parts:
-            return
-        keys, counts = (np.concatenate([p[i] for p in parts]) for i in range(2))
-        bucket = np.repeat(np.asarray(own, np.uint64), [len(p[0]) for p in parts])
-        tokens = np.concatenate([p[2] for p in parts])
-        del parts
-        # a set that came from several tasks counts once in each bucket
-        order = np.lexsort((bucket, keys))
+    def one_bucket(bucket: int, parts: list[list[np.ndarray]]) -> pa.RecordBatch | None:
+        keys, counts, tokens = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        # a set that came from several tasks counts once
+        order = np.argsort(keys, kind="stable")
         again = np.zeros(len(keys), bool)
-        again[order[1:]] = (keys[order[1:]] == keys[order[:-1]]) & (bucket[order[1:]] == bucket[order[:-1]])
+        again[order[1:]] = keys[order[1:]] == keys[order[:-1]]
         owner = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
         if again.any():
             stay = ~again[owner]
@@ -258,39 +265,54 @@ def counted(spread: DataFrame, buckets: int) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         frequency = np.diff(np.append(starts, len(tokens)))
         many = np.repeat(frequency > 1, frequency)
-        tokens, owner, frequency = tokens[many], owner[many].astype(np.int64), np.repeat(np.minimum(frequency, 65535), frequency)[many]
+        tokens, owner, frequency = tokens[many], owner[many].astype(np.int64), np.repeat(frequency, frequency)[many]
         if not len(tokens):
-            return
+            return None
         order, owners, counts, cuts = _groups((keys[owner] % np.uint64(buckets)).astype(np.int64), owner, len(keys), buckets)
-        tokens, frequency = tokens[order], frequency[order].astype("<u2")
+        tokens, frequency = tokens[order], frequency[order].astype("<u4")
         ends = np.append(0, np.cumsum(counts))
         out = []
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             g = slice(cuts[b], cuts[b + 1])
             t = slice(ends[cuts[b]], ends[cuts[b + 1]])
-            out.append((b, _pack_tokens(keys[owners[g]], counts[g], tokens[t], frequency[t])))
-        yield _mixed_batch([], out)
+            out.append((b, _pack_tokens(bucket, keys[owners[g]], counts[g], tokens[t], frequency[t])))
+        return _mixed_batch([], out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, parts = _gathered(batches, ("<u4",))
+        yield from plain
+        del plain
+        for bucket in sorted({int(p[0][0]) for p in parts}):
+            found = one_bucket(bucket, [p for p in parts if p[0][0] == bucket])
+            if found is not None:
+                yield found
 
     return spread.repartitionById(buckets, F.col("bucket")).mapInArrow(run, MIXED_SCHEMA)
 
 
-SETS_SCHEMA = "key long, n long, weight double, tokens binary, prefix array<long>"
+CANDIDATE_SCHEMA = "key long, n long, shared long, weight double, prefix array<long>, salts array<int>, others array<array<long>>"
 
 
-def candidates(counted: DataFrame, buckets: int) -> DataFrame:
-    """Sets that share enough tokens to link at all: their shared tokens and their filter prefix.
+def candidates(counted: DataFrame, buckets: int, orders: tuple[int, ...] = ()) -> DataFrame:
+    """Sets that share enough tokens to link at all, with their filter prefixes.
 
-    ``weight`` is the mean frequency of a set's tokens.
+    ``shared`` is the number of tokens that another set has too, ``weight`` the
+    mean frequency of a set's tokens.  ``prefix`` holds the shared tokens of the
+    first n - needed + 1 under the order of rarity (tokens of this set alone
+    come first), ``salts`` into how many parts their postings are split, and
+    ``others`` the prefixes under the orders by hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, parts, _ = _gathered(batches, ("<u8", "<u2"))
+        plain, parts = _gathered(batches, ("<u4", "<u4"))
         if not parts:
             return
         known = [_unpack_sizes(x.as_py()) for batch in plain for x in batch.column(6)]
         size_of = dict(zip(np.concatenate([k for k, _ in known]).tolist(), np.concatenate([n for _, n in known]).tolist(), strict=True))
-        keys, counts = (np.concatenate([p[i] for p in parts]) for i in range(2))
-        tokens, frequency = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+        bucket = np.repeat(np.concatenate([p[0] for p in parts]), [len(p[3]) for p in parts])
+        keys, counts, tokens, frequency = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3, 4))
+        tokens = bucket << np.uint64(32) | tokens
+        del bucket, parts
         distinct, place = np.unique(keys, return_inverse=True)
         n = np.fromiter(map(size_of.__getitem__, distinct.tolist()), np.int64, len(distinct))
         owner = np.repeat(place, counts)
@@ -300,43 +322,100 @@ def candidates(counted: DataFrame, buckets: int) -> DataFrame:
         tokens, frequency, owner = tokens[stay], frequency[stay], owner[stay]
         weight = (np.bincount(owner, weights=frequency, minlength=len(distinct)) + n - shared) / np.maximum(n, 1)
         order = np.lexsort((mixed(tokens, 1), frequency, owner))
-        tokens, owner = tokens[order], owner[order]
+        tokens, owner, salts = tokens[order], owner[order], 1 + frequency[order] // SALT_SETS
         edges = np.searchsorted(owner, np.arange(len(distinct) + 1))
+        # of the first tokens of a set, those of this set alone come before all others
+        lengths = n - needed(n) + 1 - (n - shared)
+        other = [tokens[np.lexsort((mixed(tokens, seed), owner))].view(np.int64) for seed in orders]
         rows = []
         for i in np.flatnonzero(enough).tolist():
-            own = tokens[edges[i] : edges[i + 1]]
-            # of the n - needed + 1 first tokens, those of this set alone come before all others
-            length = int(n[i] - needed(int(n[i])) + 1 - (n[i] - len(own)))
-            rows.append((int(distinct[i].astype(np.int64)), int(n[i]), float(weight[i]), np.sort(own).tobytes(), own[:length].astype(np.int64)))
+            own = slice(edges[i], edges[i] + lengths[i])
+            rows.append((int(distinct[i].astype(np.int64)), int(n[i]), int(shared[i]), float(weight[i]), tokens[own].astype(np.int64), salts[own].astype(np.int32), [x[own] for x in other]))
             if len(rows) == 1000:
-                yield _sets_batch(rows)
+                yield _candidate_batch(rows)
                 rows = []
         if rows:
-            yield _sets_batch(rows)
+            yield _candidate_batch(rows)
 
-    return counted.filter("part IS NOT NULL").repartitionById(buckets, F.col("bucket")).mapInArrow(run, SETS_SCHEMA)
+    return counted.filter("part IS NOT NULL").repartitionById(buckets, F.col("bucket")).mapInArrow(run, CANDIDATE_SCHEMA)
 
 
-def _sets_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.int64()))
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["key", "n", "weight", "tokens", "prefix"])
+def _candidate_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int64())))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["key", "n", "shared", "weight", "prefix", "salts", "others"])
 
 
-class SharedPrefix:
-    """Filter under another global order: linked sets share one of the first n - needed + 1 tokens.
+def exact_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, n, tokens) of the wanted sets (key, doc_id, version, line), made again from the texts.
 
-    Tokens of a single set come first in every order, the others by a hash with
-    the order's seed.
+    ``tokens`` are all whole 64-bit hashes of the set, sorted.  A null line
+    means the whole text.
     """
 
-    def __init__(self, seed: int):
-        self.seed = seed
+    def made(keys: list[int], raws: list[bytes]) -> pa.RecordBatch:
+        _, tokens, n, found = shingle_sets(*_units(raws, lines=False)[:2])
+        if found.astype(np.int64).tolist() != keys:
+            raise ValueError("a text has changed since its tokens were counted")
+        cuts, raw = (8 * np.cumsum(n)).tolist(), tokens.astype("<u8").tobytes()
+        parts = [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(parts, pa.binary())], names=["key", "n", "tokens"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, raws, size = [], [], 0
+        for batch in batches:
+            for text, units in zip(batch.column(0), batch.column(1), strict=True):
+                raw, lines = text.as_py().encode("utf-8", "replace"), None
+                for unit in units.as_py():
+                    if unit["line"] is not None and lines is None:
+                        lines = raw.split(b"\n")
+                    keys.append(unit["key"])
+                    raws.append(raw if unit["line"] is None else lines[unit["line"]])
+                    size += len(raws[-1])
+                    if size > SLICE_BYTES or len(keys) >= 4000:
+                        yield made(keys, raws)
+                        keys, raws, size = [], [], 0
+        if keys:
+            yield made(keys, raws)
+
+    own = wanted.groupBy("doc_id", "version").agg(F.collect_list(F.struct("key", "line")).alias("units"))
+    own = own.select(F.col("doc_id").alias("unit_doc"), F.col("version").alias("unit_version"), "units")
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), text_version(text).alias("version"))
+    met = texts.join(own, F.col("doc_id").eqNullSafe(F.col("unit_doc")) & (F.col("version") == F.col("unit_version")))
+    # a repeated row gives its sets again
+    return met.select("text", "units").mapInArrow(run, "key long, n long, tokens binary").dropDuplicates(["key"])
+
+
+def posted(found: DataFrame, *columns: str) -> DataFrame:
+    """A row for each prefix token of each candidate, with the least number of the set's tokens before it (``at``) and its salts."""
+    rows = found.select(F.posexplode(F.arrays_zip("prefix", "salts")).alias("i", "token"), (F.col("n") - F.col("shared")).alias("alone"), "n", *columns)
+    return rows.select(F.col("token.prefix").alias("token"), F.col("token.salts").alias("salts"), (F.col("alone") + F.col("i")).alias("at"), "n", *columns)
+
+
+class Similar:
+    """Documents' (or lines') rows, candidates and exact sets, each stored once."""
+
+    def __init__(self, docs: DataFrame, folder: str, lines: bool, orders: tuple[int, ...] = ()):
+        buckets = bucket_count(docs)
+        shared = stored(counted(spread(docs, buckets, lines), buckets), f"{folder}/counted")
+        self.rows = shared.filter("part IS NULL").select("doc_id", "version", "line", "n_shingles", "key")
+        self.found = stored(candidates(shared, buckets, orders), f"{folder}/candidates")
+        place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "version", "line")
+        self.places = self.rows.filter("key IS NOT NULL").select("key", place.alias("place"))
+        self.firsts = stored(self.places.groupBy("key").agg(F.min("place").alias("first"), F.max("place").alias("last")), f"{folder}/firsts")
+        line = F.col("first.line") if lines else F.lit(None).cast("int")
+        wanted = self.firsts.join(self.found.select("key"), "key").select("key", "first.doc_id", "first.version", line.alias("line"))
+        self.sets = stored(exact_sets(docs, wanted), f"{folder}/sets")
+
 
-    def __call__(self, tokens: np.ndarray, n: int) -> np.ndarray:
-        """The shared tokens of a set's prefix, sorted."""
-        ranks = mixed(tokens, self.seed)
-        length = n - needed(n) + 1 - (n - len(tokens))
-        return np.sort(ranks if length >= len(ranks) else np.partition(ranks, length - 1)[:length])
+def _components(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, version, n_shingles, key), and (key, label) of all keys: the component's smallest key."""
+    similar = Similar(docs, folder, False, ORDERS)
+    postings = posted(similar.found, "key", "weight").withColumn("most", F.col("n") - F.col("at")).drop("at")
+    orders = similar.found.select("key", "others")
+    linked = linked_components(postings, orders, similar.sets, folder, NUM, DEN)
+    labels = similar.firsts.select("key").join(linked, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
+    return similar.rows.drop("line"), stored(labels, f"{folder}/labels")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -348,27 +427,29 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     one set.  Null ids stay null unless their component has another; repeated
     rows each get their row.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    folder = shared_folder(spark, "shingles")
-    buckets = bucket_count(spark)
-    shared = stored(counted(spread(docs, buckets, lines=False), buckets), f"{folder}/counted")
-    rows = shared.filter("part IS NULL").select("doc_id", "n_shingles", "key")
-    sets = stored(candidates(shared, buckets), f"{folder}/sets")
-    size = F.shiftright(F.octet_length("tokens"), 3).cast("long")
-    postings = sets.select(F.posexplode("prefix").alias("i", "token"), "key", "n", size.alias("size"), "weight").withColumn("most", F.col("size") - F.col("i")).drop("i", "size")
-    labels = linked_components(postings, sets.select("key", "n", "tokens"), folder, NUM, DEN, [SharedPrefix(s) for s in ORDERS])
-    least = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least")).join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    ids = stored(least.groupBy("label").agg(F.min("least").alias("component_id")).join(least.select("key", "label"), "label").select("key", "component_id"), f"{folder}/ids")
-    joined = rows.join(ids, "key", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rows, labels = _components(docs, shared_folder(docs.sparkSession, "shingles"))
+    least = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least")).join(labels, "key")
+    ids = least.groupBy("label").agg(F.min("least").alias("component_id")).join(labels, "label").select("key", "component_id")
+    return rows.join(ids, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest doc_id.
+    """``docs`` with one document of each component: that with the smallest doc_id, of several texts with that id the one of the smallest hash.
 
-    Of rows with that id all but one go; rows with a null id link with nothing
-    here and stay.  The columns stay.
+    Documents without words, and rows with a null id, link with nothing here
+    and stay.  Of rows alike in id and text one stays: that whose other columns
+    have the smallest hash.  The columns stay, whatever their names.
     """
-    named = stored(jaccard_components(docs.filter("doc_id IS NOT NULL")).filter("doc_id = component_id").select(F.col("doc_id").alias("kept__id")).distinct(), shared_folder(docs.sparkSession, "kept"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(named, docs["doc_id"] == named["kept__id"], "left_semi").dropDuplicates(["doc_id"]).select(*columns).unionByName(docs.filter("doc_id IS NULL"))
+    folder = shared_folder(docs.sparkSession, "kept")
+    named = docs.filter("doc_id IS NOT NULL")
+    rows, labels = _components(named, folder)
+    best = rows.join(labels, "key").groupBy("label").agg(F.min(F.struct("doc_id", "version")).alias("best")).select("best.*")
+    alone = rows.filter("key IS NULL").select("doc_id", "version")
+    stay = stored(best.union(alone).distinct().select(F.col("doc_id").alias("kept_id"), F.col("version").alias("kept_version")), f"{folder}/stay")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    version = text_version(F.col("text").cast("string"))
+    keyed = named.select(F.col("doc_id").cast("long").alias("id"), version.alias("version"), whole.alias("row"), F.xxhash64(F.to_json(rest)).alias("turn"))
+    kept = keyed.join(stay, (F.col("id") == F.col("kept_id")) & (F.col("version") == F.col("kept_version")), "left_semi")
+    once = kept.groupBy("id", "version").agg(F.min_by("row", "turn").alias("row"))
+    return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
