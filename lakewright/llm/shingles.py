@@ -34,7 +34,7 @@ NUM, DEN = 80, 100
 #: Seeds of the token orders whose filters are intersected with the first.
 ORDERS = (2, 3)
 #: Bytes of text whose tokens make one bucket, which a task holds at a time.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 20 << 20
 #: Bytes of text that are cut into tokens at a time, or one text.
 SLICE_BYTES = 1_500_000
 #: Postings of a token that one task joins.
@@ -252,16 +252,17 @@ def counted(spread: DataFrame, buckets: int) -> DataFrame:
 
     def one_bucket(bucket: int, parts: list[list[np.ndarray]]) -> pa.RecordBatch | None:
         keys, counts, tokens = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        parts.clear()
         # a set that came from several tasks counts once
         order = np.argsort(keys, kind="stable")
         again = np.zeros(len(keys), bool)
         again[order[1:]] = keys[order[1:]] == keys[order[:-1]]
-        owner = np.repeat(np.arange(len(keys), dtype=np.int32), counts)
-        if again.any():
-            stay = ~again[owner]
-            tokens, owner = tokens[stay], owner[stay]
-        order = np.argsort(tokens)
-        tokens, owner = tokens[order], owner[order]
+        # tokens and owners in one number each, sorted in place
+        both = np.repeat(np.where(again, -1, np.arange(len(keys))), counts)
+        both = (tokens.astype(np.int64) << 31 | both)[both >= 0] if again.any() else tokens.astype(np.int64) << 31 | both
+        both.sort()
+        tokens, owner = (both >> 31).astype(np.uint32), (both & 0x7FFFFFFF).astype(np.int32)
+        del both
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         frequency = np.diff(np.append(starts, len(tokens)))
         many = np.repeat(frequency > 1, frequency)
@@ -282,8 +283,13 @@ def counted(spread: DataFrame, buckets: int) -> DataFrame:
         plain, parts = _gathered(batches, ("<u4",))
         yield from plain
         del plain
-        for bucket in sorted({int(p[0][0]) for p in parts}):
-            found = one_bucket(bucket, [p for p in parts if p[0][0] == bucket])
+        by_bucket: dict[int, list] = {}
+        while parts:
+            part = parts.pop()
+            by_bucket.setdefault(int(part[0][0]), []).append(part)
+            del part
+        while by_bucket:
+            found = one_bucket(*by_bucket.popitem())
             if found is not None:
                 yield found
 
