@@ -204,6 +204,41 @@ def resource_status(last_terminal: Column, status: Column) -> Column:
     return F.when(status != "pending", status).when(last_terminal == "FAILED", "failed").when(last_terminal == "SUCCESS", "outdated").otherwise("pending")
 
 
+def guarded_latest(latest_rows: DataFrame, changes: DataFrame) -> DataFrame:
+    """Latest rows (resource_id, latest_job_id, status, updated_at) after status changes (resource_id, job_id, status, ts, event_id).
+
+    Only the job that is its resource's latest may change the row; changes by
+    older jobs, and of resources without a row, do nothing.  Of several changes
+    the last counts.
+    """
+    last = changes.groupBy("resource_id", "job_id").agg(F.max_by(F.struct("status", "ts"), F.struct("ts", "event_id")).alias("change"))
+    mine = latest_rows.join(last.select("resource_id", F.col("job_id").alias("latest_job_id"), "change"), ["resource_id", "latest_job_id"], "left")
+    return mine.withColumns({"status": F.coalesce("change.status", "status"), "updated_at": F.coalesce("change.ts", "updated_at")}).drop("change")
+
+
+def outcome_summary(results: DataFrame) -> DataFrame:
+    """What is reported of each reading (resource_id, reader, rows, columns, expected_rows, expected_columns, error, deleted).
+
+    A success reports its rows and columns; a failure none, and its error; a
+    gone resource is DELETED.  Whether rows and columns are as expected is null
+    where nothing was expected or nothing was read.
+    """
+    good = F.col("error").isNull() & ~F.coalesce("deleted", F.lit(False))
+    agrees = lambda c: F.when(good, F.col(c) == F.col(f"expected_{c}"))
+    return results.select(
+        "resource_id",
+        "reader",
+        F.when(good, "SUCCESS").when(F.coalesce("deleted", F.lit(False)), "DELETED").otherwise("FAILED").alias("status"),
+        F.when(good, F.col("rows")).otherwise(0).cast("long").alias("rows_processed"),
+        F.when(good, F.col("columns")).cast("long").alias("columns"),
+        F.col("expected_rows").cast("long").alias("expected_rows"),
+        F.col("expected_columns").cast("long").alias("expected_columns"),
+        agrees("rows").alias("rows_agree"),
+        agrees("columns").alias("columns_agree"),
+        F.when(~good, F.col("error")).alias("error_message"),
+    )
+
+
 def child_groups(results: DataFrame) -> DataFrame:
     """The standing result of each child (parent, index): a failure sticks, else the last one."""
     order = F.struct((F.col("status") == "FAILED").alias("failed"), "ts", "event_id")

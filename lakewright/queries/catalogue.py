@@ -74,9 +74,9 @@ def w2(t: Tables) -> DataFrame:
     return C.select_snapshots(headers, headers.filter("sync_id % 5 = 0")).select("source_id", "sync_id", "decision")
 
 
-@query("t7_order_imports", "SELECT event_id FROM events ORDER BY ts, event_id LIMIT 200")
+@query("t7_order_imports", "SELECT event_id FROM events ORDER BY ts, event_id")
 def t7(t: Tables) -> DataFrame:
-    return t.events.orderBy("ts", "event_id").limit(200).select("event_id")
+    return t.events.orderBy("ts", "event_id").select("event_id")
 
 
 @query("m1_import_snapshot", f"WITH {SNAPSHOTS} SELECT coalesce(p.id, c.id) AS id, CASE WHEN c.id IS NULL THEN p.version ELSE c.version END AS version, CASE WHEN c.id IS NULL THEN 'kept' WHEN c.id % 3 = 0 THEN 'untitled' WHEN c.id % 3 = 1 THEN 'given' ELSE concat('f', c.id, '.csv') END AS title, CASE WHEN c.id IS NULL OR (p.id % 17 <> 0 AND p.version = c.version) THEN 'completed' ELSE 'discovered' END AS status, CASE WHEN c.id IS NULL THEN CASE WHEN p.id % 17 = 0 THEN 's0' ELSE 's2' END END AS deleted_at FROM prev p FULL JOIN cur c ON p.id = c.id")

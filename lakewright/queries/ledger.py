@@ -262,3 +262,42 @@ def r5(t: Tables) -> DataFrame:
 @query("r7_fan_out", "SELECT l_orderkey AS parent_job_id, l_linenumber AS file_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS child_index, count(*) OVER (PARTITION BY l_orderkey) AS total_child_count FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) QUALIFY total_child_count > 1")
 def r7(t: Tables) -> DataFrame:
     return L.fan_out(t.lineitem.select(F.col("l_orderkey").alias("parent_job_id"), F.col("l_linenumber").alias("file_id")).distinct())[1]
+
+
+@query(
+    "r3_latest_row_guard",
+    f"WITH {FOLD}, newest AS (SELECT resource_id, max(job_id) AS latest_job_id FROM messages GROUP BY 1), last AS (SELECT job_id, arg_max(status, (ts, event_id)) AS status, max(ts) AS ts FROM fold GROUP BY 1) SELECT resource_id, latest_job_id, coalesce(last.status, 'pending') AS status, ts AS updated_at FROM newest LEFT JOIN last ON latest_job_id = job_id",
+)
+def r3(t: Tables) -> DataFrame:
+    newest = messages(t).groupBy("resource_id").agg(F.max("job_id").alias("latest_job_id")).withColumns({"status": F.lit("pending"), "updated_at": F.lit(None).cast("timestamp")})
+    return L.guarded_latest(newest, L.fold_job_results(messages(t)))
+
+
+@query(
+    "a13_outcome_summary",
+    """WITH r AS (SELECT o_orderkey AS resource_id, CASE WHEN o_orderkey % 2 = 0 THEN 'csv' ELSE 'datastore' END AS reader, count(l_linenumber) AS n, o_orderkey % 7 AS m FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL)
+SELECT resource_id, reader, CASE m WHEN 0 THEN 'DELETED' WHEN 1 THEN 'FAILED' ELSE 'SUCCESS' END AS status, CASE WHEN m > 1 THEN n ELSE 0 END AS rows_processed, CASE WHEN m > 1 THEN 11 END::BIGINT AS columns, CASE WHEN m <> 3 THEN 4 END::BIGINT AS expected_rows, 11::BIGINT AS expected_columns,
+CASE WHEN m > 1 AND m <> 3 THEN n = 4 END AS rows_agree, CASE WHEN m > 1 THEN true END AS columns_agree, CASE m WHEN 0 THEN '404' WHEN 1 THEN 'parser' END AS error_message FROM r""",
+)
+def a13(t: Tables) -> DataFrame:
+    """Orders as readings of their lines, some of them failed or gone."""
+    m = F.col("o_orderkey") % 7
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    rows = t.orders.join(lines, "o_orderkey", "left").select(
+        F.col("o_orderkey").alias("resource_id"),
+        F.when(F.col("o_orderkey") % 2 == 0, "csv").otherwise("datastore").alias("reader"),
+        F.coalesce("n", F.lit(0)).alias("rows"),
+        F.lit(len(t.lineitem.columns)).alias("columns"),
+        F.when(m != 3, 4).alias("expected_rows"),
+        F.lit(11).alias("expected_columns"),
+        F.when(m == 0, "404").when(m == 1, "parser").alias("error"),
+        (m == 0).alias("deleted"),
+    )
+    return L.outcome_summary(rows)
+
+
+@query("j1_list_with_instances", f"WITH {JOBS} SELECT j.id, j.instance_id, i.name AS instance_name FROM jobs j LEFT JOIN (SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey % 5 > 0) i ON j.instance_id = i.id WHERE j.parent_job_id IS NULL")
+def j1(t: Tables) -> DataFrame:
+    """Top-level jobs with their instances, of which some are not there."""
+    instances = t.nation.filter("n_nationkey % 5 > 0").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    return L.list_jobs(jobs(t), instances).select("id", "instance_id", "instance_name")

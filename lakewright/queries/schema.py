@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators import schema as C
 from ..operators.statistics import column_statistics
+from ..plans.folders import shared_folder
 from .base import Tables, query
 
 
@@ -95,3 +96,23 @@ def u1(t: Tables) -> DataFrame:
 )
 def a7(t: Tables) -> DataFrame:
     return column_statistics(t.customer.select("c_custkey", "c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey")).alias("half")))
+
+
+@query("c2_field_ids", "SELECT field, id, rows FROM (VALUES ('c_custkey', 1), ('place', 2), ('name', 3), ('codes', 4)) v(field, id), (SELECT count(*) AS rows FROM customer)")
+def c2(t: Tables) -> DataFrame:
+    """The ids that a nested table's fields have in its Parquet files, with the table's rows."""
+    place = F.struct(F.col("c_name").alias("name"), F.array("c_nationkey").alias("codes")).alias("place")
+    rows = t.customer.select("c_custkey", place)
+    path = shared_folder(t.spark, "ids")
+    schema = C.assign_field_ids(rows.schema)
+    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields]).write.parquet(path)
+    read = t.spark.read.parquet(path)
+    ids = [(f.name, f.metadata["parquet.field.id"]) for f in [*schema.fields, *schema["place"].dataType.fields]]
+    return read.agg(F.count("*").alias("rows")).select(F.inline(F.array(*[F.struct(F.lit(n).alias("field"), F.lit(i).alias("id")) for n, i in ids])), "rows")
+
+
+@query("c14_declared_collection", "SELECT n_name AS source_id, n_nationkey::BIGINT AS rank, n_nationkey % 2 = 0 AS even FROM nation")
+def c14(t: Tables) -> DataFrame:
+    schema = C.ensure_collection("nations", {"source_id": "VARCHAR", "rank": "BIGINT", "even": "BOOLEAN"})
+    rows = t.nation.select(F.col("n_name").alias("source_id"), F.col("n_nationkey").cast("string").alias("rank"), (F.col("n_nationkey") % 2 == 0).cast("string").alias("even"))
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

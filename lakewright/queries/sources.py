@@ -18,10 +18,10 @@ from .base import Tables, query
 PART = "p_partkey p_name p_brand p_type p_size p_retailprice".split()
 
 
-@query("s1_scan_csv", "SELECT p_partkey, CASE WHEN p_size % 5 > 0 THEN p_name || ';\"' || p_brand END AS p_name, p_size % 2 = 0 AS even, p_retailprice FROM part")
+@query("s1_scan_csv", "SELECT p_partkey, CASE WHEN p_size % 5 > 0 THEN p_name || ';\"' || CASE WHEN p_size % 5 = 1 THEN chr(10) ELSE '' END || p_brand END AS p_name, p_size % 2 = 0 AS even, p_retailprice FROM part")
 def s1(t: Tables) -> DataFrame:
     path = shared_folder(t.spark, "csv")
-    name = F.when(F.col("p_size") % 5 > 0, F.concat("p_name", F.lit(';"'), "p_brand")).otherwise(" - ")
+    name = F.when(F.col("p_size") % 5 > 0, F.concat("p_name", F.lit(';"'), F.when(F.col("p_size") % 5 == 1, "\n").otherwise(""), "p_brand")).otherwise(" - ")
     t.part.select("p_partkey", name.alias("p_name"), (F.col("p_size") % 2 == 0).alias("even"), "p_retailprice").write.option("header", True).option("sep", ";").option("escape", '"').option("compression", "gzip").csv(path)
     return V.scan_csv(t.spark, path, V.Dialect(";"))
 
@@ -209,9 +209,10 @@ def s21(t: Tables) -> DataFrame:
 LINKS = "links AS (SELECT DISTINCT page_id, url, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || unnest(regexp_extract_all(html, '<a href=\"(/[^\"]*)\"', 1)) AS target FROM pages)"
 
 
-@query("s22_extract_links", f"WITH {LINKS} SELECT DISTINCT url, target FROM links")
+@query("s22_extract_links", f"WITH {LINKS} SELECT DISTINCT url, target FROM links UNION SELECT url, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/my%20file%20' || page_id || '.csv' FROM pages")
 def s22(t: Tables) -> DataFrame:
-    return pages.extract_links(t.pages)
+    link = F.concat(F.lit("<p><a class='x' href=' /my file "), "page_id", F.lit(".csv'>file</a>"))
+    return pages.extract_links(t.pages.withColumn("html", F.concat("html", link)))
 
 
 @query("s23_classify_links", f"WITH {LINKS} SELECT target, min(CASE WHEN contains(string_split(target, '/')[-1], '.') THEN 'drop' ELSE 'page' END) AS kind FROM links GROUP BY 1")
@@ -268,3 +269,11 @@ def s31(t: Tables) -> DataFrame:
     path = shared_folder(t.spark, "messages")
     messages.write_messages(t.events.select(F.col("user_id").cast("string").alias("key"), F.to_json(F.struct("event_id", F.col("event_type").alias("status"), "value")).alias("value")), path)
     return messages.read_messages(t.spark, path, "event_id long, status string, value double").select("event_id", "status", "value")
+
+
+@query("s12_scan_datapackage", "SELECT concat('part-', p_partkey) AS name, p_type AS title, floor(p_retailprice)::BIGINT AS bytes, 'parts' AS package_id FROM part")
+def s12(t: Tables) -> DataFrame:
+    """Parts as resources of data packages of a hundred each, so that no package grows with the table."""
+    resource = F.struct(F.concat(F.lit("part-"), "p_partkey").alias("name"), F.col("p_type").alias("title"), F.floor("p_retailprice").alias("bytes"))
+    bodies = t.part.groupBy(F.floor(F.col("p_partkey") / 100).alias("g")).agg(F.to_json(F.struct(F.collect_list(resource).alias("resources"))).alias("body"))
+    return J.scan_datapackage(bodies.select(F.lit("x/datapackage.json").alias("file"), "body"), "parts").select("name", "title", "bytes", "package_id")

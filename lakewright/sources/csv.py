@@ -11,8 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.scalars import decode_bytes
+from ..plans.folders import shared_folder, stored
 
 DELIMITERS = (",", ";", "\t", "|")
 
@@ -40,12 +42,13 @@ def null_text(c: Column) -> Column:
 def split_fields(line: Column, delimiter: str, quote: str = '"') -> Column:
     """Fields of a line; delimiters inside quotes don't count, and doubled quotes are one.
 
-    A cut at a delimiter is right if an even number of quotes follows it.
+    One pass from left to right: a field is a run of other characters and of
+    quoted parts; an open quote takes the rest of the line.
     """
     d = delimiter if delimiter.isalnum() else "\\" + delimiter
     if not quote:
         return F.split(line, d)
-    parts = F.split(line, rf"{d}(?=(?:[^{quote}]*{quote}[^{quote}]*{quote})*[^{quote}]*$)")
+    parts = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(rf"{d}((?:[^{d}{quote}]++|{quote}[^{quote}]*+(?:{quote}|$))*+)"), 1)
     bare = lambda x: F.when(x.rlike(rf'^\s*{quote}(?s:.*){quote}\s*$'), F.replace(F.regexp_replace(F.trim(x), rf"^{quote}|{quote}$", ""), F.lit(quote * 2), F.lit(quote))).otherwise(x)
     return F.transform(parts, bare)
 
@@ -71,6 +74,25 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
     return rows.select("file", (F.col("i") + 1).cast("long").alias("number"), F.regexp_replace("line", "\r$", "").alias("line"))
 
 
+def join_records(lines: DataFrame, quote: str = '"') -> DataFrame:
+    """Lines (file, number, line) with the lines of each record in one, under the number of its first.
+
+    A line with an odd number of quotes opens a record over several lines, and
+    the next such line of the file closes it.  Only lines of such records are
+    gathered; one that is never closed ends with its line.
+    """
+    if not quote:
+        return lines
+    odd = lines.filter(F.regexp_count("line", F.lit(quote)) % 2 == 1).select("file", "number")
+    by_file = Window.partitionBy("file").orderBy("number")
+    pairs = odd.select("file", "number", F.lead("number").over(by_file).alias("end"), F.row_number().over(by_file).alias("k")).filter("k % 2 = 1 AND end IS NOT NULL")
+    inside = pairs.select("file", F.col("number").alias("first"), F.explode(F.sequence("number", "end")).alias("number"))
+    marked = lines.join(inside, ["file", "number"], "left")
+    whole = marked.filter("first IS NOT NULL").groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("number", "line"))).alias("parts"))
+    joined = whole.select("file", F.col("first").alias("number"), F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("line"))
+    return marked.filter("first IS NULL").select("file", "number", "line").unionByName(joined)
+
+
 def profile_csv(lines: DataFrame, hint: str | None = None) -> DataFrame:
     """(file, delimiter, width, quoted, preamble, share) from all lines of each file (file, number, line).
 
@@ -107,6 +129,15 @@ def infer_types(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(c, kind_of(i)) for i, c in enumerate(names)])
 
 
+def infer_field_types(good: DataFrame, width: int) -> list[T.DataType]:
+    """As ``infer_types``, for the fields of rows: cells go by position, so that the plan stays the same for any width."""
+    value = null_text(F.col("cell"))
+    checks = {"bigint": "^[+-]?[0-9]+$", "double": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$", "boolean": "(?i)^(true|false)$"}
+    fits = [F.bool_and(F.when(value.isNotNull(), value.try_cast(k).isNotNull() & value.rlike(p))).alias(k) for k, p in checks.items()]
+    found = {r["at"]: r for r in good.select(F.posexplode("fields").alias("at", "cell")).groupBy("at").agg(*fits).collect()}  # one row a column
+    return [next((t for k, t in KINDS if i in found and found[i][k]), T.StringType()) for i in range(width)]
+
+
 def promote_columns(df: DataFrame, schema: T.StructType) -> tuple[T.StructType, bool]:
     """The schema with each column that holds a value of another type as text, and whether none had to change."""
     bad = lambda f: F.count_if(null_text(F.col(f"`{f.name}`")).isNotNull() & null_text(F.col(f"`{f.name}`")).try_cast(f.dataType).isNull())
@@ -166,13 +197,15 @@ def repair_rows(lines: DataFrame, decisions: DataFrame, dialect: Dialect) -> Dat
 def scan_csv(spark: SparkSession, path: str, dialect: Dialect | None = None, schema: T.StructType | None = None, strict: bool = True) -> DataFrame:
     """Rows of CSV files; without a schema the names are the header's and the types are inferred from all rows.
 
+    Quoted fields may hold line breaks.  The files are read once.
     In strict mode a short or long row is an error; else short rows are padded
     and only long ones are.
     """
     from ..operators.schema import unique_names
 
     dialect = dialect or Dialect()
-    lines = read_lines(spark, path, dialect.encoding)
+    folder = shared_folder(spark, "csv-lines")
+    lines = stored(join_records(stored(read_lines(spark, path, dialect.encoding), f"{folder}/lines"), dialect.quote), f"{folder}/records")
     fields = split_fields(F.col("line"), dialect.delimiter, dialect.quote)
     first = lines.filter(F.col("number") == dialect.preamble + 1).select(fields.alias("f")).first()
     width = len(schema.fields) if schema else len(first["f"]) if first else 0
@@ -181,7 +214,5 @@ def scan_csv(spark: SparkSession, path: str, dialect: Dialect | None = None, sch
     if bad:
         raise ValueError(f"{bad[0]['file']} line {bad[0]['number']}: {bad[0]['kind']}, {bad[0]['actual']} fields for {width}")
     names = [f.name for f in schema.fields] if schema else unique_names([x or "" for x in first["f"]] if dialect.header else [""] * width)
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = as_columns(good, text)
-    schema = schema or infer_types(rows.select(*[f"`{n}`" for n in names]))
-    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    schema = schema or T.StructType([T.StructField(n, t) for n, t in zip(names, infer_field_types(good, width), strict=True)])
+    return good.select(*[null_text(F.get("fields", F.lit(i))).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])

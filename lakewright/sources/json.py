@@ -98,20 +98,38 @@ def scan_datastore_pages(pages: DataFrame) -> DataFrame:
     return rows.select(*[F.coalesce(F.get("r", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
-PACKAGE_SCHEMA = "struct<id:string,name:string,title:string,notes:string,metadata_modified:string,state:string,private:boolean,num_resources:int,organization:struct<id:string,name:string,title:string>,tags:array<struct<name:string>>,groups:array<struct<name:string,title:string>>,extras:array<struct<key:string,value:string>>,resources:array<struct<id:string,package_id:string,name:string,url:string,format:string,datastore_active:boolean,last_modified:string,metadata_modified:string,size:bigint>>>"
+# The fields of a portal's packages, resources and what they hold.
+EXTRA = "key:string,value:string"
+GROUP = "description:string,display_name:string,id:string,image_display_url:string,name:string,title:string"
+ORGANIZATION = "id:string,name:string,title:string,type:string,description:string,image_url:string,created:string,is_organization:boolean,approval_status:string,state:string"
+TAG = "display_name:string,id:string,name:string,state:string,vocabulary_id:string"
+PACKAGE = (
+    "author:string,author_email:string,creator_user_id:string,id:string,isopen:boolean,license_id:string,license_title:string,license_url:string,maintainer:string,maintainer_email:string,"
+    "metadata_created:string,metadata_modified:string,name:string,notes:string,num_resources:bigint,num_tags:bigint,owner_org:string,private:boolean,state:string,title:string,type:string,url:string,version:string,"
+    f"extras:array<struct<{EXTRA}>>,groups:array<struct<{GROUP}>>,organization:struct<{ORGANIZATION}>,tags:array<struct<{TAG}>>"
+)
+RESOURCE = (
+    "cache_last_updated:string,cache_url:string,ckan_url:string,created:string,datastore_active:boolean,datastore_contains_all_records_of_source_file:boolean,description:string,format:string,hash:string,id:string,"
+    "ignore_hash:boolean,key:string,last_modified:string,metadata_modified:string,mimetype:string,mimetype_inner:string,name:string,original_url:string,package_id:string,position:bigint,resource_id:string,"
+    "resource_type:string,set_url_type:boolean,size:bigint,state:string,task_created:string,title:string,tries:string,url:string,url_type:string"
+)
+
+
+def _known_only(c: Column, schema: T.StructType, what: str) -> Column:
+    """A JSON object as a struct; a field that the schema doesn't have is an error."""
+    extra = F.array_except(F.json_object_keys(c), F.array(*[F.lit(f.name) for f in schema.fields]))
+    return F.when(F.size(extra) > 0, F.raise_error(F.concat(F.lit(f"unknown fields of a {what}: "), F.array_join(extra, ", "))).cast(schema)).otherwise(F.from_json(c, schema))
 
 
 def scan_packages(pages: DataFrame, portal_url: str) -> tuple[DataFrame, DataFrame]:
-    """(packages, resources) of listing pages (start, body), each an array of packages; unknown fields and no package at all are errors."""
-    schema = T._parse_datatype_string(PACKAGE_SCHEMA)
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    """(packages, resources) of listing pages (start, body), each an array of packages; unknown fields of either and no package at all are errors."""
+    package, resource = (T._parse_datatype_string(f"struct<{x}>") for x in (f"{PACKAGE},resources:string", RESOURCE))
     rows = pages.select(F.explode(F.from_json("body", TEXT_LIST)).alias("p"))
     if rows.isEmpty():
         raise ValueError("the listing has no packages")
-    extra = F.array_except(F.json_object_keys("p"), known)
-    parsed = rows.select(F.when(F.size(extra) > 0, F.raise_error(F.concat(F.lit("unknown fields: "), F.array_join(extra, ", "))).cast(schema)).otherwise(F.from_json("p", schema)).alias("p")).select("p.*")
-    resources = parsed.select(F.col("id").alias("parent"), F.explode("resources").alias("r")).select("r.*", "parent")
-    return parsed.drop("resources"), resources.withColumn("package_id", F.coalesce("package_id", "parent")).drop("parent").withColumn("ckan_url", F.lit(portal_url))
+    parsed = rows.select(_known_only(F.col("p"), package, "package").alias("p"), F.from_json(F.get_json_object("p", "$.resources"), TEXT_LIST).alias("rs")).select("p.*", "rs").drop("resources")
+    resources = parsed.select(F.col("id").alias("parent"), F.explode("rs").alias("r")).select(_known_only(F.col("r"), resource, "resource").alias("r"), "parent").select("r.*", "parent")
+    return parsed.drop("rs"), resources.withColumn("package_id", F.coalesce("package_id", "parent")).drop("parent").withColumn("ckan_url", F.lit(portal_url))
 
 
 def discover_resources(packages: DataFrame, resources: DataFrame, source: str, portal_url: str) -> DataFrame:

@@ -13,9 +13,13 @@ OPAQUE = ("HTML", "DOCX", "MAP", "PDF", "TAB", "TIF", "TIFF")
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
-    """(url, target) of the anchors of pages (url, html): absolute http(s) URLs without fragments, each once a page."""
-    hrefs = F.regexp_extract_all("html", F.lit(r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"), 1)
-    links = pages.select("url", F.explode(hrefs).alias("href"))
+    """(url, target) of the anchors of pages (url, html): absolute http(s) URLs without fragments, each once a page.
+
+    A quoted address may hold blanks, which become %20; one without quotes ends at a blank.
+    """
+    hrefs = F.regexp_extract_all("html", F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), 1)
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("href", r"""^["']|["']$""", ""), r"^\s+|\s+$|[\t\r\n]", ""), " ", "%20")
+    links = pages.select("url", F.explode(hrefs).alias("href")).select("url", bare.alias("href")).filter("href <> ''")
     target = resolve_url(F.col("url"), F.replace("href", F.lit("&amp;"), F.lit("&")))
     return links.select("url", target.alias("target")).filter("target IS NOT NULL").distinct()
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import older_than
+from ..plans.folders import shared_folder, stored
 
 #: Readers in their fixed order, with the format texts that they take.
 ORDER = {
@@ -53,21 +54,24 @@ def ingest_resources(resources: DataFrame, readers: Sequence[Reader]) -> DataFra
 
     The first reader that gives rows wins.  Errors are joined in the order of
     attempts; no rows is an error.  A 404 stops and marks the resource deleted;
-    a resource that no reader takes is unsupported.
+    a resource that no reader takes is unsupported.  Every reader's outcome, and
+    what is still open after it, is written before the next, so no reader runs
+    twice and the plans don't grow with the number of readers.
     """
+    folder = shared_folder(resources.sparkSession, "readers")
     empty = F.array().cast("array<string>")
     open_ = resources.withColumn("tried", empty).withColumn("known", F.lit(False))
     closed = []
     for reader in readers:
         mine = open_.filter(reader.can_read)
         seen = reader.read(mine.drop("tried", "known")).select("id", "rows", F.coalesce("error", F.when(F.col("rows") == 0, "no rows")).alias("error"))
-        out = mine.join(seen, "id").withColumn("known", F.lit(True))
+        out = mine.join(stored(seen, f"{folder}/{len(closed)}-seen"), "id").withColumn("known", F.lit(True))
         tried = F.when(F.col("error").isNotNull(), F.concat("tried", F.array(F.concat(F.lit(f"{reader.name}: "), "error")))).otherwise(F.col("tried"))
         out = out.withColumn("tried", tried)
         gone = F.coalesce(F.contains("error", F.lit("404")), F.lit(False))
         closed.append(out.filter("error IS NULL").select("id", F.lit("completed").alias("status"), F.lit(reader.name).alias("reader"), "rows", F.array_join("tried", "; ").alias("errors")))
         closed.append(out.filter(gone).select("id", F.lit("deleted").alias("status"), F.lit(None).cast("string").alias("reader"), F.lit(0).alias("rows"), F.array_join("tried", "; ").alias("errors")))
-        open_ = open_.filter(~reader.can_read).unionByName(out.filter(F.col("error").isNotNull() & ~gone).select(open_.columns))
+        open_ = stored(open_.filter(~reader.can_read).unionByName(out.filter(F.col("error").isNotNull() & ~gone).select(open_.columns)), f"{folder}/{len(closed)}-open")
     closed.append(open_.select("id", F.when(F.col("known"), "failed").otherwise("unsupported").alias("status"), F.lit(None).cast("string").alias("reader"), F.lit(0).alias("rows"), F.array_join("tried", "; ").alias("errors")))
     return reduce(DataFrame.unionByName, closed)
 

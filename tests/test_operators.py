@@ -13,7 +13,7 @@ from lakewright.functions import scalars as S
 from lakewright.operators import catalogue, explore, ledger, schema
 from lakewright.plans.state import StateTable
 from lakewright.sinks import files as K
-from lakewright.sources import archives, csv, pages
+from lakewright.sources import archives, csv, pages, routing
 from lakewright.sources import json as J
 
 
@@ -225,3 +225,54 @@ def test_messages_replayed_change_nothing(spark):
     assert [r["event_id"] for r in ledger.fold_job_results(df).orderBy("ts").collect()] == [3, 6]
     assert [r["event_id"] for r in ledger.fold_job_results(df.union(df)).orderBy("ts").collect()] == [3, 6]
     assert ledger.job_states(df).first()["status"] == "completed"
+
+
+def test_csv_records_over_several_lines_and_wide_ones(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,"long\nname",note\n1,"two\nlines","a ""b"" c"\n2,one,"x\n\ny"\n')
+    rows = csv.scan_csv(spark, str(tmp_path / "a.csv"))
+    assert rows.columns == ["id", "long\nname", "note"] and rows.dtypes[0] == ("id", "bigint")
+    assert sorted(map(tuple, rows.collect())) == [(1, "two\nlines", 'a "b" c'), (2, "one", "x\n\ny")]
+    width = 2500
+    lines = [",".join(f'"c,{i}"' for i in range(width)), ",".join(f'"{i}"' for i in range(width))]
+    (tmp_path / "b.csv").write_text("\n".join(lines))
+    line = spark.read.text(str(tmp_path / "b.csv")).select(F.transform(csv.split_fields(F.col("value"), ","), lambda x: x).alias("f"))
+    assert {len(r["f"]) for r in line.collect()} == {width}
+    wide = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(50_000)), lambda i: F.concat(F.lit('"'), i.cast("string"), F.lit(',"'))), ",").alias("line"))
+    fields = wide.select(csv.split_fields(F.col("line"), ",").alias("f")).first()["f"]
+    assert len(fields) == 50_000 and fields[0] == "1," and fields[-1] == "50000,"
+    assert [k.simpleString() for k in csv.infer_field_types(spark.createDataFrame([(["1", "x", None, "true"],), (["-2", "3", "-", "FALSE"],)], "fields array<string>"), 4)] == ["bigint", "string", "string", "boolean"]
+
+
+def test_an_open_quote_that_nothing_closes_ends_with_its_line(spark):
+    lines = spark.createDataFrame([("f", 1, 'a,"b'), ("f", 2, 'c"'), ("f", 3, 'd,"e'), ("f", 4, "g")], "file string, number long, line string")
+    assert sorted((r["number"], r["line"]) for r in csv.join_records(lines).collect()) == [(1, 'a,"b\nc"'), (3, 'd,"e'), (4, "g")]
+
+
+def test_eight_readers_scan_the_source_twice(spark):
+    rows = spark.range(40).select("id", F.lit("x").alias("format"))
+    reader = lambda k: routing.Reader(f"r{k}", F.lit(True), lambda df: df.select("id", F.when(F.col("id") % 8 == k, 1).otherwise(0).alias("rows"), F.lit(None).cast("string").alias("error")))
+    out = routing.ingest_resources(rows, [reader(k) for k in range(8)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") <= 2
+    assert {r["id"]: r["reader"] for r in out.collect()} == {i: f"r{i % 8}" for i in range(40)}
+
+
+def test_unknown_fields_of_packages_and_resources_are_refused(spark):
+    page = lambda body: spark.createDataFrame([(0, body)], "start long, body string")
+    good = '[{"id":"a","author":"x","license_id":"l","tags":[{"name":"t","state":"active"}],"resources":[{"id":"r","mimetype":"m","position":3}]}]'
+    packages, resources = J.scan_packages(page(good), "http://p")
+    assert packages.select("author", "license_id").first() == ("x", "l") and resources.select("id", "package_id", "position", "mimetype").first() == ("r", "a", 3, "m")
+    for bad in ('[{"id":"a","odd":1}]', '[{"id":"a","resources":[{"id":"r","odd":1}]}]'):
+        with pytest.raises(Exception, match="unknown fields"):
+            [df.collect() for df in J.scan_packages(page(bad), "http://p")]
+
+
+def test_links_with_blanks_and_without_quotes(spark):
+    df = spark.createDataFrame([("http://h/d/", """<a href="my file.csv">x</a><A class=q HREF=' b.zip '>y</A><a href=c.html>z</a><a href="">e</a>""")], "url string, html string")
+    assert {r["target"] for r in pages.extract_links(df).collect()} == {"http://h/d/my%20file.csv", "http://h/d/b.zip", "http://h/d/c.html"}
+
+
+def test_only_the_latest_job_changes_its_resource(spark):
+    rows = spark.createDataFrame([(1, "b", "pending", 0), (2, "c", "pending", 0)], "resource_id long, latest_job_id string, status string, updated_at long")
+    changes = spark.createDataFrame([(1, "a", "FAILED", 9, 9), (1, "b", "PROCESSING", 5, 5), (1, "b", "SUCCESS", 6, 6), (3, "d", "SUCCESS", 1, 1)], "resource_id long, job_id string, status string, ts long, event_id long")
+    assert sorted((r["resource_id"], r["status"], r["updated_at"]) for r in ledger.guarded_latest(rows, changes).collect()) == [(1, "SUCCESS", 6), (2, "pending", 0)]
