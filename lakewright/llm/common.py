@@ -6,35 +6,17 @@ import functools
 import os
 import posixpath
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow.fs as pafs
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-_U64 = np.uint64
-
+from ..plans.folders import shared_folder  # noqa: F401 - used by the operators
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate tables, below ``spark.checkpoint.dir``.
-
-    The setting is read from the session.  Only where it is unset and the
-    master is local (as in tests) is a temporary folder taken instead.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_FOLDERS:
-            _LOCAL_FOLDERS[app] = "file://" + tempfile.mkdtemp(prefix="lakewright-")
-        base = _LOCAL_FOLDERS[app]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+_U64 = np.uint64
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -201,29 +183,6 @@ def chunk_tokenizer(vocabulary: str, spaces: bool) -> ChunkTokenizer:
     return ChunkTokenizer(public_tokenizer_path(vocabulary), spaces)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words (bytes), remembered up to ``entries`` words."""
-
-    def __init__(self, entries: int = 250_000):
-        super().__init__()
-        self.entries = entries
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.entries:
-            self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), _U64, len(words))
-
-
-@functools.cache
-def word_hashes() -> WordHashes:
-    """One table of words a worker process."""
-    return WordHashes()
-
-
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 
 

@@ -1,22 +1,25 @@
 """Benchmark decontamination by winnowing.
 
 A fingerprint is the smallest 5-gram hash of a run of 13 words, so every shared
-run of 13 words shares a fingerprint.  Texts are fingerprinted, matched against
-the fingerprints of the benchmark, and every match is extended word by word in
-both directions; runs of at least 13 equal words are hits.
+run of 13 words shares a fingerprint.  Documents and benchmark items are
+fingerprinted in tasks and joined on their fingerprints; every match is extended
+word by word in both directions, and runs of at least 13 equal words are hits.
+An item of fewer words is one window; its fingerprint is the smallest 5-gram
+hash (of under five words: the hash) of all its words, and documents give the
+same minima for the few lengths that such items have.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, ngram_hashes, word_hashes
+from .common import ASCII_BLANK, hashed_words, mixed, ngram_hashes, shared_folder, stored
 
 #: ASCII digits and letters (in lower case) and all bytes of other characters; the rest separates words.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -24,8 +27,21 @@ SPAN, GRAM = 13, 5
 VERDICT = "struct<n_words:long,n_hit:long,n_items:long,items_sha256:string,contaminated:boolean>"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "replace").translate(WORD_BYTES).split() if text else []
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """64-bit hashes of the words of each text."""
+    raws = [(text or "").encode("utf-8", "replace") for text in texts]
+    starts, hashes = hashed_words(b" ".join(raws).translate(WORD_BYTES), ASCII_BLANK)
+    return np.split(hashes, np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws[:-1]])))
+
+
+def fingerprints(words: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Distinct fingerprints of a text: for windows of 13 words, and for each of the sizes under 13."""
+    found = [window_minima(ngram_hashes(words, GRAM))] if len(words) >= SPAN else []
+    for n in sizes:
+        if len(words) >= n:
+            grams = ngram_hashes(words, min(n, GRAM))
+            found.append(mixed(np.lib.stride_tricks.sliding_window_view(grams, n - GRAM + 1).min(axis=1) if n > GRAM else grams, n))
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *found]))
 
 
 def window_minima(hashes: np.ndarray) -> np.ndarray:
@@ -37,7 +53,7 @@ def window_minima(hashes: np.ndarray) -> np.ndarray:
 
 
 class BenchmarkIndex:
-    """Fingerprints of a block of benchmark items.
+    """Fingerprints of benchmark items, and where they stand.
 
     Items of under 13 words, which no window of 13 can hold, are looked up by
     the hash of all their words.
@@ -98,85 +114,116 @@ class BenchmarkIndex:
                 found.add(item)
 
 
-def benchmark_blocks(benchmark: DataFrame, words_a_block: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark on the driver, block by block; a block has at most ``words_a_block`` words or one item."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    block, size = [], 0
-    for row in rows.toLocalIterator():
-        words = words_of(row["text"])
-        if block and size + len(words) > words_a_block:
-            yield block
-            block, size = [], 0
-        if words:
-            block.append((row["item_id"] if row["item_id"] is not None else "null", WordHashes(0).of(words).tobytes()))
-            size += len(words)
-    yield block
-
-
-def _found(text: Column, earlier: Column | None, index) -> Column:
-    """Adds one block's hits to those of the blocks before: words, hit positions and items."""
-
-    def run(columns: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        table = BenchmarkIndex([(name, np.frombuffer(raw, np.uint64)) for name, raw in index.value])
-        hashes = word_hashes()
-        for texts, *before in columns:
-            out = []
-            for i, text in enumerate(texts):
-                words = hashes.of(words_of(text))
-                hit, found = table.matches(words)
-                names = {table.names[x] for x in found}
-                if before:
-                    hit[list(before[0]["hits"].iloc[i])] = True
-                    names |= set(before[0]["items"].iloc[i])
-                out.append((len(words), np.flatnonzero(hit), sorted(names)))
-            yield pd.DataFrame(out, columns=["n_words", "hits", "items"])
-
-    kind = "n_words long, hits array<int>, items array<string>"
-    if earlier is None:
-
-        def first(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            yield from run((c,) for c in columns)
-
-        return F.pandas_udf(first, kind)(text)
-
-    def more(columns: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
-        yield from run(columns)
-
-    return F.pandas_udf(more, kind)(text, earlier)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, column: str, words_a_block: int = 5_000_000) -> DataFrame:
+def _slices(texts: pa.Array, size: int) -> Iterator[tuple[int, list[str | None]]]:
+    """Start and texts of parts of a column with so many characters at most, or one text."""
+    start, held, length = 0, [], 0
+    for i, text in enumerate(texts):
+        value = text.as_py()
+        if held and length + len(value or "") > size:
+            yield start, held
+            start, held, length = i, [], 0
+        held.append(value)
+        length += len(value or "")
+    if held:
+        yield start, held
+
+
+def _items(benchmark: DataFrame, size: int) -> DataFrame:
+    """(item, item_key, n, words, prints) of the distinct items that have words; ``words`` are their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in _slices(batch.column(2), size):
+                words = word_hashes(texts)
+                part = batch.slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array([len(w) for w in words], pa.int32()),
+                        pa.array([w.tobytes() for w in words], pa.binary()),
+                        pa.array([fingerprints(w, [len(w)] if 0 < len(w) < SPAN else []).view(np.int64) for w in words], pa.list_(pa.int64())),
+                    ],
+                    names=["item", "item_key", "n", "words", "prints"],
+                )
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
+    return rows.select("item", F.xxhash64("item", "text").alias("item_key"), "text").mapInArrow(run, "item string, item_key long, n int, words binary, prints array<long>").filter("n > 0")
+
+
+def _prints(texts: DataFrame, sizes: list[int], size: int) -> DataFrame:
+    """(version, prints) of texts (version, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, some in _slices(batch.column(1), size):
+                prints = [fingerprints(w, sizes).view(np.int64) for w in word_hashes(some)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(some)), pa.array(prints, pa.list_(pa.int64()))], names=["version", "prints"])
+
+    return texts.select("version", "text").mapInArrow(run, "version long, prints array<long>")
+
+
+def _extended(pairs: DataFrame) -> DataFrame:
+    """(version, item, hits) of pairs (version, text, item, words): the places of the hit words of a text, if there are any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = functools.lru_cache(maxsize=64)(lambda words: BenchmarkIndex([("", np.frombuffer(words, np.uint64))]))
+        for batch in batches:
+            hits = [np.flatnonzero(index(words.as_py()).matches(word_hashes([text.as_py()])[0])[0]) for text, words in zip(batch.column(1), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(hits, pa.list_(pa.int32()))], names=["version", "item", "hits"])
+
+    return pairs.select("version", "text", "item", "words").mapInArrow(run, "version long, item string, hits array<int>").filter(F.size("hits") > 0)
+
+
+def _verdicts(docs: DataFrame, benchmark: DataFrame, folder: str, size: int) -> DataFrame:
+    """(version, n_hit, items) of the texts with hits; equal texts have one version and one row."""
+    items = stored(_items(benchmark, size), f"{folder}/items")
+    sizes = sorted(r["n"] for r in items.filter(F.col("n") < SPAN).select("n").distinct().collect())  # twelve at most
+    text = F.col("text").cast("string")
+    texts = docs.select(F.xxhash64(text).alias("version"), text.alias("text")).filter("text <> ''")
+    known = items.select("item_key", F.explode("prints").alias("print"))
+    met = _prints(texts, sizes, size).select("version", F.explode("prints").alias("print")).join(known, "print")
+    pairs = stored(met.select("version", "item_key").distinct(), f"{folder}/pairs")
+    suspects = texts.join(pairs.select("version").distinct(), "version", "left_semi").dropDuplicates(["version"])
+    found = stored(_extended(suspects.join(pairs, "version").join(items.select("item_key", "item", "words"), "item_key")), f"{folder}/hits")
+    places = found.select("version", F.explode("hits").alias("place")).distinct().groupBy("version").agg(F.count("*").alias("n_hit"))
+    names = found.groupBy("version").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return stored(places.join(names, "version"), f"{folder}/verdicts")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, column: str, slice_size: int = 1_500_000) -> DataFrame:
     """``docs`` with a struct ``column``: n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document word inside an occurrence of a benchmark window is hit.  A
     document is contaminated if words are hit and they are at least a twentieth.
-    The benchmark is broadcast in blocks of bounded size, one narrow step each,
-    so neither side is shuffled.  Null and empty texts have no words; null and
-    empty items match nothing; repeated items count once; a null item_id counts
-    as the id "null".  ``column`` replaces a column of that name.
+    Null and empty texts have no words; null and empty items match nothing;
+    repeated items count once; a null item_id counts as the id "null".
+    ``column`` replaces a column of that name; all others stay, whatever their
+    names.  ``slice_size`` bounds the characters (or is exceeded by one text)
+    that a task hashes at a time.
     """
-    spark = docs.sparkSession
-    text, state = F.col("text").cast("string"), f"{column}__state"
-    out, earlier = docs, None
-    for block in benchmark_blocks(benchmark, words_a_block):
-        out = out.withColumn(state, _found(text, earlier, spark.sparkContext.broadcast(block)))
-        earlier = F.col(state)
-    items = F.array_sort(F.col(state)["items"])
-    n_words, n_hit = F.col(state)["n_words"], F.size(F.col(state)["hits"]).cast("long")
+    verdicts = _verdicts(docs, benchmark, shared_folder(docs.sparkSession, "contamination"), slice_size).withColumnRenamed("version", "hit_version")
+    text, columns = F.col("text").cast("string"), [c for c in docs.columns if c != column]
+    n_words = F.coalesce(F.regexp_count(text, F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")), F.lit(0)).cast("long")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.xxhash64(text).alias("version"), n_words.alias("n_words"))
+    n_hit, items = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
     verdict = F.struct(
-        n_words.alias("n_words"),
+        "n_words",
         n_hit.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
-        ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
-    return out.withColumn(column, verdict).drop(state)
+    joined = keyed.join(verdicts, F.col("version") == F.col("hit_version"), "left").select("row", verdict.alias("verdict"))
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in columns], F.col("verdict").alias(column))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without its contaminated rows; the columns stay."""
-    mark = "contamination__verdict"
-    return contamination(docs, benchmark, mark).filter(~F.col(mark)["contaminated"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without its contaminated rows; the columns stay, whatever their names."""
+    mark = "verdict"
+    while mark in docs.columns:
+        mark += "_"
+    return contamination(docs, benchmark, mark).filter(~F.col(f"{mark}.contaminated")).drop(mark)
 
 
 SQL = r"""
