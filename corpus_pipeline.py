@@ -1,9 +1,10 @@
 """Corpus pipeline: from raw documents to packed training sequences.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before
-kept.  All but the last return the columns of ``documents``.  ``run`` writes each
-stage's result as Parquet in the shared folder and reads it for the next, so a
-lost executor costs one stage at most.
+kept.  All but the last return the columns of ``documents``, and any further
+columns whatever their names.  ``run`` writes each stage's result as Parquet in
+the shared folder and reads it for the next, so a lost executor costs one stage
+at most.  A table without rows gives none at every stage.
 """
 
 from __future__ import annotations
@@ -16,27 +17,36 @@ from lakewright.llm.common import shared_folder, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, null and empty texts with them; repeated rows share a verdict."""
     return quality.kept_documents(docs)
 
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line go, and documents of which nothing is left; n_chars follows."""
+    """Lines that repeat an earlier line go, and documents of which nothing is left; n_chars follows.
+
+    Lines are in order of ids (null last), then of the texts' hashes, then of
+    their numbers; rows alike in id and text are one document and stay or go
+    together.  Null and empty texts stay.
+    """
     return line_dedup.without_repeats(docs, drop_emptied=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: that with the smallest id, of several texts with it the one of the smallest hash.
+
+    Of rows alike in id and text one stays.  Rows with a null id, and texts
+    without words, are like no other and stay.
+    """
     return shingles.one_of_each_group(docs)
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain benchmark passages go."""
+    """Documents that contain benchmark passages go; null and empty texts contain none and stay, repeated rows share a verdict."""
     return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences of 2048 ids."""
+    """Token pieces and their places in sequences of 2048 ids; a null text is empty, a null id stays null, and repeated rows have their own pieces."""
     return packing.pack_documents(docs)
 
 
