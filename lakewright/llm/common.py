@@ -18,22 +18,24 @@ from ..plans.folders import shared_folder  # noqa: F401 - used by the operators
 
 _U64 = np.uint64
 
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: How tables are written: shuffle files go with the write that they were for, and Python workers get batches of bounded bytes.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it again: the lineage ends at replicated files.
 
-    The shuffle files behind it are of no more use and go with the write.
+    The session's settings are the same afterwards.
     """
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
+    before = {name: conf.get(name, None) for name in WRITING}
+    for name, value in WRITING.items():
+        conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        conf.set(CLEANUP, before) if before is not None else conf.unset(CLEANUP)
+        for name, value in before.items():
+            conf.set(name, value) if value is not None else conf.unset(name)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -34,9 +34,9 @@ NUM, DEN = 80, 100
 #: Seeds of the token orders whose filters are intersected with the first.
 ORDERS = (2, 3)
 #: Bytes of text whose tokens make one bucket, which a task holds at a time.
-BUCKET_BYTES = 20 << 20
+BUCKET_BYTES = 16 << 20
 #: Bytes of text that are cut into tokens at a time, or one text.
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 800_000
 #: Postings of a token that one task joins.
 SALT_SETS = 512
 
