@@ -1,5 +1,6 @@
 """Operators on small tables against brute force, round trips and edge cases: null and clashing columns, ties, repeats, no rows."""
 
+import functools
 import hashlib
 import random
 import re
@@ -28,9 +29,13 @@ def documents(seed=1, n=60):
     return [(i, "\n".join(" ".join(rng.choices(words, k=rng.randrange(1, 60))) for _ in range(rng.randrange(1, 6)))) for i in range(n)]
 
 
+@functools.cache
+def tokenizer_of(name):
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
 def ids_of(name, text, end):
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    return np.asarray([*t.encode(text or "", add_special_tokens=False).ids, end], "<u4")
+    return np.asarray([*tokenizer_of(name).encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
 def test_pieces_and_places(spark):
@@ -208,11 +213,16 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.without_repeats(table(spark, [])).collect() == []
 
 
-def test_shuffled_removal_equals_broadcast_removal(spark, monkeypatch):
+def test_shuffled_removal_equals_broadcast_removal(spark):
     rows = [(i, "same line here again\n" + t) for i, t in documents(8, 20)]
     one = sorted(map(tuple, line_dedup.without_repeats(table(spark, rows)).collect()))
-    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", -1)
-    assert sorted(map(tuple, line_dedup.without_repeats(table(spark, rows)).collect())) == one
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)
+    try:
+        assert sorted(map(tuple, line_dedup.without_repeats(table(spark, rows)).collect())) == one
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_store_keeps_rows_through_compaction(spark):
