@@ -180,9 +180,9 @@ class ChunkTokenizer:
 
 
 @functools.cache
-def chunk_tokenizer(vocabulary: str, spaces: bool) -> ChunkTokenizer:
+def chunk_tokenizer(vocabulary: str, spaces: bool, entries: int = 700_000) -> ChunkTokenizer:
     """One tokenizer a worker process, so that the tasks it runs share what it has learned."""
-    return ChunkTokenizer(public_tokenizer_path(vocabulary), spaces)
+    return ChunkTokenizer(public_tokenizer_path(vocabulary), spaces, entries)
 
 
 _FACTOR = 0x9E3779B97F4A7C15 | 1

@@ -61,17 +61,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token totals after all documents came, came again, lost those under 50 words and were stripped of symbols."""
+    """Token totals of both tokenizers after all documents came, came again, lost those under 50 words and were stripped of symbols."""
     docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
     text = F.col("text")
     stripped = F.regexp_replace(text, "[#*$%&|<>]", "")
     store = rollups.TokenTotals(spark, shared_folder(spark, "totals"))
     load = rollups.counted(docs, "insert", text)
-    store.commit("load", load)
-    store.commit("load", load)
+    store.commit("load", 1, load)
+    store.commit("load", 1, load)
     words = rollups.word_count(F.coalesce(text, F.lit("")))
-    store.commit("short", rollups.counted(docs.filter(words < 50), "delete", text))
-    store.commit("symbols", rollups.counted(docs.filter((words >= 50) & text.rlike("[#*$%&|<>]")), "revise", stripped, text))
+    store.commit("rules", 1, rollups.counted(docs.filter(words < 50), "delete", text))
+    store.commit("rules", 2, rollups.counted(docs.filter((words >= 50) & text.rlike("[#*$%&|<>]")), "revise", stripped, text))
     return store.totals()
 
 
@@ -103,6 +103,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_compaction": compaction.SQL,
     "op6_quality_rules": quality.SQL,
     "op7_decontamination": decontamination.SQL,
-    "op8_token_rollups": rollups.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }

@@ -1,19 +1,24 @@
 """Token totals by source, language and tokenizer version, maintained by signed changes.
 
 A batch of changes is reduced to one signed sum a key and added to the totals;
-documents are never counted again.  The manifest that publishes new totals also
-lists the batch, so a batch that is sent twice, or by a writer that died after
-its commit, counts once.
+documents that don't change are never counted again.  Every writer numbers its
+batches upwards, and the manifest that publishes new totals also holds the last
+number of each writer, so a batch that is sent twice, or by a writer that died
+after its commit, counts once.  A manifest grows with the writers, not with the
+batches.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.manifests import Manifests
+from .common import chunk_tokenizer, stored
 
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS_SCHEMA = "source string, lang string, tokenizer string, documents long, tokens long"
@@ -40,27 +45,33 @@ class TokenTotals:
         self.spark, self.root = spark, root.rstrip("/")
         self.manifests = Manifests(spark, root)
 
-    def _state(self) -> tuple[int, str | None, list[str]]:
+    def _state(self) -> tuple[int, str | None, dict[str, int]]:
         version = self.manifests.newest()
-        held = self.manifests.read(version) if version else {"folder": None, "batches": []}
-        return version, held["folder"], held["batches"]
+        held = self.manifests.read(version) if version else {"folder": None, "writers": {}}
+        return version, held["folder"], held["writers"]
 
-    def totals(self) -> DataFrame:
-        """Totals of all committed batches; keys without documents and tokens have no row."""
-        folder = self._state()[1]
+    def _totals(self, folder: str | None) -> DataFrame:
         if folder is None:
             return self.spark.createDataFrame([], TOTALS_SCHEMA)
         return self.spark.read.schema(TOTALS_SCHEMA).parquet(f"{self.root}/{folder}")
 
-    def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Add a batch; False if it was added before.  A writer that loses a race gets ConcurrentCommit and may try again."""
-        version, _, batches = self._state()
-        if batch in batches:
+    def totals(self) -> DataFrame:
+        """Totals of all committed batches; keys without documents and tokens have no row."""
+        return self._totals(self._state()[1])
+
+    def commit(self, writer: str, number: int, changes: DataFrame) -> bool:
+        """Add a writer's batch; False, and nothing read, if that number or a later one of the writer was added before.
+
+        A writer that loses a race gets ConcurrentCommit and may try again.  A
+        batch without rows is a batch, too.
+        """
+        version, held, writers = self._state()
+        if number <= writers.get(writer, number - 1):
             return False
         folder = f"totals/{version + 1:012d}-{uuid.uuid4().hex}"
-        new = self.totals().unionByName(signed(changes)).groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
-        new.filter("documents <> 0 OR tokens <> 0").write.parquet(f"{self.root}/{folder}")
-        self.manifests.commit(version, {"folder": folder, "batches": [*batches, batch]})
+        new = self._totals(held).unionByName(signed(changes)).groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+        stored(new.filter("documents <> 0 OR tokens <> 0"), f"{self.root}/{folder}")
+        self.manifests.commit(version, {"folder": folder, "writers": {**writers, writer: number}})
         return True
 
 
@@ -69,20 +80,28 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-#: Counters by tokenizer version.
-TOKENIZERS = {"words-1": word_count, "utf8-1": lambda text: F.octet_length(text).cast("long")}
+#: Tokenizer versions: vocabulary file, and whether a space belongs to the token after it.
+TOKENIZERS = {"byte_bpe_50k-1": ("byte_bpe_50k.json", True), "word_bpe_49k-1": ("word_bpe_49k.json", False)}
+CHANGE_SCHEMA = "source string, lang string, tokenizer string, change string, tokens long, old_tokens long"
 
 
-def counted(docs: DataFrame, change: str, text: Column, old_text: Column | None = None) -> DataFrame:
-    """Changes of all documents, one row for each tokenizer; a null text counts no tokens."""
-    count = lambda value: [f(F.coalesce(value, F.lit(""))) for f in TOKENIZERS.values()]
-    old = count(old_text) if old_text is not None else [F.lit(None).cast("long")] * len(TOKENIZERS)
-    rows = F.array(*[F.struct(F.lit(name).alias("tokenizer"), new.alias("tokens"), before.alias("old_tokens")) for name, new, before in zip(TOKENIZERS, count(text), old, strict=True)])
-    return docs.select(F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.lit(change).alias("change"), F.inline(rows))
+def counted(docs: DataFrame, change: str, text: Column, old_text: Column | None = None, tokenizers: dict[str, tuple[str, bool]] = TOKENIZERS, entries: int = 250_000) -> DataFrame:
+    """Changes of all documents (source, lang, ...), one row for each tokenizer version.
 
+    Tokens are the ids of the whole text by the version's vocabulary, without
+    special ones.  A null or empty text has none; ``old_tokens`` is null without
+    ``old_text``.  Repeated rows count each; other columns are not read.  Each
+    worker keeps the ids of at most ``entries`` words a vocabulary, or little more.
+    """
 
-SQL = r"""
-WITH d AS (SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS old_words, regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g') AS text FROM documents),
-t AS (SELECT source, lang, unnest(['words-1', 'utf8-1']) AS tokenizer, unnest([len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), octet_length(encode(text))]) AS tokens FROM d WHERE old_words >= 50)
-SELECT source, lang, tokenizer, count(*) AS documents, CAST(sum(tokens) AS BIGINT) AS tokens FROM t GROUP BY ALL
-"""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = {version: chunk_tokenizer(*key, entries) for version, key in tokenizers.items()}
+        for batch in batches:
+            for version, encoder in count.items():
+                new, old = (pa.array([len(ids) // 4 for ids in encoder.encode_all([t or "" for t in batch.column(i).to_pylist()])], pa.int64()) if i < batch.num_columns else pa.nulls(len(batch), pa.int64()) for i in (2, 3))
+                label = lambda value: pa.array([value] * len(batch), pa.string())  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), label(version), label(change), new, old], names=["source", "lang", "tokenizer", "change", "tokens", "old_tokens"])
+
+    texts = [text] if old_text is None else [text, old_text]
+    columns = [F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), *[t.cast("string").alias(f"text_{i}") for i, t in enumerate(texts)]]
+    return docs.select(*columns).mapInArrow(run, CHANGE_SCHEMA)

@@ -10,11 +10,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakewright.llm import common, compaction, decontamination, line_dedup, packing, quality, rollups, token_files
+from lakewright.llm import common, compaction, decontamination, line_dedup, packing, quality, registry, rollups, token_files
 from lakewright.plans.manifests import ConcurrentCommit, Manifests
 
+SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fill long, pattern string"
 ODD = ["", None, " ", "\n", "a", " a", "a  b", "a\n\nb", "a\n\n\nb", "x\n", "\tx", "é é  c", "don't 's", "12 345", "a b  c", "<|endoftext|> x", "word " * 3000, "\x00\x01"]
 
@@ -264,13 +266,54 @@ def test_totals_follow_changes_once(spark):
     batch = lambda *rows: spark.createDataFrame(list(rows), kind)
     assert store.totals().collect() == []
     first = batch(("a", "en", "t", "insert", 5, None), ("a", "en", "t", "insert", 7, None), (None, None, "t", "insert", None, None), ("b", "en", "t", "insert", 1, None))
-    assert store.commit("1", first) and not store.commit("1", first)
-    assert store.commit("2", batch(("a", "en", "t", "revise", 3, 5), ("b", "en", "t", "delete", 1, None)))
-    assert store.commit("3", batch())
+    assert store.commit("w", 1, first) and not store.commit("w", 1, first)
+    assert store.commit("v", 1, batch(("a", "en", "t", "revise", 3, 5), ("b", "en", "t", "delete", 1, None)))
+    assert store.commit("w", 3, batch()) and not store.commit("w", 2, first)
     assert sorted(map(tuple, store.totals().collect()), key=str) == sorted([("a", "en", "t", 2, 10), (None, None, "t", 1, 0)], key=str)
     with pytest.raises(Exception, match="unknown change"):
-        store.commit("4", batch(("a", "en", "t", "moved", 1, None)))
-    assert not store.commit("3", first)
+        store.commit("w", 4, batch(("a", "en", "t", "moved", 1, None)))
+    assert not store.commit("v", 1, first)
+    assert store.manifests.read(store.manifests.newest())["writers"] == {"w": 3, "v": 1}
+
+
+def test_writers_that_start_from_one_version_don_t_both_commit(spark, monkeypatch):
+    store = rollups.TokenTotals(spark, common.shared_folder(spark, "totals"))
+    batch = spark.createDataFrame([("a", "en", "t", "insert", 5, None)], rollups.CHANGE_SCHEMA)
+    monkeypatch.setattr(store, "_state", lambda held=store._state(): held)
+    assert store.commit("w", 1, batch)
+    with pytest.raises(ConcurrentCommit):
+        store.commit("v", 1, batch)
+    monkeypatch.undo()
+    assert store.commit("v", 1, batch) and [r["tokens"] for r in store.totals().collect()] == [10]
+
+
+VERSIONS = {"byte_bpe_50k-1": "byte_bpe_50k.json", "word_bpe_49k-1": "word_bpe_49k.json"}
+
+
+def token_count(vocabulary, text):
+    return len(ids_of(vocabulary, text, 0)) - 1
+
+
+def test_counted_changes_are_the_tokenizers_counts(spark):
+    rows = [*enumerate(ODD), (1, "a"), (None, "x y"), *documents(4, 20)]
+    texts = table(spark, rows)
+    got = Counter(map(tuple, rollups.counted(texts, "insert", texts["text"], entries=40).collect()))
+    assert got == Counter(("s", "en", version, "insert", token_count(name, t), None) for _, t in rows for version, name in VERSIONS.items())
+    got = Counter(map(tuple, rollups.counted(texts, "revise", F.lit("b c"), texts["text"]).collect()))
+    assert got == Counter(("s", "en", version, "revise", token_count(name, "b c"), token_count(name, t)) for _, t in rows for version, name in VERSIONS.items())
+    assert rollups.counted(table(spark, []), "insert", F.col("text")).collect() == []
+
+
+def test_rollups_of_the_given_documents_by_brute_force(spark):
+    totals = defaultdict(lambda: [0, 0])
+    for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        text = row["text"] or ""
+        if len(re.findall(r"[^\x20\x09-\x0D]+", text)) >= 50:
+            for version, name in VERSIONS.items():
+                total = totals[row["source"], row["lang"], version]
+                total[0] += 1
+                total[1] += token_count(name, re.sub(r"[#*$%&|<>]", "", text))
+    assert sorted(map(tuple, registry.op8_token_rollups(spark, SMALL).collect()), key=str) == sorted(((*k, *v) for k, v in totals.items()), key=str)
 
 
 @pytest.mark.parametrize("spaces", [True, False])
