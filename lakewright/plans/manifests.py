@@ -31,23 +31,33 @@ class Manifests:
     def _name(self, version: int) -> str:
         return f"manifests/{version:012d}.json"
 
-    def newest(self) -> int:
-        """The newest version; 0 for an empty store."""
+    def versions(self) -> list[int]:
+        """All versions that are there, in order."""
         if not self.fs.exists(self.path("manifests")):
-            return 0
+            return []
         names = [s.getPath().getName() for s in self.fs.listStatus(self.path("manifests"))]
-        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] != "."), default=0)
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[0] != ".")
+
+    def newest(self) -> int:
+        """The newest version; 0 for an empty store."""
+        return max(self.versions(), default=0)
 
     def exists(self, version: int) -> bool:
         return self.fs.exists(self.path(self._name(version)))
 
-    def read(self, version: int) -> dict:
-        rows = self.spark.read.text(self.path(self._name(version)).toString(), wholetext=True).collect()
-        held = json.loads(rows[0]["value"])
-        if held["version"] != version:
-            raise ValueError(f"manifest {version} is damaged")
+    def read_all(self, versions: list[int]) -> list[dict]:
+        """Several manifests in one job, in the order of their versions."""
+        if not versions:
+            return []
+        rows = self.spark.read.text([self.path(self._name(v)).toString() for v in versions], wholetext=True).collect()
+        held = sorted((json.loads(r["value"]) for r in rows), key=lambda m: m["version"])
+        if [m["version"] for m in held] != sorted(versions):
+            raise ValueError(f"manifests {min(versions)} to {max(versions)} are damaged")
         return held
 
+    def read(self, version: int) -> dict:
+        return self.read_all([version])[0]
+
     def commit(self, base: int, state: dict) -> int:
         version = base + 1
         temporary = self.path(f"manifests/.{version:012d}-{uuid.uuid4().hex}")
