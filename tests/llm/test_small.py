@@ -244,6 +244,33 @@ def test_store_keeps_rows_through_compaction(spark):
         store.append(spark.range(1))
 
 
+def test_small_commits_list_their_changes_only(spark, monkeypatch):
+    monkeypatch.setattr(compaction, "DELTAS", 6)
+    store = compaction.ShardStore(spark, common.shared_folder(spark, "store"))
+    store.append(table(spark, documents(1, 400)).repartition(20))
+    for i in range(9):
+        store.append(table(spark, [(i, "new")]).coalesce(1))
+    held = store.manifests.read_all(store.manifests.versions())
+    assert [len(m["added"]) for m in held] == [20, 1, 1, 1, 1, 1, 1, 27, 1, 1]
+    assert [len(store.read_manifest(v)[2]) for v in range(1, 11)] == list(range(20, 30))
+    assert store.expire(keep=2) == 0 and store.manifests.versions() == [8, 9, 10] and store.read().count() == 409
+    newest = store.compact(target=1 << 20, fan_in=2)
+    assert len(store.read_manifest()[2]) == 1 and store.read(10).count() == store.read().count() == 409
+    assert store.expire() == 29 and store.manifests.versions() == [newest] and store.read().count() == 409
+    assert store.expire() == 0 and compaction.ShardStore(spark, common.shared_folder(spark, "store")).expire() == 0
+
+
+def test_appends_that_start_from_one_version_don_t_both_commit(spark, monkeypatch):
+    store = compaction.ShardStore(spark, common.shared_folder(spark, "store"))
+    store.append(table(spark, [(1, "a")]))
+    monkeypatch.setattr(store, "read_manifest", lambda held=store.read_manifest(): held)
+    store.append(table(spark, [(2, "b")]))
+    with pytest.raises(ConcurrentCommit):
+        store.append(table(spark, [(3, "c")]))
+    monkeypatch.undo()
+    assert sorted(r["doc_id"] for r in store.read().collect()) == [1, 2]
+
+
 def test_tiers_merge_similar_sizes():
     store = compaction.ShardStore.__new__(compaction.ShardStore)
     shard = lambda name, size: compaction.Shard(name, size, 1)
