@@ -225,10 +225,14 @@ def s23(t: Tables) -> DataFrame:
     "WITH RECURSIVE walk AS (SELECT 0 AS k, 0 AS depth UNION ALL SELECT p.k * 2 + i, depth + 1 FROM walk p, range(1, 3) r(i) WHERE depth < 4 AND p.k * 2 + i < (SELECT count(*) FROM pages)) SELECT concat('http://h/', k) AS url, min(depth) AS depth FROM walk GROUP BY 1",
 )
 def s24(t: Tables) -> DataFrame:
-    """Pages as a binary tree of links, with links back to the root."""
+    """Pages as a binary tree of links, with links back to the root, and to captured pages of another host and with a file's name."""
     numbered = ranks(t.pages.select("page_id"), "page_id", "k", 0)
-    link = lambda x: F.concat(F.lit("<A HREF='/"), x, F.lit("#top'>x</A>"))
-    made = numbered.select(F.concat(F.lit("http://h/"), "k").alias("url"), F.concat(link(F.col("k") * 2 + 1), link(F.col("k") * 2 + 2), link(F.lit(0))).alias("html"))
+    link = lambda x: F.concat(F.lit("<A HREF='"), x, F.lit("#top'>x</A>"))
+    k = F.col("k").cast("string")
+    here, other, file = F.concat(F.lit("/"), k), F.concat(F.lit("http://other/"), k), F.concat(F.lit("/"), k, F.lit(".html"))
+    child = lambda i: F.concat(F.lit("/"), F.col("k") * 2 + i)
+    html = F.concat(link(child(1)), link(child(2)), link(F.lit("/0")), link(other), link(file))
+    made = numbered.select(F.explode(F.array(F.concat(F.lit("http://h"), here), other, F.concat(F.lit("http://h"), file))).alias("url"), html.alias("html"))
     return pages.crawl_frontier(made, made.filter("url = 'http://h/0'").select("url"))
 
 

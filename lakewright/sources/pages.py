@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import matches_format, resolve_url, url_host, url_name, within_root
@@ -24,6 +24,11 @@ def extract_links(pages: DataFrame) -> DataFrame:
     return links.select("url", target.alias("target")).filter("target IS NOT NULL").distinct()
 
 
+def _directory(target: Column) -> Column:
+    """Whether the name of a URL looks like a directory: it has no dot."""
+    return ~F.contains(F.coalesce(url_name(target), F.lit("")), F.lit("."))
+
+
 def classify_links(links: DataFrame, wanted: str, root: str | None = None) -> DataFrame:
     """(target, kind): archive, file of the wanted format, page to visit, or drop; each target once.
 
@@ -32,29 +37,33 @@ def classify_links(links: DataFrame, wanted: str, root: str | None = None) -> Da
     """
     name = F.coalesce(url_name(F.col("target")), F.lit(""))
     base = F.lit(root) if root is not None else F.col("url")
-    directory = (name == "") | ~F.contains(name, F.lit("."))
     inside = within_root(F.col("target"), base) if root is not None else url_host(F.col("target")) == url_host(base)
-    kind = F.when(F.lower(name).endswith(".zip"), "archive").when(matches_format(name, wanted), "file").when(inside & directory, "page").otherwise("drop")
+    kind = F.when(F.lower(name).endswith(".zip"), "archive").when(matches_format(name, wanted), "file").when(inside & _directory(F.col("target")), "page").otherwise("drop")
     return links.select("target", kind.alias("kind")).groupBy("target").agg(F.min("kind").alias("kind"))
 
 
 def crawl_frontier(pages: DataFrame, roots: DataFrame, depth: int = DEPTH, most: int = PAGES) -> DataFrame:
     """(url, depth) of the captured pages that a bounded breadth-first walk from the roots (url) reaches.
 
-    More than ``most`` pages is an error.  Each step is one join of links with
-    the pages found last, and is written before the next.
+    The walk stays on the host and below the directory of the root it came
+    from, and visits only names that look like directories.  A page has its
+    least depth from any root.  More than ``most`` pages is an error.  Each
+    step is one join of links with the pages found last, and is written before
+    the next.
     """
     folder = shared_folder(pages.sparkSession, "crawl")
-    links = stored(extract_links(pages).join(pages.select(F.col("url").alias("target")).distinct(), "target", "left_semi"), f"{folder}/links")
-    now = roots.select("url").distinct().join(pages.select("url").distinct(), "url", "left_semi").withColumn("depth", F.lit(0))
-    found = now = stored(now, f"{folder}/0")
+    captured = pages.select(F.col("url").alias("target")).distinct()
+    links = stored(extract_links(pages).filter(_directory(F.col("target"))).join(captured, "target", "left_semi"), f"{folder}/links")
+    start = roots.select(F.col("url").alias("root"), "url").distinct().join(captured, F.col("url") == F.col("target"), "left_semi")
+    found = now = stored(start.withColumn("depth", F.lit(0)), f"{folder}/0")
     for step in range(1, depth + 1):
-        reached = links.join(now.select("url"), "url").select(F.col("target").alias("url")).distinct()
-        now = stored(reached.join(found.select("url"), "url", "left_anti").withColumn("depth", F.lit(step)), f"{folder}/{step}")
+        reached = links.join(now.select("root", "url"), "url").filter(within_root(F.col("target"), F.col("root"))).select("root", F.col("target").alias("url")).distinct()
+        now = stored(reached.join(found.select("root", "url"), ["root", "url"], "left_anti").withColumn("depth", F.lit(step)), f"{folder}/{step}")
         found = found.unionByName(now)
-    if found.limit(most + 1).count() > most:
+    walked = found.groupBy("url").agg(F.min("depth").alias("depth"))
+    if walked.limit(most + 1).count() > most:
         raise ValueError(f"the walk has more than {most} pages")
-    return found
+    return walked
 
 
 def extract_drive_links(pages: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from lakewright.functions import scalars as S
 from lakewright.operators import catalogue, explore, ledger, schema
 from lakewright.plans.state import StateTable
 from lakewright.sinks import files as K
-from lakewright.sources import archives, csv, pages, routing
+from lakewright.sources import archives, csv, pages, routing, transit
 from lakewright.sources import json as J
 
 
@@ -195,6 +195,25 @@ def test_crawl_is_bounded(spark):
         pages.crawl_frontier(df, df.limit(1), most=3)
 
 
+def test_crawl_stays_below_its_root(spark):
+    html = '<a href="/data/b/"> <a href="/else/"> <a href="//other/data/"> <a href="http://other/data/"> <a href="/data/c.html">'
+    urls = ["http://h/data/", "http://h/data/b/", "http://h/else/", "http://other/data/", "http://h/data/c.html"]
+    df = spark.createDataFrame([(u, html) for u in urls], "url string, html string")
+    walk = lambda *roots: sorted(map(tuple, pages.crawl_frontier(df, df.filter(F.col("url").isin(*roots))).collect()))
+    assert walk("http://h/data/") == [("http://h/data/", 0), ("http://h/data/b/", 1)]
+    assert walk("http://h/data/", "http://h/data/b/", "http://other/data/") == [("http://h/data/", 0), ("http://h/data/b/", 0), ("http://other/data/", 0)]
+
+
+def test_alerts_keep_periods_and_what_they_affect(spark):
+    alert = {"active_period": [{"start": 5, "end": 9}, {"start": 11}], "informed_entity": [{"agency_id": "a", "route_type": 3, "trip": {"trip_id": "t"}}, {"stop_id": "s"}], "severity_level": 4}
+    place = {"occupancy_status": 2, "occupancy_percentage": 40}
+    content = transit.encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [{"id": "1", "alert": alert, "vehicle": place}]}, transit.FEED)
+    row = transit.scan_gtfs_rt(spark.createDataFrame([("f", bytearray(content))], "file string, content binary")).first()
+    assert [tuple(p) for p in row["alert"]["active_period"]] == [(5, 9), (11, None)]
+    assert [(e["agency_id"], e["route_type"], e["trip"] and e["trip"]["trip_id"], e["stop_id"]) for e in row["alert"]["informed_entity"]] == [("a", 3, "t", None), (None, None, None, "s")]
+    assert row["alert"]["severity_level"] == 4 and row["vehicle"]["occupancy_status"] == 2 and row["vehicle"]["occupancy_percentage"] == 40
+
+
 def test_trees_with_cycles_are_errors(spark):
     rows = spark.createDataFrame([("s", "a", "b", "A"), ("s", "b", "a", "B"), ("s", "c", "x", "C"), ("s", "d", None, "D")], "source_id string, id string, parent_id string, title string")
     assert {(r["id"], r["problem"]) for r in catalogue.validate_tree(rows, 8).collect()} == {("a", "cycle"), ("b", "cycle"), ("c", "missing parent")}
