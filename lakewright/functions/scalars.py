@@ -208,14 +208,17 @@ def status_label(c: Column) -> Column:
     return F.coalesce(label, c)
 
 
+def format_suffixes(wanted: str) -> tuple[str, ...]:
+    """Lower-case suffixes of the files of a format, or of all formats that a label names."""
+    suffixes = {"csv": [".csv"], "json": [".json", ".geojson"], "tif": [".tif", ".tiff"], "tiff": [".tif", ".tiff"], "docx": [".docx"], "map": [".map"], "pdf": [".pdf"], "tab": [".tab"]}
+    return tuple(end for key, ends in suffixes.items() if key in wanted.lower() for end in ends)
+
+
 def matches_format(name: Column, wanted: str) -> Column:
     """Whether a file name has the suffix of a format; a label with several formats matches by any."""
     low, out = F.lower(name), F.lit(False)
-    suffixes = {"csv": [".csv"], "json": [".json", ".geojson"], "tif": [".tif", ".tiff"], "tiff": [".tif", ".tiff"], "docx": [".docx"], "map": [".map"], "pdf": [".pdf"], "tab": [".tab"]}
-    for key, ends in suffixes.items():
-        if key in wanted.lower():
-            for end in ends:
-                out = out | low.endswith(end)
+    for end in format_suffixes(wanted):
+        out = out | low.endswith(end)
     return F.coalesce(out, F.lit(False))
 
 

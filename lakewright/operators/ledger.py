@@ -138,9 +138,15 @@ def remove_label_prefix(labels: DataFrame, resources: DataFrame, prefix: str) ->
 
 
 def apply_sync_results(syncs: DataFrame, results: DataFrame, most: int = 16000) -> DataFrame:
-    """Syncs after their results: only running ones change; a failure keeps the counts and its error is cut."""
-    own = results.select(F.col("sync_id").alias("id"), F.col("success").alias("r_success"), F.col("error").alias("r_error"), F.col("count").alias("r_count"))
-    joined = syncs.join(own.dropDuplicates(["id"]), "id", "left")
+    """Syncs after their results: only running ones change; a failure keeps the counts and its error is cut.
+
+    The first result of a sync ends it: the earliest by ``ts``, if the results
+    have one; of equal ones a failure, then the smaller error and count.
+    """
+    time = [F.col("ts")] if "ts" in results.columns else []
+    first = F.min(F.struct(*time, F.col("success").alias("r_success"), F.col("error").alias("r_error"), F.col("count").alias("r_count"))).alias("first")
+    own = results.filter("success IS NOT NULL").groupBy(F.col("sync_id").alias("id")).agg(first).select("id", "first.r_success", "first.r_error", "first.r_count")
+    joined = syncs.join(own, "id", "left")
     hit = (F.col("status") == "running") & F.col("r_success").isNotNull()
     return joined.select(
         "id",

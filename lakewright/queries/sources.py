@@ -27,17 +27,19 @@ def s1(t: Tables) -> DataFrame:
 
 
 def _labelled(t: Tables) -> DataFrame:
-    """Parts as lines of four files with a delimiter each, two of them after a line of preamble."""
+    """Parts as lines of four files with a delimiter each, after a line of preamble; two of them have a header."""
     k = F.col("p_partkey") % 4
     d = F.element_at(F.array(*[F.lit(x) for x in V.DELIMITERS]), (k + 1).cast("int"))
     fields = F.concat("p_partkey", d, F.lit('"'), "p_name", F.lit('"'), d, "p_brand", d, "p_size")
-    rows = t.part.select(F.concat(F.lit("f"), k).alias("file"), (F.floor(F.col("p_partkey") / 4) + 2).cast("long").alias("number"), fields.alias("line"))
-    return rows.union(t.spark.range(4).select(F.concat(F.lit("f"), "id"), F.lit(1).cast("long"), F.lit("made by hand")))
+    rows = t.part.select(F.concat(F.lit("f"), k).alias("file"), (F.floor(F.col("p_partkey") / 4) + 3 - k % 2).cast("long").alias("number"), fields.alias("line"))
+    e = F.element_at(F.array(*[F.lit(x) for x in V.DELIMITERS]), (F.col("id") + 1).cast("int"))
+    names = t.spark.range(0, 4, 2).select(F.concat(F.lit("f"), "id"), F.lit(2).cast("long"), F.concat(F.lit("key"), e, F.lit("name"), e, F.lit("brand"), e, F.lit("size")))
+    return rows.union(names).union(t.spark.range(4).select(F.concat(F.lit("f"), "id"), F.lit(1).cast("long"), F.lit("made by hand")))
 
 
-@query("s2_profile_csv", "SELECT concat('f', i) AS file, [',', ';', chr(9), '|'][i + 1] AS delimiter, 4 AS width, true AS quoted, 1 AS preamble FROM range(4) r(i)")
+@query("s2_profile_csv", "SELECT concat('f', i) AS file, [',', ';', chr(9), '|'][i + 1] AS delimiter, 4 AS width, true AS quoted, 1 AS preamble, i % 2 = 0 AS header, 'UTF-8' AS encoding FROM range(4) r(i)")
 def s2(t: Tables) -> DataFrame:
-    return V.profile_csv(_labelled(t)).select("file", "delimiter", "width", "quoted", "preamble")
+    return V.profile_csv(_labelled(t)).select("file", "delimiter", "width", "quoted", "preamble", "header", "encoding")
 
 
 @query("s3_infer_types", "SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_orderstatus', 'string'), ('o_totalprice', 'double'), ('o_orderdate', 'string'), ('flag', 'boolean')) v(name, type)")
@@ -236,10 +238,11 @@ def s24(t: Tables) -> DataFrame:
     return pages.crawl_frontier(made, made.filter("url = 'http://h/0'").select("url"))
 
 
-@query("s25_drive_links", "SELECT url, CASE WHEN page_id % 3 = 0 THEN 'folder' ELSE 'file' END AS kind, concat('id_', page_id) AS drive_id FROM pages WHERE page_id % 4 > 0")
+@query("s25_drive_links", "SELECT url, CASE WHEN page_id % 6 IN (2, 3) THEN 'folder' ELSE 'file' END AS kind, concat('id_', page_id) AS drive_id, CASE WHEN page_id % 6 IN (3, 5) THEN concat('k ', page_id) END AS resource_key FROM pages WHERE page_id % 6 > 1")
 def s25(t: Tables) -> DataFrame:
     n = F.col("page_id")
-    link = F.when(n % 4 == 0, "https://other.example/d/abc").when(n % 3 == 0, F.concat(F.lit("https://drive.google.com/drive/folders/id_"), n)).when(n % 2 == 0, F.concat(F.lit("https://docs.google.com/document/d/id_"), n, F.lit("/edit"))).otherwise(F.concat(F.lit("https://drive.google.com/open?x=1&amp;id=id_"), n))
+    forms = ["https://other.example/file/d/id_{}", "https://drive.google.com/file/d/id.{}/view", "https://drive.google.com/drive/u/0/folders/id_{}", "https://drive.google.com/drive/folders/id_{}?resourcekey=k%20{}", "https://drive.google.com/file/d/id_{}/view", "https://drive.google.com/open?resourcekey=k+{}&amp;id=id_{}"]
+    link = F.replace(F.element_at(F.array(*[F.lit(x) for x in forms]), (n % 6 + 1).cast("int")), F.lit("{}"), n.cast("string"))
     return pages.extract_drive_links(t.pages.select("url", F.concat(F.lit('<p><a class=x href="'), link, F.lit('">d</a>')).alias("html")))
 
 

@@ -34,15 +34,14 @@ def _streamed(df: DataFrame, folder: str) -> DataFrame:
 def r1_stream(t: Tables) -> DataFrame:
     folder = shared_folder(t.spark, "jobs")
     rows = messages(t).select("event_id", "ts", "resource_id", "job_id", "status")
-    stream = R.job_state_stream(R.deduplicated(_streamed(rows.union(rows.limit(100)), folder)))
+    stream = R.job_state_stream(R.deduplicated(_streamed(rows.union(rows), folder)))
     return _run(stream, folder).filter(F.col("status").isin("completed", "failed", "deleted")).select("event_id", "job_id", "status")
 
 
 @query("r4_child_completion_stream", "SELECT l_orderkey AS parent_job_id, CASE WHEN bool_or(l_discount < 0.01) THEN 'failed' ELSE 'completed' END AS status FROM lineitem GROUP BY 1 HAVING bool_or(l_discount < 0.01) OR count(DISTINCT l_linenumber % 4) = 4")
 def r4_stream(t: Tables) -> DataFrame:
     folder = shared_folder(t.spark, "children")
-    # failures first, as the stream decides with the messages it has
-    rows = children(t).select("parent_job_id", "child_index", "status", "total_child_count").repartition(4, "parent_job_id").sortWithinPartitions("parent_job_id", "status")
+    rows = children(t).select("parent_job_id", "child_index", "status", "total_child_count")
     return _run(R.child_completion_stream(_streamed(rows, folder)), folder)
 
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import matches_format, stable_id
+from ..functions.scalars import format_suffixes, stable_id
 
 
 @dataclass(frozen=True)
@@ -55,8 +55,19 @@ def expand_archives(files: DataFrame, wanted: str, limits: Limits = Limits()) ->
     """(label, name, modified, content) of the members of archives (file, content) that match a format.
 
     Inner archives are opened too; a label is outer!/inner.  An archive over a
-    limit is an error.  One root archive is one row, so one task's memory.
+    limit is an error.  Other members are counted but not unpacked.  A member
+    that unpacks to another size than its entry says is an error, too, so the
+    limits hold for what is read.  One root archive is one row, so one task's
+    memory.
     """
+    suffixes = format_suffixes(wanted)
+
+    def unpacked(archive: zipfile.ZipFile, info: zipfile.ZipInfo, label: str) -> bytes:
+        with archive.open(info) as member:
+            data = member.read(info.file_size + 1)
+        if len(data) != info.file_size:
+            raise ValueError(f"{label}: {info.filename} has another size than its entry says")
+        return data
 
     def members(data: bytes, label: str, depth: int, spent: list[int]) -> Iterator[tuple]:
         if depth > limits.depth:
@@ -72,9 +83,9 @@ def expand_archives(files: DataFrame, wanted: str, limits: Limits = Limits()) ->
                 if info.is_dir():
                     continue
                 if info.filename.lower().endswith(".zip"):
-                    yield from members(archive.read(info), f"{label}!/{info.filename}", depth + 1, spent)
-                else:
-                    yield f"{label}!/{info.filename}", info.filename.rsplit("/", 1)[-1], pd.Timestamp(*info.date_time), archive.read(info)
+                    yield from members(unpacked(archive, info, label), f"{label}!/{info.filename}", depth + 1, spent)
+                elif info.filename.lower().endswith(suffixes):
+                    yield f"{label}!/{info.filename}", info.filename.rsplit("/", 1)[-1], pd.Timestamp(*info.date_time), unpacked(archive, info, label)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
@@ -89,8 +100,7 @@ def expand_archives(files: DataFrame, wanted: str, limits: Limits = Limits()) ->
                 if held:
                     yield pd.DataFrame(held, columns=["label", "name", "modified", "content"])
 
-    out = files.mapInPandas(run, "label string, name string, modified timestamp_ntz, content binary")
-    return out.filter(matches_format(F.col("name"), wanted))
+    return files.mapInPandas(run, "label string, name string, modified timestamp_ntz, content binary")
 
 
 def pack_archives(members: DataFrame, folder: str) -> str:

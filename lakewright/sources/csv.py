@@ -93,23 +93,35 @@ def join_records(lines: DataFrame, quote: str = '"') -> DataFrame:
     return marked.filter("first IS NULL").select("file", "number", "line").unionByName(joined)
 
 
+def _named(cells: Column) -> Column:
+    """Whether cells look like column names."""
+    number = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+    return F.forall(cells, lambda x: (F.trim(x) != "") & ~x.rlike(number)) & (F.size(F.array_distinct(cells)) == F.size(cells))
+
+
 def profile_csv(lines: DataFrame, hint: str | None = None) -> DataFrame:
-    """(file, delimiter, width, quoted, preamble, share) from all lines of each file (file, number, line).
+    """(file, delimiter, width, quoted, preamble, share, header, encoding) from all lines of each file (file, number, line).
 
     Each candidate delimiter cuts every line; the one whose most frequent width
     over one covers the largest share of lines wins, then the wider one.  Lines
-    before the first of that width are a preamble.  A hint of one byte is taken
-    as it is.
+    before the first of that width are a preamble.  That first line is a header
+    if its fields are all there, all different and no numbers.  A file with
+    bytes that are no UTF-8 (read as replacement characters) is Latin-1.  A
+    hint of one byte is taken as it is.
     """
     delimiters = (Dialect(hint).delimiter,) if hint is not None else DELIMITERS
     rows = lines.filter(F.trim("line") != "")
     cut = F.array(*[F.struct(F.lit(d).alias("delimiter"), F.size(split_fields(F.col("line"), d)).alias("width")) for d in delimiters])
     cuts = rows.select("file", "number", F.contains("line", F.lit('"')).alias("quote"), F.inline(cut))
     widths = cuts.groupBy("file", "delimiter", "width").agg(F.count("*").alias("n"), F.min("number").alias("first"), F.max("quote").alias("quoted"))
-    totals = rows.groupBy("file").agg(F.count("*").alias("total"))
+    totals = rows.groupBy("file").agg(F.count("*").alias("total"), F.when(F.bool_or(F.contains("line", F.lit("\ufffd"))), "ISO-8859-1").otherwise("UTF-8").alias("encoding"))
     score = F.struct(F.when(F.col("width") > 1, F.col("n")).otherwise(0), "width", F.negative("first"), "delimiter")
-    best = widths.groupBy("file").agg(F.max_by(F.struct("delimiter", "width", "quoted", (F.col("first") - 1).alias("preamble"), "n"), score).alias("b"))
-    return best.join(totals, "file").select("file", "b.delimiter", "b.width", "b.quoted", "b.preamble", (F.col("b.n") / F.col("total")).alias("share"))
+    best = widths.groupBy("file").agg(F.max_by(F.struct("delimiter", "width", "quoted", "first", "n"), score).alias("b"))
+    found = best.join(totals, "file").select("file", "b.*", "total", "encoding")
+    # the first lines are looked up, so that no other line's cells are looked at
+    header = F.coalesce(*[F.when(F.col("delimiter") == d, _named(split_fields(F.col("line"), d))) for d in delimiters])
+    first = rows.select("file", F.col("number").alias("first"), "line")
+    return found.join(first, ["file", "first"]).select("file", "delimiter", "width", "quoted", (F.col("first") - 1).alias("preamble"), (F.col("n") / F.col("total")).alias("share"), header.alias("header"), "encoding")
 
 
 KINDS = (("bigint", T.LongType()), ("double", T.DoubleType()), ("boolean", T.BooleanType()))

@@ -67,13 +67,19 @@ def crawl_frontier(pages: DataFrame, roots: DataFrame, depth: int = DEPTH, most:
 
 
 def extract_drive_links(pages: DataFrame) -> DataFrame:
-    """(url, kind, drive_id) of links to shared folders and files, in their path or id= form."""
-    links = extract_links(pages).filter(url_host(F.col("target")).isin("drive.google.com", "docs.google.com"))
-    folder = F.regexp_extract("target", "/folders/([A-Za-z0-9_-]+)", 1)
-    file = F.regexp_extract("target", "/d/([A-Za-z0-9_-]+)", 1)
-    query = F.regexp_extract("target", "[?&]id=([A-Za-z0-9_-]+)", 1)
-    kind = F.when(folder != "", "folder").when((file != "") | (query != ""), "file")
-    return links.select("url", kind.alias("kind"), F.coalesce(*[F.nullif(c, F.lit("")) for c in (folder, file, query)]).alias("drive_id")).filter("kind IS NOT NULL").distinct()
+    """(url, kind, drive_id, resource_key) of links to shared folders and files, by their path or their id parameter.
+
+    Ids in paths are letters, digits, hyphens and underscores; a path with any
+    other is no link.  The key is null where a link has none.
+    """
+    links = extract_links(pages).filter(url_host(F.col("target")) == "drive.google.com")
+    path = F.parse_url("target", F.lit("PATH"))
+    parameter = lambda name: F.try_url_decode(F.try_parse_url("target", F.lit("QUERY"), F.lit(name)))
+    inside = lambda pattern: F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
+    folder, file = inside("^/drive/(?:u/[^/]*/)?folders/([^/]+)"), inside("^/file/d/([^/]+)")
+    named = F.coalesce(folder, file)
+    found = links.select("url", F.when(folder.isNotNull(), "folder").otherwise("file").alias("kind"), F.coalesce(named, parameter("id")).alias("drive_id"), parameter("resourcekey").alias("resource_key"), named.alias("named"))
+    return found.filter("drive_id IS NOT NULL").filter(F.col("named").isNull() | F.col("named").rlike("^[A-Za-z0-9_-]+$")).drop("named").distinct()
 
 
 def file_references(resources: DataFrame) -> DataFrame:

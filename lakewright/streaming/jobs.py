@@ -41,47 +41,53 @@ def applied(job: dict | None, status: str) -> dict | None:
 def job_state_stream(stream: DataFrame) -> DataFrame:
     """Transitions (resource_id, job_id, status, event_id, ts) of messages (event_id, ts, resource_id, job_id, status).
 
-    All jobs of a resource share one state, so its latest and terminal jobs are
-    known together.  Messages of a micro-batch are applied in time order;
-    late ones meet the guard of a job that is over.
+    Each job has a state of its own, its status, so a resource with very many
+    jobs is spread over tasks and a message rewrites one word.  A job that is
+    over can be opened again at any time, so no state is dropped.  Messages of
+    a micro-batch are applied in time order; late ones meet the guard of a job
+    that is over.
     """
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        jobs = json.loads(state.get[0]) if state.exists else {}
+        job = {"status": state.get[0]} if state.exists else None
         out = []
         rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-        for event, ts, job, status in zip(rows["event_id"], rows["ts"], rows["job_id"], rows["status"], strict=True):
-            new = applied(jobs.get(job), status)
+        for event, ts, status in zip(rows["event_id"], rows["ts"], rows["status"], strict=True):
+            new = applied(job, status)
             if new:
-                jobs[job] = new
-                out.append((key[0], job, new["status"], event, ts))
-        state.update((json.dumps(jobs),))
+                job = new
+                out.append((*key, new["status"], event, ts))
         if out:
+            state.update((job["status"],))
             yield pd.DataFrame(out, columns=["resource_id", "job_id", "status", "event_id", "ts"])
 
     kinds = dict(stream.dtypes)
     output = f"resource_id {kinds['resource_id']}, job_id string, status string, event_id {kinds['event_id']}, ts {kinds['ts']}"
-    return stream.groupBy("resource_id").applyInPandasWithState(run, output, "jobs string", "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy("resource_id", "job_id").applyInPandasWithState(run, output, "status string", "append", GroupStateTimeout.NoTimeout)
 
 
 def child_completion_stream(stream: DataFrame) -> DataFrame:
     """(parent_job_id, status) once a parent is decided: failed by its first failed child, completed when all indexes are there.
 
-    Messages have parent_job_id, child_index, status and total_child_count.
+    Messages have parent_job_id, child_index, status and total_child_count.  A
+    micro-batch counts as a whole, in any order: if it holds a failure, the
+    parent fails.  What comes after the verdict changes nothing, and the
+    indexes of a parent that is decided are forgotten.
     """
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         done, over = (set(json.loads(state.get[0])), state.get[1]) if state.exists else (set(), False)
-        verdict = None
+        if over:
+            return
+        verdict, total = None, None
         for df in frames:
-            for index, status, total in zip(df["child_index"], df["status"], df["total_child_count"], strict=True):
-                if over:
-                    continue
-                if status == "SUCCESS":
-                    done.add(int(index))
-                if status == "FAILED" or len(done) >= total:
-                    verdict, over = "failed" if status == "FAILED" else "completed", True
-        state.update((json.dumps(sorted(done)), over))
+            if (df["status"] == "FAILED").any():
+                verdict = "failed"
+            done.update(df.loc[df["status"] == "SUCCESS", "child_index"].astype(int).tolist())
+            total = int(df["total_child_count"].min()) if total is None else min(total, int(df["total_child_count"].min()))
+        if verdict is None and len(done) >= total:
+            verdict = "completed"
+        state.update((json.dumps([] if verdict else sorted(done)), verdict is not None))
         if verdict:
             yield pd.DataFrame({"parent_job_id": [key[0]], "status": [verdict]})
 

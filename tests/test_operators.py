@@ -139,6 +139,14 @@ def test_csv_profile_reads_all_lines(spark):
     assert got == {"late": (",", 3, True, 0, 59_999 / 60_000), "wider": (";", 3, False, 25_000, 35_000 / 60_000)}
 
 
+def test_csv_profile_finds_headers_and_encoding(spark):
+    texts = {"named": ["made by hand", "a;b", "1;2", "3;4"], "bare": ["1;2", "3;4"], "twice": ["a;a", "1;2"], "gap": ["a;", "1;2"], "latin": ["a;b", "1;Jos\ufffd"]}
+    lines = spark.createDataFrame([(f, i, x) for f, xs in texts.items() for i, x in enumerate(xs, 1)], "file string, number long, line string")
+    got = {r["file"]: (r["preamble"], r["header"], r["encoding"]) for r in csv.profile_csv(lines).collect()}
+    assert got == {"named": (1, True, "UTF-8"), "bare": (0, False, "UTF-8"), "twice": (0, False, "UTF-8"), "gap": (0, False, "UTF-8"), "latin": (0, True, "ISO-8859-1")}
+    assert csv.profile_csv(lines.limit(0)).count() == 0
+
+
 def test_json_documents(spark):
     bodies = lambda *texts: spark.createDataFrame(list(enumerate(texts)), "file string, body string")
     rows = J.scan_json(bodies('[{"a":1,"b":null,"c":{"d":[1]}},{"a":"x","b":null}]', '{"a":true}'))
@@ -188,6 +196,30 @@ def test_archives_expand_with_limits(spark):
             archives.expand_archives(files, "CSV", limits).collect()
 
 
+def test_archive_members_are_held_to_their_sizes(spark):
+    data = bytearray(_zip({"a.csv": b"x" * 500}))
+    at = data.index(b"PK\x01\x02") + 24  # the size in the central directory
+    data[at : at + 4] = (7).to_bytes(4, "little")
+    files = spark.createDataFrame([("a.zip", data)], "file string, content binary")
+    with pytest.raises(Exception, match="size|CRC"):
+        archives.expand_archives(files, "CSV").collect()
+    assert archives.expand_archives(files, "JSON").count() == 0  # not unpacked at all
+
+
+def test_drive_links(spark):
+    hrefs = ["https://drive.google.com/drive/u/1/folders/A_-1?resourcekey=k", "https://drive.google.com/file/d/b!d/view", "https://drive.google.com/uc?export=x&amp;id=c%20c", "https://docs.google.com/file/d/e", "https://drive.google.com/open?id=", "https://drive.google.com/about"]
+    page = "".join(f'<a href="{h}">x</a>' for h in hrefs)
+    got = {tuple(r)[1:] for r in pages.extract_drive_links(spark.createDataFrame([("http://h/", page), ("http://h/2", None)], "url string, html string")).collect()}
+    assert got == {("folder", "A_-1", "k"), ("file", "c c", None), ("file", "", None)}
+
+
+def test_first_sync_result_counts(spark):
+    syncs = spark.createDataFrame([(1, 9, "running", 0), (2, 9, "running", 0), (3, 9, "running", 0)], "id long, instance_id long, status string, count int")
+    results = spark.createDataFrame([(1, True, None, 5, 2), (1, False, "late", 0, 3), (2, True, None, 4, 1), (2, False, "e", 0, 1), (3, None, None, 1, 1)], "sync_id long, success boolean, error string, count int, ts int")
+    got = {r["id"]: (r["status"], r["count"], r["error"]) for r in ledger.apply_sync_results(syncs, results).collect()}
+    assert got == {1: ("completed", 5, None), 2: ("failed", 0, "e"), 3: ("running", 0, None)}
+
+
 def test_crawl_is_bounded(spark):
     df = spark.createDataFrame([(f"http://h/{i}", f'<a href="{i + 1}">') for i in range(9)], "url string, html string")
     assert pages.crawl_frontier(df, df.limit(1)).count() == 5
