@@ -167,6 +167,19 @@ def validate_results(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     return messages.filter(known & ids), messages.filter(idle), messages.filter(~(known & ids) & ~idle)
 
 
+def admission(messages: DataFrame, instances: DataFrame) -> DataFrame:
+    """Messages with ``problem``: null for those that may be folded.
+
+    A PENDING message begins a job only with a dataset_name and an instance_id
+    ("incomplete" otherwise) of instances (id) that exist ("unknown instance").
+    Any other message needs no more than its job, which the fold sees to.
+    """
+    known = instances.select(F.col("id").alias("admitting_id")).filter("admitting_id IS NOT NULL").distinct()
+    whole = F.col("dataset_name").isNotNull() & F.col("instance_id").isNotNull()
+    problem = F.when(F.col("status") == "PENDING", F.when(~whole, "incomplete").when(F.col("admitting_id").isNull(), "unknown instance"))
+    return messages.join(known, F.col("instance_id") == F.col("admitting_id"), "left").withColumn("problem", problem).drop("admitting_id")
+
+
 def fold_job_results(messages: DataFrame) -> DataFrame:
     """Effective terminal results of messages (event_id, ts, resource_id, job_id, status), in time order by job.
 

@@ -25,18 +25,21 @@ class StateTable:
             return self.empty
         return self.spark.read.schema(self.empty.schema).parquet(f"{self.root}/{self.manifests.read(version)['folder']}")
 
-    def update(self, change: Callable[[DataFrame], DataFrame], once: str | None = None) -> int:
+    def update(self, change: Callable[[DataFrame], DataFrame], once: tuple[str, int] | None = None) -> int:
         """Write ``change`` of the newest state as the next version.
 
-        With ``once``, the name of an update, a second one of that name changes nothing.
+        With ``once``, a writer's name and the rising number of its update, one
+        that is sent again changes nothing; a manifest holds one number a writer.
         """
         base = self.manifests.newest()
-        names = self.manifests.read(base)["names"] if base else []
-        if once is not None and once in names:
-            return base
+        done = self.manifests.read(base)["done"] if base else {}
+        if once is not None:
+            if once[1] <= done.get(once[0], -1):
+                return base
+            done = {**done, once[0]: once[1]}
         folder = f"data/{base + 1:012d}-{uuid.uuid4().hex}"
         change(self.read(base)).write.parquet(f"{self.root}/{folder}")
-        return self.manifests.commit(base, {"folder": folder, "names": names + [once] * (once is not None)})
+        return self.manifests.commit(base, {"folder": folder, "done": done})
 
 
 class Registry:

@@ -134,6 +134,13 @@ def r1(t: Tables) -> DataFrame:
     return L.fold_job_results(messages(t)).select("event_id", "job_id", "status")
 
 
+@query("r1_admission", "SELECT event_id, CASE WHEN event_type = 'signup' THEN CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'incomplete' WHEN user_id % 30 NOT IN (SELECT n_nationkey FROM nation) THEN 'unknown instance' END END AS problem FROM events")
+def r1_admission(t: Tables) -> DataFrame:
+    e = F.col("event_id")
+    number = t.events.select("event_id", F.when(e % 11 != 0, F.col("user_id") % 30).alias("instance_id"), F.when(e % 7 != 0, "d").alias("dataset_name"))
+    return L.admission(messages(t).join(number, "event_id"), instances(t)).select("event_id", "problem")
+
+
 @query("r8_duplicate_delivery", f"WITH {FOLD} SELECT event_id, job_id, status FROM fold")
 def r8(t: Tables) -> DataFrame:
     return L.fold_job_results(messages(t).union(messages(t).filter("status <> 'PENDING'"))).select("event_id", "job_id", "status")

@@ -271,6 +271,21 @@ def s30(t: Tables) -> DataFrame:
     return R.cache_decision(sources, cache, "event_id", F.lit(now)).select("event_id", "decision")
 
 
+@query(
+    "s30_archive_decision",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'fetch' WHEN event_id % 13 = 0 THEN 'reuse' WHEN event_id % 2 = 0 AND event_id % 5 > 0 THEN CASE WHEN ts > m - INTERVAL 7 DAY THEN 'reuse' ELSE 'fetch' END
+WHEN event_id % 10 = 5 AND event_id % 4 = 1 THEN 'fetch' ELSE 'reuse' END AS decision FROM events, (SELECT max(ts) AS m FROM events)""",
+)
+def s30_archives(t: Tables) -> DataFrame:
+    """Odd archives tell when they were modified, every fifth tells a tag, and some of those that tell both have a new one."""
+    now = t.events.agg(F.max("ts")).first()[0]
+    e = F.col("event_id")
+    tag = F.when(e % 5 == 0, F.when((e % 2 == 1) & (e % 4 == 1), "new").otherwise("old"))
+    sources = t.events.select("event_id", F.when(e % 2 == 1, F.col("ts")).alias("last_modified"), tag.alias("etag"), F.lit(True).alias("archive"), (e % 13 != 0).alias("answered"))
+    cache = t.events.filter("event_id % 3 > 0").select("event_id", F.col("ts").alias("uploaded_at"), F.col("ts").alias("origin_modified"), F.lit("old").alias("origin_etag"))
+    return R.cache_decision(sources, cache, "event_id", F.lit(now)).select("event_id", "decision")
+
+
 @query("s31_read_messages", "SELECT event_id, event_type AS status, value FROM events")
 def s31(t: Tables) -> DataFrame:
     path = shared_folder(t.spark, "messages")

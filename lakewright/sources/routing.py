@@ -77,8 +77,22 @@ def ingest_resources(resources: DataFrame, readers: Sequence[Reader]) -> DataFra
 
 
 def cache_decision(sources: DataFrame, cache: DataFrame, key: str, now: Column, hours: float = 168) -> DataFrame:
-    """Sources with a decision: fetch without a copy, fresh within ``hours``, reuse if the origin is not newer or doesn't say, else fetch."""
+    """Sources with a decision: fetch without a copy, fresh within ``hours``, reuse if the origin is not newer or doesn't say, else fetch.
+
+    A copy is used if the origin did not answer (``answered``).  An archive
+    (``archive``) is always asked for: its copy is reused if the ``etag`` and
+    ``last_modified`` that the origin tells are the copy's ``origin_etag`` and
+    ``origin_modified``; if it tells neither, a copy within ``hours`` is.  Of
+    these columns those that are not there are null; null is answered, and no
+    archive.
+    """
     joined = sources.join(cache, key, "left")
+    known = lambda name: F.col(name) if name in joined.columns else F.lit(None)
     fresh = ~older_than(F.col("uploaded_at"), now, hours) & (F.col("uploaded_at").cast("timestamp") != F.timestamp_micros(F.unix_micros(now.cast("timestamp")) - int(hours * 3_600_000_000)))
-    choice = F.when(F.col("uploaded_at").isNull(), "fetch").when(fresh, "fresh").when(F.col("last_modified").isNull() | (F.col("last_modified") <= F.col("uploaded_at")), "reuse").otherwise("fetch")
+    told = F.col("last_modified").isNotNull() | known("etag").isNotNull()
+    agrees = lambda now_, then: now_.isNull() | now_.eqNullSafe(then)
+    same = told & agrees(F.col("last_modified"), known("origin_modified")) & agrees(known("etag"), known("origin_etag"))
+    lost = ~F.coalesce(known("answered").cast("boolean"), F.lit(True))
+    archive = F.when(lost | same | (~told & fresh), "reuse").otherwise("fetch")
+    choice = F.when(F.col("uploaded_at").isNull(), "fetch").when(F.coalesce(known("archive").cast("boolean"), F.lit(False)), archive).when(fresh, "fresh").when(lost, "reuse").when(F.col("last_modified").isNull() | (F.col("last_modified") <= F.col("uploaded_at")), "reuse").otherwise("fetch")
     return joined.withColumn("decision", choice)

@@ -100,7 +100,7 @@ def sync_state_stream(results: DataFrame, table: StateTable, checkpoint: str):
     from ..operators.ledger import apply_sync_results
 
     def batch(df: DataFrame, number: int) -> None:
-        table.update(lambda syncs: apply_sync_results(syncs, df), once=f"batch-{number}")
+        table.update(lambda syncs: apply_sync_results(syncs, df), once=("syncs", number))
 
     return results.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

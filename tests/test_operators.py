@@ -257,8 +257,8 @@ def test_state_tables_keep_versions(spark, tmp_path):
     table = StateTable(spark, f"file://{tmp_path}/t", "k int, v string")
     assert table.read().count() == 0
     rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
-    table.update(lambda old: ledger.upsert(old, rows((1, "a"), (2, "b")), ["k"]), once="first")
-    table.update(lambda old: ledger.upsert(old, rows((1, "z")), ["k"]), once="first")
+    table.update(lambda old: ledger.upsert(old, rows((1, "a"), (2, "b")), ["k"]), once=("w", 3))
+    table.update(lambda old: ledger.upsert(old, rows((1, "z")), ["k"]), once=("w", 3))
     table.update(lambda old: ledger.upsert(old, rows((2, "c"), (3, "d")), ["k"]))
     assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
     assert sorted(map(tuple, table.read(1).collect())) == [(1, "a"), (2, "b")]
