@@ -90,6 +90,13 @@ def u1(t: Tables) -> DataFrame:
     return C.merge_children([("a.zip!/left.csv", left), ("right.csv", right)])
 
 
+@query("c8_geo_children", "SELECT s_suppkey AS id, concat('POINT(', s_suppkey, ' ', s_nationkey, ')') AS geometry, CASE WHEN s_suppkey % 2 = 0 THEN 'a.geojson' ELSE 'b.geojson' END AS __source_file FROM supplier")
+def c8(t: Tables) -> DataFrame:
+    points = t.supplier.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("POINT("), "s_suppkey", F.lit(" "), "s_nationkey", F.lit(")")).alias("geometry"))
+    geo = [{"version": "1.1.0", "primary_column": "geometry", "bbox": [i, 0, 9, 9]} for i in range(2)]
+    return C.merge_children([("a.geojson", points.filter("id % 2 = 0")), ("b.geojson", points.filter("id % 2 = 1"))], geo=geo)
+
+
 @query(
     "a7_column_statistics",
     " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count(v) AS nulls, CAST(min(v) AS VARCHAR) AS least, CAST(max(v) AS VARCHAR) AS most FROM (SELECT {e} AS v FROM customer)" for c, e in (("c_custkey", "c_custkey"), ("c_mktsegment", "c_mktsegment"), ("half", "CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END"))),

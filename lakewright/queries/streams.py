@@ -156,6 +156,25 @@ def k7(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{root}/copy/suppliers")
 
 
+@query("k2_write_geo_table", "SELECT s_suppkey AS id, concat('POINT(', s_suppkey, ' 1)') AS geometry, 'geometry' AS primary_column FROM supplier")
+def k2(t: Tables) -> DataFrame:
+    points = t.supplier.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("POINT("), "s_suppkey", F.lit(" 1)")).alias("geometry"))
+    path = K.write_geo_table(points, shared_folder(t.spark, "geo"), "r1", "v1", {"version": "1.1.0", "primary_column": "geometry"})
+    rows = t.spark.read.parquet(path)
+    return rows.withColumn("primary_column", F.get_json_object(F.lit(rows.schema["geometry"].metadata["geo"]), "$.primary_column"))
+
+
+@query("k5_write_snapshot", "SELECT '7' AS source_id, 's9' AS sync_id, '2024-01-01T00:00:00Z' AS collected_at, s_suppkey AS id, s_name AS title FROM supplier")
+def k5(t: Tables) -> DataFrame:
+    root = shared_folder(t.spark, "snapshots")
+    rows = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"))
+    header = {"source_id": "7", "sync_id": "s9", "collected_at": "2024-01-01T00:00:00Z", "resources_total": t.supplier.count()}
+    if not K.write_snapshot(header, rows, root) or K.write_snapshot(header, rows.select("id"), root):
+        raise ValueError("a snapshot is written once")
+    headers, body = K.scan_inbox(t.spark, root, "id long, title string")
+    return body.join(headers.drop("resources_total"), ["source_id", "sync_id"])
+
+
 @query("k8_registration_plan", f"WITH {OBJECTS}, {KINDS} SELECT object_key AS path, (row_number() OVER (ORDER BY object_key) - 1) // 10 + 1 AS batch FROM kinds WHERE kind = 'live'")
 def k8(t: Tables) -> DataFrame:
     return K.registration_plan(objects(t), 10)[0].select("path", "batch")
