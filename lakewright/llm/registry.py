@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, compaction, decontamination, line_dedup, packing, quality, rollups, shingles, token_files, warc
+from . import boilerplate, compaction, conversations, decontamination, infilling, line_dedup, mixing, packing, quality, rollups, shingles, token_files, warc
 from .common import shared_folder
 
 
@@ -85,6 +85,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged, and repaired with the cheapest edits."""
+    return conversations.damage_report(table(spark, sf_dir, "conversations"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to one and a half times their words, with weights 3, 1, 2 and at most two epochs."""
+    return mixing.planned(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into prefix, middle and suffix, and restored."""
+    return infilling.digests(infilling.transformed(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_warc": op2_warc,
@@ -96,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollups": op8_token_rollups,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -104,4 +122,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": quality.SQL,
     "op7_decontamination": decontamination.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op11_conversation_repair": conversations.SQL,
+    "op12_source_mixing": mixing.SQL,
+    "op13_fill_in_middle": infilling.SQL,
 }
