@@ -26,6 +26,19 @@ def s1(t: Tables) -> DataFrame:
     return V.scan_csv(t.spark, path, V.Dialect(";"))
 
 
+@query("s1_scan_stray_quotes", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ' 5\" wide' WHEN 1 THEN p_name || chr(10) || ', \"x\"' WHEN 2 THEN p_name || ' y\"' ELSE p_name END AS p_name, p_size FROM part")
+def s1_stray(t: Tables) -> DataFrame:
+    """Fields with quotes in the middle, with line breaks, and with text after a closing quote, below a preamble with an open quote."""
+    path = shared_folder(t.spark, "csv")
+    k = F.col("p_partkey") % 4
+    name = F.when(k == 0, F.concat("p_name", F.lit(' 5" wide'))).when(k == 1, F.concat(F.lit('"'), "p_name", F.lit('\n, ""x"""'))).when(k == 2, F.concat(F.lit('"'), "p_name", F.lit('" y"'))).otherwise(F.col("p_name"))
+    line = F.concat_ws(",", "p_partkey", name, "p_size")
+    # a partition is a file, and its first row brings the head
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    t.part.select(F.when(first, F.concat(F.lit('"made "by\np_partkey,p_name,p_size\n'), line)).otherwise(line)).write.text(path)
+    return V.scan_csv(t.spark, path, V.Dialect(preamble=1))
+
+
 def _labelled(t: Tables) -> DataFrame:
     """Parts as lines of four files with a delimiter each, after a line of preamble; two of them have a header."""
     k = F.col("p_partkey") % 4

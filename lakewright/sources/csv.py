@@ -6,8 +6,11 @@ every step is a plan over lines.  Lines carry their file and number.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,18 +42,57 @@ def null_text(c: Column) -> Column:
     return F.when(~c.rlike(r"^\s*-?\s*$"), c)
 
 
+@dataclass(frozen=True)
+class _Grammar:
+    """Patterns of a dialect: a quote opens at a field's start only, two of them inside are one, and what follows the closing one is text."""
+
+    delimiter: str
+    quote: str
+
+    @property
+    def _parts(self) -> tuple[str, str, str]:
+        d, q = re.escape(self.delimiter), re.escape(self.quote)
+        inner = f"(?:[^{q}]++|{q}{q})*+"
+        return d, q, inner
+
+    @property
+    def field(self) -> str:
+        d, q, inner = self._parts
+        return f"(?:{q}{inner}(?:{q}[^{d}]*+)?+|[^{d}]*+)"
+
+    @property
+    def _fields_to_open_quote(self) -> str:
+        d, q, inner = self._parts
+        return rf"(?:(?:{q}{inner}{q}[^{d}]*+|(?!{q})[^{d}]*+){d})*+{q}{inner}\z"
+
+    @property
+    def opens(self) -> str:
+        """Matches a line that starts a record and ends inside quotes."""
+        return rf"\A{self._fields_to_open_quote}"
+
+    @property
+    def stays_open(self) -> str:
+        """Matches a line that starts and ends inside quotes."""
+        d, q, inner = self._parts
+        return rf"\A{inner}(?:\z|{q}[^{d}]*+{d}{self._fields_to_open_quote})"
+
+
 def split_fields(line: Column, delimiter: str, quote: str = '"') -> Column:
-    """Fields of a line; delimiters inside quotes don't count, and doubled quotes are one.
+    """Fields of a record; delimiters inside quotes don't count, and doubled quotes are one.
 
-    One pass from left to right: a field is a run of other characters and of
-    quoted parts; an open quote takes the rest of the line.
+    Quotes count at a field's start only; elsewhere they are text, as is what
+    stands between a closing quote and the delimiter.  An open quote takes the
+    rest of the record.
     """
-    d = delimiter if delimiter.isalnum() else "\\" + delimiter
     if not quote:
-        return F.split(line, d)
-    parts = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(rf"{d}((?:[^{d}{quote}]++|{quote}[^{quote}]*+(?:{quote}|$))*+)"), 1)
-    bare = lambda x: F.when(x.rlike(rf'^\s*{quote}(?s:.*){quote}\s*$'), F.replace(F.regexp_replace(F.trim(x), rf"^{quote}|{quote}$", ""), F.lit(quote * 2), F.lit(quote))).otherwise(x)
-    return F.transform(parts, bare)
+        return F.split(line, re.escape(delimiter))
+    grammar = _Grammar(delimiter, quote)
+    q = re.escape(quote)
+    parts = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(f"{re.escape(delimiter)}({grammar.field})"), 1)
+    inside = rf"(?s)\A{q}((?:[^{q}]++|{q}{q})*+)(?:{q}(.*+))?+\z"
+    doubled = F.lit(quote * 2)
+    text = lambda x: F.concat(F.replace(F.regexp_extract(x, inside, 1), doubled, F.lit(quote)), F.regexp_extract(x, inside, 2))
+    return F.transform(parts, lambda x: F.when(x.startswith(quote), text(x)).otherwise(x))
 
 
 def quote_field(c: Column, delimiter: str, quote: str = '"') -> Column:
@@ -59,34 +101,69 @@ def quote_field(c: Column, delimiter: str, quote: str = '"') -> Column:
     return F.when(special, F.concat(F.lit(quote), F.replace(c, F.lit(quote), F.lit(quote * 2)), F.lit(quote))).otherwise(c)
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", returns: bool = False) -> DataFrame:
     """(file, number from 1, line) of text files; numbers follow the order in each file.
 
     UTF-8 files are read line by line and numbered by position within each
-    part of a file; other encodings are decoded a file at a time.
+    part of a file; other encodings are decoded a file at a time.  The carriage
+    return at a line's end goes unless it ``returns``.
     """
+    end = "^\ufeff" if returns else "^\ufeff|\r$"
     from .logs import number_lines
 
     if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
-        return number_lines(spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿|\r$", "").alias("line")))
+        return number_lines(spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", end, "").alias("line")))
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), decode_bytes(F.col("content"), encoding).alias("body"))
     rows = files.select("file", F.posexplode(F.split(F.regexp_replace("body", "\n$", ""), "\n")).alias("i", "line"))
-    return rows.select("file", (F.col("i") + 1).cast("long").alias("number"), F.regexp_replace("line", "\r$", "").alias("line"))
+    return rows.select("file", (F.col("i") + 1).cast("long").alias("number"), F.regexp_replace("line", end, "").alias("line"))
+
 
+#: Lines that are scanned as one run.
+BLOCK = 1 << 16
 
-def join_records(lines: DataFrame, quote: str = '"') -> DataFrame:
-    """Lines (file, number, line) with the lines of each record in one, under the number of its first.
 
-    A line with an odd number of quotes opens a record over several lines, and
-    the next such line of the file closes it.  Only lines of such records are
-    gathered; one that is never closed ends with its line.
+def join_records(lines: DataFrame, dialect: Dialect = Dialect()) -> DataFrame:
+    """Lines (file, number, line) with the lines of each record in one, under the number of its first; preamble lines are left out.
+
+    A line is a map from the state before it, outside or inside quotes, to the
+    state after it.  Maps compose, so blocks of lines are scanned apart; the
+    maps of a file's blocks, one row each, give the state at every block's
+    start, and with it that of every line.  Lines without quotes map each state
+    to itself and take no part.  Only lines of records over several lines are
+    gathered.  A record that nothing closes ends with its line.
     """
-    if not quote:
+    lines = lines.filter(F.col("number") > dialect.preamble)
+    if not dialect.quote:
         return lines
-    odd = lines.filter(F.regexp_count("line", F.lit(quote)) % 2 == 1).select("file", "number")
-    by_file = Window.partitionBy("file").orderBy("number")
-    pairs = odd.select("file", "number", F.lead("number").over(by_file).alias("end"), F.row_number().over(by_file).alias("k")).filter("k % 2 = 1 AND end IS NOT NULL")
-    inside = pairs.select("file", F.col("number").alias("first"), F.explode(F.sequence("number", "end")).alias("number"))
+    grammar = _Grammar(dialect.delimiter, dialect.quote)
+    bit = lambda pattern: F.col("line").rlike(pattern).cast("int")
+    quoted = lines.filter(F.contains("line", F.lit(dialect.quote)))
+    # after it, if it starts outside, and if it starts inside
+    maps = quoted.select("file", "number", F.floor(F.col("number") / BLOCK).alias("block"), bit(grammar.opens).alias("f0"), bit(grammar.stays_open).alias("f1")).filter("NOT (f0 = 0 AND f1 = 1)")
+
+    def scanned(df: DataFrame, rows: Window) -> DataFrame:
+        """Adds fixed, the state that the last constant map sets (null before any), and flips, whether maps since then swap the states."""
+        swaps = F.sum(F.when(F.col("f0") > F.col("f1"), 1).otherwise(0)).over(rows)
+        counted = df.withColumn("swaps", swaps)
+        last = lambda c: F.last(F.when(F.col("f0") == F.col("f1"), F.col(c)), ignorenulls=True).over(rows)
+        return counted.withColumn("fixed", last("f0")).withColumn("flips", (F.col("swaps") - F.coalesce(last("swaps"), F.lit(0))) % 2)
+
+    def after(entry: Column) -> Column:
+        return (F.coalesce("fixed", entry) + F.col("flips")) % 2
+
+    in_block, in_file = Window.partitionBy("file", "block").orderBy("number"), Window.partitionBy("file").orderBy("block")
+    local = scanned(maps, in_block.rowsBetween(Window.unboundedPreceding, 0))
+    last = local.groupBy("file", "block").agg(F.max_by(F.struct("fixed", "flips"), "number").alias("m"))
+    blocks = scanned(last.select("file", "block", "m.*").select("file", "block", after(F.lit(0)).alias("f0"), after(F.lit(1)).alias("f1")), in_file.rowsBetween(Window.unboundedPreceding, 0))
+    entries = blocks.select("file", "block", F.coalesce(F.lag(after(F.lit(0))).over(in_file), F.lit(0)).alias("entry"))
+    states = local.join(entries, ["file", "block"]).select("file", "block", "number", "entry", after(F.col("entry")).alias("out"))
+    states = states.withColumn("into", F.coalesce(F.lag("out").over(in_block), "entry"))
+    # openings and closings take turns; the one after a block's last is the first of a later block
+    borders = states.filter(F.col("into") != F.col("out"))
+    heads = borders.groupBy("file", "block").agg(F.min("number").alias("head")).withColumn("next", F.lead("head").over(in_file)).select("file", "block", "next")
+    pairs = borders.withColumn("end", F.lead("number").over(in_block)).join(heads, ["file", "block"])
+    pairs = pairs.select("file", F.col("number").alias("first"), F.coalesce("end", "next").alias("end"), "out").filter("out = 1 AND end IS NOT NULL")
+    inside = pairs.select("file", "first", F.explode(F.sequence("first", "end")).alias("number"))
     marked = lines.join(inside, ["file", "number"], "left")
     whole = marked.filter("first IS NOT NULL").groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("number", "line"))).alias("parts"))
     joined = whole.select("file", F.col("first").alias("number"), F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("line"))
@@ -167,7 +244,7 @@ def split_malformed(lines: DataFrame, dialect: Dialect, width: int, schema: T.St
     """
     fields = split_fields(F.col("line"), dialect.delimiter, dialect.quote)
     rows = lines.filter(F.col("number") > dialect.preamble + int(dialect.header)).withColumn("fields", fields).withColumn("n", F.size("fields"))
-    open_quote = F.lit(False) if not dialect.quote else F.length(F.regexp_replace("line", f"[^{dialect.quote}]", "")) % 2 == 1
+    open_quote = F.lit(False) if not dialect.quote else F.col("line").rlike(_Grammar(dialect.delimiter, dialect.quote).opens)
     wrong = F.col("n") > width if not strict else F.col("n") != width
     if not strict:
         rows = rows.withColumn("fields", F.concat("fields", F.array_repeat(F.lit(None).cast("string"), F.greatest(F.lit(0), F.lit(width) - F.col("n")))))
@@ -182,10 +259,37 @@ def split_malformed(lines: DataFrame, dialect: Dialect, width: int, schema: T.St
     return good, rows.filter("kind IS NOT NULL").select("file", "number", "line", "kind", F.lit(width).alias("expected"), F.col("n").alias("actual"), "column")
 
 
-def as_columns(good: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fields as typed columns with null cells; file and number stay."""
-    cell = lambda i, f: null_text(F.get("fields", F.lit(i))).try_cast(f.dataType).alias(f.name)
-    return good.select("file", "number", *[cell(i, f) for i, f in enumerate(schema.fields)])
+#: Columns from which on cells are dealt to columns in tasks instead of by an expression each.
+WIDE = 256
+
+
+def as_columns(good: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ("file", "number")) -> DataFrame:
+    """Fields as typed columns with null cells; ``keep`` stays.
+
+    Wide rows are cast as one array for each type, and Arrow batches take their
+    columns from these, so the plan is the same for 300 columns and for 40,000.
+    """
+    if len(schema.fields) < WIDE:
+        cell = lambda i, f: null_text(F.get("fields", F.lit(i))).try_cast(f.dataType).alias(f.name)
+        return good.select(*keep, *[cell(i, f) for i, f in enumerate(schema.fields)])
+    kinds = list(dict.fromkeys(f.dataType for f in schema.fields))
+    at = [kinds.index(f.dataType) for f in schema.fields]
+    width = len(at)
+    typed = lambda kind: F.transform("fields", lambda x: null_text(x).try_cast(kind))
+    arrays = [typed(kind).alias(f"cells_{i}") for i, kind in enumerate(kinds)]
+    kept = len(keep)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [batch.column(kept + i).flatten() for i in range(len(kinds))]
+            starts = pa.array(range(0, batch.num_rows * width, width), pa.int64())
+            columns = [cells[k].slice(i).take(starts) if batch.num_rows else cells[k] for i, k in enumerate(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *columns], names=names)
+
+    rows = good.select(*keep, *arrays)
+    out = T.StructType([*rows.schema.fields[:kept], *schema.fields])
+    names = out.fieldNames()
+    return rows.mapInArrow(deal, out)
 
 
 def merge_candidates(rejects: DataFrame, dialect: Dialect) -> DataFrame:
@@ -209,7 +313,8 @@ def repair_rows(lines: DataFrame, decisions: DataFrame, dialect: Dialect) -> Dat
 def scan_csv(spark: SparkSession, path: str, dialect: Dialect | None = None, schema: T.StructType | None = None, strict: bool = True) -> DataFrame:
     """Rows of CSV files; without a schema the names are the header's and the types are inferred from all rows.
 
-    Quoted fields may hold line breaks.  The files are read once.
+    Quoted fields may hold line breaks, which stay as they are.  The files are
+    read once.
     In strict mode a short or long row is an error; else short rows are padded
     and only long ones are.
     """
@@ -217,7 +322,8 @@ def scan_csv(spark: SparkSession, path: str, dialect: Dialect | None = None, sch
 
     dialect = dialect or Dialect()
     folder = shared_folder(spark, "csv-lines")
-    lines = stored(join_records(stored(read_lines(spark, path, dialect.encoding), f"{folder}/lines"), dialect.quote), f"{folder}/records")
+    lines = stored(read_lines(spark, path, dialect.encoding, returns=True), f"{folder}/lines")
+    lines = stored(join_records(lines, dialect).withColumn("line", F.regexp_replace("line", r"\r\z", "")), f"{folder}/records")
     fields = split_fields(F.col("line"), dialect.delimiter, dialect.quote)
     first = lines.filter(F.col("number") == dialect.preamble + 1).select(fields.alias("f")).first()
     width = len(schema.fields) if schema else len(first["f"]) if first else 0
@@ -227,4 +333,4 @@ def scan_csv(spark: SparkSession, path: str, dialect: Dialect | None = None, sch
         raise ValueError(f"{bad[0]['file']} line {bad[0]['number']}: {bad[0]['kind']}, {bad[0]['actual']} fields for {width}")
     names = [f.name for f in schema.fields] if schema else unique_names([x or "" for x in first["f"]] if dialect.header else [""] * width)
     schema = schema or T.StructType([T.StructField(n, t) for n, t in zip(names, infer_field_types(good, width), strict=True)])
-    return good.select(*[null_text(F.get("fields", F.lit(i))).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+    return as_columns(good, schema, ())
