@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
@@ -25,3 +26,10 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it again, so that later steps don't repeat its plan."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a URI, for files that tasks write or read by themselves; a plain path is local."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)

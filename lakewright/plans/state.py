@@ -25,18 +25,27 @@ class StateTable:
             return self.empty
         return self.spark.read.schema(self.empty.schema).parquet(f"{self.root}/{self.manifests.read(version)['folder']}")
 
-    def update(self, change: Callable[[DataFrame], DataFrame], once: tuple[str, int] | None = None) -> int:
+    def update(self, change: Callable[[DataFrame], DataFrame], once: tuple[str, int] | None = None, identity: str | None = None) -> int:
         """Write ``change`` of the newest state as the next version.
 
-        With ``once``, a writer's name and the rising number of its update, one
-        that is sent again changes nothing; a manifest holds one number a writer.
+        With ``once``, a writer's name and the number of its update, counted
+        from 0, one that is sent again changes nothing.  No number may be left
+        out, as what it held would be lost.  A writer that has an ``identity``
+        keeps its name: another one under that name is refused, as its numbers
+        are not the same updates.  A manifest holds one entry a writer.
         """
         base = self.manifests.newest()
         done = self.manifests.read(base)["done"] if base else {}
         if once is not None:
-            if once[1] <= done.get(once[0], -1):
+            name, number = once
+            known, last = done.get(name, [identity, -1])
+            if known != identity:
+                raise ValueError(f"{name} writes to {self.root} from another checkpoint; a second stream needs a name of its own")
+            if number <= last:
                 return base
-            done = {**done, once[0]: once[1]}
+            if number > last + 1:
+                raise ValueError(f"{name} sends update {number} to {self.root} after {last}")
+            done = {**done, name: [identity, number]}
         folder = f"data/{base + 1:012d}-{uuid.uuid4().hex}"
         change(self.read(base)).write.parquet(f"{self.root}/{folder}")
         return self.manifests.commit(base, {"folder": folder, "done": done})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,8 +13,10 @@ from ..plans.folders import shared_folder
 from ..sources import archives, messages, pages, transit
 from ..sources import csv as V
 from ..sources import json as J
+from ..sources import readers
 from ..sources import routing as R
 from ..sources.logs import number_lines, scan_log
+from . import fixtures
 from .base import Tables, query
 
 PART = "p_partkey p_name p_brand p_type p_size p_retailprice".split()
@@ -133,7 +137,7 @@ def s10(t: Tables) -> DataFrame:
     def feed(df):
         entity = lambda key, route, stops: {"id": f"t{key}", "trip_update": {"trip": {"trip_id": str(key), "route_id": f"c{route}"}, "stop_time_update": [{"stop_sequence": s["l_linenumber"], "arrival": {"delay": -s["l_partkey"]}} for s in stops]}}
         message = {"header": {"gtfs_realtime_version": "2.0"}, "entity": [entity(*x) for x in zip(df["o_orderkey"], df["o_custkey"], df["stops"], strict=True)]}
-        return df[["feed"]].head(1).rename(columns={"feed": "file"}).assign(content=[transit.encode(message, transit.FEED)])
+        return df[["feed"]].head(1).rename(columns={"feed": "file"}).assign(content=[fixtures.encode(message, transit.FEED)])
 
     feeds = trips.select("feed", "o_orderkey", "o_custkey", "stops").groupBy("feed").applyInPandas(feed, "file string, content binary")
     rows = transit.scan_gtfs_rt(feeds)
@@ -208,7 +212,7 @@ def s19(t: Tables) -> DataFrame:
 @query("s20_expand_archives", "SELECT p_brand AS archive, concat(p_partkey, '.csv') AS member, octet_length(encode(p_name)) AS bytes FROM part")
 def s20(t: Tables) -> DataFrame:
     members = t.part.select(F.col("p_brand").alias("archive"), F.concat("p_partkey", F.lit(".csv")).alias("member"), F.col("p_name").alias("text"))
-    files = archives.pack_archives(members, shared_folder(t.spark, "zip"))
+    files = fixtures.pack_archives(members, shared_folder(t.spark, "zip"))
     return archives.expand_archives(archives.read_archives(t.spark, files), "CSV").select(F.regexp_extract("label", r"([^/]+)\.zip!/", 1).alias("archive"), F.regexp_extract("label", "!/(.*)$", 1).alias("member"), F.octet_length("content").cast("long").alias("bytes"))
 
 
@@ -275,6 +279,47 @@ def s28(t: Tables) -> DataFrame:
     return R.ingest_resources(rows, [csv, json]).select("id", "status", "reader")
 
 
+#: Readings of the fixtures: a customer's reader, columns, and what became of it.
+READ = """k AS (SELECT o_custkey AS key, count(*) AS n FROM orders GROUP BY 1),
+r AS (SELECT c_custkey AS key, c_custkey % 10 AS m, c_custkey % 20 AS m2, n FROM customer LEFT JOIN k ON c_custkey = key),
+v AS (SELECT key, CASE WHEN m2 = 18 OR m = 9 OR (m < 9 AND m <> 6 AND n IS NULL) THEN 'FAILED' WHEN m = 8 THEN 'DELETED' ELSE 'SUCCESS' END AS status, ['datastore', 'csv', CASE WHEN m2 = 12 THEN 'json' ELSE 'datapackage' END, 'json', 'protobuf', 'log', 'file_reference', 'crawler', NULL, NULL][m + 1] AS reader,
+  CASE m WHEN 6 THEN 1 ELSE n END AS n, [3, 3, CASE WHEN m2 = 12 THEN 2 ELSE 17 END, 5, 2, 2, 2, 3, NULL, NULL][m + 1] AS columns, m, m2 FROM r)"""
+
+
+@query(
+    "s28_ingest_tables",
+    f"""WITH {READ} SELECT key AS resource_id, CASE WHEN status = 'SUCCESS' THEN reader END AS reader, status, CASE WHEN status = 'SUCCESS' THEN n ELSE 0 END AS rows_processed, CASE WHEN status = 'SUCCESS' THEN columns END::BIGINT AS columns,
+CASE WHEN status = 'SUCCESS' THEN NULL WHEN m2 = 18 THEN 'unsupported' WHEN m = 8 AND n IS NOT NULL THEN 'csv: HTTP 404' WHEN m = 9 AND n IS NOT NULL THEN 'csv: line 4: 3 fields for 2; json: no JSON document'
+WHEN m = 9 THEN 'csv: no rows; json: no rows' WHEN m = 0 THEN 'datastore: no rows; csv: no rows' WHEN m = 2 THEN 'datapackage: no rows; json: no rows' ELSE concat(CASE m WHEN 8 THEN 'csv' ELSE reader END, ': no rows') END AS error_message
+FROM v""",
+)
+def s28_tables(t: Tables) -> DataFrame:
+    """All customers as resources through the eight readers, each to a table of its own."""
+    outcomes, _ = readers.ingest_tables(fixtures.resources(t), fixtures.captures(t), shared_folder(t.spark, "tables"), "v1")
+    return outcomes.select("resource_id", "reader", "status", "rows_processed", "columns", "error_message")
+
+
+@query(
+    "s28_table_rows",
+    """SELECT o_custkey AS resource_id, CASE m WHEN 5 THEN concat('<EV=', o_orderkey, '>') WHEN 4 THEN concat('e', o_orderkey) ELSE concat(o_orderkey) END AS key, CASE m WHEN 1 THEN o_orderstatus || '" x' WHEN 3 THEN 'Point' WHEN 0 THEN o_orderstatus END AS text,
+CASE WHEN m IN (1, 3) THEN o_totalprice END AS price, CASE m WHEN 4 THEN o_orderkey END AS stamp FROM (SELECT *, o_custkey % 10 AS m FROM orders) WHERE m IN (0, 1, 3, 4, 5)""",
+)
+def s28_rows(t: Tables) -> DataFrame:
+    """The tables of five readers read back, a folder a resource."""
+    root = shared_folder(t.spark, "tables")
+    _, files = readers.ingest_tables(fixtures.resources(t), fixtures.captures(t), root, "v1")
+    # every resource has its own folder; those of one reader and one set of columns are read together
+    wanted = {0: ("key string, status string, price string", ("key", "status", None, None)), 1: ("key long, status string, price double", ("key", "status", "price", None)), 3: ("key long, tags array<string>, price double, geometry string, geometry_type string", ("key", "geometry_type", "price", None)), 4: ("id string, vehicle struct<timestamp:long>", ("id", None, None, "vehicle.timestamp")), 5: ("order long, message string", ("message", None, None, None))}
+    files.count()
+    out = []
+    for digit, (schema, columns) in wanted.items():
+        rows = t.spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{root}/*{digit}/*")
+        names = (("key", "string"), ("text", "string"), ("price", "double"), ("stamp", "long"))
+        cells = [(F.lit(None) if c is None else F.col(c)).cast(kind).alias(name) for c, (name, kind) in zip(columns, names, strict=True)]
+        out.append(rows.select(F.regexp_extract("_metadata.file_path", "/([0-9]+)/ducklake_", 1).cast("long").alias("resource_id"), *cells))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("s30_cache_decision", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'fetch' WHEN ts > m - INTERVAL 7 DAY THEN 'fresh' WHEN event_id % 2 = 0 OR event_id % 5 > 0 THEN 'reuse' ELSE 'fetch' END AS decision FROM events, (SELECT max(ts) AS m FROM events)")
 def s30(t: Tables) -> DataFrame:
     now = t.events.agg(F.max("ts")).first()[0]
@@ -299,11 +344,23 @@ def s30_archives(t: Tables) -> DataFrame:
     return R.cache_decision(sources, cache, "event_id", F.lit(now)).select("event_id", "decision")
 
 
-@query("s31_read_messages", "SELECT event_id, event_type AS status, value FROM events")
+@query("s31_read_messages", "SELECT event_id, event_type AS status, value FROM events WHERE event_type <> 'click' UNION ALL SELECT event_id, 'again', value FROM events WHERE event_type <> 'view'")
 def s31(t: Tables) -> DataFrame:
+    """A log in three appends: all of the first two, read by offsets up to the second, and a stream from there on that stopped after each append."""
     path = shared_folder(t.spark, "messages")
-    messages.write_messages(t.events.select(F.col("user_id").cast("string").alias("key"), F.to_json(F.struct("event_id", F.col("event_type").alias("status"), "value")).alias("value")), path)
-    return messages.read_messages(t.spark, path, "event_id long, status string, value double").select("event_id", "status", "value")
+    out = f"{path}-read"
+    schema = "event_id long, status string, value double"
+    row = lambda df, status: df.select(F.col("user_id").cast("string").alias("key"), F.to_json(F.struct("event_id", status.alias("status"), "value")).alias("value"))
+    status = F.col("event_type")
+    messages.write_messages(row(t.events.filter("event_type = 'view'"), status), path)
+    messages.write_messages(row(t.events.filter("event_type NOT IN ('view', 'click')"), status), path)
+    ends = {r["partition"]: r["n"] + 1 for r in messages.read_messages(t.spark, path, schema).groupBy("partition").agg(F.max("offset").alias("n")).collect()}  # one row a partition
+    for kind in ("click", "purchase", "signup", "error"):
+        messages.write_messages(row(t.events.filter(F.col("event_type") == kind), F.lit("again")), path)
+        stream = messages.read_messages(t.spark, path, schema, stream=True, start=ends).select("event_id", "status", "value")
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    first = messages.read_messages(t.spark, path, schema, end=ends).select("event_id", "status", "value")
+    return first.unionByName(t.spark.read.schema(schema).parquet(out))
 
 
 @query("s12_scan_datapackage", "SELECT concat('part-', p_partkey) AS name, p_type AS title, floor(p_retailprice)::BIGINT AS bytes, 'parts' AS package_id FROM part")

@@ -47,29 +47,54 @@ def r4_stream(t: Tables) -> DataFrame:
 
 @query("r8_deduplicated_stream", "SELECT event_id, value FROM events")
 def r8_stream(t: Tables) -> DataFrame:
+    """Every event twice, with a memory of the days that the events span."""
     folder = shared_folder(t.spark, "dedup")
-    rows = t.events.select("event_id", "value")
-    return _run(R.deduplicated(_streamed(rows.union(rows), folder)), folder)
+    span = t.events.agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0] or 0
+    rows = t.events.select("event_id", "ts", "value")
+    return _run(R.deduplicated(_streamed(rows.union(rows), folder), watermark=f"{span + 1} days"), folder).select("event_id", "value")
+
+
+@query("r1_retained_state_stream", f"WITH {FOLD} SELECT event_id, job_id, CASE status WHEN 'SUCCESS' THEN 'completed' WHEN 'FAILED' THEN 'failed' ELSE 'deleted' END AS status FROM fold")
+def r1_retained(t: Tables) -> DataFrame:
+    """As r1_job_state_stream, with jobs that are forgotten after the days that the events span."""
+    folder = shared_folder(t.spark, "jobs")
+    span = t.events.agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0] or 0
+    rows = messages(t).select("event_id", "ts", "resource_id", "job_id", "status")
+    stream = R.job_state_stream(_streamed(rows, folder), f"{span + 1} days")
+    return _run(stream, folder).filter(F.col("status").isin("completed", "failed", "deleted")).select("event_id", "job_id", "status")
 
 
 @query("r10_sync_state_stream", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 > 0 THEN 'running' WHEN o_orderkey % 2 = 0 THEN 'completed' ELSE 'failed' END AS status FROM orders")
 def r10_stream(t: Tables) -> DataFrame:
+    """Results of two streams into one table, one of them run twice."""
     folder = shared_folder(t.spark, "syncs")
     table = StateTable(t.spark, f"{folder}/state", "id long, instance_id long, status string, count int, error string")
     table.update(lambda _: t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("instance_id"), F.lit("running").alias("status"), F.lit(0).alias("count"), F.lit(None).cast("string").alias("error")))
     results = t.orders.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("sync_id"), (F.col("o_orderkey") % 2 == 0).alias("success"), F.lit("e").alias("error"), F.lit(7).alias("count"))
-    R.sync_state_stream(_streamed(results, folder), table, f"{folder}/checkpoint").awaitTermination()
+    sources = {name: _streamed(results.filter(part), f"{folder}/{name}") for name, part in (("good", "success"), ("bad", "NOT success"))}
+    for name in ("good", "bad", "good"):
+        R.sync_state_stream(sources[name], table, f"{folder}/{name}/checkpoint", name).awaitTermination()
     return table.read().select("id", "status")
 
 
-@query("r11_message_sink", "SELECT CAST(user_id AS VARCHAR) AS key, event_id FROM events")
+@query("r11_message_sink", "SELECT CAST(user_id AS VARCHAR) AS key, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events")
 def r11(t: Tables) -> DataFrame:
-    folder = shared_folder(t.spark, "sink")
-    stream = _streamed(t.events.select(F.col("user_id").cast("string").alias("key"), F.to_json(F.struct("event_id")).alias("value")), folder)
-    R.write_stream(stream, f"{folder}/messages", f"{folder}/checkpoint").awaitTermination()
+    """Events as messages by user, in two appends; offsets keep the order of a user's events."""
+    from pyspark.sql.window import Window
+
     from ..sources.messages import read_messages
 
-    return read_messages(t.spark, f"{folder}/messages", "event_id long")
+    folder = shared_folder(t.spark, "sink")
+    rows = t.events.select(F.col("user_id").cast("string").alias("key"), F.to_json(F.struct("event_id")).alias("value"), "event_id")
+    half = rows.agg(F.percentile("event_id", 0.5)).first()[0]
+    rows.filter(F.col("event_id") <= half).write.parquet(f"{folder}/in/1")
+    for number, part in ((1, None), (2, F.col("event_id") > half)):
+        if part is not None:
+            rows.filter(part).write.parquet(f"{folder}/in/{number}")
+        stream = t.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+        R.write_stream(stream, f"{folder}/messages", f"{folder}/checkpoint", "event_id").awaitTermination()
+    place = F.row_number().over(Window.partitionBy("key").orderBy("offset"))
+    return read_messages(t.spark, f"{folder}/messages", "event_id long").select("key", "event_id", place.alias("place"))
 
 
 @query("m9_registry", "SELECT o_custkey AS resource_id, max(o_orderpriority) AS version FROM orders GROUP BY 1")

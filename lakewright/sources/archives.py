@@ -101,23 +101,3 @@ def expand_archives(files: DataFrame, wanted: str, limits: Limits = Limits()) ->
                     yield pd.DataFrame(held, columns=["label", "name", "modified", "content"])
 
     return files.mapInPandas(run, "label string, name string, modified timestamp_ntz, content binary")
-
-
-def pack_archives(members: DataFrame, folder: str) -> str:
-    """Write members (archive, member, text) as one ZIP file an archive below a folder; returns the folder."""
-    import pyarrow.fs as pafs
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        fs, path = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(path, recursive=True)
-        name = str(df["archive"].iloc[0])
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
-            for member, text in sorted(zip(df["member"], df["text"], strict=True)):
-                out.writestr(zipfile.ZipInfo(member), text)
-        with fs.open_output_stream(f"{path}/{name}.zip") as out:
-            out.write(packed.getvalue())
-        return pd.DataFrame({"archive": [name]})
-
-    members.groupBy("archive").applyInPandas(run, "archive string").count()
-    return folder

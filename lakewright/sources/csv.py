@@ -7,7 +7,7 @@ every step is a plan over lines.  Lines carry their file and number.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -122,7 +122,12 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", returns:
 BLOCK = 1 << 16
 
 
-def join_records(lines: DataFrame, dialect: Dialect = Dialect()) -> DataFrame:
+def by_delimiter(delimiters: Iterable[str], of: Callable[[str], Column]) -> Column:
+    """What ``of`` makes of a row's delimiter, one of a few; each pattern stays a constant."""
+    return F.coalesce(*[F.when(F.col("delimiter") == d, of(d)) for d in delimiters])
+
+
+def join_records(lines: DataFrame, dialect: Dialect = Dialect(), delimiters: Iterable[str] | None = None) -> DataFrame:
     """Lines (file, number, line) with the lines of each record in one, under the number of its first; preamble lines are left out.
 
     A line is a map from the state before it, outside or inside quotes, to the
@@ -130,16 +135,18 @@ def join_records(lines: DataFrame, dialect: Dialect = Dialect()) -> DataFrame:
     maps of a file's blocks, one row each, give the state at every block's
     start, and with it that of every line.  Lines without quotes map each state
     to itself and take no part.  Only lines of records over several lines are
-    gathered.  A record that nothing closes ends with its line.
+    gathered.  A record that nothing closes ends with its line; empty lines
+    outside quotes are no records.  With ``delimiters`` each line tells its own,
+    one of these, in the column delimiter.
     """
     lines = lines.filter(F.col("number") > dialect.preamble)
     if not dialect.quote:
         return lines
-    grammar = _Grammar(dialect.delimiter, dialect.quote)
-    bit = lambda pattern: F.col("line").rlike(pattern).cast("int")
+    one = lambda name: lambda d: F.col("line").rlike(getattr(_Grammar(d, dialect.quote), name)).cast("int")
+    bit = lambda name: one(name)(dialect.delimiter) if delimiters is None else by_delimiter(delimiters, one(name))
     quoted = lines.filter(F.contains("line", F.lit(dialect.quote)))
     # after it, if it starts outside, and if it starts inside
-    maps = quoted.select("file", "number", F.floor(F.col("number") / BLOCK).alias("block"), bit(grammar.opens).alias("f0"), bit(grammar.stays_open).alias("f1")).filter("NOT (f0 = 0 AND f1 = 1)")
+    maps = quoted.select("file", "number", F.floor(F.col("number") / BLOCK).alias("block"), bit("opens").alias("f0"), bit("stays_open").alias("f1")).filter("NOT (f0 = 0 AND f1 = 1)")
 
     def scanned(df: DataFrame, rows: Window) -> DataFrame:
         """Adds fixed, the state that the last constant map sets (null before any), and flips, whether maps since then swap the states."""
@@ -167,7 +174,8 @@ def join_records(lines: DataFrame, dialect: Dialect = Dialect()) -> DataFrame:
     marked = lines.join(inside, ["file", "number"], "left")
     whole = marked.filter("first IS NOT NULL").groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("number", "line"))).alias("parts"))
     joined = whole.select("file", F.col("first").alias("number"), F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("line"))
-    return marked.filter("first IS NULL").select("file", "number", "line").unionByName(joined)
+    # as usual for CSV, a line without a character is no record
+    return marked.filter("first IS NULL").select("file", "number", "line").filter(~F.col("line").rlike(r"\A\r?\z")).unionByName(joined)
 
 
 def _named(cells: Column) -> Column:
@@ -202,6 +210,13 @@ def profile_csv(lines: DataFrame, hint: str | None = None) -> DataFrame:
 
 
 KINDS = (("bigint", T.LongType()), ("double", T.DoubleType()), ("boolean", T.BooleanType()))
+#: What a value of each kind looks like.
+SHAPES = {"bigint": "^[+-]?[0-9]+$", "double": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$", "boolean": "(?i)^(true|false)$"}
+
+
+def fits(value: Column, kind: str) -> Column:
+    """Whether a text is a value of a kind."""
+    return value.try_cast(kind).isNotNull() & value.rlike(SHAPES[kind])
 
 
 def infer_types(df: DataFrame) -> T.StructType:
@@ -210,8 +225,7 @@ def infer_types(df: DataFrame) -> T.StructType:
     for i, c in enumerate(df.columns):
         value = null_text(F.col(f"`{c}`"))
         for kind, _ in KINDS:
-            plain = value.try_cast(kind).isNotNull() & (value.rlike("^[+-]?[0-9]+$") if kind == "bigint" else value.rlike("(?i)^(true|false)$") if kind == "boolean" else value.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"))
-            checks.append(F.coalesce(F.bool_and(F.when(value.isNotNull(), plain)), F.lit(False)).alias(f"k{i}_{kind}"))
+            checks.append(F.coalesce(F.bool_and(F.when(value.isNotNull(), fits(value, kind))), F.lit(False)).alias(f"k{i}_{kind}"))
         names.append(c)
     found = df.agg(*checks).first()
     kind_of = lambda i: next((t for k, t in KINDS if found[f"k{i}_{k}"]), T.StringType())
@@ -221,9 +235,8 @@ def infer_types(df: DataFrame) -> T.StructType:
 def infer_field_types(good: DataFrame, width: int) -> list[T.DataType]:
     """As ``infer_types``, for the fields of rows: cells go by position, so that the plan stays the same for any width."""
     value = null_text(F.col("cell"))
-    checks = {"bigint": "^[+-]?[0-9]+$", "double": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$", "boolean": "(?i)^(true|false)$"}
-    fits = [F.bool_and(F.when(value.isNotNull(), value.try_cast(k).isNotNull() & value.rlike(p))).alias(k) for k, p in checks.items()]
-    found = {r["at"]: r for r in good.select(F.posexplode("fields").alias("at", "cell")).groupBy("at").agg(*fits).collect()}  # one row a column
+    checks = [F.bool_and(F.when(value.isNotNull(), fits(value, k))).alias(k) for k, _ in KINDS]
+    found = {r["at"]: r for r in good.select(F.posexplode("fields").alias("at", "cell")).groupBy("at").agg(*checks).collect()}  # one row a column
     return [next((t for k, t in KINDS if i in found and found[i][k]), T.StringType()) for i in range(width)]
 
 

@@ -66,6 +66,14 @@ def scan_geojson(bodies: DataFrame) -> DataFrame:
 PACKAGE_TEXTS = ("name", "title", "description", "path", "url", "format", "mediatype", "encoding", "hash", "profile", "schema", "created", "modified")
 
 
+def package_resource(r: Column) -> dict[str, Column]:
+    """Columns of a data package's resource, given as JSON text."""
+    texts = {c: F.get_json_object(r, f"$.{c}") for c in PACKAGE_TEXTS}
+    sources = F.from_json(F.get_json_object(r, "$.sources"), "array<struct<title:string,path:string,email:string>>")
+    licenses = F.from_json(F.get_json_object(r, "$.licenses"), "array<struct<name:string,path:string,title:string>>")
+    return {**texts, "sources": sources, "licenses": licenses, "bytes": F.get_json_object(r, "$.bytes").try_cast("long")}
+
+
 def scan_datapackage(bodies: DataFrame, package_id: str) -> DataFrame:
     """One row a resource of data packages: text fields (other values as JSON), sources, licenses, bytes and package_id.
 
@@ -75,10 +83,7 @@ def scan_datapackage(bodies: DataFrame, package_id: str) -> DataFrame:
     listed = F.get_json_object(named, "$.resources")
     checked = F.when(F.coalesce(F.json_array_length(listed), F.lit(0)) > 0, listed).otherwise(F.raise_error(F.lit("the package has no resources")))
     rows = bodies.select(F.posexplode(F.from_json(checked, TEXT_LIST)).alias("position", "r"))
-    texts = [F.get_json_object("r", f"$.{c}").alias(c) for c in PACKAGE_TEXTS]
-    sources = F.from_json(F.get_json_object("r", "$.sources"), "array<struct<title:string,path:string,email:string>>").alias("sources")
-    licenses = F.from_json(F.get_json_object("r", "$.licenses"), "array<struct<name:string,path:string,title:string>>").alias("licenses")
-    return rows.select(*texts, sources, licenses, F.get_json_object("r", "$.bytes").try_cast("long").alias("bytes"), F.lit(package_id).alias("package_id"))
+    return rows.select(*[c.alias(name) for name, c in package_resource(F.col("r")).items()], F.lit(package_id).alias("package_id"))
 
 
 def scan_datastore_pages(pages: DataFrame) -> DataFrame:

@@ -12,16 +12,20 @@ DEPTH, PAGES = 4, 10_000
 OPAQUE = ("HTML", "DOCX", "MAP", "PDF", "TAB", "TIF", "TIFF")
 
 
-def extract_links(pages: DataFrame) -> DataFrame:
-    """(url, target) of the anchors of pages (url, html): absolute http(s) URLs without fragments, each once a page.
+def page_links(url: Column, html: Column) -> Column:
+    """Addresses of the anchors of a page as absolute http(s) URLs without fragments, as often as they are there.
 
     A quoted address may hold blanks, which become %20; one without quotes ends at a blank.
     """
-    hrefs = F.regexp_extract_all("html", F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), 1)
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("href", r"""^["']|["']$""", ""), r"^\s+|\s+$|[\t\r\n]", ""), " ", "%20")
-    links = pages.select("url", F.explode(hrefs).alias("href")).select("url", bare.alias("href")).filter("href <> ''")
-    target = resolve_url(F.col("url"), F.replace("href", F.lit("&amp;"), F.lit("&")))
-    return links.select("url", target.alias("target")).filter("target IS NOT NULL").distinct()
+    hrefs = F.regexp_extract_all(html, F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), 1)
+    bare = lambda href: F.regexp_replace(F.regexp_replace(F.regexp_replace(href, r"""^["']|["']$""", ""), r"^\s+|\s+$|[\t\r\n]", ""), " ", "%20")
+    target = lambda href: F.when(href != "", resolve_url(url, F.replace(href, F.lit("&amp;"), F.lit("&"))))
+    return F.filter(F.transform(hrefs, lambda href: target(bare(href))), lambda x: x.isNotNull())
+
+
+def extract_links(pages: DataFrame) -> DataFrame:
+    """(url, target) of the links of pages (url, html), each once a page."""
+    return pages.select("url", F.explode(page_links(F.col("url"), F.col("html"))).alias("target")).distinct()
 
 
 def _directory(target: Column) -> Column:
@@ -87,3 +91,16 @@ def file_references(resources: DataFrame) -> DataFrame:
     kept = resources.filter(F.upper("format").isin(*OPAQUE))
     fallback = F.concat(F.col("id").cast("string"), F.lit("."), F.lower("format"))
     return kept.select("id", "url", F.coalesce(url_name(F.col("url")), F.col("file_name"), fallback).alias("name"))
+
+
+def crawl_sources(pages: DataFrame, wanted: str) -> DataFrame:
+    """(id, kind, target) of what the captured pages of resources (id, root, url, html) lead to: files of the wanted format, archives, and shared drive folders and files.
+
+    A drive link keeps its id and resource key as they stand in its address.
+    Every target counts once a resource.
+    """
+    links = pages.select("id", "root", F.explode(page_links(F.col("url"), F.col("html"))).alias("target")).distinct()
+    name = F.coalesce(url_name(F.col("target")), F.lit(""))
+    drive = (url_host(F.col("target")) == "drive.google.com") & F.col("target").rlike(r"/folders/|/file/d/|[?&]id=")
+    kind = F.when(F.lower(name).endswith(".zip"), "archive").when(matches_format(name, wanted), "file").when(drive & F.contains("target", F.lit("/folders/")), "drive folder").when(drive, "drive file")
+    return links.select("id", kind.alias("kind"), "target").filter("kind IS NOT NULL")

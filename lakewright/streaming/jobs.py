@@ -6,10 +6,12 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..plans.state import StateTable
+from ..sources.messages import MessageLog
 
 TERMINAL = {"SUCCESS": "completed", "FAILED": "failed", "DELETED": "deleted"}
 
@@ -18,7 +20,8 @@ def deduplicated(stream: DataFrame, key: str = "event_id", watermark: str | None
     """Each message once; with a watermark on ts the memory of past keys is bounded."""
     if watermark is None:
         return stream.dropDuplicates([key])
-    return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark([key])
+    timed = stream.withColumn("event__time", F.col("ts").cast("timestamp")).withWatermark("event__time", watermark)
+    return timed.dropDuplicatesWithinWatermark([key]).drop("event__time")
 
 
 def applied(job: dict | None, status: str) -> dict | None:
@@ -38,17 +41,40 @@ def applied(job: dict | None, status: str) -> dict | None:
     return None
 
 
-def job_state_stream(stream: DataFrame) -> DataFrame:
+def _memory(stream: DataFrame, retention: str | None) -> tuple[DataFrame, int]:
+    """The stream with its time, a watermark on it, and the milliseconds for which a key is remembered; 0 without a retention."""
+    if retention is None:
+        return stream, 0
+    span = stream.sparkSession.sql(f"SELECT unix_millis(timestamp'1970-01-01 00:00:00Z' + INTERVAL {retention})").first()[0]
+    time = F.col("ts").cast("timestamp")
+    return stream.withColumn("event__time", time).withColumn("event__ms", F.unix_millis(time)).withWatermark("event__time", f"{span} milliseconds"), span
+
+
+def _remember(state, value: tuple, frame: pd.DataFrame, milliseconds: int) -> None:
+    """Keep a key's state until ``milliseconds`` after its newest message, if that is not 0."""
+    state.update(value)
+    if milliseconds:
+        until = int(frame["event__ms"].max()) + milliseconds
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+
+
+def job_state_stream(stream: DataFrame, retention: str | None = None) -> DataFrame:
     """Transitions (resource_id, job_id, status, event_id, ts) of messages (event_id, ts, resource_id, job_id, status).
 
     Each job has a state of its own, its status, so a resource with very many
-    jobs is spread over tasks and a message rewrites one word.  A job that is
-    over can be opened again at any time, so no state is dropped.  Messages of
-    a micro-batch are applied in time order; late ones meet the guard of a job
-    that is over.
+    jobs is spread over tasks and a message rewrites one word.  Messages of a
+    micro-batch are applied in time order; late ones meet the guard of a job
+    that is over.  With a ``retention``, such as '30 days', a job is forgotten
+    when time has gone on for so long after its last message, so the state
+    holds the jobs of that time only; without one it holds all, as a job that
+    is over can be opened again.
     """
+    stream, kept = _memory(stream, retention)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         job = {"status": state.get[0]} if state.exists else None
         out = []
         rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
@@ -57,57 +83,74 @@ def job_state_stream(stream: DataFrame) -> DataFrame:
             if new:
                 job = new
                 out.append((*key, new["status"], event, ts))
+        if job:
+            _remember(state, (job["status"],), rows, kept)
         if out:
-            state.update((job["status"],))
             yield pd.DataFrame(out, columns=["resource_id", "job_id", "status", "event_id", "ts"])
 
     kinds = dict(stream.dtypes)
     output = f"resource_id {kinds['resource_id']}, job_id string, status string, event_id {kinds['event_id']}, ts {kinds['ts']}"
-    return stream.groupBy("resource_id", "job_id").applyInPandasWithState(run, output, "status string", "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.EventTimeTimeout if kept else GroupStateTimeout.NoTimeout
+    return stream.groupBy("resource_id", "job_id").applyInPandasWithState(run, output, "status string", "append", timeout)
 
 
-def child_completion_stream(stream: DataFrame) -> DataFrame:
+def child_completion_stream(stream: DataFrame, retention: str | None = None) -> DataFrame:
     """(parent_job_id, status) once a parent is decided: failed by its first failed child, completed when all indexes are there.
 
     Messages have parent_job_id, child_index, status and total_child_count.  A
     micro-batch counts as a whole, in any order: if it holds a failure, the
     parent fails.  What comes after the verdict changes nothing, and the
-    indexes of a parent that is decided are forgotten.
+    indexes of a parent that is decided are forgotten.  With a ``retention``
+    messages have a ts, too, and a parent is forgotten when time has gone on
+    for so long after its last one.
     """
+    stream, kept = _memory(stream, retention)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         done, over = (set(json.loads(state.get[0])), state.get[1]) if state.exists else (set(), False)
         if over:
             return
-        verdict, total = None, None
-        for df in frames:
-            if (df["status"] == "FAILED").any():
-                verdict = "failed"
-            done.update(df.loc[df["status"] == "SUCCESS", "child_index"].astype(int).tolist())
-            total = int(df["total_child_count"].min()) if total is None else min(total, int(df["total_child_count"].min()))
+        rows = pd.concat(list(frames))
+        verdict = "failed" if (rows["status"] == "FAILED").any() else None
+        done.update(rows.loc[rows["status"] == "SUCCESS", "child_index"].astype(int).tolist())
+        total = int(rows["total_child_count"].min())
         if verdict is None and len(done) >= total:
             verdict = "completed"
-        state.update((json.dumps([] if verdict else sorted(done)), verdict is not None))
+        _remember(state, (json.dumps([] if verdict else sorted(done)), verdict is not None), rows, kept)
         if verdict:
             yield pd.DataFrame({"parent_job_id": [key[0]], "status": [verdict]})
 
     output = f"parent_job_id {dict(stream.dtypes)['parent_job_id']}, status string"
-    return stream.groupBy("parent_job_id").applyInPandasWithState(run, output, "done string, over boolean", "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy("parent_job_id").applyInPandasWithState(run, output, "done string, over boolean", "append", GroupStateTimeout.EventTimeTimeout if kept else GroupStateTimeout.NoTimeout)
 
 
-def sync_state_stream(results: DataFrame, table: StateTable, checkpoint: str):
-    """Apply sync results to a state table, one version a micro-batch; a batch that is sent again changes nothing."""
+def checkpoint_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to; it stays the same over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def sync_state_stream(results: DataFrame, table: StateTable, checkpoint: str, name: str = "syncs"):
+    """Apply sync results to a state table, one version a micro-batch; a batch that is sent again changes nothing.
+
+    Streams into one table have a name each.  The table knows the checkpoint of
+    a name, and refuses another one, whose batches would be taken for those
+    that it has.
+    """
     from ..operators.ledger import apply_sync_results
 
     def batch(df: DataFrame, number: int) -> None:
-        table.update(lambda syncs: apply_sync_results(syncs, df), once=("syncs", number))
+        table.update(lambda syncs: apply_sync_results(syncs, df), once=(name, number), identity=checkpoint_identity(df.sparkSession, checkpoint))
 
     return results.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str):
-    """Messages (key, value) of a stream, appended to files; each once, by the checkpoint."""
-    from pyspark.sql import functions as F
+def write_stream(df: DataFrame, path: str, checkpoint: str, order: str | None = None, name: str = "messages"):
+    """Messages (key, value, ...) of a stream, appended to a message log; each once, by the checkpoint, and in order by key."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        MessageLog(rows.sparkSession, path).append(rows, order, once=(name, number), identity=checkpoint_identity(rows.sparkSession, checkpoint))
 
-    lines = df.select(F.concat(F.col("key").cast("string"), F.lit("\t"), "value").alias("value"))
-    return lines.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

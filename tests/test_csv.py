@@ -29,7 +29,7 @@ def walked(text, delimiter=",", quote='"'):
         elif c == delimiter and not end:
             fields, field, state = [*fields, field], "", "start"
         elif c == "\n":
-            if not end or state == "quoted" or text[-1:] != "\n":
+            if (not end or state == "quoted" or text[-1:] != "\n") and (fields or field or state != "start"):
                 records.append((first, None if state == "quoted" else [*fields, field]))
             number += 1
             fields, field, state, first = [], "", "start", number

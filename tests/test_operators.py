@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lakewright.functions import scalars as S
 from lakewright.operators import catalogue, explore, ledger, schema
 from lakewright.plans.state import StateTable
+from lakewright.queries import fixtures
 from lakewright.sinks import files as K
 from lakewright.sources import archives, csv, pages, routing, transit
 from lakewright.sources import json as J
@@ -239,7 +240,7 @@ def test_crawl_stays_below_its_root(spark):
 def test_alerts_keep_periods_and_what_they_affect(spark):
     alert = {"active_period": [{"start": 5, "end": 9}, {"start": 11}], "informed_entity": [{"agency_id": "a", "route_type": 3, "trip": {"trip_id": "t"}}, {"stop_id": "s"}], "severity_level": 4}
     place = {"occupancy_status": 2, "occupancy_percentage": 40}
-    content = transit.encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [{"id": "1", "alert": alert, "vehicle": place}]}, transit.FEED)
+    content = fixtures.encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [{"id": "1", "alert": alert, "vehicle": place}]}, transit.FEED)
     row = transit.scan_gtfs_rt(spark.createDataFrame([("f", bytearray(content))], "file string, content binary")).first()
     assert [tuple(p) for p in row["alert"]["active_period"]] == [(5, 9), (11, None)]
     assert [(e["agency_id"], e["route_type"], e["trip"] and e["trip"]["trip_id"], e["stop_id"]) for e in row["alert"]["informed_entity"]] == [("a", 3, "t", None), (None, None, None, "s")]
