@@ -64,10 +64,9 @@ def shingle_sets(hashes: np.ndarray, sizes: np.ndarray, words: int = WORDS) -> t
             tokens.append(mixed(ngram_hashes(hashes, n)[starts[short]], n))
             owners.append(short)
     token, owner = np.concatenate([np.zeros(0, np.uint64), *tokens]), np.concatenate([np.zeros(0, np.int64), *owners])
-    if len(sizes) < 1 << 14:
-        order = np.argsort((owner.astype(np.uint64) << np.uint64(50)) | (token >> np.uint64(14)))
-    else:
-        order = np.lexsort((token, owner))
+    order = np.argsort(token)
+    # by unit, and within by all bits of the token; short integers are sorted by digits
+    order = order[np.argsort(owner[order].astype(np.min_scalar_type(len(sizes))), kind="stable")]
     token, owner = token[order], owner[order]
     if len(token):
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])])
