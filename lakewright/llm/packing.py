@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import chunk_tokenizer, shared_folder, stored
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Pieces that one task packs in the first round, about 20 MB.
+TASK_PIECES = 1 << 17
 BIN_SCHEMA = f"{PIECE_SCHEMA}, bin long, offset long, fill long, done boolean"
 
 
@@ -131,11 +133,14 @@ def pack(pieces: DataFrame, capacity: int = 2048, slack: int | None = None, fan_
     capacity unless given) are free.  Each round joins ``fan_in`` partitions of
     underfull bins; the rounds end when one partition is left.  Bins that can
     take no other bin are emitted, so a partition of a later round holds few.
-    An empty table gives no rows.
+    Pieces are counted first, and partitions of few pieces are packed together,
+    without a shuffle: how many sequences there are hardly depends on how the
+    table was cut.  An empty table gives no rows.
     """
     folder = shared_folder(pieces.sparkSession, "packing")
     slack = capacity // 128 if slack is None else slack
-    rows = pieces.withColumns({"bin": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "fill": F.col("length"), "done": F.lit(False)})
+    rows = pieces.coalesce(max(1, math.ceil(pieces.count() / TASK_PIECES)))
+    rows = rows.withColumns({"bin": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "fill": F.col("length"), "done": F.lit(False)})
     parts, number, finished = 0, 1, []
     while True:
         table = stored(_pack_round(rows, capacity, slack, number), f"{folder}/round-{number}")
