@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import boilerplate, compaction, conversations, decontamination, infilling, line_dedup, mixing, packing, quality, rollups, shingles, token_files, warc
-from .common import shared_folder
+from .common import shared_folder, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,16 +62,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals of both tokenizers after all documents came, came again, lost those under 50 words and were stripped of symbols."""
-    docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
     text = F.col("text")
-    stripped = F.regexp_replace(text, "[#*$%&|<>]", "")
-    store = rollups.TokenTotals(spark, shared_folder(spark, "totals"))
-    load = rollups.counted(docs, "insert", text)
-    store.commit("load", 1, load)
-    store.commit("load", 1, load)
     words = rollups.word_count(F.coalesce(text, F.lit("")))
-    store.commit("rules", 1, rollups.counted(docs.filter(words < 50), "delete", text))
-    store.commit("rules", 2, rollups.counted(docs.filter((words >= 50) & text.rlike("[#*$%&|<>]")), "revise", stripped, text))
+    docs = table(spark, sf_dir, "documents").select("source", "lang", "text", (words < 50).alias("short"), F.coalesce(text.rlike("[#*$%&|<>]"), F.lit(False)).alias("marked"))
+    folder = shared_folder(spark, "totals")
+    store = rollups.TokenTotals(spark, folder)
+    ledger = stored(rollups.counted(docs, text, ["short", "marked"]), f"{folder}/ledger")
+    store.commit("load", 1, rollups.inserted(ledger))
+    store.commit("load", 1, rollups.inserted(ledger))
+    # the revision arrives before the deletion that its writer numbered first
+    stripped = rollups.counted(docs.filter("marked AND NOT short"), F.regexp_replace(text, "[#*$%&|<>]", ""))
+    store.commit("rules", 2, rollups.revised(ledger.filter("marked AND NOT short"), stripped))
+    store.commit("rules", 1, rollups.deleted(ledger.filter("short")))
     return store.totals()
 
 

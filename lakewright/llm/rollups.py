@@ -1,17 +1,19 @@
 """Token totals by source, language and tokenizer version, maintained by signed changes.
 
-A batch of changes is reduced to one signed sum a key and added to the totals;
-documents that don't change are never counted again.  Every writer numbers its
-batches upwards, and the manifest that publishes new totals also holds the last
-number of each writer, so a batch that is sent twice, or by a writer that died
-after its commit, counts once.  A manifest grows with the writers, not with the
+A batch of changes is reduced to one signed sum a key and added to the totals.
+Counts of documents are kept as a ledger: a document that goes or is revised
+takes back what the ledger says, and only new texts are tokenized.  Every writer
+numbers its batches, and the manifest that publishes new totals also holds which
+numbers of each writer it has, as ranges, so a batch that is sent twice, late,
+or by a writer that died after its commit, counts once and none is lost.  A
+manifest grows with the writers and with the gaps in their numbers, not with the
 batches.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,17 @@ def signed(changes: DataFrame) -> DataFrame:
     return changes.groupBy(*KEYS).agg(F.sum(count).cast("long").alias("documents"), F.sum(amount).cast("long").alias("tokens"))
 
 
+def _with(ranges: list[list[int]], number: int) -> list[list[int]]:
+    """Ranges of numbers with one more; ranges that meet become one."""
+    out: list[list[int]] = []
+    for low, high in sorted([*ranges, [number, number]]):
+        if out and low == out[-1][1] + 1:
+            out[-1][1] = high
+        else:
+            out.append([low, high])
+    return out
+
+
 class TokenTotals:
     """Totals below ``root``, in versions."""
 
@@ -45,7 +58,7 @@ class TokenTotals:
         self.spark, self.root = spark, root.rstrip("/")
         self.manifests = Manifests(spark, root)
 
-    def _state(self) -> tuple[int, str | None, dict[str, int]]:
+    def _state(self) -> tuple[int, str | None, dict[str, list[list[int]]]]:
         version = self.manifests.newest()
         held = self.manifests.read(version) if version else {"folder": None, "writers": {}}
         return version, held["folder"], held["writers"]
@@ -60,18 +73,20 @@ class TokenTotals:
         return self._totals(self._state()[1])
 
     def commit(self, writer: str, number: int, changes: DataFrame) -> bool:
-        """Add a writer's batch; False, and nothing read, if that number or a later one of the writer was added before.
+        """Add a writer's batch; False, and nothing read, if that number of the writer was added before.
 
-        A writer that loses a race gets ConcurrentCommit and may try again.  A
-        batch without rows is a batch, too.
+        Numbers may come in any order.  A writer that loses a race gets
+        ConcurrentCommit and may try again.  A batch without rows is a batch,
+        too.
         """
         version, held, writers = self._state()
-        if number <= writers.get(writer, number - 1):
+        ranges = writers.get(writer, [])
+        if any(low <= number <= high for low, high in ranges):
             return False
         folder = f"totals/{version + 1:012d}-{uuid.uuid4().hex}"
         new = self._totals(held).unionByName(signed(changes)).groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         stored(new.filter("documents <> 0 OR tokens <> 0"), f"{self.root}/{folder}")
-        self.manifests.commit(version, {"folder": folder, "writers": {**writers, writer: number}})
+        self.manifests.commit(version, {"folder": folder, "writers": {**writers, writer: _with(ranges, number)}})
         return True
 
 
@@ -85,23 +100,44 @@ TOKENIZERS = {"byte_bpe_50k-1": ("byte_bpe_50k.json", True), "word_bpe_49k-1": (
 CHANGE_SCHEMA = "source string, lang string, tokenizer string, change string, tokens long, old_tokens long"
 
 
-def counted(docs: DataFrame, change: str, text: Column, old_text: Column | None = None, tokenizers: dict[str, tuple[str, bool]] = TOKENIZERS, entries: int = 250_000) -> DataFrame:
-    """Changes of all documents (source, lang, ...), one row for each tokenizer version.
+def counted(docs: DataFrame, text: Column, keep: Iterable[str] = (), tokenizers: dict[str, tuple[str, bool]] = TOKENIZERS, entries: int = 250_000) -> DataFrame:
+    """Ledger rows (source, lang, tokenizer, tokens, *keep) of all documents (source, lang, ...), one for each tokenizer version.
 
     Tokens are the ids of the whole text by the version's vocabulary, without
-    special ones.  A null or empty text has none; ``old_tokens`` is null without
-    ``old_text``.  Repeated rows count each; other columns are not read.  Each
-    worker keeps the ids of at most ``entries`` words a vocabulary, or little more.
+    special ones.  A null or empty text has none.  Repeated rows count each;
+    other columns are not read.  Each worker keeps the ids of at most
+    ``entries`` words a vocabulary, or little more.
     """
+    keep = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = {version: chunk_tokenizer(*key, entries) for version, key in tokenizers.items()}
         for batch in batches:
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             for version, encoder in count.items():
-                new, old = (pa.array([len(ids) // 4 for ids in encoder.encode_all([t or "" for t in batch.column(i).to_pylist()])], pa.int64()) if i < batch.num_columns else pa.nulls(len(batch), pa.int64()) for i in (2, 3))
-                label = lambda value: pa.array([value] * len(batch), pa.string())  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), label(version), label(change), new, old], names=["source", "lang", "tokenizer", "change", "tokens", "old_tokens"])
+                tokens = pa.array([len(ids) // 4 for ids in encoder.encode_all(texts)], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([version] * len(batch), pa.string()), tokens, *batch.columns[3:]], names=["source", "lang", "tokenizer", "tokens", *keep])
+
+    rows = docs.select(F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), text.cast("string").alias("text"), *[F.col(f"`{c}`") for c in keep])
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(run, ", ".join(["source string, lang string, tokenizer string, tokens long", *[f"`{c}` {kinds[c]}" for c in keep]]))
+
+
+def _changes(ledger: DataFrame, change: str, tokens: Column | None, old_tokens: Column | None) -> DataFrame:
+    none = F.lit(None).cast("long")
+    return ledger.select(*KEYS, F.lit(change).alias("change"), (none if tokens is None else tokens).alias("tokens"), (none if old_tokens is None else old_tokens).alias("old_tokens"))
+
+
+def inserted(ledger: DataFrame) -> DataFrame:
+    """Changes of documents that came."""
+    return _changes(ledger, "insert", F.col("tokens"), None)
+
+
+def deleted(ledger: DataFrame) -> DataFrame:
+    """Changes of documents that go, by what they counted."""
+    return _changes(ledger, "delete", F.col("tokens"), None)
+
 
-    texts = [text] if old_text is None else [text, old_text]
-    columns = [F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), *[t.cast("string").alias(f"text_{i}") for i, t in enumerate(texts)]]
-    return docs.select(*columns).mapInArrow(run, CHANGE_SCHEMA)
+def revised(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Changes of documents that are the same with other texts: what they counted goes, what they count comes."""
+    return _changes(old, "revise", None, F.col("tokens")).unionByName(_changes(new, "revise", F.col("tokens"), None))

@@ -72,12 +72,23 @@ def test_best_fit_takes_the_fullest_bin():
     assert bins.tolist() == [1, 0, 1, 0, 1] and offsets.tolist() == [0, 0, 5, 6, 8]
 
 
-def test_underfull_bins_merge_over_many_partitions(spark):
+def test_underfull_bins_merge_over_many_partitions(spark, monkeypatch):
     pieces = spark.range(0, 4000, 1, 40).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "10L AS length", "0L AS ids_crc32")
+    monkeypatch.setattr(packing, "TASK_PIECES", 100)
     out = packing.pack(pieces, capacity=1000, fan_in=4)
     assert out.count() == 4000 and out.select("sequence_id").distinct().count() == 40
 
 
+def test_the_cut_of_a_table_hardly_matters(spark):
+    """Pieces like those of documents, in one partition and in 256."""
+    rng = random.Random(8)
+    lengths = [min(2048, int(rng.lognormvariate(6.2, 1.1)) + 1) for _ in range(11_500)]
+    rows = [(i, 0, 0, n, 0) for i, n in enumerate(lengths)]
+    pieces = spark.createDataFrame(rows, packing.PIECE_SCHEMA)
+    sequences = [packing.pack(pieces.repartition(k)).select("sequence_id").distinct().count() for k in (1, 256)]
+    assert sequences[1] <= 1.005 * sequences[0] and sequences[0] <= 1.002 * sum(lengths) / 2048 + 1
+
+
 def test_token_files_round_trip(spark):
     rows = [*enumerate(ODD), (None, "null id"), (3, "again"), (3, "again"), *[(100 + i, t) for i, t in documents(2)]]
     out = token_files.token_files(table(spark, rows)).collect()
@@ -295,12 +306,15 @@ def test_totals_follow_changes_once(spark):
     first = batch(("a", "en", "t", "insert", 5, None), ("a", "en", "t", "insert", 7, None), (None, None, "t", "insert", None, None), ("b", "en", "t", "insert", 1, None))
     assert store.commit("w", 1, first) and not store.commit("w", 1, first)
     assert store.commit("v", 1, batch(("a", "en", "t", "revise", 3, 5), ("b", "en", "t", "delete", 1, None)))
-    assert store.commit("w", 3, batch()) and not store.commit("w", 2, first)
+    assert store.commit("w", 3, batch()) and store.manifests.read(store.manifests.newest())["writers"]["w"] == [[1, 1], [3, 3]]
     assert sorted(map(tuple, store.totals().collect()), key=str) == sorted([("a", "en", "t", 2, 10), (None, None, "t", 1, 0)], key=str)
+    late = batch(("c", "en", "t", "insert", 7, None))
+    assert store.commit("w", 2, late) and not store.commit("w", 2, late)
+    assert ("c", "en", "t", 1, 7) in set(map(tuple, store.totals().collect()))
     with pytest.raises(Exception, match="unknown change"):
         store.commit("w", 4, batch(("a", "en", "t", "moved", 1, None)))
     assert not store.commit("v", 1, first)
-    assert store.manifests.read(store.manifests.newest())["writers"] == {"w": 3, "v": 1}
+    assert store.manifests.read(store.manifests.newest())["writers"] == {"w": [[1, 3]], "v": [[1, 1]]}
 
 
 def test_writers_that_start_from_one_version_don_t_both_commit(spark, monkeypatch):
@@ -324,11 +338,14 @@ def token_count(vocabulary, text):
 def test_counted_changes_are_the_tokenizers_counts(spark):
     rows = [*enumerate(ODD), (1, "a"), (None, "x y"), *documents(4, 20)]
     texts = table(spark, rows)
-    got = Counter(map(tuple, rollups.counted(texts, "insert", texts["text"], entries=40).collect()))
-    assert got == Counter(("s", "en", version, "insert", token_count(name, t), None) for _, t in rows for version, name in VERSIONS.items())
-    got = Counter(map(tuple, rollups.counted(texts, "revise", F.lit("b c"), texts["text"]).collect()))
-    assert got == Counter(("s", "en", version, "revise", token_count(name, "b c"), token_count(name, t)) for _, t in rows for version, name in VERSIONS.items())
-    assert rollups.counted(table(spark, []), "insert", F.col("text")).collect() == []
+    ledger = rollups.counted(texts, texts["text"], ["doc_id", "fill"], entries=40)
+    assert Counter(map(tuple, ledger.collect())) == Counter(("s", "en", version, token_count(name, t), d, 7) for d, t in rows for version, name in VERSIONS.items())
+    signs = {"insert": (1, 1), "delete": (-1, -1), "revise": (0, 0)}
+    for change, made in (("insert", rollups.inserted(ledger)), ("delete", rollups.deleted(ledger)), ("revise", rollups.revised(ledger, ledger))):
+        count, sign = signs[change]
+        wanted = {("s", "en", version, count * len(rows), sign * sum(token_count(name, t) for _, t in rows)) for version, name in VERSIONS.items()}
+        assert set(map(tuple, rollups.signed(made).collect())) == wanted
+    assert rollups.counted(table(spark, []), F.col("text")).collect() == []
 
 
 def test_rollups_of_the_given_documents_by_brute_force(spark):
@@ -390,6 +407,7 @@ def test_lines_with_tokens_that_agree_in_40_bits_stay(spark):
 
 
 def test_bins_that_fit_with_none_do_not_meet_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_PIECES", 500)
     counts, one_round = [], packing._pack_round
     monkeypatch.setattr(packing, "_pack_round", lambda rows, *a: (counts.append(rows.count()), one_round(rows, *a))[1])
     length = "CASE WHEN id % 400 = 0 THEN 500L WHEN id % 2 = 0 THEN 1300L ELSE 1200L END AS length"
