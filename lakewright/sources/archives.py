@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-import io
+import hashlib
+import uuid
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import format_suffixes, stable_id
+from ..plans.folders import file_system, shared_folder, stored
 
 
 @dataclass(frozen=True)
@@ -48,56 +52,159 @@ def unsafe_members(members: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("file"), "content")
+    """(file, length) of the ZIP files below a path; no content is read."""
+    return list_objects(spark, path, "*.zip").select(F.col("object_key").alias("file"), F.col("size").alias("length"))
 
 
-def expand_archives(files: DataFrame, wanted: str, limits: Limits = Limits()) -> DataFrame:
-    """(label, name, modified, content) of the members of archives (file, content) that match a format.
+ENTRIES = "root string, label string, file string, member string, position long, packed long, size long, method int, crc long, modified timestamp_ntz"
+
 
-    Inner archives are opened too; a label is outer!/inner.  An archive over a
-    limit is an error.  Other members are counted but not unpacked.  A member
-    that unpacks to another size than its entry says is an error, too, so the
-    limits hold for what is read.  One root archive is one row, so one task's
-    memory.
+def _listed(archives: DataFrame) -> DataFrame:
+    """Entries of archives (root, label, file): the directory at each file's end is read by ranges, and nothing else."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for root, label, file in zip(df["root"], df["label"], df["file"], strict=True):
+                fs, path = file_system(file)
+                with fs.open_input_file(path) as handle, zipfile.ZipFile(handle) as archive:
+                    infos = [i for i in archive.infolist() if not i.is_dir()]
+                    if any(i.flag_bits & 1 for i in infos):
+                        raise ValueError(f"{label}: an entry is encrypted")
+                    for at in range(0, len(infos), 10_000):
+                        some = infos[at : at + 10_000]
+                        yield pd.DataFrame(
+                            {
+                                "root": root,
+                                "label": label,
+                                "file": file,
+                                "member": [i.filename for i in some],
+                                "position": [i.header_offset for i in some],
+                                "packed": [i.compress_size for i in some],
+                                "size": [i.file_size for i in some],
+                                "method": [i.compress_type for i in some],
+                                "crc": [i.CRC for i in some],
+                                "modified": [pd.Timestamp(*i.date_time) for i in some],
+                            }
+                        )
+
+    return archives.select("root", "label", "file").mapInPandas(run, ENTRIES)
+
+
+def _unpacked(handle, row, label: str, piece: int = 1 << 20) -> Iterator[bytes]:
+    """The bytes of an entry, a piece at a time, held to the size and checksum that the directory tells."""
+    handle.seek(row.position)
+    head = handle.read(30)
+    if head[:4] != b"PK\x03\x04":
+        raise ValueError(f"{label}: {row.member} has no entry at its place")
+    handle.seek(row.position + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little"))
+    if row.method not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        raise ValueError(f"{label}: {row.member} is packed by method {row.method}")
+    inflate = zlib.decompressobj(-15) if row.method == zipfile.ZIP_DEFLATED else None
+    left, size, crc = int(row.packed), 0, 0
+    while left or (inflate and inflate.unconsumed_tail):
+        raw = inflate.unconsumed_tail if inflate and inflate.unconsumed_tail else handle.read(min(left, piece))
+        if not raw:
+            raise ValueError(f"{label}: {row.member} is cut short")
+        if not (inflate and inflate.unconsumed_tail):
+            left -= len(raw)
+        data = inflate.decompress(raw, piece) if inflate else raw
+        size, crc = size + len(data), zlib.crc32(data, crc)
+        if size > row.size:
+            break
+        yield data
+        if inflate and inflate.eof:
+            break
+    if inflate and size <= row.size:
+        data = inflate.flush()
+        size, crc = size + len(data), zlib.crc32(data, crc)
+        yield data
+    if size != row.size or crc != row.crc:
+        raise ValueError(f"{label}: {row.member} has another size than its entry says, or another content")
+
+
+def _dealt(entries: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """Entries over tasks by place, those of a task in the order of their places."""
+    return entries.repartition("file", "position").sortWithinPartitions("file", "position").mapInPandas(run, schema)
+
+
+def _inner(entries: DataFrame, folder: str) -> DataFrame:
+    """Archives (root, label, file) inside of archives, unpacked to files of a shared folder, each by a task."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for row in df.itertuples():
+                name = hashlib.sha256(f"{row.label}!/{row.member}@{row.position}".encode()).hexdigest()
+                fs, path = file_system(f"{folder}/{name}.zip")
+                fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                source, place = file_system(row.file)
+                temporary = f"{path}.{uuid.uuid4().hex}.tmp"
+                with source.open_input_file(place) as handle, fs.open_output_stream(temporary) as out:
+                    for data in _unpacked(handle, row, row.label):
+                        out.write(data)
+                fs.move(temporary, path)
+                yield pd.DataFrame({"root": [row.root], "label": [f"{row.label}!/{row.member}"], "file": [f"{folder}/{name}.zip"]})
+
+    return _dealt(entries, run, "root string, label string, file string")
+
+
+def expand_archives(files: DataFrame, wanted: str, limits: Limits = Limits()) -> DataFrame:
+    """(label, name, modified, content) of the members of archives (file, length, ...) that match a format.
+
+    Directories are read by ranges, and members are dealt over tasks one by
+    one, so neither the size of an archive nor its number of members bounds
+    what can be read.  Inner archives are unpacked to shared files first and
+    opened likewise, level by level; their label is outer!/inner.  A root
+    archive that is over a limit, all inner ones counted, is an error before
+    any member is unpacked.  A member that unpacks to another size or checksum
+    than its entry says is an error, too.  A member of 2 GiB or more is too
+    large for a cell.  No archives: no rows.
     """
-    suffixes = format_suffixes(wanted)
-
-    def unpacked(archive: zipfile.ZipFile, info: zipfile.ZipInfo, label: str) -> bytes:
-        with archive.open(info) as member:
-            data = member.read(info.file_size + 1)
-        if len(data) != info.file_size:
-            raise ValueError(f"{label}: {info.filename} has another size than its entry says")
-        return data
-
-    def members(data: bytes, label: str, depth: int, spent: list[int]) -> Iterator[tuple]:
-        if depth > limits.depth:
-            raise ValueError(f"{label}: archives are nested too deeply")
-        if len(data) > limits.archive_bytes:
-            raise ValueError(f"{label}: the archive is too large")
-        with zipfile.ZipFile(io.BytesIO(data)) as archive:
-            for info in archive.infolist():
-                spent[0] += 1
-                spent[1] += info.file_size
-                if spent[0] > limits.entries or spent[1] > limits.expanded_bytes:
-                    raise ValueError(f"{label}: too many entries or bytes")
-                if info.is_dir():
-                    continue
-                if info.filename.lower().endswith(".zip"):
-                    yield from members(unpacked(archive, info, label), f"{label}!/{info.filename}", depth + 1, spent)
-                elif info.filename.lower().endswith(suffixes):
-                    yield f"{label}!/{info.filename}", info.filename.rsplit("/", 1)[-1], pd.Timestamp(*info.date_time), unpacked(archive, info, label)
+    folder = shared_folder(files.sparkSession, "archives")
+    level = files.select(F.col("file").alias("root"), F.col("file").alias("label"), "file")
+    zipped = F.lower("member").endswith(".zip")
+    levels: list[DataFrame] = []
+    too_large = files.filter(F.col("length") > limits.archive_bytes).select("file").first()
+    if too_large:
+        raise ValueError(f"{too_large[0]}: the archive is too large")
+    while True:
+        entries = stored(_listed(level), f"{folder}/{len(levels)}-entries")
+        levels.append(entries)
+        spent = reduce(DataFrame.unionByName, levels).groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+        over = spent.filter((F.col("n") > limits.entries) | (F.col("bytes") > limits.expanded_bytes)).select("root").first()
+        if over:
+            raise ValueError(f"{over[0]}: too many entries or bytes")
+        inner = entries.filter(zipped)
+        large = inner.filter(F.col("size") > limits.archive_bytes).select("label", "member").first()
+        if large:
+            raise ValueError(f"{large[0]}!/{large[1]}: the archive is too large")
+        if inner.isEmpty():
+            break
+        if len(levels) == limits.depth:
+            raise ValueError(f"{inner.first()['label']}: archives are nested too deeply")
+        level = stored(_inner(inner, f"{folder}/{len(levels)}-files"), f"{folder}/{len(levels)}-inner")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opened, handle = None, None
         for df in frames:
-            for file, content in zip(df["file"], df["content"], strict=True):
-                held, size = [], 0
-                for row in members(bytes(content), file, 1, [0, 0]):
-                    held.append(row)
-                    size += len(row[3])
-                    if size > 16 << 20:
-                        yield pd.DataFrame(held, columns=["label", "name", "modified", "content"])
-                        held, size = [], 0
-                if held:
+            held, size = [], 0
+            for row in df.itertuples():
+                if row.size >= 1 << 31:
+                    raise ValueError(f"{row.label}: {row.member} is too large for a cell")
+                if row.file != opened:
+                    if handle:
+                        handle.close()
+                    fs, path = file_system(row.file)
+                    opened, handle = row.file, fs.open_input_file(path)
+                held.append((f"{row.label}!/{row.member}", row.member.rsplit("/", 1)[-1], row.modified, b"".join(_unpacked(handle, row, row.label))))
+                size += row.size
+                if size > 16 << 20:
                     yield pd.DataFrame(held, columns=["label", "name", "modified", "content"])
-
-    return files.mapInPandas(run, "label string, name string, modified timestamp_ntz, content binary")
+                    held, size = [], 0
+            if held:
+                yield pd.DataFrame(held, columns=["label", "name", "modified", "content"])
+        if handle:
+            handle.close()
+
+    suffixes = reduce(lambda a, b: a | b, [F.lower("member").endswith(end) for end in format_suffixes(wanted)], F.lit(False))
+    members = reduce(DataFrame.unionByName, levels).filter(suffixes & ~zipped)
+    return _dealt(members, run, "label string, name string, modified timestamp_ntz, content binary")

@@ -187,26 +187,6 @@ def _zip(members):
     return out.getvalue()
 
 
-def test_archives_expand_with_limits(spark):
-    inner = _zip({"deep.csv": b"1", "x.txt": b"2"})
-    files = spark.createDataFrame([("a.zip", bytearray(_zip({"d/top.csv": b"0", "in.zip": inner})))], "file string, content binary")
-    labels = {r["label"] for r in archives.expand_archives(files, "CSV").collect()}
-    assert labels == {"a.zip!/d/top.csv", "a.zip!/in.zip!/deep.csv"}
-    for limits in (archives.Limits(depth=1), archives.Limits(entries=2), archives.Limits(expanded_bytes=3)):
-        with pytest.raises(Exception, match="nested|too many"):
-            archives.expand_archives(files, "CSV", limits).collect()
-
-
-def test_archive_members_are_held_to_their_sizes(spark):
-    data = bytearray(_zip({"a.csv": b"x" * 500}))
-    at = data.index(b"PK\x01\x02") + 24  # the size in the central directory
-    data[at : at + 4] = (7).to_bytes(4, "little")
-    files = spark.createDataFrame([("a.zip", data)], "file string, content binary")
-    with pytest.raises(Exception, match="size|CRC"):
-        archives.expand_archives(files, "CSV").collect()
-    assert archives.expand_archives(files, "JSON").count() == 0  # not unpacked at all
-
-
 def test_drive_links(spark):
     hrefs = ["https://drive.google.com/drive/u/1/folders/A_-1?resourcekey=k", "https://drive.google.com/file/d/b!d/view", "https://drive.google.com/uc?export=x&amp;id=c%20c", "https://docs.google.com/file/d/e", "https://drive.google.com/open?id=", "https://drive.google.com/about"]
     page = "".join(f'<a href="{h}">x</a>' for h in hrefs)
