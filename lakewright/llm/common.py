@@ -162,7 +162,8 @@ class ChunkTokenizer:
             raw = ids.tobytes()
             self.known.update(zip(some, [raw[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+    def _cut(self, texts: list[str]) -> list[list[str] | None]:
+        """The chunks of each text, all of them known; None for a text that is tokenized as one piece."""
         if len(self.known) > self.entries:
             self._clear()
         added = self.added
@@ -172,11 +173,20 @@ class ChunkTokenizer:
             cut = [[] if odd or not text else ("\n" + text).replace("\n", " \n").split(" ")[1:] for odd, text in zip(whole, texts, strict=True)]
         else:
             cut = [[] if odd else text.replace("\n", " ").split(" ") for odd, text in zip(whole, texts, strict=True)]
-        known = self.known
-        if new := set().union(*cut).difference(known):
+        if new := set().union(*cut).difference(self.known):
             self._learn(new)
-        look, skip = known.__getitem__, 4 if self.spaces else 0
-        return [self.direct(text) if odd else b"".join(map(look, chunks))[skip:] for odd, text, chunks in zip(whole, texts, cut, strict=True)]
+        return [None if odd else chunks for odd, chunks in zip(whole, cut, strict=True)]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        cut = self._cut(texts)
+        look, skip = self.known.__getitem__, 4 if self.spaces else 0
+        return [self.direct(text) if chunks is None else b"".join(map(look, chunks))[skip:] for text, chunks in zip(texts, cut, strict=True)]
+
+    def count_all(self, texts: list[str]) -> list[int]:
+        """Numbers of ids, which are not put together."""
+        cut = self._cut(texts)
+        look, skip = self.known.__getitem__, 4 if self.spaces else 0
+        return [len(self.direct(text)) // 4 if chunks is None else max(0, sum(map(len, map(look, chunks))) - skip) // 4 for text, chunks in zip(texts, cut, strict=True)]
 
 
 @functools.cache

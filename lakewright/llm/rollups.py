@@ -100,7 +100,7 @@ TOKENIZERS = {"byte_bpe_50k-1": ("byte_bpe_50k.json", True), "word_bpe_49k-1": (
 CHANGE_SCHEMA = "source string, lang string, tokenizer string, change string, tokens long, old_tokens long"
 
 
-def counted(docs: DataFrame, text: Column, keep: Iterable[str] = (), tokenizers: dict[str, tuple[str, bool]] = TOKENIZERS, entries: int = 250_000) -> DataFrame:
+def counted(docs: DataFrame, text: Column, keep: Iterable[str] = (), tokenizers: dict[str, tuple[str, bool]] = TOKENIZERS, entries: int = 350_000) -> DataFrame:
     """Ledger rows (source, lang, tokenizer, tokens, *keep) of all documents (source, lang, ...), one for each tokenizer version.
 
     Tokens are the ids of the whole text by the version's vocabulary, without
@@ -115,7 +115,7 @@ def counted(docs: DataFrame, text: Column, keep: Iterable[str] = (), tokenizers:
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for version, encoder in count.items():
-                tokens = pa.array([len(ids) // 4 for ids in encoder.encode_all(texts)], pa.int64())
+                tokens = pa.array(encoder.count_all(texts), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([version] * len(batch), pa.string()), tokens, *batch.columns[3:]], names=["source", "lang", "tokenizer", "tokens", *keep])
 
     rows = docs.select(F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), text.cast("string").alias("text"), *[F.col(f"`{c}`") for c in keep])

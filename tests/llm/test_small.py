@@ -366,7 +366,8 @@ def test_chunks_give_the_tokenizer_s_own_ids(spaces):
     encode = common.ChunkTokenizer(public_tokenizers.path(name), spaces, entries=50)
     texts = [t or "" for t in ODD] + [t for _, t in documents(6)]
     for some in (texts, texts[:3], texts):
-        assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(some)] == [ids_of(name, t, 0)[:-1].tolist() for t in some]
+        wanted = [ids_of(name, t, 0)[:-1].tolist() for t in some]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(some)] == wanted and encode.count_all(some) == list(map(len, wanted))
 
 
 @pytest.mark.parametrize("spaces", [True, False])
@@ -377,7 +378,8 @@ def test_chunks_of_odd_texts_give_the_tokenizer_s_own_ids(spaces):
     parts = [*"ab  \n\n\t '.,!Z\u00e9\u00df1 9\u6f22\u0301\u0130\u017f\u01c5\u0149\u00b5\u00ba\u2028\u00a0\x1c-%&\r", "<|endoftext|>", "'s", "the", "don't", "<|startoftext|>", "\u212a", "\ufb01"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(15))) for _ in range(8000)]
     for some in (texts[i : i + 500] for i in range(0, len(texts), 500)):
-        assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(some)] == [ids_of(name, t, 0)[:-1].tolist() for t in some]
+        wanted = [ids_of(name, t, 0)[:-1].tolist() for t in some]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode_all(some)] == wanted and encode.count_all(some) == list(map(len, wanted))
 
 
 def test_added_tokens_in_texts_are_their_ids(spark):
