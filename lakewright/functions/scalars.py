@@ -192,13 +192,24 @@ def first_text(*columns: Column) -> Column:
     return F.coalesce(*[F.when(F.trim(c) != "", c) for c in columns])
 
 
+# The characters that Windows-1252 has for the bytes 0x80 to 0x9F; the bytes left out are control characters, as in Latin-1.
+WINDOWS_1252 = dict(zip(b"\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f", "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ", strict=True))
+#: Names under which files of single bytes are published; on the web, Latin-1 means Windows-1252.
+SINGLE_BYTES = ("windows-1252", "cp1252", "iso-8859-1", "latin1", "latin-1", "us-ascii", "ascii")
+
+
+def _windows_1252(c: Column) -> Column:
+    return F.translate(F.decode(c, "ISO-8859-1"), "".join(map(chr, WINDOWS_1252)), "".join(WINDOWS_1252.values()))
+
+
 def decode_bytes(c: Column, encoding: str = "utf-8") -> Column:
-    """Text of bytes without a byte order mark; what is no UTF-8 is read as Latin-1 where UTF-8 was asked for."""
-    if encoding.lower().replace("-", "") == "utf8":
-        text = F.when(F.is_valid_utf8(c.cast("string")), F.decode(c, "UTF-8")).otherwise(F.decode(c, "ISO-8859-1"))
+    """Text of bytes without a byte order mark; what is no UTF-8 is read as Windows-1252 where UTF-8 was asked for."""
+    name = encoding.lower().replace("_", "-")
+    if name in ("utf8", "utf-8"):
+        text = F.when(F.is_valid_utf8(c.cast("string")), F.decode(c, "UTF-8")).otherwise(_windows_1252(c))
     else:
-        text = F.decode(c, encoding.upper())
-    return F.regexp_replace(text, "^﻿", "")
+        text = _windows_1252(c) if name in SINGLE_BYTES else F.decode(c, encoding.upper())
+    return F.regexp_replace(text, "^\ufeff", "")
 
 
 def status_label(c: Column) -> Column:

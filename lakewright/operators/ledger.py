@@ -223,16 +223,23 @@ def resource_status(last_terminal: Column, status: Column) -> Column:
     return F.when(status != "pending", status).when(last_terminal == "FAILED", "failed").when(last_terminal == "SUCCESS", "outdated").otherwise("pending")
 
 
+#: What a latest row takes over from its job.
+COPIED = ("resource_name", "resource_url", "resource_format", "dataset_name")
+
+
 def guarded_latest(latest_rows: DataFrame, changes: DataFrame) -> DataFrame:
     """Latest rows (resource_id, latest_job_id, status, updated_at) after status changes (resource_id, job_id, status, ts, event_id).
 
     Only the job that is its resource's latest may change the row; changes by
     older jobs, and of resources without a row, do nothing.  Of several changes
-    the last counts.
+    the last counts.  It also brings the job's name, URL, format and dataset
+    name of the resource, of these columns those that both tables have.
     """
-    last = changes.groupBy("resource_id", "job_id").agg(F.max_by(F.struct("status", "ts"), F.struct("ts", "event_id")).alias("change"))
+    copied = [c for c in COPIED if c in latest_rows.columns and c in changes.columns]
+    last = changes.groupBy("resource_id", "job_id").agg(F.max_by(F.struct("status", "ts", *copied), F.struct("ts", "event_id")).alias("change"))
     mine = latest_rows.join(last.select("resource_id", F.col("job_id").alias("latest_job_id"), "change"), ["resource_id", "latest_job_id"], "left")
-    return mine.withColumns({"status": F.coalesce("change.status", "status"), "updated_at": F.coalesce("change.ts", "updated_at")}).drop("change")
+    changed = {c: F.when(F.col("change").isNotNull(), F.col(f"change.{c}")).otherwise(F.col(c)) for c in copied}
+    return mine.withColumns({"status": F.coalesce("change.status", "status"), "updated_at": F.coalesce("change.ts", "updated_at"), **changed}).drop("change")
 
 
 def outcome_summary(results: DataFrame) -> DataFrame:

@@ -6,9 +6,14 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+
+FIELD_ID, NESTED_IDS = "parquet.field.id", "parquet.field.nested.ids"
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
@@ -53,30 +58,62 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
 
 
 def assign_field_ids(schema: T.StructType) -> T.StructType:
-    """The schema with depth-first field ids from 1 in the fields' metadata, as Parquet writers read them."""
+    """The schema with depth-first field ids from 1 in the fields' metadata.
+
+    Elements of arrays, entries of maps, and their keys and values have ids,
+    too; those stand with the field that holds them, by their path from there.
+    """
     count = 0
 
-    def fields(old: list[T.StructField]) -> list[T.StructField]:
+    def new() -> int:
         nonlocal count
+        count += 1
+        return count
+
+    def fields(old: list[T.StructField]) -> list[T.StructField]:
         out = []
         for f in old:
-            count += 1
-            own = count
-            out.append(T.StructField(f.name, inner(f.dataType), f.nullable, {**f.metadata, "parquet.field.id": own}))
+            own, nested = new(), {}
+            kind = inner(f.dataType, nested, ())
+            metadata = {**f.metadata, FIELD_ID: own} | ({NESTED_IDS: nested} if nested else {})
+            out.append(T.StructField(f.name, kind, f.nullable, metadata))
         return out
 
-    def inner(kind: T.DataType) -> T.DataType:
+    def inner(kind: T.DataType, nested: dict, path: tuple[str, ...]) -> T.DataType:
+        below = lambda kind, name: (nested.update({".".join((*path, name)): new()}), inner(kind, nested, (*path, name)))[1]
         if isinstance(kind, T.StructType):
             return T.StructType(fields(kind.fields))
         if isinstance(kind, T.ArrayType):
-            return T.ArrayType(inner(kind.elementType), kind.containsNull)
+            return T.ArrayType(below(kind.elementType, "element"), kind.containsNull)
         if isinstance(kind, T.MapType):
-            return T.MapType(inner(kind.keyType), inner(kind.valueType), kind.valueContainsNull)
+            nested[".".join((*path, "entries"))] = new()
+            return T.MapType(below(kind.keyType, "key"), below(kind.valueType, "value"), kind.valueContainsNull)
         return kind
 
     return T.StructType(fields(schema.fields))
 
 
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    """The Arrow schema with the field ids that ``assign_field_ids`` gave, so that Parquet files have them at every level."""
+
+    def field(name: str, kind: T.DataType, nullable: bool, own: int | None, nested: dict, path: tuple[str, ...] = ()) -> pa.Field:
+        below = lambda name, kind, nullable: field(name, kind, nullable, nested.get(".".join((*path, name))), nested, (*path, name))
+        if isinstance(kind, T.StructType):
+            arrow = pa.struct([top(f) for f in kind.fields])
+        elif isinstance(kind, T.ArrayType):
+            arrow = pa.list_(below("element", kind.elementType, kind.containsNull))
+        elif isinstance(kind, T.MapType):
+            arrow = pa.map_(below("key", kind.keyType, False), below("value", kind.valueType, kind.valueContainsNull))
+        else:
+            arrow = to_arrow_type(kind)
+        return pa.field(name, arrow, nullable, None if own is None else {"PARQUET:field_id": str(own)})
+
+    def top(f: T.StructField) -> pa.Field:
+        return field(f.name, f.dataType, f.nullable, f.metadata.get(FIELD_ID), f.metadata.get(NESTED_IDS, {}))
+
+    return pa.schema([top(f) for f in schema.fields])
+
+
 def convert(c: Column, kind: T.DataType, to: T.DataType) -> Column:
     """A cast if Spark has one, nested values as JSON if text is wanted; else an error."""
     nested = (T.StructType, T.ArrayType, T.MapType)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -33,3 +34,28 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+
+
+def publish_file(spark: SparkSession, temporary: str, target: str) -> bool:
+    """Give a finished file its name; False, and the file is dropped, if the name is taken.  Of several writers one wins.
+
+    A local file is linked to its name, which fails if that is there.
+    Elsewhere the file is renamed by Hadoop's file system, which must refuse a
+    rename onto a file that is there, as HDFS does; stores that copy instead of
+    renaming don't.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getScheme() == "file":
+        old, new = (file_system(str(fs.makeQualified(path(p)).toUri()))[1] for p in (temporary, target))
+        try:
+            os.link(old, new)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(old)
+    if fs.exists(path(target)) or not fs.rename(path(temporary), path(target)):
+        fs.delete(path(temporary), False)
+        return False
+    return True

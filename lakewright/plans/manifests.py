@@ -7,17 +7,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from .folders import publish_file
+
 
 class ConcurrentCommit(RuntimeError):
     """Another writer committed the version first."""
 
 
 class Manifests:
-    """JSON manifests below ``root``/manifests, on any file system that Spark can write.
+    """JSON manifests below ``root``/manifests.
 
-    A manifest is written under a temporary name and renamed to the next free
-    number; a rename onto a number that is taken fails.  Readers see a whole
-    manifest or none.
+    A manifest is written under a temporary name and then given the next free
+    number, which fails if that is taken; ``publish_file`` says on which file
+    systems.  Readers see a whole manifest or none.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -64,8 +66,7 @@ class Manifests:
         out = self.fs.create(temporary, False)
         out.write(bytearray(json.dumps({"version": version, **state}).encode()))
         out.close()
-        if self.exists(version) or not self.fs.rename(temporary, self.path(self._name(version))):
-            self.fs.delete(temporary, False)
+        if not publish_file(self.spark, temporary.toString(), self.path(self._name(version)).toString()):
             raise ConcurrentCommit(f"version {version} exists already")
         return version
 

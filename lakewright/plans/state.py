@@ -28,9 +28,10 @@ class StateTable:
     def update(self, change: Callable[[DataFrame], DataFrame], once: tuple[str, int] | None = None, identity: str | None = None) -> int:
         """Write ``change`` of the newest state as the next version.
 
-        With ``once``, a writer's name and the number of its update, counted
-        from 0, one that is sent again changes nothing.  No number may be left
-        out, as what it held would be lost.  A writer that has an ``identity``
+        With ``once``, a writer's name and the number of its update, one that
+        is sent again changes nothing.  No number after a writer's first may be
+        left out, as what it held would be lost; that of a writer with an
+        identity is 0.  A writer that has an ``identity``
         keeps its name: another one under that name is refused, as its numbers
         are not the same updates.  A manifest holds one entry a writer.
         """
@@ -43,7 +44,7 @@ class StateTable:
                 raise ValueError(f"{name} writes to {self.root} from another checkpoint; a second stream needs a name of its own")
             if number <= last:
                 return base
-            if number > last + 1:
+            if number > last + 1 and (name in done or identity is not None):
                 raise ValueError(f"{name} sends update {number} to {self.root} after {last}")
             done = {**done, name: [identity, number]}
         folder = f"data/{base + 1:012d}-{uuid.uuid4().hex}"

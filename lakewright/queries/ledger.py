@@ -273,11 +273,12 @@ def r7(t: Tables) -> DataFrame:
 
 @query(
     "r3_latest_row_guard",
-    f"WITH {FOLD}, newest AS (SELECT resource_id, max(job_id) AS latest_job_id FROM messages GROUP BY 1), last AS (SELECT job_id, arg_max(status, (ts, event_id)) AS status, max(ts) AS ts FROM fold GROUP BY 1) SELECT resource_id, latest_job_id, coalesce(last.status, 'pending') AS status, ts AS updated_at FROM newest LEFT JOIN last ON latest_job_id = job_id",
+    f"WITH {FOLD}, newest AS (SELECT resource_id, max(job_id) AS latest_job_id FROM messages GROUP BY 1), last AS (SELECT job_id, arg_max(status, (ts, event_id)) AS status, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM fold GROUP BY 1) SELECT resource_id, latest_job_id, coalesce(last.status, 'pending') AS status, ts AS updated_at, CASE WHEN last.job_id IS NULL THEN 'old' ELSE concat('n', event_id) END AS resource_name, CASE WHEN last.job_id IS NULL THEN 'csv' ELSE NULL END AS resource_format FROM newest LEFT JOIN last ON latest_job_id = job_id",
 )
 def r3(t: Tables) -> DataFrame:
-    newest = messages(t).groupBy("resource_id").agg(F.max("job_id").alias("latest_job_id")).withColumns({"status": F.lit("pending"), "updated_at": F.lit(None).cast("timestamp")})
-    return L.guarded_latest(newest, L.fold_job_results(messages(t)))
+    newest = messages(t).groupBy("resource_id").agg(F.max("job_id").alias("latest_job_id")).withColumns({"status": F.lit("pending"), "updated_at": F.lit(None).cast("timestamp"), "resource_name": F.lit("old"), "resource_format": F.lit("csv")})
+    changes = L.fold_job_results(messages(t)).withColumns({"resource_name": F.concat(F.lit("n"), "event_id"), "resource_format": F.lit(None).cast("string")})
+    return L.guarded_latest(newest, changes)
 
 
 @query(

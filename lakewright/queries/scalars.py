@@ -128,11 +128,16 @@ def f18(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", S.first_text(F.when(n == 0, F.col("p_name")).otherwise("  "), F.when(n == 1, F.col("p_brand")), F.col("p_type")).alias("title"))
 
 
-@query("f19_decode_bytes", "SELECT doc_id, md5(text) AS utf8, md5(text) AS latin FROM documents")
+BYTES = f"[{', '.join(str(ord(S.WINDOWS_1252.get(i, chr(i)))) for i in range(256))}]"
+
+
+@query("f19_decode_bytes", f"SELECT doc_id, md5(text) AS utf8, md5(text) AS utf16, {BYTES}[doc_id % 256 + 1] AS code FROM documents")
 def f19(t: Tables) -> DataFrame:
+    """Texts in UTF-8 with a mark and in UTF-16, and all bytes in turn, each before one that no UTF-8 text has there."""
     utf8 = S.decode_bytes(F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8")))
     utf16 = S.decode_bytes(F.encode("text", "UTF-16"), "UTF-16")
-    return t.documents.select("doc_id", F.md5(F.encode(utf8, "UTF-8")).alias("utf8"), F.md5(F.encode(utf16, "UTF-8")).alias("latin"))
+    one = S.decode_bytes(F.unhex(F.concat(F.lpad(F.hex(F.col("doc_id") % 256), 2, "0"), F.lit("FF"))))
+    return t.documents.select("doc_id", F.md5(F.encode(utf8, "UTF-8")).alias("utf8"), F.md5(F.encode(utf16, "UTF-8")).alias("utf16"), F.ascii(F.substring(one, 1, 1)).alias("code"))
 
 
 @query("f20_status_label", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Pending' ELSE 'other' END AS label FROM orders")

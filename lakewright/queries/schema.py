@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import schema as C
-from ..operators.statistics import column_statistics
+from ..operators.statistics import column_statistics, file_footers
+from ..sinks.files import write_files
 from ..plans.folders import shared_folder
 from .base import Tables, query
 
@@ -105,17 +106,26 @@ def a7(t: Tables) -> DataFrame:
     return column_statistics(t.customer.select("c_custkey", "c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey")).alias("half")))
 
 
-@query("c2_field_ids", "SELECT field, id, rows FROM (VALUES ('c_custkey', 1), ('place', 2), ('name', 3), ('codes', 4)) v(field, id), (SELECT count(*) AS rows FROM customer)")
+@query("c2_field_ids", "SELECT field, id, rows FROM (VALUES ('c_custkey', 1), ('place.name', 3), ('place.codes.list.element', 5), ('tags.key_value.key', 8), ('tags.key_value.value', 9), ('half', 10)) v(field, id), (SELECT count(*) AS rows FROM customer)")
 def c2(t: Tables) -> DataFrame:
-    """The ids that a nested table's fields have in its Parquet files, with the table's rows."""
+    """The ids that the leaves of a nested table have in its Parquet files, with the table's rows."""
     place = F.struct(F.col("c_name").alias("name"), F.array("c_nationkey").alias("codes")).alias("place")
-    rows = t.customer.select("c_custkey", place)
+    rows = t.customer.select("c_custkey", place, F.create_map("c_mktsegment", "c_acctbal").alias("tags"), (F.col("c_acctbal") / 2).alias("half"))
     path = shared_folder(t.spark, "ids")
-    schema = C.assign_field_ids(rows.schema)
-    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields]).write.parquet(path)
-    read = t.spark.read.parquet(path)
-    ids = [(f.name, f.metadata["parquet.field.id"]) for f in [*schema.fields, *schema["place"].dataType.fields]]
-    return read.agg(F.count("*").alias("rows")).select(F.inline(F.array(*[F.struct(F.lit(n).alias("field"), F.lit(i).alias("id")) for n, i in ids])), "rows")
+    write_files(rows, path)
+    footers = file_footers(t.spark, path).select("n_rows", F.explode("columns").alias("c"))
+    return footers.groupBy(F.col("c.path").alias("field"), F.col("c.field_id").alias("id")).agg(F.sum("n_rows").alias("rows"))
+
+
+@query("a7_file_columns", "SELECT c AS path, i AS field_id, n_rows, CASE c WHEN 'half' THEN odd ELSE 0 END AS null_count, true AS sized FROM (VALUES ('c_custkey', 1), ('c_mktsegment', 2), ('half', 3)) v(c, i), (SELECT count(*) AS n_rows, count(*) FILTER (c_custkey % 2 = 1) AS odd FROM customer)")
+def a7_files(t: Tables) -> DataFrame:
+    """Figures of the columns of files, summed over files, from their footers; compressed columns are a file but for its footer."""
+    path = shared_folder(t.spark, "columns")
+    write_files(t.customer.repartition(3, "c_custkey").select("c_custkey", "c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey")).alias("half")), path)
+    files = file_footers(t.spark, path)
+    packed = F.aggregate("columns", F.lit(0).cast("long"), lambda a, c: a + c["size_bytes"])
+    rows = files.select("n_rows", ((packed > 0) & (packed < F.col("bytes"))).alias("sized"), F.explode("columns").alias("c"))
+    return rows.groupBy("c.path", "c.field_id").agg(F.sum("n_rows").alias("n_rows"), F.sum("c.null_count").alias("null_count"), F.bool_and(F.col("sized") & (F.col("c.size_bytes") > 0)).alias("sized"))
 
 
 @query("c14_declared_collection", "SELECT n_name AS source_id, n_nationkey::BIGINT AS rank, n_nationkey % 2 = 0 AS even FROM nation")

@@ -54,6 +54,20 @@ def _labelled(t: Tables) -> DataFrame:
     return rows.union(names).union(t.spark.range(4).select(F.concat(F.lit("f"), "id"), F.lit(1).cast("long"), F.lit("made by hand")))
 
 
+@query("s2_sniff_csv", "SELECT p_size % 5 AS file, ['~', ' ', chr(1), ':', ';'][p_size % 5 + 1] AS delimiter, 3 AS width, false AS header, ['UTF-8', 'windows-1252', 'UTF-8', 'windows-1252', 'UTF-8'][p_size % 5 + 1] AS encoding FROM part GROUP BY ALL")
+def s2_sniff(t: Tables) -> DataFrame:
+    """Files with unusual delimiters, some of them in Windows-1252."""
+    path = shared_folder(t.spark, "sniff")
+    k = F.col("p_size") % 5
+    d = F.get(F.array(*[F.lit(x) for x in ("~", " ", "\x01", ":", ";")]), k)
+    name = F.replace("p_name", F.lit(" "), F.lit("_"))
+    lines = t.part.select(k.alias("k"), F.concat("p_partkey", d, name, F.lit("€é"), d, "p_size").alias("line"))
+    text = F.when(F.col("k") % 2 == 1, F.concat(F.encode(F.replace("line", F.lit("€"), F.lit("")), "ISO-8859-1"), F.unhex(F.lit("80")))).otherwise(F.encode("line", "UTF-8"))
+    lines.select("k", text.cast("string").alias("line")).repartition("k").write.partitionBy("k").text(path)
+    found = V.sniff_csv(t.spark, f"{path}/*/*.txt")
+    return found.select(F.regexp_extract("file", "/k=([0-9]+)/", 1).cast("int").alias("file"), "delimiter", "width", "header", "encoding")
+
+
 @query("s2_profile_csv", "SELECT concat('f', i) AS file, [',', ';', chr(9), '|'][i + 1] AS delimiter, 4 AS width, true AS quoted, 1 AS preamble, i % 2 = 0 AS header, 'UTF-8' AS encoding FROM range(4) r(i)")
 def s2(t: Tables) -> DataFrame:
     return V.profile_csv(_labelled(t)).select("file", "delimiter", "width", "quoted", "preamble", "header", "encoding")
@@ -130,9 +144,9 @@ def s9(t: Tables) -> DataFrame:
 
 @query("s10_scan_gtfs_rt", "SELECT concat('t', o_orderkey) AS id, concat('c', o_custkey) AS route_id, count(l_linenumber) AS stops, -sum(l_partkey) AS delays FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL")
 def s10(t: Tables) -> DataFrame:
-    """Orders as trips with their lines as stops, in one feed for each order priority and customer remainder."""
+    """Orders as trips with their lines as stops, in one feed for each order priority and fifty customers."""
     stops = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("stops"))
-    trips = t.orders.join(stops, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("feed", F.concat("o_orderpriority", F.lit("-"), F.col("o_custkey") % 8))
+    trips = t.orders.join(stops, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("feed", F.concat("o_orderpriority", F.lit("-"), F.floor(F.col("o_custkey") / 50)))
 
     def feed(df):
         entity = lambda key, route, stops: {"id": f"t{key}", "trip_update": {"trip": {"trip_id": str(key), "route_id": f"c{route}"}, "stop_time_update": [{"stop_sequence": s["l_linenumber"], "arrival": {"delay": -s["l_partkey"]}} for s in stops]}}
@@ -145,16 +159,52 @@ def s10(t: Tables) -> DataFrame:
     return rows.select("id", F.col("trip_update.trip.route_id").alias("route_id"), F.size("trip_update.stop_time_update").cast("long").alias("stops"), delays.alias("delays"))
 
 
+@query("s10_every_field", "SELECT concat('e', o_orderkey) AS id, concat('p', o_orderkey) AS polyline, concat('s', o_custkey) AS stop_name, concat('m', o_orderkey, ',', o_custkey) AS trips, o_custkey AS travel, 'c' AS carriage, concat('http://i/', o_orderkey) AS image, 0.5::DOUBLE AS lat FROM orders")
+def s10_every(t: Tables) -> DataFrame:
+    """Shapes, stops, trip modifications, carriages and images come through."""
+
+    def feed(frames):
+        for df in frames:
+            out = []
+            for key, cust in zip(df["o_orderkey"], df["o_custkey"], strict=True):
+                said = lambda text: {"translation": [{"text": text}]}
+                entity = {
+                    "id": f"e{key}",
+                    "shape": {"encoded_polyline": f"p{key}"},
+                    "stop": {"stop_name": said(f"s{cust}"), "stop_lat": 0.5},
+                    "trip_modifications": {"selected_trips": [{"trip_ids": [f"m{key}", str(cust)]}], "modifications": [{"replacement_stops": [{"travel_time_to_stop": cust}]}]},
+                    "vehicle": {"multi_carriage_details": [{"id": "a"}, {"id": "c", "carriage_sequence": 2}]},
+                    "alert": {"image": {"localized_image": [{"url": f"http://i/{key}", "media_type": "image/png"}]}},
+                }
+                out.append(fixtures.encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [entity]}, transit.FEED))
+            yield df[[]].assign(file="f", content=out)
+
+    rows = transit.scan_gtfs_rt(t.orders.select("o_orderkey", "o_custkey").mapInPandas(feed, "file string, content binary"))
+    modified = "trip_modifications.modifications"
+    return rows.select(
+        "id",
+        F.col("shape.encoded_polyline").alias("polyline"),
+        F.col("stop.stop_name.translation")[0]["text"].alias("stop_name"),
+        F.array_join(F.col("trip_modifications.selected_trips")[0]["trip_ids"], ",").alias("trips"),
+        F.col(modified)[0]["replacement_stops"][0]["travel_time_to_stop"].alias("travel"),
+        F.element_at(F.filter("vehicle.multi_carriage_details", lambda c: c["carriage_sequence"] == 2), 1)["id"].alias("carriage"),
+        F.col("alert.image.localized_image")[0]["url"].alias("image"),
+        F.col("stop.stop_lat").alias("lat"),
+    )
+
+
 @query("s11_ordered_lines", "SELECT doc_id, i + 1 AS \"order\", ls[i + 1] AS message FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))")
 def s11(t: Tables) -> DataFrame:
     lines = t.documents.select(F.col("doc_id").alias("file"), F.posexplode(F.split("text", "\n")).alias("i", "line")).repartition(4, "file").sortWithinPartitions("file", "i")
     return number_lines(lines.select("file", "line")).select(F.col("file").alias("doc_id"), F.col("number").alias("order"), F.col("line").alias("message"))
 
 
-@query("s11_scan_log", "SELECT row_number() OVER (ORDER BY event_id) AS \"order\", concat('<EV=', event_id, ';', event_type, '>') AS message FROM events")
+@query("s11_scan_log", "SELECT row_number() OVER (PARTITION BY event_type, event_id // 1000 ORDER BY event_id) AS \"order\", concat('<EV=', event_id, ';', event_type, '>') AS message FROM events")
 def s11_log(t: Tables) -> DataFrame:
+    """A log of each thousand events of a type."""
     path = shared_folder(t.spark, "log")
-    t.events.orderBy("event_id").coalesce(1).select(F.concat(F.lit("<EV="), "event_id", F.lit(";"), "event_type", F.lit(">\r"))).write.text(path)
+    lines = t.events.select("event_id", F.col("event_type").alias("kind"), F.floor(F.col("event_id") / 1000).alias("part"), F.concat(F.lit("<EV="), "event_id", F.lit(";"), "event_type", F.lit(">\r")).alias("line"))
+    lines.repartition("kind", "part").sortWithinPartitions("kind", "part", "event_id").select("line", "kind", "part").write.partitionBy("kind", "part").text(path)
     return scan_log(t.spark, path)
 
 
@@ -172,7 +222,7 @@ def _listing(t: Tables) -> DataFrame:
     lists = t.orders.groupBy("o_custkey").agg(F.collect_list(res).alias("resources"))
     package = F.struct(F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("").alias("title"), F.lit("2023-05-05").alias("metadata_modified"), "resources")
     rows = t.customer.join(lists, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return rows.groupBy((F.col("c_custkey") % 60).alias("start")).agg(F.to_json(F.collect_list(package)).alias("body"))
+    return rows.groupBy(F.floor(F.col("c_custkey") / 25).alias("start")).agg(F.to_json(F.collect_list(package)).alias("body"))
 
 
 @query("s14_scan_packages", "SELECT concat('c', c_custkey) AS id, c_name AS name FROM customer")
@@ -196,11 +246,13 @@ def s16(t: Tables) -> DataFrame:
     return archives.discover_archive_resources(members, "s").select("kind", "path")
 
 
-@query("s18_list_objects", "SELECT count(*) AS n, sum(size) > 0 AS sized FROM (SELECT DISTINCT p_size % 7 AS size FROM part)")
+@query("s18_list_objects", "SELECT concat('folder=', p_size % 7) AS folder, 1 AS files, sum(octet_length(encode(p_name)) + 1)::BIGINT AS size FROM part GROUP BY 1")
 def s18(t: Tables) -> DataFrame:
+    """Names of parts as text files in folders: a key each, with its bytes."""
     path = shared_folder(t.spark, "objects")
-    t.part.withColumn("folder", F.col("p_size") % 7).repartition("folder").write.partitionBy("folder").parquet(path)
-    return archives.list_objects(t.spark, path, "*.parquet").agg(F.count("*").alias("n"), (F.sum("size") > 0).alias("sized"))
+    t.part.select("p_name", (F.col("p_size") % 7).alias("folder")).repartition("folder").write.partitionBy("folder").text(path)
+    keys = archives.list_objects(t.spark, path, "*.txt")
+    return keys.groupBy(F.regexp_extract("object_key", "/(folder=[0-9]+)/[^/]+$", 1).alias("folder")).agg(F.count("*").cast("int").alias("files"), F.sum("size").alias("size"))
 
 
 @query("s19_file_references", "SELECT page_id AS id, CASE WHEN nullif(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/')[-1], '') IS NULL THEN concat(page_id, '.pdf') ELSE string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/')[-1] END AS name FROM pages WHERE page_id % 2 = 0")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import ledger as L
 from ..operators.schema import merge_children
+from ..operators.statistics import file_footers
 from ..plans.folders import shared_folder
 from ..plans.state import Registry, StateTable
 from ..sinks import files as K
@@ -147,11 +151,14 @@ def k3(t: Tables) -> DataFrame:
     return t.pages.select("page_id", key[2].alias("name"), key[1].alias("version"))
 
 
-@query("k4_export", "SELECT n_nationkey, n_name FROM nation")
+@query("k4_export", "SELECT least(count(*), 100) AS n, least(count(*), 100) AS known FROM events")
 def k4(t: Tables) -> DataFrame:
+    """More events than the export takes: as many rows as the bound, and all of them events."""
     path = shared_folder(t.spark, "export")
-    K.export(t.nation.select("n_nationkey", "n_name"), "csv", path)
-    return t.spark.read.option("header", True).schema("n_nationkey int, n_name string").csv(path)
+    K.export(t.events.select("event_id", "value"), "csv", path, limit=100)
+    rows = t.spark.read.option("header", True).schema("event_id long, value double").csv(path)
+    known = rows.join(t.events.select("event_id", F.col("value").alias("held")), "event_id", "left")
+    return known.agg(F.count("*").alias("n"), F.count_if(F.col("value").eqNullSafe(F.col("held"))).alias("known"))
 
 
 @query("j12_build_manifest", "SELECT 'nation' AS table_name, count(*) AS n_rows, 3 AS n_columns, 'Nations' AS title, 'n1,n2' AS files FROM nation UNION ALL SELECT 'region', count(*), 2, NULL, NULL FROM region")
@@ -168,7 +175,6 @@ def k6(t: Tables) -> DataFrame:
     files = objects(t).select(F.lit("part").alias("table_name"), F.col("object_key").alias("file"))
     manifest = K.build_manifest({"part": t.part}, files, t.spark.createDataFrame([("part", "Parts")], "table_name string, title string"))
     K.publish(manifest, root, "p1")
-    K.publish(manifest, root + "-2", "p1")
     return t.spark.read.parquet(f"{root}/publications/p1/protected")
 
 
@@ -181,12 +187,20 @@ def k7(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{root}/copy/suppliers")
 
 
-@query("k2_write_geo_table", "SELECT s_suppkey AS id, concat('POINT(', s_suppkey, ' 1)') AS geometry, 'geometry' AS primary_column FROM supplier")
+@query("k2_write_geo_table", "SELECT count(*) AS n_rows, 'geometry' AS primary_column, 'WKB' AS encoding, '[\"LineString\",\"Point\"]' AS kinds, least(min(s_suppkey), 1)::DOUBLE AS west, -2.5::DOUBLE AS south, max(s_suppkey)::DOUBLE AS east, max(s_nationkey)::DOUBLE AS north, min(s_suppkey) AS least_id, sum(CASE WHEN s_suppkey % 2 = 0 THEN 21 ELSE 41 END)::BIGINT AS bytes FROM supplier")
 def k2(t: Tables) -> DataFrame:
-    points = t.supplier.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("POINT("), "s_suppkey", F.lit(" 1)")).alias("geometry"))
-    path = K.write_geo_table(points, shared_folder(t.spark, "geo"), "r1", "v1", {"version": "1.1.0", "primary_column": "geometry"})
-    rows = t.spark.read.parquet(path)
-    return rows.withColumn("primary_column", F.get_json_object(F.lit(rows.schema["geometry"].metadata["geo"]), "$.primary_column"))
+    """Suppliers as points and lines; kinds and bounds from the footers of the files."""
+    point = F.concat(F.lit('{"type":"Point","coordinates":['), "s_suppkey", F.lit(","), "s_nationkey", F.lit("]}"))
+    line = F.concat(F.lit('{"type":"LineString","coordinates":[[1,-2.5],['), "s_suppkey", F.lit(","), "s_nationkey", F.lit("]]}"))
+    shapes = t.supplier.repartition(3, "s_suppkey").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 2 == 0, point).otherwise(line).alias("geometry"))
+    path = K.write_geo_table(shapes, shared_folder(t.spark, "geo"), "r1", "v1", {"version": "1.1.0", "primary_column": "geometry"})
+    geo = F.from_json(F.element_at("metadata", "geo"), "primary_column string, columns struct<geometry: struct<encoding: string, geometry_types: array<string>, bbox: array<double>>>")
+    files = file_footers(t.spark, path).select("n_rows", geo.alias("g")).select("n_rows", "g.primary_column", "g.columns.geometry.*")
+    side = lambda i, f: f(F.get("bbox", F.lit(i)))
+    kinds = F.to_json(F.array_sort(F.array_distinct(F.flatten(F.collect_list("geometry_types")))))
+    figures = files.agg(F.sum("n_rows").alias("n_rows"), F.max("primary_column").alias("primary_column"), F.max("encoding").alias("encoding"), kinds.alias("kinds"), side(0, F.min).alias("west"), side(1, F.min).alias("south"), side(2, F.max).alias("east"), side(3, F.max).alias("north"))
+    rows = t.spark.read.parquet(path).agg(F.min("id").alias("least_id"), F.sum(F.octet_length("geometry")).alias("bytes"))
+    return figures.join(rows)  # a row each
 
 
 @query("k5_write_snapshot", "SELECT '7' AS source_id, 's9' AS sync_id, '2024-01-01T00:00:00Z' AS collected_at, s_suppkey AS id, s_name AS title FROM supplier")
@@ -205,6 +219,15 @@ def k8(t: Tables) -> DataFrame:
     return K.registration_plan(objects(t), 10)[0].select("path", "batch")
 
 
-@query("k9_archive_pages", "SELECT concat('captures/', sha256(concat_ws('|', url, html)), '.warc.gz') AS key, true AS gzip FROM pages")
+RECORD = r"concat('WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: ', url, '\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Type: text/html\r\nContent-Length: ', octet_length(encode(html)), '\r\n\r\n', html, '\r\n\r\n')".replace("\\r\\n", "' || chr(13) || chr(10) || '")
+
+
+@query("k9_archive_pages", f"SELECT concat('captures/', sha256(concat_ws('|', url, html)), '.warc.gz') AS key, sha256({RECORD}) AS record FROM pages")
 def k9(t: Tables) -> DataFrame:
-    return K.archive_pages(t.pages, "2024-01-01T00:00:00Z").select("key", (F.hex(F.substring("payload", 1, 2)) == "1F8B").alias("gzip"))
+    """Digests of the records as they are unpacked."""
+
+    def unpack(frames):
+        for df in frames:
+            yield df.assign(record=[hashlib.sha256(gzip.decompress(p)).hexdigest() for p in df["payload"]])[["key", "record"]]
+
+    return K.archive_pages(t.pages, "2024-01-01T00:00:00Z").mapInPandas(unpack, "key string, record string")

@@ -4,17 +4,25 @@ from __future__ import annotations
 
 import gzip
 import json
-from collections.abc import Iterator, Sequence
+import math
+import struct
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import stable_id
 from ..operators.catalogue import classify_artifacts
 from ..operators.explore import BOUND, number_batches
-from ..operators.schema import normalize_names, normalize_nulls
+from ..operators.schema import arrow_schema, assign_field_ids, normalize_names, normalize_nulls
 from ..operators.statistics import column_statistics
+from ..plans.folders import file_system, publish_file, shared_folder, stored
 
 ROW_GROUP = 8 << 20
 
@@ -29,11 +37,106 @@ def _write(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_geo_table(df: DataFrame, root: str, resource: str, version: str, geo: dict) -> str:
-    """As ``write_table``, with the geographic metadata on the geometry column and beside the table."""
-    tagged = normalize_nulls(normalize_names(df)).withMetadata("geometry", {"geo": json.dumps(geo)})
-    path = _write(tagged, f"{root}/{resource}/ducklake_{version}.parquet")
-    df.sparkSession.createDataFrame([(json.dumps(geo),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{resource}/geo_{version}")
+def write_files(df: DataFrame, path: str, metadata: dict[str, str] | None = None, geometry: str | None = None) -> DataFrame:
+    """Write Parquet files with what Spark's writer leaves out: field ids at every level, and key-value metadata in each footer.
+
+    A partition is a file, which appears under its number when it is complete,
+    so a task that runs twice changes nothing.  With a ``geometry`` column of
+    GeoJSON texts, that is written as well-known binary, and the footer's
+    ``geo`` tells the kinds and bounds of the file's own shapes.  Returns, once
+    the files are there, (file, n_rows, kinds, bounds) of each.
+    """
+    schema = arrow_schema(assign_field_ids(df.schema))
+    if geometry is not None:
+        at = schema.get_field_index(geometry)
+        schema = schema.set(at, schema.field(at).with_type(pa.binary()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(path)
+        fs.create_dir(base, recursive=True)
+        number = TaskContext.get().partitionId()
+        temporary, target = f"{base}/.{uuid.uuid4().hex}.tmp", f"{base}/part-{number:05d}.parquet"
+        rows, kinds, bounds = 0, set(), [math.inf, math.inf, -math.inf, -math.inf]
+        with fs.open_output_stream(temporary) as out, pq.ParquetWriter(out, schema) as writer:
+            for batch in batches:
+                if geometry is not None:
+                    shapes = [None if text is None else json.loads(text) for text in batch.column(at).to_pylist()]
+                    for shape in filter(None, shapes):
+                        kinds.add(shape["type"])
+                        for x, y, *_ in positions(shape):
+                            bounds = [min(bounds[0], x), min(bounds[1], y), max(bounds[2], x), max(bounds[3], y)]
+                    batch = batch.set_column(at, geometry, pa.array([None if s is None else well_known_binary(s) for s in shapes], pa.binary()))
+                rows += batch.num_rows
+                writer.write_table(pa.Table.from_batches([batch]).cast(schema), row_group_size=max(1, ROW_GROUP * batch.num_rows // max(1, batch.nbytes)))
+            found = bounds if bounds[0] <= bounds[2] else None
+            writer.add_key_value_metadata({k: _with_bounds(v, geometry, kinds, found) if k == "geo" else v for k, v in (metadata or {}).items()})
+        fs.move(temporary, target)
+        yield pa.RecordBatch.from_pylist([{"file": target, "n_rows": rows, "kinds": sorted(kinds), "bounds": found}], schema=report)
+
+    report = pa.schema([("file", pa.string()), ("n_rows", pa.int64()), ("kinds", pa.list_(pa.string())), ("bounds", pa.list_(pa.float64()))])
+    files = stored(df.mapInArrow(run, "file string, n_rows long, kinds array<string>, bounds array<double>"), f"{shared_folder(df.sparkSession, 'written')}/files")
+    if not files.isEmpty():
+        return files
+    # a table without partitions is a file without rows
+    return stored(df.sparkSession.range(1).coalesce(1).mapInArrow(lambda _: run(iter(())), files.schema), f"{shared_folder(df.sparkSession, 'written')}/files")
+
+
+def _with_bounds(geo: str, geometry: str, kinds: Iterable[str], bounds: list[float] | None) -> str:
+    """Geographic metadata with the kinds and bounds of the shapes that it stands for."""
+    held = json.loads(geo)
+    column = {"encoding": "WKB", **held.get("columns", {}).get(geometry, {}), "geometry_types": sorted(kinds)} | ({"bbox": bounds} if bounds else {})
+    return json.dumps({"version": "1.1.0", "primary_column": geometry, **held, "columns": {**held.get("columns", {}), geometry: column}})
+
+
+def positions(shape: dict) -> Iterator[Sequence[float]]:
+    """All positions of a GeoJSON geometry."""
+    for part in shape.get("geometries", []):
+        yield from positions(part)
+    nested = [shape.get("coordinates", [])]
+    while nested:
+        some = nested.pop()
+        if some and not isinstance(some[0], list):
+            yield some
+        else:
+            nested.extend(some)
+
+
+# Geometry codes of well-known binary, and what their parts are.
+WKB_CODES = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6, "GeometryCollection": 7}
+WKB_PARTS = {"MultiPoint": "Point", "MultiLineString": "LineString", "MultiPolygon": "Polygon"}
+
+
+def well_known_binary(shape: dict) -> bytes:
+    """A GeoJSON geometry in two dimensions, or three if its first position has them."""
+    deep = len(next(iter(positions(shape)), ())) > 2
+    number = lambda n: n.to_bytes(4, "little")
+    place = lambda p: struct.pack("<3d" if deep else "<2d", *(p[:3] if deep else p[:2]))
+    line = lambda ps: number(len(ps)) + b"".join(map(place, ps))
+
+    def whole(kind: str, held: list) -> bytes:
+        head = b"\x01" + number(WKB_CODES[kind] + (1000 if deep else 0))
+        if kind == "Point":
+            return head + (place(held) if held else place([math.nan] * 3))
+        if kind == "LineString":
+            return head + line(held)
+        if kind == "Polygon":
+            return head + number(len(held)) + b"".join(map(line, held))
+        if kind == "GeometryCollection":
+            return head + number(len(held)) + b"".join(whole(g["type"], g.get("geometries", g.get("coordinates"))) for g in held)
+        return head + number(len(held)) + b"".join(whole(WKB_PARTS[kind], part) for part in held)
+
+    return whole(shape["type"], shape.get("geometries", shape.get("coordinates")))
+
+
+def write_geo_table(df: DataFrame, root: str, resource: str, version: str, geo: dict, geometry: str = "geometry") -> str:
+    """As ``write_table``, with ``geo`` in the footer of every file, and that of the whole table, its bounds over all files, beside it."""
+    path = f"{root}/{resource}/ducklake_{version}.parquet"
+    files = write_files(normalize_nulls(normalize_names(df)), path, {"geo": json.dumps(geo)}, geometry)
+    corner = lambda i, f: f(F.get("bounds", F.lit(i)))
+    whole = files.agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("kinds")))).alias("kinds"), F.array(*[corner(i, F.min if i < 2 else F.max) for i in range(4)]).alias("bounds")).first()
+    bounds = None if whole["bounds"][0] is None else list(whole["bounds"])
+    text = _with_bounds(json.dumps(geo), geometry, whole["kinds"], bounds)
+    df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{resource}/geo_{version}")
     return path
 
 
@@ -51,16 +154,38 @@ def export(df: DataFrame, kind: str, path: str, limit: int = BOUND) -> None:
 
 
 def write_snapshot(header: dict, rows: DataFrame, root: str) -> bool:
-    """A source's snapshot: a header line, then one JSON line a row; False if that sync's is there already."""
+    """A source's snapshot: a header line, then one JSON line a row, in one file; False if that sync's is there already.
+
+    Tasks write the rows in parts, one task copies them, a piece at a time,
+    behind the header, and the file then gets its name at once; of two writers
+    one wins, and the other changes nothing.
+    """
     spark = rows.sparkSession
-    path = f"{root}/{header['source_id']}/{header['sync_id']}.jsonl"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    target = f"{root}/{header['source_id']}/{header['sync_id']}.jsonl"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    if path(target).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(target)):
         return False
-    head = spark.createDataFrame([(0, json.dumps({"version": 1, **header}))], "k int, value string")
-    body = rows.select(F.lit(1).alias("k"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("value"))
-    head.union(body).repartitionByRange("k").sortWithinPartitions("k").select("value").write.text(path)
-    return True
+    folder = shared_folder(spark, "snapshot")
+    rows.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("value")).write.text(f"{folder}/parts")
+    temporary = f"{root}/{header['source_id']}/.{header['sync_id']}-{uuid.uuid4().hex}"
+    first = json.dumps({"version": 1, **header}) + "\n"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            fs, parts = file_system(f"{folder}/parts")
+            out_fs, place = file_system(temporary)
+            out_fs.create_dir(place.rsplit("/", 1)[0], recursive=True)
+            names = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(parts)) if f.base_name.startswith("part-"))
+            with out_fs.open_output_stream(place) as out:
+                out.write(first.encode())
+                for name in names:
+                    with fs.open_input_stream(name) as part:
+                        while data := part.read(8 << 20):
+                            out.write(data)
+            yield df
+
+    spark.range(1).coalesce(1).mapInPandas(run, "id long").count()
+    return publish_file(spark, temporary, target)
 
 
 def scan_inbox(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -97,10 +222,11 @@ def publish(manifest: DataFrame, root: str, publication: str) -> None:
     from ..plans.manifests import Manifests
 
     spark = manifest.sparkSession
-    manifest.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/publications/{publication}/manifest")
-    manifest.select(F.explode("files").alias("object_key")).distinct().write.parquet(f"{root}/publications/{publication}/protected")
+    held = stored(manifest, f"{shared_folder(spark, 'manifest')}/rows")
+    held.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/publications/{publication}/manifest")
+    held.select(F.explode("files").alias("object_key")).distinct().write.parquet(f"{root}/publications/{publication}/protected")
     written = spark.read.text(f"{root}/publications/{publication}/manifest").count()
-    if written != manifest.count():
+    if written != held.count():
         raise ValueError("the manifest is not complete")
     pointer = Manifests(spark, f"{root}/latest")
     base = pointer.newest()

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.scalars import decode_bytes
+from ..functions.scalars import SINGLE_BYTES, decode_bytes
 from ..plans.folders import shared_folder, stored
 
 DELIMITERS = (",", ";", "\t", "|")
@@ -101,23 +102,48 @@ def quote_field(c: Column, delimiter: str, quote: str = '"') -> Column:
     return F.when(special, F.concat(F.lit(quote), F.replace(c, F.lit(quote), F.lit(quote * 2)), F.lit(quote))).otherwise(c)
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", returns: bool = False) -> DataFrame:
-    """(file, number from 1, line) of text files; numbers follow the order in each file.
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", returns: bool = False, only: DataFrame | None = None) -> DataFrame:
+    """(file, number from 1, line) of text files, or of those of a table ``only`` (file); numbers follow the order in each file.
 
-    UTF-8 files are read line by line and numbered by position within each
-    part of a file; other encodings are decoded a file at a time.  The carriage
-    return at a line's end goes unless it ``returns``.
+    Files of UTF-8 and of single bytes are read line by line and numbered by
+    position within each part of a file; other encodings are decoded a file at
+    a time.  The carriage return at a line's end goes unless it ``returns``.
     """
-    end = "^\ufeff" if returns else "^\ufeff|\r$"
     from .logs import number_lines
 
-    if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
-        return number_lines(spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", end, "").alias("line")))
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), decode_bytes(F.col("content"), encoding).alias("body"))
+    end = "^\ufeff" if returns else "^\ufeff|\r$"
+    name = encoding.lower().replace("_", "-")
+    if name in ("utf-8", "utf8", *SINGLE_BYTES):
+        line = F.col("value") if name.startswith("utf") else decode_bytes(F.col("value").cast("binary"), name)
+        lines = number_lines(spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace(line, end, "").alias("line")))
+        return lines if only is None else lines.join(only, "file", "left_semi")
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "content")
+    files = files if only is None else files.join(only, "file", "left_semi")
+    files = files.select("file", decode_bytes(F.col("content"), encoding).alias("body"))
     rows = files.select("file", F.posexplode(F.split(F.regexp_replace("body", "\n$", ""), "\n")).alias("i", "line"))
     return rows.select("file", (F.col("i") + 1).cast("long").alias("number"), F.regexp_replace("line", end, "").alias("line"))
 
 
+def file_encodings(spark: SparkSession, path: str) -> DataFrame:
+    """(file, encoding) of text files, from all their bytes, line by line: UTF-16 by its mark, UTF-8 if every line is, else Windows-1252."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("id"))
+    mark = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
+    found = lines.groupBy("file").agg(F.min_by(mark, F.struct("start", "id")).alias("mark"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    return found.select("file", F.when(F.col("mark").isin("FFFE", "FEFF"), "UTF-16").when(F.col("utf8"), "UTF-8").otherwise("windows-1252").alias("encoding"))
+
+
+def sniff_csv(spark: SparkSession, path: str, hint: str | None = None) -> DataFrame:
+    """``profile_csv`` of files as they are: each is read in the encoding that its bytes are in."""
+    folder = shared_folder(spark, "sniff")
+    encodings = stored(file_encodings(spark, path), f"{folder}/encodings")
+    kinds = [r[0] for r in encodings.select("encoding").distinct().collect()]  # three at most
+    lines = [read_lines(spark, path, k, only=encodings.filter(F.col("encoding") == k).select("file")) for k in kinds]
+    if not lines:
+        lines = [read_lines(spark, path)]
+    profiles = profile_csv(stored(reduce(DataFrame.unionByName, lines), f"{folder}/lines"), hint)
+    return profiles.drop("encoding").join(encodings, "file")
+
+
 #: Lines that are scanned as one run.
 BLOCK = 1 << 16
 
@@ -184,28 +210,46 @@ def _named(cells: Column) -> Column:
     return F.forall(cells, lambda x: (F.trim(x) != "") & ~x.rlike(number)) & (F.size(F.array_distinct(cells)) == F.size(cells))
 
 
+#: Other bytes that may part fields: ASCII marks, blanks and control characters, without those of words, quotes and line ends.
+UNUSUAL = tuple(chr(i) for i in (*range(1, 9), *range(14, 33), *b"!#$%&*+-./:<=>?@\\^_`~") if chr(i) not in DELIMITERS)
+
+
+def _cuts(rows: DataFrame, delimiters: Iterable[str]) -> DataFrame:
+    """Widths of the lines cut by delimiters: one row a file, delimiter and width."""
+    cut = F.array(*[F.struct(F.lit(d).alias("delimiter"), F.size(split_fields(F.col("line"), d)).alias("width")) for d in delimiters])
+    cuts = rows.select("file", "number", F.contains("line", F.lit('"')).alias("quote"), F.inline(cut))
+    return cuts.groupBy("file", "delimiter", "width").agg(F.count("*").alias("n"), F.min("number").alias("first"), F.max("quote").alias("quoted"))
+
+
 def profile_csv(lines: DataFrame, hint: str | None = None) -> DataFrame:
     """(file, delimiter, width, quoted, preamble, share, header, encoding) from all lines of each file (file, number, line).
 
-    Each candidate delimiter cuts every line; the one whose most frequent width
-    over one covers the largest share of lines wins, then the wider one.  Lines
-    before the first of that width are a preamble.  That first line is a header
-    if its fields are all there, all different and no numbers.  A file with
-    bytes that are no UTF-8 (read as replacement characters) is Latin-1.  A
-    hint of one byte is taken as it is.
+    Each usual delimiter cuts every line; the one whose most frequent width
+    over one covers the largest share of lines wins, then the wider one.  Files
+    of which none covers half of the lines are cut by all other bytes that
+    could be one.  Lines before the first of that width are a preamble.  That
+    first line is a header if its fields are all there, all different and no
+    numbers.  A file with bytes that are no UTF-8 (read as replacement
+    characters) is Windows-1252.  A hint of one byte is taken as it is.
     """
-    delimiters = (Dialect(hint).delimiter,) if hint is not None else DELIMITERS
     rows = lines.filter(F.trim("line") != "")
-    cut = F.array(*[F.struct(F.lit(d).alias("delimiter"), F.size(split_fields(F.col("line"), d)).alias("width")) for d in delimiters])
-    cuts = rows.select("file", "number", F.contains("line", F.lit('"')).alias("quote"), F.inline(cut))
-    widths = cuts.groupBy("file", "delimiter", "width").agg(F.count("*").alias("n"), F.min("number").alias("first"), F.max("quote").alias("quoted"))
-    totals = rows.groupBy("file").agg(F.count("*").alias("total"), F.when(F.bool_or(F.contains("line", F.lit("\ufffd"))), "ISO-8859-1").otherwise("UTF-8").alias("encoding"))
+    totals = rows.groupBy("file").agg(F.count("*").alias("total"), F.when(F.bool_or(F.contains("line", F.lit("\ufffd"))), "windows-1252").otherwise("UTF-8").alias("encoding"))
     score = F.struct(F.when(F.col("width") > 1, F.col("n")).otherwise(0), "width", F.negative("first"), "delimiter")
-    best = widths.groupBy("file").agg(F.max_by(F.struct("delimiter", "width", "quoted", "first", "n"), score).alias("b"))
-    found = best.join(totals, "file").select("file", "b.*", "total", "encoding")
+    best = lambda widths: widths.groupBy("file").agg(F.max_by(F.struct("delimiter", "width", "quoted", "first", "n"), score).alias("b"))
+    folder = shared_folder(lines.sparkSession, "profiles")
+    found = stored(best(_cuts(rows, (Dialect(hint).delimiter,) if hint is not None else DELIMITERS)).join(totals, "file").select("file", "b.*", "total", "encoding"), f"{folder}/usual")
+    if hint is None:
+        good = (F.col("width") > 1) & (2 * F.col("n") >= F.col("total"))
+        rest = found.filter(~good)
+        if not rest.isEmpty():
+            others = best(_cuts(rows.join(rest.select("file"), "file", "left_semi"), UNUSUAL)).filter((F.col("b.width") > 1) & F.col("b.n").isNotNull()).withColumnRenamed("b", "c")
+            better = rest.join(others, "file", "left")
+            pick = F.when((F.col("c.n") * 2 >= F.col("total")), F.col("c")).otherwise(F.struct("delimiter", "width", "quoted", "first", "n"))
+            found = stored(found.filter(good).unionByName(better.select("file", pick.alias("b"), "total", "encoding").select("file", "b.*", "total", "encoding")), f"{folder}/all")
     # the first lines are looked up, so that no other line's cells are looked at
-    header = F.coalesce(*[F.when(F.col("delimiter") == d, _named(split_fields(F.col("line"), d))) for d in delimiters])
+    delimiters = (hint,) if hint is not None else (*DELIMITERS, *UNUSUAL)
     first = rows.select("file", F.col("number").alias("first"), "line")
+    header = by_delimiter(delimiters, lambda d: _named(split_fields(F.col("line"), d)))
     return found.join(first, ["file", "first"]).select("file", "delimiter", "width", "quoted", (F.col("first") - 1).alias("preamble"), (F.col("n") / F.col("total")).alias("share"), header.alias("header"), "encoding")
 
 

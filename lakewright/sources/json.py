@@ -16,7 +16,7 @@ TEXT_LIST = "array<string>"
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """(file, body) of whole files; bytes that are no UTF-8 are read as Latin-1."""
+    """(file, body) of whole files; bytes that are no UTF-8 are read as Windows-1252."""
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), decode_bytes(F.col("content")).alias("body"))
 
 

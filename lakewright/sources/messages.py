@@ -41,7 +41,7 @@ class MessageLog:
     def append(self, messages: DataFrame, order: str | None = None, once: tuple[str, int] | None = None, identity: str | None = None) -> bool:
         """Add messages (key, value, ...), those of a key in the order of a column; False if ``once``, a writer's name and number, was added before.
 
-        Numbers go up by one from 0, and a name belongs to one identity, as in
+        Numbers go up by one, and a name belongs to one identity, as in
         ``StateTable.update``.  A null key is a key.
         """
         base = self.manifests.newest()
@@ -53,7 +53,7 @@ class MessageLog:
                 raise ValueError(f"{once[0]} writes to {self.root} from another checkpoint; a second stream needs a name of its own")
             if once[1] <= last:
                 return False
-            if once[1] > last + 1:
+            if once[1] > last + 1 and (once[0] in done or identity is not None):
                 raise ValueError(f"{once[0]} sends {once[1]} to {self.root} after {last}")
             done = {**done, once[0]: [identity, once[1]]}
         segment = f"segments/{base + 1:012d}-{uuid.uuid4().hex}"

@@ -85,10 +85,12 @@ def csv_rows(bodies: DataFrame) -> DataFrame:
     plain = lines.withColumn("line", F.regexp_replace("line", "\r$", ""))
     found = stored(csv.profile_csv(plain).select("file", "delimiter", "preamble", "header"), f"{folder}/profiles")
 
-    framed = csv.join_records(lines.join(found, "file").filter(F.col("number") > F.col("preamble")), delimiters=csv.DELIMITERS)
+    # those in use, of some thirty that there are
+    delimiters = [r[0] for r in found.select("delimiter").distinct().collect()] or list(csv.DELIMITERS)
+    framed = csv.join_records(lines.join(found, "file").filter(F.col("number") > F.col("preamble")), delimiters=delimiters)
     line = F.regexp_replace("line", r"\r\z", "")
     cells = framed.select("file", "number", line.alias("line")).join(found.select("file", "delimiter"), "file")
-    rows = stored(cells.select("file", "number", csv.by_delimiter(csv.DELIMITERS, lambda d: csv.split_fields(F.col("line"), d)).alias("cells")), f"{folder}/records")
+    rows = stored(cells.select("file", "number", csv.by_delimiter(delimiters, lambda d: csv.split_fields(F.col("line"), d)).alias("cells")), f"{folder}/records")
     first = rows.groupBy("file").agg(F.min("number").alias("first"), F.min_by("cells", "number").alias("names")).join(found.select("file", "header"), "file")
     blank = F.transform("names", lambda _: F.lit(""))
     unique = F.udf(unique_names, "array<string>")  # one call a resource

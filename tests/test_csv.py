@@ -132,3 +132,22 @@ def test_forty_thousand_columns_within_a_minute(spark, tmp_path):
     table = ds.dataset(str(tmp_path / "out")).to_table(["c3", "c40000"])
     assert sorted(table["c3"].to_pylist()) == [3, 6, 9] and table["c40000"].to_pylist() == ["t40000"] * 3
     assert time.time() - begun < 60
+
+
+def test_encodings_and_unusual_delimiters(spark, tmp_path):
+    """Files are told apart by their bytes, wherever the first odd one is; unusual delimiters count where no usual one fits."""
+    rows = [(i, f"na-me {i}", 3 * i) for i in range(400)]
+    text = lambda d, odd="": "made of, this\n" + "".join(f"{a}{d}{b}{odd if a == 399 else ''}{d}{c}\n" for a, b, c in rows)
+    files = {
+        "utf8.csv": text(";", "é€").encode(), "mark.csv": text(";").encode("utf-8-sig"), "w1252.csv": text(",", "é€").encode("windows-1252"), "utf16.csv": text("\t", "é€").encode("utf-16"),
+        "tilde.csv": text("~").encode(), "unit.csv": text("\x1f", "é").encode("windows-1252"), "colon.csv": text(":").encode(), "words.csv": b"one\ntwo\nthree\n",
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r["file"].rsplit("/", 1)[1]: (r["delimiter"], r["width"], r["preamble"], r["header"], r["encoding"]) for r in csv.sniff_csv(spark, str(tmp_path)).collect()}
+    wanted = {"utf8.csv": (";", "UTF-8"), "mark.csv": (";", "UTF-8"), "w1252.csv": (",", "windows-1252"), "utf16.csv": ("\t", "UTF-16"), "tilde.csv": ("~", "UTF-8"), "unit.csv": ("\x1f", "windows-1252"), "colon.csv": (":", "UTF-8")}
+    assert {f: g for f, g in got.items() if f != "words.csv"} == {f: (d, 3, 1, False, e) for f, (d, e) in wanted.items()}
+    assert got["words.csv"][1:] == (1, 0, True, "UTF-8")
+    dialect = csv.Dialect(",", preamble=1, header=False, encoding="windows-1252")
+    read = csv.scan_csv(spark, str(tmp_path / "w1252.csv"), dialect)
+    assert read.count() == 400 and read.filter("column_1 = 399").first()["column_2"] == "na-me 399é€"

@@ -1,16 +1,16 @@
 """Operators on small made inputs: errors, edge cases and files that SQL can't make."""
 
 import datetime
-import io
 import json
-import zipfile
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewright.functions import scalars as S
-from lakewright.operators import catalogue, explore, ledger, schema
+from lakewright.operators import catalogue, explore, ledger, schema, statistics
+from lakewright.plans import folders
 from lakewright.plans.state import StateTable
 from lakewright.queries import fixtures
 from lakewright.sinks import files as K
@@ -31,7 +31,8 @@ def test_field_ids_are_depth_first(spark):
     out = schema.assign_field_ids(kind)
     ids = lambda f: f.metadata["parquet.field.id"]
     inner = out["a"].dataType
-    assert [ids(out["a"]), ids(inner["b"]), ids(inner["c"]), ids(inner["c"].dataType.elementType["d"]), ids(out["e"])] == [1, 2, 3, 4, 5]
+    assert [ids(out["a"]), ids(inner["b"]), ids(inner["c"]), ids(inner["c"].dataType.elementType["d"]), ids(out["e"])] == [1, 2, 3, 5, 6]
+    assert inner["c"].metadata["parquet.field.nested.ids"] == {"element": 4}
 
 
 def test_geo_inputs_must_agree():
@@ -144,7 +145,7 @@ def test_csv_profile_finds_headers_and_encoding(spark):
     texts = {"named": ["made by hand", "a;b", "1;2", "3;4"], "bare": ["1;2", "3;4"], "twice": ["a;a", "1;2"], "gap": ["a;", "1;2"], "latin": ["a;b", "1;Jos\ufffd"]}
     lines = spark.createDataFrame([(f, i, x) for f, xs in texts.items() for i, x in enumerate(xs, 1)], "file string, number long, line string")
     got = {r["file"]: (r["preamble"], r["header"], r["encoding"]) for r in csv.profile_csv(lines).collect()}
-    assert got == {"named": (1, True, "UTF-8"), "bare": (0, False, "UTF-8"), "twice": (0, False, "UTF-8"), "gap": (0, False, "UTF-8"), "latin": (0, True, "ISO-8859-1")}
+    assert got == {"named": (1, True, "UTF-8"), "bare": (0, False, "UTF-8"), "twice": (0, False, "UTF-8"), "gap": (0, False, "UTF-8"), "latin": (0, True, "windows-1252")}
     assert csv.profile_csv(lines.limit(0)).count() == 0
 
 
@@ -179,14 +180,6 @@ def test_data_packages(spark):
             J.scan_datapackage(df(file, text), "p1").collect()
 
 
-def _zip(members):
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        for name, data in members.items():
-            z.writestr(name, data)
-    return out.getvalue()
-
-
 def test_drive_links(spark):
     hrefs = ["https://drive.google.com/drive/u/1/folders/A_-1?resourcekey=k", "https://drive.google.com/file/d/b!d/view", "https://drive.google.com/uc?export=x&amp;id=c%20c", "https://docs.google.com/file/d/e", "https://drive.google.com/open?id=", "https://drive.google.com/about"]
     page = "".join(f'<a href="{h}">x</a>' for h in hrefs)
@@ -245,10 +238,60 @@ def test_state_tables_keep_versions(spark, tmp_path):
     assert sorted(map(tuple, table.read(1).collect())) == [(1, "a"), (2, "b")]
 
 
-def test_geo_table_keeps_its_metadata(spark, tmp_path):
-    geo = {"version": "1.1.0", "primary_column": "geometry"}
-    path = K.write_geo_table(spark.createDataFrame([("{}",)], "geometry string"), f"file://{tmp_path}", "r", "v1", geo)
-    assert spark.read.parquet(path).schema["geometry"].metadata == {"geo": json.dumps(geo)}
+def test_geo_files_tell_kinds_and_bounds_in_their_footers(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    shapes = {
+        "a": {"type": "Point", "coordinates": [1, 2]},
+        "b": {"type": "Polygon", "coordinates": [[[0, 0], [4, 0], [4, -5.5], [0, 0]]]},
+        "c": {"type": "GeometryCollection", "geometries": [{"type": "MultiPoint", "coordinates": [[9, 9], [8, 8]]}, {"type": "LineString", "coordinates": [[1, 1], [2, 2]]}]},
+        "d": {"type": "Point", "coordinates": [1, 2, 3]},
+        "e": {"type": "Point", "coordinates": []},
+    }
+    geo = {"version": "1.1.0", "primary_column": "geometry", "columns": {"geometry": {"edges": "planar"}}}
+    df = spark.createDataFrame([*((k, json.dumps(v)) for k, v in shapes.items()), ("f", None)], "id string, geometry string").coalesce(1)
+    path = K.write_geo_table(df, f"file://{tmp_path}", "r", "v1", geo)
+    (file,) = (tmp_path / "r" / "ducklake_v1.parquet").glob("*.parquet")
+    held = json.loads(pq.read_metadata(file).metadata[b"geo"])
+    assert held["columns"]["geometry"] == {"encoding": "WKB", "edges": "planar", "geometry_types": ["GeometryCollection", "Point", "Polygon"], "bbox": [0, -5.5, 9, 9]}
+    assert json.loads(spark.read.text(f"file://{tmp_path}/r/geo_v1").first()[0]) == held
+    binary = {r["id"]: None if r["geometry"] is None else bytes(r["geometry"]) for r in spark.read.parquet(path).collect()}
+    double = lambda *xs: struct.pack(f"<{len(xs)}d", *xs)
+    head = lambda code, *ns: b"\x01" + b"".join(n.to_bytes(4, "little") for n in (code, *ns))
+    assert binary["a"] == head(1) + double(1, 2) and binary["d"] == head(1001) + double(1, 2, 3) and binary["f"] is None
+    assert binary["b"] == head(3, 1, 4) + double(0, 0, 4, 0, 4, -5.5, 0, 0) and len(binary["e"]) == 21
+    assert binary["c"] == head(7, 2) + head(4, 2) + head(1) + double(9, 9) + head(1) + double(8, 8) + head(2, 2) + double(1, 1, 2, 2)
+
+
+def test_footers_of_nested_and_empty_files(spark, tmp_path):
+    df = spark.createDataFrame([(1, [{"x": None}, {"x": 2}], {"k": [1.5]}), (None, None, None)], "a int, b array<struct<x:int>>, c map<string,array<double>>").coalesce(1)
+    K.write_files(df, str(tmp_path / "t"), {"k": "é"})
+    row = statistics.file_footers(spark, str(tmp_path / "t")).first()
+    assert row["n_rows"] == 2 and row["metadata"]["k"] == "é"
+    assert {(c["path"], c["field_id"]) for c in row["columns"]} == {("a", 1), ("b.list.element.x", 4), ("c.key_value.key", 7), ("c.key_value.value.list.element", 9)}
+    assert {c["path"]: c["null_count"] for c in row["columns"]}["a"] == 1
+    K.write_files(df.limit(0), str(tmp_path / "e"))
+    assert [r["n_rows"] for r in statistics.file_footers(spark, str(tmp_path / "e")).collect()] == [0]
+    for _ in range(2):  # again, as when a task is lost
+        K.write_files(df, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def test_a_snapshot_is_one_file_of_the_first_writer(spark, tmp_path):
+    header = {"source_id": "7", "sync_id": "s", "collected_at": "2024-01-01T00:00:00Z", "resources_total": 100}
+    rows = spark.range(100_000).repartition(8)
+    assert K.write_snapshot(header, rows, str(tmp_path)) and not K.write_snapshot(header, rows.limit(1), str(tmp_path))
+    lines = (tmp_path / "7" / "s.jsonl").read_text().splitlines()
+    assert json.loads(lines[0])["version"] == 1 and sorted(json.loads(x)["id"] for x in lines[1:]) == list(range(100_000))
+    assert [p.name for p in (tmp_path / "7").iterdir()] == ["s.jsonl"]
+
+
+def test_of_two_writers_one_gets_the_name(spark, tmp_path):
+    (tmp_path / "a").write_text("first")
+    (tmp_path / "b").write_text("second")
+    target = str(tmp_path / "x")
+    assert folders.publish_file(spark, str(tmp_path / "a"), target) and not folders.publish_file(spark, f"file://{tmp_path}/b", target)
+    assert (tmp_path / "x").read_text() == "first" and sorted(p.name for p in tmp_path.iterdir()) == ["x"]
 
 
 def test_messages_replayed_change_nothing(spark):
