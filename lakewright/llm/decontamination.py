@@ -163,16 +163,27 @@ def _prints(texts: DataFrame, sizes: list[int], size: int) -> DataFrame:
     return texts.select("version", "text").mapInArrow(run, "version long, prints array<long>")
 
 
-def _extended(pairs: DataFrame) -> DataFrame:
-    """(version, item, hits) of pairs (version, text, item, words): the places of the hit words of a text, if there are any."""
+def _extended(suspects: DataFrame) -> DataFrame:
+    """(version, item, hits) of texts (version, text, held: items and their words): the places of the words that each item hits, if there are any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = functools.lru_cache(maxsize=64)(lambda words: BenchmarkIndex([("", np.frombuffer(words, np.uint64))]))
         for batch in batches:
-            hits = [np.flatnonzero(index(words.as_py()).matches(word_hashes([text.as_py()])[0])[0]) for text, words in zip(batch.column(1), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(hits, pa.list_(pa.int32()))], names=["version", "item", "hits"])
+            for version, text, held in zip(*batch.columns, strict=True):
+                words = word_hashes([text.as_py()])[0]
+                held = held.as_py()
+                hits = [np.flatnonzero(index(h["words"]).matches(words)[0]) for h in held]
+                yield pa.RecordBatch.from_arrays([pa.array([version.as_py()] * len(held), pa.int64()), pa.array([h["item"] for h in held], pa.string()), pa.array(hits, pa.list_(pa.int32()))], names=["version", "item", "hits"])
 
-    return pairs.select("version", "text", "item", "words").mapInArrow(run, "version long, item string, hits array<int>").filter(F.size("hits") > 0)
+    return suspects.select("version", "text", "held").mapInArrow(run, "version long, item string, hits array<int>").filter(F.size("hits") > 0)
+
+
+#: Parts of the texts that meet an item or a fingerprint apart, so that one of very many texts is joined by many tasks.
+SALTS = 16
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def _verdicts(docs: DataFrame, benchmark: DataFrame, folder: str, size: int) -> DataFrame:
@@ -182,10 +193,14 @@ def _verdicts(docs: DataFrame, benchmark: DataFrame, folder: str, size: int) ->
     text = F.col("text").cast("string")
     texts = docs.select(F.xxhash64(text).alias("version"), text.alias("text")).filter("text <> ''")
     known = items.select("item_key", F.explode("prints").alias("print"))
-    met = _prints(texts, sizes, size).select("version", F.explode("prints").alias("print")).join(known, "print")
+    part = F.pmod("version", F.lit(SALTS)).cast("int").alias("salt")
+    met = _prints(texts, sizes, size).select("version", part, F.explode("prints").alias("print")).join(_salted(known), ["print", "salt"])
     pairs = stored(met.select("version", "item_key").distinct(), f"{folder}/pairs")
-    suspects = texts.join(pairs.select("version").distinct(), "version", "left_semi").dropDuplicates(["version"])
-    found = stored(_extended(suspects.join(pairs, "version").join(items.select("item_key", "item", "words"), "item_key")), f"{folder}/hits")
+    # items go to texts, which stand once each, and not texts to items
+    held = pairs.withColumn("salt", part).join(_salted(items.select("item_key", "item", "words")), ["item_key", "salt"])
+    held = held.groupBy("version").agg(F.collect_list(F.struct("item", "words")).alias("held"))
+    suspects = texts.join(held.select("version"), "version", "left_semi").dropDuplicates(["version"])
+    found = stored(_extended(suspects.join(held, "version")), f"{folder}/hits")
     places = found.select("version", F.explode("hits").alias("place")).distinct().groupBy("version").agg(F.count("*").alias("n_hit"))
     names = found.groupBy("version").agg(F.array_sort(F.collect_set("item")).alias("items"))
     return stored(places.join(names, "version"), f"{folder}/verdicts")
@@ -219,7 +234,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, column: str, slice_size
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without its contaminated rows; the columns stay, whatever their names."""
+    """``docs`` without its contaminated rows; the columns stay, whatever their names.
+
+    Null and empty texts, of documents or of items, contain nothing and are
+    contained in nothing.  Rows of one text share a verdict whatever their ids,
+    null ones included, so repeated rows stay or go together, and there are no
+    ties to settle.  An empty benchmark keeps all rows; no documents: no rows.
+    """
     mark = "verdict"
     while mark in docs.columns:
         mark += "_"

@@ -159,6 +159,11 @@ def pack(pieces: DataFrame, capacity: int = 2048, slack: int | None = None, fan_
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0) -> DataFrame:
-    """Cut and pack all documents; see ``token_pieces`` and ``pack``."""
+    """Cut and pack all documents: their pieces, each with a ``sequence_id`` and an ``offset``.
+
+    A null or empty text is its end id alone.  A null id stays null, and
+    repeated rows have pieces of their own; pieces of one length are alike, so
+    ties don't matter.  Other columns are not read.  No documents: no rows.
+    """
     pieces = stored(token_pieces(docs, capacity, vocabulary, end_id), shared_folder(docs.sparkSession, "pieces"))
     return pack(pieces, capacity)

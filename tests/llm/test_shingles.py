@@ -58,7 +58,7 @@ def test_components_equal_brute_force(spark):
 def test_empty_table_and_null_or_repeated_ids(spark):
     assert run(spark, []) == set()
     df = spark.createDataFrame([(None, "a b c d e f", "", ""), (4, "a b c d e f", "", ""), (4, "a b c d e f", "", "")], SCHEMA)
-    assert sorted(map(str, shingles.jaccard_components(df).collect())) == sorted(map(str, [*[r for r in [(4, 2, 4)] * 2], (None, 2, 4)])) or {tuple(r) for r in shingles.jaccard_components(df).collect()} == {(4, 2, 4), (None, 2, 4)}
+    assert sorted(map(str, map(tuple, shingles.jaccard_components(df).collect()))) == sorted(map(str, [(4, 2, 4), (4, 2, 4), (None, 2, 4)]))
 
 
 def test_one_of_each_group_keeps_the_columns(spark):

@@ -39,6 +39,15 @@ def test_dictionary_frame_comes_first_and_damage_is_found(spark, tmp_path):
             warc.read_archives(files).collect()
 
 
+def test_a_very_long_page(spark):
+    long = "<p>long \u00e9 page</p>" * 1_000_000
+    rows = [(1, "http://a/", long, "x"), (2, "http://a/", long, "x"), (3, None, None, None)]
+    found = {r["page_id"]: r for r in warc.archived(spark.createDataFrame(rows, SCHEMA)).collect()}
+    raw = long.encode()
+    assert [(found[i]["payload_bytes"], found[i]["payload_digest"], found[i]["record_type"], found[i]["refers_to"]) for i in (1, 2)] == [(len(raw), hashlib.sha256(raw).hexdigest(), "response", None), (len(raw), hashlib.sha256(raw).hexdigest(), "revisit", 1)]
+    assert found[3]["payload_bytes"] == 0
+
+
 def test_no_pages(spark):
     assert warc.archived(spark.createDataFrame([], SCHEMA)).collect() == []
 
