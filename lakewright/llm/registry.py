@@ -120,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": warc.SQL,
+    "op3_ngram_jaccard_join": shingles.SQL,
     "op4_compaction": compaction.SQL,
     "op6_quality_rules": quality.SQL,
     "op7_decontamination": decontamination.SQL,

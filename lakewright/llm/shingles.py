@@ -458,3 +458,13 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     kept = keyed.join(stay, (F.col("id") == F.col("kept_id")) & (F.col("version") == F.col("kept_version")), "left_semi")
     once = kept.groupBy("id", "version").agg(F.min_by("row", "turn").alias("row"))
     return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
+
+
+SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS s FROM w),
+x AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s),
+l AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL HAVING {DEN} * count(*) >= {NUM} * (any_value(a.n) + any_value(b.n) - count(*))),
+c AS (SELECT doc_id, doc_id AS root FROM s UNION SELECT e.b, c.root FROM c JOIN (SELECT a, b FROM l UNION ALL SELECT b, a FROM l) e ON e.a = c.doc_id WHERE c.root < e.b)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(c.root) AS component_id FROM s JOIN c ON c.doc_id = s.doc_id GROUP BY ALL
+"""
