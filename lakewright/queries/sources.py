@@ -307,6 +307,20 @@ def s24(t: Tables) -> DataFrame:
     return pages.crawl_frontier(made, made.filter("url = 'http://h/0'").select("url"))
 
 
+@query(
+    "s24_crawl_sources",
+    """SELECT page_id AS id, kind, target FROM (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS host, unnest(['file', 'archive', 'drive folder', 'drive file']) AS kind FROM pages),
+LATERAL (SELECT CASE kind WHEN 'file' THEN concat(host, '/data/', page_id, '.CSV?v=1') WHEN 'archive' THEN concat(host, '/all.zip') WHEN 'drive folder' THEN concat('https://drive.google.com/drive/folders/f', page_id, '?resourcekey=k') ELSE concat('https://drive.google.com/uc?export=download&id=', page_id) END AS target)""",
+)
+def s24_sources(t: Tables) -> DataFrame:
+    """Pages with links to a file, an archive twice, a shared folder and file, and to what is no source."""
+    k = F.col("page_id").cast("string")
+    link = lambda *parts: F.concat(F.lit("<a href='"), *[F.lit(p) if isinstance(p, str) else p for p in parts], F.lit("'>x</a>"))
+    links = F.concat(link("/data/", k, ".CSV?v=1"), link("/all.zip"), link("/all.zip#top"), link("https://drive.google.com/drive/folders/f", k, "?resourcekey=k"), link("https://drive.google.com/uc?export=download&amp;id=", k), link("https://drive.google.com/about"), link("/data/", k, ".json"))
+    made = t.pages.select(F.col("page_id").alias("id"), F.col("url").alias("root"), "url", F.concat(F.coalesce("html", F.lit("")), links).alias("html"))
+    return pages.crawl_sources(made, "CSV")
+
+
 @query("s25_drive_links", "SELECT url, CASE WHEN page_id % 6 IN (2, 3) THEN 'folder' ELSE 'file' END AS kind, concat('id_', page_id) AS drive_id, CASE WHEN page_id % 6 IN (3, 5) THEN concat('k ', page_id) END AS resource_key FROM pages WHERE page_id % 6 > 1")
 def s25(t: Tables) -> DataFrame:
     n = F.col("page_id")
