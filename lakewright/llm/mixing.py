@@ -102,8 +102,8 @@ def repeated(plan: DataFrame, text: str = "text") -> DataFrame:
     size, taken = F.col("size"), F.col("taken")
     times = plan.filter((taken > 0) & (size > 0)).withColumn("repetition", F.explode(F.sequence(F.lit(0), (F.ceil(taken / size) - 1).cast("int"))))
     missing = taken - F.col("repetition") * size
-    first = F.concat(F.lit(r"\A[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), missing, F.lit("}+"))
-    cut = F.when(missing < size, F.rtrim(F.regexp_extract(F.col(f"`{text}`"), first, 0))).otherwise(F.col(f"`{text}`"))
+    first = F.concat(F.lit(r"\A(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), missing, F.lit("}+"))
+    cut = F.when(missing < size, F.regexp_substr(F.col(f"`{text}`"), first)).otherwise(F.col(f"`{text}`"))
     return times.withColumn(text, cut)
 
 
