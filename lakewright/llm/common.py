@@ -162,31 +162,92 @@ class ChunkTokenizer:
             raw = ids.tobytes()
             self.known.update(zip(some, [raw[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
 
-    def _cut(self, texts: list[str]) -> list[list[str] | None]:
-        """The chunks of each text, all of them known; None for a text that is tokenized as one piece."""
+    def in_one_piece(self, text: str) -> bool:
+        """Whether a text is tokenized as a whole."""
+        return any(token in text for token in self.added) or (self.spaces and (text[:1].isspace() or BLANK_RUN.search(text) is not None))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.entries:
             self._clear()
-        added = self.added
-        whole = [any(token in text for token in added) or (self.spaces and (text[:1].isspace() or BLANK_RUN.search(text) is not None)) for text in texts]
+        whole = list(map(self.in_one_piece, texts))
         if self.spaces:
             # a text is cut as if a line feed stood before it, whose id is then left out
             cut = [[] if odd or not text else ("\n" + text).replace("\n", " \n").split(" ")[1:] for odd, text in zip(whole, texts, strict=True)]
         else:
             cut = [[] if odd else text.replace("\n", " ").split(" ") for odd, text in zip(whole, texts, strict=True)]
+        known = self.known
+        if new := set().union(*cut).difference(known):
+            self._learn(new)
+        look, skip = known.__getitem__, 4 if self.spaces else 0
+        return [self.direct(text) if odd else b"".join(map(look, chunks))[skip:] for odd, text, chunks in zip(whole, texts, cut, strict=True)]
+
+
+class TokenCounter:
+    """Numbers of ids of whole texts by several vocabularies at once.
+
+    Texts are cut as in ``ChunkTokenizer``.  One table holds, for each chunk,
+    its numbers by all vocabularies, packed in one integer, so a text is cut
+    once and its chunks are looked up and added once.  The table holds
+    ``entries`` chunks and starts again when it is full.
+    """
+
+    BITS = 40
+
+    def __init__(self, vocabularies: Iterable[tuple[str, bool]], entries: int):
+        self.parts = [ChunkTokenizer(public_tokenizer_path(name), spaces) for name, spaces in vocabularies]
+        self.entries = entries
+        self.known: dict[str, int] = {}
+        self.same: dict[int, int] = {}
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Of a plain word with marks after it, word and marks are counted apart, as ``ChunkTokenizer`` does."""
+        known, marked, new = self.known, [], []
+        stems = set()
+        for chunk in chunks:
+            stem = chunk.rstrip(MARKS)
+            if stem == chunk or not ((stem.isascii() and stem.isalpha()) or STEM.fullmatch(stem)):
+                new.append(chunk)
+            else:
+                marked.append((chunk, stem))
+                if stem not in known:
+                    stems.add(stem)
+        new.extend(stems.difference(chunks))
+        packed, marks = [0] * len(new), {chunk[len(stem) :]: 0 for chunk, stem in marked}
+        for i, t in enumerate(self.parts):
+            # without spaces in its tokens a vocabulary has no use for the line feed before a chunk
+            keys = new if t.spaces else [c.removeprefix("\n") for c in new]
+            t._learn(set(keys).difference(t.known))
+            ids, shift = t.known, self.BITS * i
+            packed = [p + (len(ids[key]) // 4 << shift) for p, key in zip(packed, keys, strict=True)]
+            marks = {mark: n + (len(t.direct(mark)) // 4 << shift) for mark, n in marks.items()}
+            t._clear()
+        # few numbers are different, and each is kept once
+        same = self.same.setdefault
+        known.update((chunk, same(n, n)) for chunk, n in zip(new, packed, strict=True))
+        for chunk, stem in marked:
+            n = known[stem] + marks[chunk[len(stem) :]]
+            known[chunk] = same(n, n)
+
+    def count_all(self, texts: list[str]) -> list[list[int]]:
+        """For each vocabulary the numbers of ids of the texts."""
+        if len(self.known) > self.entries:
+            self.known = {}
+        cut = [("\n" + text).replace("\n", " \n").split(" ")[1:] if text else [] for text in texts]
         if new := set().union(*cut).difference(self.known):
             self._learn(new)
-        return [None if odd else chunks for odd, chunks in zip(whole, cut, strict=True)]
+        look = self.known.__getitem__
+        sums = [sum(map(look, chunks)) for chunks in cut]
+        out = []
+        for i, t in enumerate(self.parts):
+            first = 1 if t.spaces else 0
+            out.append([len(t.direct(text)) // 4 if t.in_one_piece(text) else (total >> self.BITS * i & (1 << self.BITS) - 1) - (first if text else 0) for text, total in zip(texts, sums, strict=True)])
+        return out
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        cut = self._cut(texts)
-        look, skip = self.known.__getitem__, 4 if self.spaces else 0
-        return [self.direct(text) if chunks is None else b"".join(map(look, chunks))[skip:] for text, chunks in zip(texts, cut, strict=True)]
-
-    def count_all(self, texts: list[str]) -> list[int]:
-        """Numbers of ids, which are not put together."""
-        cut = self._cut(texts)
-        look, skip = self.known.__getitem__, 4 if self.spaces else 0
-        return [len(self.direct(text)) // 4 if chunks is None else max(0, sum(map(len, map(look, chunks))) - skip) // 4 for text, chunks in zip(texts, cut, strict=True)]
+
+@functools.cache
+def token_counter(vocabularies: tuple[tuple[str, bool], ...], entries: int) -> TokenCounter:
+    """One counter a worker process, so that the tasks it runs share what it has learned."""
+    return TokenCounter(vocabularies, entries)
 
 
 @functools.cache

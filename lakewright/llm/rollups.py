@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.manifests import Manifests
-from .common import chunk_tokenizer, stored
+from .common import stored, token_counter
 
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS_SCHEMA = "source string, lang string, tokenizer string, documents long, tokens long"
@@ -100,23 +100,22 @@ TOKENIZERS = {"byte_bpe_50k-1": ("byte_bpe_50k.json", True), "word_bpe_49k-1": (
 CHANGE_SCHEMA = "source string, lang string, tokenizer string, change string, tokens long, old_tokens long"
 
 
-def counted(docs: DataFrame, text: Column, keep: Iterable[str] = (), tokenizers: dict[str, tuple[str, bool]] = TOKENIZERS, entries: int = 350_000) -> DataFrame:
+def counted(docs: DataFrame, text: Column, keep: Iterable[str] = (), tokenizers: dict[str, tuple[str, bool]] = TOKENIZERS, entries: int = 800_000) -> DataFrame:
     """Ledger rows (source, lang, tokenizer, tokens, *keep) of all documents (source, lang, ...), one for each tokenizer version.
 
     Tokens are the ids of the whole text by the version's vocabulary, without
     special ones.  A null or empty text has none.  Repeated rows count each;
-    other columns are not read.  Each worker keeps the ids of at most
-    ``entries`` words a vocabulary, or little more.
+    other columns are not read.  Each worker keeps the numbers of at most
+    ``entries`` words, or little more, for all vocabularies together.
     """
     keep = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = {version: chunk_tokenizer(*key, entries) for version, key in tokenizers.items()}
+        counter = token_counter(tuple(tokenizers.values()), entries)
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            for version, encoder in count.items():
-                tokens = pa.array(encoder.count_all(texts), pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([version] * len(batch), pa.string()), tokens, *batch.columns[3:]], names=["source", "lang", "tokenizer", "tokens", *keep])
+            counts = counter.count_all([t or "" for t in batch.column(2).to_pylist()])
+            for version, tokens in zip(tokenizers, counts, strict=True):
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([version] * len(batch), pa.string()), pa.array(tokens, pa.int64()), *batch.columns[3:]], names=["source", "lang", "tokenizer", "tokens", *keep])
 
     rows = docs.select(F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), text.cast("string").alias("text"), *[F.col(f"`{c}`") for c in keep])
     kinds = dict(rows.dtypes)
