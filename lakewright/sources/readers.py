@@ -66,7 +66,7 @@ def _lines(bodies: DataFrame) -> DataFrame:
 
 
 def datastore_rows(bodies: DataFrame) -> DataFrame:
-    """Records of datastore pages under the names of a resource's first page; all texts, missing ones empty; pages from the first empty one on don't count."""
+    """Records of datastore pages, from ``start`` on, under the names of a resource's first page; all texts, missing ones empty; pages from the first empty one on don't count."""
     body = _text(bodies).filter("content IS NOT NULL")
     field, record = (F.from_json(F.get_json_object("body", f"$.{name}"), kind) for name, kind in (("fields", "array<struct<id:string>>"), ("records", "array<array<string>>")))
     parsed = body.select("id", "start", F.transform(field, lambda f: f["id"]).alias("names"), record.alias("records"))
@@ -74,7 +74,7 @@ def datastore_rows(bodies: DataFrame) -> DataFrame:
     live = parsed.select("id", "start", "records").join(whole, "id").filter(F.col("stop").isNull() | (F.col("start") < F.col("stop")) | F.col("bad"))
     rows = live.filter("NOT bad").select("id", "start", "names", F.posexplode("records").alias("i", "r"))
     cells = F.transform("names", lambda n, i: F.coalesce(F.get("r", i), F.lit("")))
-    good = rows.select(*_row(F.col("start") * 100_000 + F.col("i"), F.to_json(F.map_from_arrays("names", cells))))
+    good = rows.select(*_row(F.col("start") + F.col("i"), F.to_json(F.map_from_arrays("names", cells))))
     return good.unionByName(whole.filter("bad").select(*_row(F.lit(0), F.lit(None).cast("string"), F.lit("a page has no fields or records"))))
 
 
