@@ -141,19 +141,24 @@ def apply_sync_results(syncs: DataFrame, results: DataFrame, most: int = 16000)
     """Syncs after their results: only running ones change; a failure keeps the counts and its error is cut.
 
     The first result of a sync ends it: the earliest by ``ts``, if the results
-    have one; of equal ones a failure, then the smaller error and count.
+    have one; of equal ones a failure, then the smaller error and count.  Errors
+    can be long and alike, so that little on disk is much in memory: failures
+    are cut first, successes lose theirs once they are in order, and the join
+    sorts instead of holding them in a hash table.
     """
     time = [F.col("ts")] if "ts" in results.columns else []
-    first = F.min(F.struct(*time, F.col("success").alias("r_success"), F.col("error").alias("r_error"), F.col("count").alias("r_count"))).alias("first")
-    own = results.filter("success IS NOT NULL").groupBy(F.col("sync_id").alias("id")).agg(first).select("id", "first.r_success", "first.r_error", "first.r_count")
-    joined = syncs.join(own, "id", "left")
+    error = F.when(F.col("success"), F.col("error")).otherwise(F.left("error", F.lit(most)))
+    first = F.min(F.struct(*time, F.col("success").alias("r_success"), error.alias("r_error"), F.col("count").alias("r_count"))).alias("first")
+    own = results.filter("success IS NOT NULL").groupBy(F.col("sync_id").alias("id")).agg(first)
+    own = own.select("id", "first.r_success", F.when(~F.col("first.r_success"), F.col("first.r_error")).alias("r_error"), "first.r_count")
+    joined = syncs.join(own.hint("merge"), "id", "left")
     hit = (F.col("status") == "running") & F.col("r_success").isNotNull()
     return joined.select(
         "id",
         "instance_id",
         F.when(hit & F.col("r_success"), "completed").when(hit, "failed").otherwise(F.col("status")).alias("status"),
         F.when(hit & F.col("r_success"), F.col("r_count")).otherwise(F.col("count")).alias("count"),
-        F.when(hit & ~F.col("r_success"), F.left("r_error", F.lit(most))).alias("error"),
+        F.when(hit, F.col("r_error")).alias("error"),
     )
 
 

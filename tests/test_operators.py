@@ -351,3 +351,12 @@ def test_only_the_latest_job_changes_its_resource(spark):
     rows = spark.createDataFrame([(1, "b", "pending", 0), (2, "c", "pending", 0)], "resource_id long, latest_job_id string, status string, updated_at long")
     changes = spark.createDataFrame([(1, "a", "FAILED", 9, 9), (1, "b", "PROCESSING", 5, 5), (1, "b", "SUCCESS", 6, 6), (3, "d", "SUCCESS", 1, 1)], "resource_id long, job_id string, status string, ts long, event_id long")
     assert sorted((r["resource_id"], r["status"], r["updated_at"]) for r in ledger.guarded_latest(rows, changes).collect()) == [(1, "SUCCESS", 6), (2, "pending", 0)]
+
+
+def test_sync_errors_are_joined_without_a_hash_table(spark):
+    """Alike errors are small on disk and very large in a broadcast table."""
+    syncs = spark.range(9).selectExpr("id", "id AS instance_id", "'running' AS status", "0 AS count")
+    results = spark.range(9).selectExpr("id AS sync_id", "id % 2 = 0 AS success", "repeat('e', 20000) AS error", "7 AS count")
+    df = ledger.apply_sync_results(syncs, results)
+    assert {r["id"]: len(r["error"] or "") for r in df.collect()} == {i: 16000 * (i % 2) for i in range(9)}
+    assert "Broadcast" not in df._jdf.queryExecution().toString()
