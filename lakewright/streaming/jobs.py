@@ -50,48 +50,74 @@ def _memory(stream: DataFrame, retention: str | None) -> tuple[DataFrame, int]:
     return stream.withColumn("event__time", time).withColumn("event__ms", F.unix_millis(time)).withWatermark("event__time", f"{span} milliseconds"), span
 
 
-def _remember(state, value: tuple, frame: pd.DataFrame, milliseconds: int) -> None:
-    """Keep a key's state until ``milliseconds`` after its newest message, if that is not 0."""
-    state.update(value)
+#: Buckets that jobs and parents are dealt to.  A bucket's keys share one state and one call, as a call a key would cost more than its messages.
+BUCKETS = 1 << 14
+
+
+def _dealt(stream: DataFrame, *keys: str):
+    """The stream with the text of its key, grouped by bucket."""
+    key = F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
+    return stream.withColumn("state__key", key).withColumn("state__bucket", F.pmod(F.xxhash64("state__key"), F.lit(BUCKETS))).groupBy("state__bucket")
+
+
+def _held(state) -> dict[str, list]:
+    """A bucket's keys, each with what is known of it and the time until which it is remembered."""
+    return json.loads(state.get[0]) if state.exists else {}
+
+
+def _remember(state, held: dict[str, list], rows: pd.DataFrame | None, milliseconds: int) -> None:
+    """Keep a bucket's keys; if ``milliseconds`` is not 0, each until so long after its newest message."""
     if milliseconds:
-        until = int(frame["event__ms"].max()) + milliseconds
-        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        now = state.getCurrentWatermarkMs()
+        if rows is not None:
+            for key, newest in rows.groupby("state__key")["event__ms"].max().items():
+                if key in held:
+                    held[key][-1] = max(int(newest) + milliseconds, now + 1)
+        for key in [k for k, v in held.items() if v[-1] < now]:
+            del held[key]
+    if held:
+        state.update((json.dumps(held),))
+        if milliseconds:
+            state.setTimeoutTimestamp(max(min(v[-1] for v in held.values()), now + 1))
+    elif state.exists:
+        state.remove()
 
 
 def job_state_stream(stream: DataFrame, retention: str | None = None) -> DataFrame:
     """Transitions (resource_id, job_id, status, event_id, ts) of messages (event_id, ts, resource_id, job_id, status).
 
     Each job has a state of its own, its status, so a resource with very many
-    jobs is spread over tasks and a message rewrites one word.  Messages of a
-    micro-batch are applied in time order; late ones meet the guard of a job
-    that is over.  With a ``retention``, such as '30 days', a job is forgotten
-    when time has gone on for so long after its last message, so the state
-    holds the jobs of that time only; without one it holds all, as a job that
-    is over can be opened again.
+    jobs is spread over tasks; jobs are kept in BUCKETS buckets, and a message
+    rewrites its bucket.  Messages of a micro-batch are applied in time order;
+    late ones meet the guard of a job that is over.  With a ``retention``, such
+    as '30 days', a job is forgotten when time has gone on for so long after its
+    last message, so the state holds the jobs of that time only; without one it
+    holds all, as a job that is over can be opened again.
     """
     stream, kept = _memory(stream, retention)
+    columns = ["resource_id", "job_id", "status", "event_id", "ts"]
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        held = _held(state)
         if state.hasTimedOut:
-            state.remove()
+            _remember(state, held, None, kept)
             return
-        job = {"status": state.get[0]} if state.exists else None
-        out = []
         rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-        for event, ts, status in zip(rows["event_id"], rows["ts"], rows["status"], strict=True):
-            new = applied(job, status)
+        at, became = [], []
+        for i, (job, status) in enumerate(zip(rows["state__key"], rows["status"], strict=True)):
+            new = applied({"status": held[job][0]} if job in held else None, status)
             if new:
-                job = new
-                out.append((*key, new["status"], event, ts))
-        if job:
-            _remember(state, (job["status"],), rows, kept)
-        if out:
-            yield pd.DataFrame(out, columns=["resource_id", "job_id", "status", "event_id", "ts"])
+                held[job] = [new["status"], 0 if job not in held else held[job][1]]
+                at.append(i)
+                became.append(new["status"])
+        _remember(state, held, rows, kept)
+        if at:
+            yield rows.iloc[at].assign(status=became)[columns]
 
     kinds = dict(stream.dtypes)
     output = f"resource_id {kinds['resource_id']}, job_id string, status string, event_id {kinds['event_id']}, ts {kinds['ts']}"
     timeout = GroupStateTimeout.EventTimeTimeout if kept else GroupStateTimeout.NoTimeout
-    return stream.groupBy("resource_id", "job_id").applyInPandasWithState(run, output, "status string", "append", timeout)
+    return _dealt(stream, "resource_id", "job_id").applyInPandasWithState(run, output, "held string", "append", timeout)
 
 
 def child_completion_stream(stream: DataFrame, retention: str | None = None) -> DataFrame:
@@ -107,24 +133,38 @@ def child_completion_stream(stream: DataFrame, retention: str | None = None) ->
     stream, kept = _memory(stream, retention)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        held = _held(state)
         if state.hasTimedOut:
-            state.remove()
-            return
-        done, over = (set(json.loads(state.get[0])), state.get[1]) if state.exists else (set(), False)
-        if over:
+            _remember(state, held, None, kept)
             return
         rows = pd.concat(list(frames))
-        verdict = "failed" if (rows["status"] == "FAILED").any() else None
-        done.update(rows.loc[rows["status"] == "SUCCESS", "child_index"].astype(int).tolist())
-        total = int(rows["total_child_count"].min())
-        if verdict is None and len(done) >= total:
-            verdict = "completed"
-        _remember(state, (json.dumps([] if verdict else sorted(done)), verdict is not None), rows, kept)
-        if verdict:
-            yield pd.DataFrame({"parent_job_id": [key[0]], "status": [verdict]})
+        # of a parent: its indexes, None once it is over
+        news: dict[str, tuple[int, set, set, list]] = {}
+        for i, (parent, child, status, total) in enumerate(zip(rows["state__key"], rows["child_index"], rows["status"], rows["total_child_count"], strict=True)):
+            if parent in held and held[parent][0] is None:
+                continue
+            if parent not in news:
+                news[parent] = (i, set(held[parent][0]) if parent in held else set(), set(), [])
+            _, done, failures, totals = news[parent]
+            if status == "FAILED":
+                failures.add(i)
+            elif status == "SUCCESS":
+                done.add(int(child))
+            if not pd.isna(total):
+                totals.append(int(total))
+        at, verdicts = [], []
+        for parent, (i, done, failures, totals) in news.items():
+            verdict = "failed" if failures else "completed" if len(done) >= min(totals) else None
+            held[parent] = [None if verdict else sorted(done), held[parent][1] if parent in held else 0]
+            if verdict:
+                at.append(i)
+                verdicts.append(verdict)
+        _remember(state, held, rows, kept)
+        if at:
+            yield rows.iloc[at][["parent_job_id"]].assign(status=verdicts)
 
     output = f"parent_job_id {dict(stream.dtypes)['parent_job_id']}, status string"
-    return stream.groupBy("parent_job_id").applyInPandasWithState(run, output, "done string, over boolean", "append", GroupStateTimeout.EventTimeTimeout if kept else GroupStateTimeout.NoTimeout)
+    return _dealt(stream, "parent_job_id").applyInPandasWithState(run, output, "held string", "append", GroupStateTimeout.EventTimeTimeout if kept else GroupStateTimeout.NoTimeout)
 
 
 def checkpoint_identity(spark: SparkSession, checkpoint: str) -> str:

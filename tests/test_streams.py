@@ -140,3 +140,23 @@ def test_a_forgotten_job_begins_anew(spark, tmp_path):
     send(60, 5, "PROCESSING")
     got = {(r["event_id"], r["status"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert {(1, "pending"), (2, "completed")} <= got and 3 not in {e for e, _ in got}
+
+
+def test_keys_share_a_call_and_each_has_its_state(spark, tmp_path, monkeypatch):
+    """More jobs and parents than buckets, over three micro-batches; a bucket's state holds many keys."""
+    monkeypatch.setattr(J, "BUCKETS", 8)
+    schema = "event_id long, ts timestamp, resource_id long, job_id string, status string, parent_job_id long, child_index int, total_child_count int"
+    for batch, status in enumerate(("PENDING", "PROCESSING", "SUCCESS")):
+        rows = [(1000 * batch + i, START + datetime.timedelta(days=batch), None if i < 3 else i % 5, str(i), "FAILED" if batch == 1 and i % 7 == 0 else status, i, batch, 2) for i in range(300)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = lambda: spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        children = source().withColumn("status", F.when(F.col("status") == "FAILED", "FAILED").otherwise("SUCCESS"))
+        states = [run(f, tmp_path / f"out-{n}", tmp_path / f"check-{n}").lastProgress["stateOperators"][0]["numRowsTotal"] for n, f in (("jobs", J.job_state_stream(source())), ("kept", J.job_state_stream(source(), "9 days")), ("children", J.child_completion_stream(children)))]
+        assert states == [8, 8, 8]
+    wanted = sorted((str(i), s) for i in range(300) for s in (("pending", "failed") if i % 7 == 0 else ("pending", "processing", "completed")))
+    for name in ("jobs", "kept"):
+        got = spark.read.parquet(str(tmp_path / f"out-{name}")).collect()
+        assert sorted((r["job_id"], r["status"]) for r in got) == wanted
+        assert all(r["resource_id"] == (None if int(r["job_id"]) < 3 else int(r["job_id"]) % 5) for r in got)
+    got = spark.read.parquet(str(tmp_path / "out-children")).collect()
+    assert sorted(map(tuple, got)) == [(i, "failed" if i % 7 == 0 else "completed") for i in range(300)]
