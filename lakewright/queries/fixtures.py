@@ -6,7 +6,7 @@ import io
 import json
 import struct
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,31 +17,48 @@ from ..sources import transit
 from .base import Tables
 
 
-def encode(message: dict, fields: dict) -> bytes:
-    """The bytes of a message by its field table; the inverse of ``transit.decode``."""
+def varint(value: int) -> bytes:
+    value &= (1 << 64) - 1
+    if value < 128:
+        return bytes((value,))
+    out = bytearray()
+    while value > 127:
+        out.append(value & 127 | 128)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
 
-    def number(value: int) -> bytes:
-        value &= (1 << 64) - 1
-        out = bytearray()
-        while value > 127:
-            out.append(value & 127 | 128)
-            value >>= 7
-        return bytes([*out, value])
 
-    parts = []
+def encoder(fields: dict) -> Callable[[dict], bytes]:
+    """A function that gives the bytes of a message by its field table, with the tags of all fields made once."""
+    plain = {"int": 0, "bool": 0, "float": 5, "double": 1}
+    table = []
     for tag, (name, kind) in fields.items():
-        for value in (message.get(name) or []) if isinstance(kind, list) else [message.get(name)]:
-            if value is None:
+        many, one = (True, kind[0]) if isinstance(kind, list) else (False, kind)
+        wire = 2 if isinstance(one, dict) else plain.get(one, 2)
+        table.append((name, many, wire, varint(tag << 3 | wire), encoder(one) if isinstance(one, dict) else None))
+
+    def run(message: dict) -> bytes:
+        out = b""
+        for name, many, wire, tag, inner in table:
+            if (held := message.get(name)) is None:
                 continue
-            kind_ = kind[0] if isinstance(kind, list) else kind
-            if kind_ in ("int", "bool"):
-                parts.append(number(tag << 3) + number(int(value)))
-            elif kind_ in ("float", "double"):
-                parts.append(number(tag << 3 | (5 if kind_ == "float" else 1)) + struct.pack("<f" if kind_ == "float" else "<d", value))
-            else:
-                body = value.encode() if kind_ == "text" else encode(value, kind_)
-                parts.append(number(tag << 3 | 2) + number(len(body)) + body)
-    return b"".join(parts)
+            for value in held if many else (held,):
+                if value is None:
+                    continue
+                if wire == 2:
+                    body = inner(value) if inner else value.encode()
+                    out += tag + varint(len(body)) + body
+                else:
+                    out += tag + (struct.pack("<d" if wire == 1 else "<f", value) if wire else varint(int(value)))
+        return out
+
+    return run
+
+
+def encode(message: dict, fields: dict) -> bytes:
+    """The bytes of a message by its field table; the inverse of ``transit.decode``."""
+    return encoder(fields)(message)
 
 
 def zipped(members: dict[str, str]) -> bytes:
@@ -83,7 +100,7 @@ def captures(t: Tables) -> DataFrame:
     """Bodies of the resources, made of each customer's orders."""
     lists = t.orders.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_totalprice"))).alias("orders"))
 
-    def bodies(key: int, orders: list) -> list[tuple]:
+    def bodies(key: int, orders: list, feed: Callable[[dict], bytes]) -> list[tuple]:
         kind, rows = key % 10, [(int(o["o_orderkey"]), str(o["o_orderstatus"]), float(o["o_totalprice"])) for o in orders]
         one = lambda content, status=200: [(0, status, content if isinstance(content, bytes) else content.encode())]
         if kind == 0:
@@ -98,7 +115,7 @@ def captures(t: Tables) -> DataFrame:
         if kind == 3:
             return one(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"key": a, "tags": [b], "price": c}, "geometry": {"type": "Point", "coordinates": [a, 1]}} for a, b, c in rows]}))
         if kind == 4:
-            return one(encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [{"id": f"e{a}", "vehicle": {"timestamp": a}} for a, _, _ in rows]}, transit.FEED))
+            return one(feed({"header": {"gtfs_realtime_version": "2.0"}, "entity": [{"id": f"e{a}", "vehicle": {"timestamp": a}} for a, _, _ in rows]}))
         if kind == 5:
             return one("".join(f"<EV={a}>\n" for a, _, _ in rows))
         if kind == 6:
@@ -110,7 +127,8 @@ def captures(t: Tables) -> DataFrame:
         return one("gone", 404)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        feed = encoder(transit.FEED)
         for df in frames:
-            yield pd.DataFrame([(key, start, f"http://h/d/{key}", status, content) for key, orders in zip(df["o_custkey"], df["orders"], strict=True) for start, status, content in bodies(int(key), list(orders))], columns=["id", "start", "page_url", "status", "content"])
+            yield pd.DataFrame([(key, start, f"http://h/d/{key}", status, content) for key, orders in zip(df["o_custkey"], df["orders"], strict=True) for start, status, content in bodies(int(key), list(orders), feed)], columns=["id", "start", "page_url", "status", "content"])
 
     return lists.mapInPandas(run, "id long, start long, page_url string, status int, content binary")

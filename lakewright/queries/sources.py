@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,12 +149,23 @@ def s10(t: Tables) -> DataFrame:
     stops = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("stops"))
     trips = t.orders.join(stops, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("feed", F.concat("o_orderpriority", F.lit("-"), F.floor(F.col("o_custkey") / 50)))
 
-    def feed(df):
-        entity = lambda key, route, stops: {"id": f"t{key}", "trip_update": {"trip": {"trip_id": str(key), "route_id": f"c{route}"}, "stop_time_update": [{"stop_sequence": s["l_linenumber"], "arrival": {"delay": -s["l_partkey"]}} for s in stops]}}
-        message = {"header": {"gtfs_realtime_version": "2.0"}, "entity": [entity(*x) for x in zip(df["o_orderkey"], df["o_custkey"], df["stops"], strict=True)]}
-        return df[["feed"]].head(1).rename(columns={"feed": "file"}).assign(content=[fixtures.encode(message, transit.FEED)])
-
-    feeds = trips.select("feed", "o_orderkey", "o_custkey", "stops").groupBy("feed").applyInPandas(feed, "file string, content binary")
+    def entities(batches):
+        # fields of a message that is written several times are one list: a feed is its header and its entities in a row
+        encode = fixtures.encoder(transit.FEED)
+        for batch in batches:
+            out = []
+            for key, cust, numbers, parts in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                entity = {"id": f"t{key}", "trip_update": {"trip": {"trip_id": str(key), "route_id": f"c{cust}"}, "stop_time_update": [{"stop_sequence": n, "arrival": {"delay": -p}} for n, p in zip(numbers, parts, strict=True)]}}
+                out.append(encode({"entity": [entity]}))
+            yield pa.RecordBatch.from_arrays([batch.columns[0], pa.array(out, pa.binary())], names=["feed", "part"])
+
+    def feed(batches):
+        header = fixtures.encode({"header": {"gtfs_realtime_version": "2.0"}}, transit.FEED)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.columns[0], pa.array([header + b"".join(parts) for parts in batch.columns[1].to_pylist()], pa.binary())], names=["file", "content"])
+
+    parts = trips.select("feed", "o_orderkey", "o_custkey", F.col("stops.l_linenumber").alias("numbers"), F.col("stops.l_partkey").alias("parts")).mapInArrow(entities, "feed string, part binary")
+    feeds = parts.groupBy(F.col("feed").alias("file")).agg(F.collect_list("part").alias("parts")).mapInArrow(feed, "file string, content binary")
     rows = transit.scan_gtfs_rt(feeds)
     delays = F.aggregate("trip_update.stop_time_update", F.lit(0).cast("long"), lambda a, x: a + x["arrival"]["delay"])
     return rows.select("id", F.col("trip_update.trip.route_id").alias("route_id"), F.size("trip_update.stop_time_update").cast("long").alias("stops"), delays.alias("delays"))
@@ -164,6 +176,7 @@ def s10_every(t: Tables) -> DataFrame:
     """Shapes, stops, trip modifications, carriages and images come through."""
 
     def feed(frames):
+        encode = fixtures.encoder(transit.FEED)
         for df in frames:
             out = []
             for key, cust in zip(df["o_orderkey"], df["o_custkey"], strict=True):
@@ -176,7 +189,7 @@ def s10_every(t: Tables) -> DataFrame:
                     "vehicle": {"multi_carriage_details": [{"id": "a"}, {"id": "c", "carriage_sequence": 2}]},
                     "alert": {"image": {"localized_image": [{"url": f"http://i/{key}", "media_type": "image/png"}]}},
                 }
-                out.append(fixtures.encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [entity]}, transit.FEED))
+                out.append(encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [entity]}))
             yield df[[]].assign(file="f", content=out)
 
     rows = transit.scan_gtfs_rt(t.orders.select("o_orderkey", "o_custkey").mapInPandas(feed, "file string, content binary"))

@@ -36,6 +36,8 @@ from .routing import ORDER, Reader, can_read, ingest_resources
 #: Rows of one file of a table, and bytes of JSON text of one row group.
 FILE_ROWS, GROUP_BYTES = 1_000_000, 8 << 20
 ROWS = "id string, row long, object string, error string"
+#: Rows of one batch of a reader in Python; bodies of few rows share one.
+BATCH_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,10 @@ def _row(number: Column, object_: Column, error: Column | None = None) -> list[C
     return [F.col("id").cast("string").alias("id"), number.cast("long").alias("row"), object_.alias("object"), (F.lit(None) if error is None else error).cast("string").alias("error")]
 
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in ROWS.split(", ")], dtype=object)
+
+
 def _text(bodies: DataFrame) -> DataFrame:
     return bodies.withColumn("body", decode_bytes(F.col("content")))
 
@@ -136,6 +142,7 @@ def protobuf_rows(bodies: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
+            out: list[tuple] = []
             for key, content in zip(df["id"], df["content"], strict=True):
                 try:
                     feed = transit.decode(bytes(content or b""), transit.FEED)
@@ -145,7 +152,11 @@ def protobuf_rows(bodies: DataFrame) -> DataFrame:
                     rows, error = [], f"no feed: {e}"
                 if error:
                     rows = [None]
-                yield pd.DataFrame({"id": key, "row": range(len(rows)), "object": rows, "error": error}, dtype=object)
+                out += [(key, i, row, error) for i, row in enumerate(rows)]
+                if len(out) >= BATCH_ROWS:
+                    yield _frame(out)
+                    out = []
+            yield _frame(out)
 
     return bodies.select(F.col("id").cast("string").alias("id"), "content").mapInPandas(run, ROWS)
 
@@ -167,6 +178,7 @@ def crawler_rows(wanted: str) -> Callable[[DataFrame], DataFrame]:
 
     def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
+            out: list[tuple] = []
             for key, content in zip(df["id"], df["content"], strict=True):
                 try:
                     with zipfile.ZipFile(io.BytesIO(bytes(content))) as archive:
@@ -174,7 +186,11 @@ def crawler_rows(wanted: str) -> Callable[[DataFrame], DataFrame]:
                     error = None
                 except (zipfile.BadZipFile, ValueError) as e:
                     rows, error = [None], f"no archive: {e}"
-                yield pd.DataFrame({"id": key, "row": range(len(rows)), "object": rows, "error": error}, dtype=object)
+                out += [(key, i, row, error) for i, row in enumerate(rows)]
+                if len(out) >= BATCH_ROWS:
+                    yield _frame(out)
+                    out = []
+            yield _frame(out)
 
     def rows(bodies: DataFrame) -> DataFrame:
         zipped = F.coalesce(F.substring("content", 1, 2) == F.lit(b"PK"), F.lit(False))

@@ -360,3 +360,18 @@ def test_sync_errors_are_joined_without_a_hash_table(spark):
     df = ledger.apply_sync_results(syncs, results)
     assert {r["id"]: len(r["error"] or "") for r in df.collect()} == {i: 16000 * (i % 2) for i in range(9)}
     assert "Broadcast" not in df._jdf.queryExecution().toString()
+
+
+def test_feeds_of_few_entities_share_batches():
+    import pyarrow as pa
+
+    from lakewright.queries import fixtures
+    from lakewright.sources import transit
+
+    encode = fixtures.encoder(transit.FEED)
+    feed = lambda *ids: encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [{"id": i, "stop": {"stop_lat": 0.5}} for i in ids]})
+    long = [f"l{i}" for i in range(3 * transit.BATCH_ENTITIES)]
+    contents = [feed(str(i)) for i in range(5000)] + [feed(), feed(*long)]
+    batches = list(transit.entity_batches([pa.RecordBatch.from_pydict({"file": ["f"] * len(contents), "content": contents})]))
+    assert [b["id"][0].as_py() for b in batches[:2]] == ["0", "4096"] and max(b.num_rows for b in batches) == transit.BATCH_ENTITIES and len(batches) == 5
+    assert [i for b in batches for i in b["id"].to_pylist()] == [str(i) for i in range(5000)] + long
