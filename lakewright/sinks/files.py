@@ -145,11 +145,11 @@ def member_key(source: Column, version: Column, name: Column) -> Column:
     return F.concat_ws("/", stable_id(source), version, F.regexp_replace(name, r"[^A-Za-z0-9._-]", "_"))
 
 
-def export(df: DataFrame, kind: str, path: str, limit: int = BOUND) -> None:
-    """At most ``limit`` rows as CSV with a header, or as Parquet."""
+def export(df: DataFrame, kind: str, path: str, limit: int | None = BOUND) -> None:
+    """At most ``limit`` rows, or all if it is None, as CSV with a header, or as Parquet."""
     if kind not in ("csv", "parquet"):
         raise ValueError(f"not an export format: {kind}")
-    rows = df.limit(limit)
+    rows = df if limit is None else df.limit(limit)
     rows.write.option("header", True).csv(path) if kind == "csv" else rows.write.parquet(path)
 
 

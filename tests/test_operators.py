@@ -375,3 +375,9 @@ def test_feeds_of_few_entities_share_batches():
     batches = list(transit.entity_batches([pa.RecordBatch.from_pydict({"file": ["f"] * len(contents), "content": contents})]))
     assert [b["id"][0].as_py() for b in batches[:2]] == ["0", "4096"] and max(b.num_rows for b in batches) == transit.BATCH_ENTITIES and len(batches) == 5
     assert [i for b in batches for i in b["id"].to_pylist()] == [str(i) for i in range(5000)] + long
+
+
+def test_an_export_can_be_whole(spark, tmp_path):
+    K.export(spark.range(10_050), "csv", str(tmp_path / "all"), limit=None)
+    K.export(spark.range(10_050), "csv", str(tmp_path / "bound"))
+    assert [spark.read.option("header", True).csv(str(tmp_path / n)).count() for n in ("all", "bound")] == [10_050, 10_000]
