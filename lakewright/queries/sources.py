@@ -208,7 +208,7 @@ def s10_every(t: Tables) -> DataFrame:
 
 @query("s11_ordered_lines", "SELECT doc_id, i + 1 AS \"order\", ls[i + 1] AS message FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))")
 def s11(t: Tables) -> DataFrame:
-    lines = t.documents.select(F.col("doc_id").alias("file"), F.posexplode(F.split("text", "\n")).alias("i", "line")).repartition(4, "file").sortWithinPartitions("file", "i")
+    lines = t.documents.select(F.col("doc_id").alias("file"), F.posexplode(F.split("text", "\n")).alias("i", "line"))
     return number_lines(lines.select("file", "line")).select(F.col("file").alias("doc_id"), F.col("number").alias("order"), F.col("line").alias("message"))
 
 

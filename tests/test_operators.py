@@ -381,3 +381,14 @@ def test_an_export_can_be_whole(spark, tmp_path):
     K.export(spark.range(10_050), "csv", str(tmp_path / "all"), limit=None)
     K.export(spark.range(10_050), "csv", str(tmp_path / "bound"))
     assert [spark.read.option("header", True).csv(str(tmp_path / n)).count() for n in ("all", "bound")] == [10_050, 10_000]
+
+
+def test_lines_of_documents_are_numbered_where_they_are(spark, monkeypatch):
+    from lakewright import catalog
+    from lakewright.queries import sources
+    from tests.conftest import SMALL
+
+    seen = []
+    monkeypatch.setattr(sources, "number_lines", lambda lines: seen.append(lines) or lines.select("file", "line", F.lit(1).alias("number")))
+    catalog.QUERIES["s11_ordered_lines"](spark, SMALL)
+    assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
