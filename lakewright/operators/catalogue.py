@@ -185,11 +185,16 @@ def link_tables(tables: DataFrame, tags: DataFrame, resources: DataFrame) -> Dat
     return joined.select("table_name", F.coalesce("tagged", "named").alias("resource_id")).filter("resource_id IS NOT NULL")
 
 
+def _joined(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """A left join whose null keys, which match nothing, aren't all dealt to one task."""
+    return left.filter(F.col(key).isNotNull()).join(right, key, "left").unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def enrich_legacy(tables: DataFrame, resources: DataFrame, datasets: DataFrame) -> DataFrame:
     """Tables with title, description and dataset, falling back from resource to dataset to the table's name."""
     r = resources.select(F.col("id").alias("resource_id"), F.col("title").alias("r_title"), F.col("description").alias("r_description"), "dataset_id")
     d = datasets.select(F.col("id").alias("dataset_id"), F.col("title").alias("d_title"), F.col("description").alias("d_description"))
-    joined = tables.join(r, "resource_id", "left").join(d, "dataset_id", "left")
+    joined = _joined(tables, _joined(r, d, "dataset_id"), "resource_id")
     return joined.select("table_name", F.coalesce("r_title", "d_title", "table_name").alias("title"), F.coalesce("r_description", "d_description", F.lit("")).alias("description"), F.col("d_title").alias("dataset"))
 
 

@@ -392,3 +392,19 @@ def test_lines_of_documents_are_numbered_where_they_are(spark, monkeypatch):
     monkeypatch.setattr(sources, "number_lines", lambda lines: seen.append(lines) or lines.select("file", "line", F.lit(1).alias("number")))
     catalog.QUERIES["s11_ordered_lines"](spark, SMALL)
     assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_without_resource_or_dataset_are_not_dealt_together(spark):
+    tables = spark.createDataFrame([("a", 1), ("b", 2), ("c", 9), ("d", None), ("e", 3)], "table_name string, resource_id long")
+    resources = spark.createDataFrame([(1, "R", "x", 5), (2, None, None, 5), (3, None, "y", None), (None, "N", "n", 5)], "id long, title string, description string, dataset_id long")
+    datasets = spark.createDataFrame([(5, "D", "z"), (None, "no", "no")], "id long, title string, description string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = catalogue.enrich_legacy(tables, resources, datasets)
+        assert sorted(map(tuple, df.collect()), key=str) == sorted([("a", "R", "x", "D"), ("b", "D", "z", "D"), ("c", "c", "", None), ("d", "d", "", None), ("e", "e", "y", None)], key=str)
+        # the datasets, which many tables lack, are joined to resources, not to tables
+        joins = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+        assert ["resource_id" in line for line in joins] == [True, False]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
