@@ -249,20 +249,31 @@ def registration_plan(objects: DataFrame, size: int = 1000) -> tuple[DataFrame,
     return number_batches(live, "path", size), kinds.filter("kind = 'orphan'").select(F.col("object_key").alias("path"))
 
 
+#: Bytes of pages whose records go out together.
+CAPTURE_BYTES = 8 << 20
+
+
+def capture_batches(frames: Iterable[pd.DataFrame], date: str) -> Iterator[pd.DataFrame]:
+    """Frames (key, payload) of pages (key, url, html), of about CAPTURE_BYTES of pages or one page each."""
+    for df in frames:
+        out, size = [], 0
+        for key, url, body in zip(df["key"], df["url"], df["html"], strict=True):
+            data = (body or "").encode()
+            head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: {url}\r\nWARC-Date: {date}\r\nContent-Type: text/html\r\nContent-Length: {len(data)}\r\n\r\n"
+            out.append((key, gzip.compress(head.encode() + data + b"\r\n\r\n", mtime=0)))
+            size += len(data)
+            if size > CAPTURE_BYTES:
+                yield pd.DataFrame(out, columns=["key", "payload"])
+                out, size = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=["key", "payload"])
+
+
 def archive_pages(pages: DataFrame, date: str) -> DataFrame:
     """(key, payload) of pages (url, html): a gzip member with one WARC record each, under an immutable key by content."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in frames:
-            out = []
-            for url, body in zip(df["url"], df["html"], strict=True):
-                data = (body or "").encode()
-                head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: {url}\r\nWARC-Date: {date}\r\nContent-Type: text/html\r\nContent-Length: {len(data)}\r\n\r\n"
-                out.append(gzip.compress(head.encode() + data + b"\r\n\r\n", mtime=0))
-            yield pd.DataFrame({"key": df["key"], "payload": out})
-
     key = F.concat(F.lit("captures/"), F.sha2(F.concat_ws("|", "url", "html"), 256), F.lit(".warc.gz"))
-    return pages.select("url", "html", key.alias("key")).mapInPandas(run, "key string, payload binary")
+    return pages.select("url", "html", key.alias("key")).mapInPandas(lambda frames: capture_batches(frames, date), "key string, payload binary")
 
 
 def check_members(names: Sequence[str], most: int = 50) -> None:

@@ -408,3 +408,11 @@ def test_tables_without_resource_or_dataset_are_not_dealt_together(spark):
         assert ["resource_id" in line for line in joins] == [True, False]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_captures_go_out_in_bounded_batches():
+    import pandas as pd
+
+    rows = pd.DataFrame({"key": [str(i) for i in range(40)], "url": "u", "html": ["x" * 1_000_000] * 39 + [None]})
+    got = list(K.capture_batches([rows, rows.iloc[:0]], "d"))
+    assert [k for df in got for k in df["key"]] == list(rows["key"]) and max(map(len, got)) == 9
