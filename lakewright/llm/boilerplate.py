@@ -2,11 +2,12 @@
 
 Pages are cut into blocks of text.  All words outside of article and main
 elements, menus, headers, sidebars, notices, adverts and footers included, form
-the page's token stream.  The streams of a host's pages are sorted as suffix
-arrays; runs of tokens that distinct pages share are boilerplate and are cut
-out.  Markup cues settle what repetition can't: articles are text although
-others quote them, and furniture that only one page has is none.  Where the
-unrepeated prose outside far outweighs the articles, these are teasers.
+one token stream of the page, those inside the other.  Both kinds of streams of
+a host's pages are sorted as suffix arrays, and runs of tokens that distinct
+pages share are boilerplate and are cut out: outside if a few pages have them,
+inside if most articles of the host do, as others may quote an article.  Markup
+cues settle what repetition can't: furniture that only one page has is no text.
+Where the unrepeated prose outside far outweighs the articles, these are teasers.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ PART_ENDS = {"header": PARTS | {"page"}, "masthead": PARTS | {"page"}, "footer":
 RUN, BLOCK_RUN, LEAST_PAGES = 10, 5, 3
 CHUNK_TOKENS = 2_000_000
 MAIN_ZONE, OTHER_ZONE, CUE_ZONE = 0, 1, 2
+#: Articles of a host, different ones, whose shared runs are furniture if more than half of them have the run.
+LEAST_ARTICLES = 4
 #: An article is no main text beside so many times its words of prose that no other page has.
 OUTWEIGHED = 3
 #: Elements left out whose words can be seen, and so can be found on other pages.
@@ -187,13 +190,21 @@ def suffix_array(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
     ends too; of equal suffixes the earlier stands first.
     """
     n, at = len(tokens), np.arange(len(tokens))
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
+    _, rank, sizes = np.unique(tokens, return_inverse=True, return_counts=True)
+    # a rank is the number of suffixes before those with the same first tokens; only ties are sorted further
+    still, rank = at[sizes[rank] > 1], (np.cumsum(sizes) - sizes)[rank]
     length, longest = 1, int((ends - at).max(initial=0))
-    while length < longest and rank.max() < n:
-        ahead = np.zeros(n, np.int64)
-        inside = at + length < ends
-        ahead[inside] = rank[at[inside] + length]
-        rank = np.unique(rank * (n + 2) + ahead, return_inverse=True)[1].astype(np.int64) + 1
+    while length < longest and len(still):
+        ahead = np.zeros(len(still), np.int64)
+        inside = still + length < ends[still]
+        ahead[inside] = rank[still[inside] + length] + 1
+        order = np.argsort(rank[still] * (n + 2) + ahead)
+        still, ahead = still[order], ahead[order]
+        old, place = rank[still], np.arange(len(still))
+        other = np.concatenate([[True], old[1:] != old[:-1]])
+        new = other | np.concatenate([[True], ahead[1:] != ahead[:-1]])
+        rank[still] = old + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(other, place, 0))
+        still = still[~(new & np.append(new[1:], True))]
         length *= 2
     return np.argsort(rank, kind="stable")
 
@@ -259,6 +270,19 @@ def block_runs(texts: list[str]) -> list[tuple[int, int, int]]:
     return out
 
 
+def word_hashes(words: list[str]) -> np.ndarray:
+    codes, known = pd.factorize(np.asarray(words, object))
+    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace")) for w in known), np.uint64, len(known))[codes]
+
+
+def run_values(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the RUN tokens from each of the places on."""
+    value = np.zeros(len(at), np.uint64)
+    for i in range(RUN):
+        value = mixed(value ^ hashes[at + i], i + 1)
+    return value.astype(np.int64)
+
+
 def _runs(streams: DataFrame) -> DataFrame:
     """Suffix arrays over bounded chunks of token streams: each chunk's distinct runs by host.
 
@@ -270,20 +294,18 @@ def _runs(streams: DataFrame) -> DataFrame:
 
     def chunk(streams: list[tuple[int, str, list[str], int]]) -> pd.DataFrame:
         split = [[w for t in texts for w in t.split(" ")] for _, _, texts, _ in streams]
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for words in split for w in words), np.uint64)
+        hashes = word_hashes([w for words in split for w in words])
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         first = np.cumsum(sizes) - sizes
         hosts, host_at = np.unique(np.asarray([h for _, h, _, _ in streams], object).astype(str), return_inverse=True)
         group = suffix_groups(hashes, np.repeat(np.cumsum(sizes), sizes), RUN)
         own = np.flatnonzero(group >= 0)
         owner = np.repeat(np.arange(len(streams)), sizes)[own]
-        value = np.zeros(len(own), np.uint64)
-        for i in range(RUN):
-            value = mixed(value ^ hashes[own + i], i + 1)
+        value = run_values(hashes, own)
         whole = [(i, *r) for i, (_, _, texts, _) in enumerate(streams) for r in block_runs(texts)]
         column = lambda i, kind: np.fromiter((w[i] for w in whole), kind, len(whole))
         group = np.concatenate([group[own], len(hashes) + 1 + np.unique(column(1, np.uint64), return_inverse=True)[1]])
-        value = np.concatenate([value, mixed(column(1, np.uint64), RUN + 1)])
+        value = np.concatenate([value, mixed(column(1, np.uint64), RUN + 1).astype(np.int64)])
         start, length = np.concatenate([own - first[owner], column(2, np.int64)]), np.concatenate([np.full(len(own), RUN), column(3, np.int64)])
         owner = np.concatenate([owner, column(0, np.int64)])
         if not len(group):
@@ -299,7 +321,7 @@ def _runs(streams: DataFrame) -> DataFrame:
         return pd.DataFrame(
             {
                 "host": hosts[h[starts]],
-                "run": value[order][starts].astype(np.int64),
+                "run": value[order][starts],
                 "pages": np.add.reduceat(np.where(again, 0, copies[owner[order]]), starts),
                 "places": [places[a:b].astype("<i8").tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
             }
@@ -363,6 +385,86 @@ def _covered(parsed: DataFrame, folder: str) -> DataFrame:
     return stored(spans.join(only.select("content", F.lit(True).alias("only")), "content", "full"), f"{folder}/covered")
 
 
+def article_candidates(streams: list[tuple[str, np.ndarray]]) -> pd.DataFrame:
+    """Runs that may stand in most articles of a host, by one suffix array over articles (host, words' hashes) in the order of their hosts.
+
+    All articles of a host between the first and the last one are here, so its
+    runs are counted; of these two, the runs that over a quarter have.
+    """
+    sizes = np.fromiter((len(words) for _, words in streams), np.int64, len(streams))
+    hashes = np.concatenate([words for _, words in streams]).astype(np.uint64)
+    group = suffix_groups(hashes, np.repeat(np.cumsum(sizes), sizes), RUN)
+    own = np.flatnonzero(group >= 0)
+    owner = np.repeat(np.arange(len(streams)), sizes)[own]
+    host_at, hosts = pd.factorize(np.asarray([h for h, _ in streams], object))
+    articles = np.bincount(host_at, minlength=len(hosts))
+    order = np.lexsort((own, owner, group[own]))
+    own, owner = own[order], owner[order]
+    g, h = group[own], host_at[owner]
+    starts = np.flatnonzero(np.concatenate([[True] * min(1, len(g)), (g[1:] != g[:-1]) | (h[1:] != h[:-1])]).astype(bool))
+    if not len(starts):
+        return pd.DataFrame(columns=["host", "run", "has", "of"])
+    again = np.concatenate([[False], owner[1:] == owner[:-1]])
+    again[starts] = False
+    has, of = np.add.reduceat((~again).astype(np.int64), starts), articles[h[starts]]
+    border = (h[starts] == 0) | (h[starts] == len(hosts) - 1)
+    live = np.where(border, 4 * has > of, (2 * has > of) & (has >= LEAST_ARTICLES))
+    return pd.DataFrame({"host": hosts[h[starts[live]]], "run": run_values(hashes, own[starts[live]]), "has": has[live], "of": of[live]})
+
+
+def _article_cuts(parsed: DataFrame, folder: str) -> DataFrame:
+    """(page, cuts): starts of the runs in a page's article that more than half of the host's different articles have.
+
+    Articles are sorted by suffix arrays in the order of their hosts, chunk by
+    chunk.  A run is counted over all articles if those chunks where more than a
+    quarter of the articles have it, and a quarter of the others, could make a half.
+    """
+    # words travel as hashes of 32 bits, ten of them in a run
+    words = F.transform(F.split("main", " "), lambda w: F.hash(w))
+    articles = parsed.filter("main IS NOT NULL").select("page", "host", F.xxhash64("main").alias("story"), words.alias("words"))
+    hosts = articles.select("host", "story").distinct().groupBy("host").agg(F.count("*").alias("stories")).filter(F.col("stories") >= LEAST_ARTICLES)
+
+    def chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        streams, size, last = [], 0, None
+        for df in frames:
+            for host, story, words in zip(df["host"], df["story"], df["words"], strict=True):
+                if (host, story) == last:
+                    continue
+                last = (host, story)
+                streams.append((host, words))
+                size += len(words)
+                if size >= CHUNK_TOKENS:
+                    yield article_candidates(streams)
+                    streams, size = [], 0
+        if streams:
+            yield article_candidates(streams)
+
+    sorted_ = articles.select("host", "story", "words").repartitionByRange("host", "story").sortWithinPartitions("host", "story")
+    found = sorted_.mapInPandas(chunks, "host string, run long, has long, of long").groupBy("host", "run").agg(F.sum("has").alias("has"), F.sum("of").alias("of"))
+    candidates = stored(found.join(hosts, "host").filter("4 * has + stories - of > 2 * stories").select("host", "run"), f"{folder}/candidates")
+
+    def places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for page, host, story, words in zip(df["page"], df["host"], df["story"], df["words"], strict=True):
+                at = np.arange(len(words) - RUN + 1)
+                yield pd.DataFrame({"page": page, "host": host, "story": story, "run": run_values(words.astype(np.uint64), at), "start": at})
+
+    some = articles.join(candidates.select("host").distinct(), "host", "left_semi")
+    placed = some.mapInPandas(places, "page long, host string, story long, run long, start long").join(candidates, ["host", "run"], "left_semi")
+    placed = stored(placed, f"{folder}/placed")
+    common = placed.groupBy("host", "run").agg(F.count_distinct("story").alias("has")).join(hosts, "host").filter((2 * F.col("has") > F.col("stories")) & (F.col("has") >= LEAST_ARTICLES))
+    return stored(placed.join(common.select("host", "run"), ["host", "run"], "left_semi").groupBy("page").agg(F.collect_list("start").alias("cuts")), f"{folder}/cuts")
+
+
+def kept_article(main: str, cuts: Sequence[int] | None) -> str:
+    """An article without the shared runs that start at the given words; whole if they make more than half of it, as it is a copy then."""
+    words = main.split(" ")
+    free = np.ones(len(words), bool)
+    for i in [] if cuts is None else cuts:
+        free[i : i + RUN] = False
+    return main if 2 * free.sum() < len(words) else " ".join(w for w, keep in zip(words, free, strict=True) if keep)
+
+
 def _prose(text: str, linked: int) -> bool:
     """Whether a block has ten and more words, ends like a sentence, and is not mostly links."""
     return text.count(" ") >= 9 and 2 * linked < len(text) and text.rstrip("\"')\u201d\u00bb")[-1:] in (".", "!", "?", "\u2026", "\u3002")
@@ -392,30 +494,34 @@ def kept_blocks(texts: list[str], links: list[int], spans: np.ndarray, only: boo
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, n_shared) of every page; text is empty if nothing is left.
 
-    Articles are the text, unless the prose outside of them that no other page
-    of the host has is OUTWEIGHED times as long: then they are teasers, and
-    that prose's page is treated as one without articles.  ``n_shared`` counts
-    the words outside of articles that the suffix arrays found on other pages
-    of the host.  Null html and null urls count as empty;
+    Articles are the text, less the runs of RUN words that more than half of the
+    host's articles have (LEAST_ARTICLES different ones at least); an article
+    that is mostly such runs is a copy and stays.  Where the prose outside of
+    them that no other page of the host has is OUTWEIGHED times as long, they
+    are teasers, and that prose's page is treated as one without articles.
+    ``n_shared`` counts the words outside of articles that the suffix arrays
+    found on other pages of the host.  Null html and null urls count as empty;
     pages without a host share one.  Null or repeated ids and repeated rows each
     get their row.  Other columns of ``pages`` are not read.  No pages: no rows.
     """
     folder = shared_folder(pages.sparkSession, "boilerplate")
-    parsed = stored(_parsed(pages), f"{folder}/parsed").withColumn("content", F.xxhash64("host", F.array_join("texts", "\n")))
+    parsed = stored(_parsed(pages), f"{folder}/parsed", compression="zstd").withColumn("content", F.xxhash64("host", F.array_join("texts", "\n")))
     covered = _covered(parsed, folder)
     shared = F.coalesce("shared", F.lit(0)).cast("long").alias("n_shared")
-    rest = parsed.filter("main IS NULL OR doubtful").join(covered, "content", "left")
+    cut = parsed.join(_article_cuts(parsed, folder), "page", "left")
+    rest = cut.filter("main IS NULL OR doubtful OR cuts IS NOT NULL").join(covered, "content", "left")
 
     def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             texts = []
-            for main, own, links, cues, spans, only in zip(*(df[c] for c in ("main", "texts", "links", "cues", "spans", "only")), strict=True):
+            for whole, own, links, cues, spans, only, cuts in zip(*(df[c] for c in ("main", "texts", "links", "cues", "spans", "only", "cuts")), strict=True):
+                main = None if whole is None else kept_article(whole, cuts)
                 at = np.asarray([] if spans is None else spans, np.int64).reshape(-1, 2)
                 kept = kept_blocks(list(own), list(links), at, bool(only), list(cues)) if len(own) else []
                 prose = sum(t.count(" ") + 1 for t in kept if _prose(t, 0))
                 texts.append(main if main is not None and prose <= OUTWEIGHED * (main.count(" ") + 1) else " ".join(kept))
             yield pd.DataFrame({"page_id": df["page_id"].astype("Int64"), "url": df["url"], "text": texts, "n_shared": df["n_shared"]})
 
-    undecided = rest.select("page_id", "url", "main", "texts", "links", "cues", "spans", F.coalesce("only", F.lit(False)).alias("only"), shared).mapInPandas(finish, "page_id long, url string, text string, n_shared long")
-    decided = parsed.filter("main IS NOT NULL AND NOT doubtful").join(covered.select("content", "shared"), "content", "left").select("page_id", "url", F.col("main").alias("text"), shared)
+    undecided = rest.select("page_id", "url", "main", "texts", "links", "cues", "spans", F.coalesce("only", F.lit(False)).alias("only"), "cuts", shared).mapInPandas(finish, "page_id long, url string, text string, n_shared long")
+    decided = cut.filter("main IS NOT NULL AND NOT doubtful AND cuts IS NULL").join(covered.select("content", "shared"), "content", "left").select("page_id", "url", F.col("main").alias("text"), shared)
     return decided.unionByName(undecided).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")

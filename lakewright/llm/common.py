@@ -22,7 +22,7 @@ _U64 = np.uint64
 WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it again: the lineage ends at replicated files.
 
     The session's settings are the same afterwards.
@@ -32,7 +32,7 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     for name, value in WRITING.items():
         conf.set(name, value)
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         for name, value in before.items():
             conf.set(name, value) if value is not None else conf.unset(name)

@@ -159,3 +159,22 @@ def test_suffix_array_sorts_all_suffixes():
     tokens, ends = rng.integers(0, 3, sum(sizes)).astype(np.uint64), np.repeat(np.cumsum(sizes), sizes)
     suffix = lambda i: tokens[i : ends[i]].tolist()
     assert boilerplate.suffix_array(tokens, ends).tolist() == sorted(range(len(tokens)), key=lambda i: (suffix(i), i))
+
+
+def test_runs_that_most_articles_of_a_host_share_are_cut_out(spark):
+    """A notice in all articles goes, a passage that some of them quote stays, and so do articles that are copies but for a few words."""
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n)) + "."
+    notice, quote = words("notice", 15), words("quote", 15)
+    rows = [("http://h.example/", f"<article><h1>Title {i}</h1><p>{words(i, 40)}</p>" + (f"<p>{quote}</p>" if i < 4 else "") + f"<p>{notice}</p></article>") for i in range(8)]
+    rows += [("http://copies.example/", f"<article><p>{words('same', 40)} end {i}</p></article>") for i in range(6)]
+    wanted = [f"Title {i} {words(i, 40)}" + (f" {quote}" if i < 4 else "") for i in range(8)]
+    assert texts(spark, rows) == wanted + [f"{words('same', 40)} end {i}" for i in range(6)]
+
+
+def test_article_candidates_over_chunks():
+    """Between the first and the last host the runs that most articles have; at the ends, which go on in other chunks, those of a quarter."""
+    words = lambda *kinds: np.concatenate([100 * k + np.arange(10) for k in kinds]).astype(np.int32)
+    streams = [("a", words(90, 0)), ("a", words(1)), ("a", words(2))] + [("b", words(*[10 + i] + [91] * (i < 4) + [91] * (i < 1))) for i in range(7)] + [("c", words(20)), ("d", words(21))]
+    got = boilerplate.article_candidates(streams)
+    counts = {(h, int(n), int(of)) for h, n, of in zip(got["host"], got["has"], got["of"], strict=True)}
+    assert counts == {("a", 1, 3), ("b", 4, 7), ("d", 1, 1)} and (got["host"] == "b").sum() == 1
