@@ -98,10 +98,12 @@ def resources(t: Tables) -> DataFrame:
 
 def captures(t: Tables) -> DataFrame:
     """Bodies of the resources, made of each customer's orders."""
-    lists = t.orders.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_totalprice"))).alias("orders"))
+    orders = F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"))))
+    columns = ("o_orderkey", "o_orderstatus", "o_totalprice")
+    lists = t.orders.groupBy("o_custkey").agg(orders.alias("orders")).select("o_custkey", *[F.col(f"orders.{c}").alias(c) for c in columns])
 
-    def bodies(key: int, orders: list, feed: Callable[[dict], bytes]) -> list[tuple]:
-        kind, rows = key % 10, [(int(o["o_orderkey"]), str(o["o_orderstatus"]), float(o["o_totalprice"])) for o in orders]
+    def bodies(key: int, rows: list[tuple], feed: Callable[[dict], bytes]) -> list[tuple]:
+        kind = key % 10
         one = lambda content, status=200: [(0, status, content if isinstance(content, bytes) else content.encode())]
         if kind == 0:
             page = lambda records: json.dumps({"fields": [{"id": "key"}, {"id": "status"}, {"id": "price"}], "records": records})
@@ -129,6 +131,6 @@ def captures(t: Tables) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         feed = encoder(transit.FEED)
         for df in frames:
-            yield pd.DataFrame([(key, start, f"http://h/d/{key}", status, content) for key, orders in zip(df["o_custkey"], df["orders"], strict=True) for start, status, content in bodies(int(key), list(orders), feed)], columns=["id", "start", "page_url", "status", "content"])
+            yield pd.DataFrame([(key, start, f"http://h/d/{key}", status, content) for key, *lists in zip(df["o_custkey"], *(df[c] for c in columns), strict=True) for start, status, content in bodies(int(key), list(zip(*(x.tolist() for x in lists), strict=True)), feed)], columns=["id", "start", "page_url", "status", "content"])
 
     return lists.mapInPandas(run, "id long, start long, page_url string, status int, content binary")

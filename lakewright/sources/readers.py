@@ -10,6 +10,7 @@ schemas.
 
 from __future__ import annotations
 
+import functools
 import io
 import json
 import re
@@ -250,6 +251,13 @@ def arrow_fields(layout: str) -> list[tuple[str, pa.DataType]]:
     return [(f.name, f.type) for f in whole] if pa.types.is_struct(whole) else []
 
 
+@functools.lru_cache(1024)
+def _columns(layout: str) -> tuple[list[tuple[str, pa.DataType]], pa.Schema]:
+    """A layout's fields and its table's schema; many resources have the same."""
+    fields = arrow_fields(layout)
+    return fields, pa.schema(list(zip(unique_names([n for n, _ in fields]), [k for _, k in fields], strict=True)))
+
+
 def _fit(value, kind: pa.DataType):
     """A JSON value as one of an Arrow type."""
     if value is None:
@@ -273,7 +281,10 @@ def write_tables(rows: DataFrame, layouts: DataFrame, root: str, version: str) -
     """
     blocks = rows.withColumn("block", F.floor(F.col("row") / FILE_ROWS)).select("id", "block", "row", "object")
     heads = blocks.select("id", "block").distinct().join(layouts, "id").select("id", "block", F.lit(None).cast("long").alias("row"), F.col("layout").alias("object"))
-    dealt = heads.unionByName(blocks).repartition("id", "block").sortWithinPartitions("id", "block", "row")
+    # as many tasks as there are cores for, as few bytes may make many files
+    spark = rows.sparkSession
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    dealt = heads.unionByName(blocks).repartition(tasks, "id", "block").sortWithinPartitions("id", "block", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = file_system(root)
@@ -281,13 +292,11 @@ def write_tables(rows: DataFrame, layouts: DataFrame, root: str, version: str) -
 
         class Table:
             def __init__(self, key: str, block: int, layout: str):
-                self.key, self.fields = key, arrow_fields(layout)
-                self.schema = pa.schema(list(zip(unique_names([n for n, _ in self.fields]), [k for _, k in self.fields], strict=True)))
-                folder = f"{base}/{key}/ducklake_{version}.parquet"
-                fs.create_dir(folder, recursive=True)
-                self.path = f"{folder}/part-{block:05d}.parquet"
-                self.temporary = f"{folder}/.{uuid.uuid4().hex}.tmp"
-                self.out = pq.ParquetWriter(fs.open_output_stream(self.temporary), self.schema)
+                self.key, (self.fields, self.schema) = key, _columns(layout)
+                self.folder = f"{base}/{key}/ducklake_{version}.parquet"
+                self.path = f"{self.folder}/part-{block:05d}.parquet"
+                self.temporary = f"{self.folder}/.{uuid.uuid4().hex}.tmp"
+                self.out = None
                 self.held, self.size, self.n = [], 0, 0
 
             def add(self, text: str) -> None:
@@ -296,18 +305,37 @@ def write_tables(rows: DataFrame, layouts: DataFrame, root: str, version: str) -
                 if self.size > GROUP_BYTES:
                     self.flush()
 
+            def open(self):
+                fs.create_dir(self.folder, recursive=True)
+                return fs.open_output_stream(self.temporary)
+
             def flush(self) -> None:
+                if self.out is None:
+                    self.sink = self.open()
+                    self.out = pq.ParquetWriter(self.sink, self.schema)
+                self.put()
+
+            def put(self) -> None:
                 if self.held:
                     columns = [pa.array([_fit(o.get(name), kind) for o in self.held], kind) for name, kind in self.fields]
                     self.out.write_table(pa.Table.from_arrays(columns, schema=self.schema))
                 self.held, self.size = [], 0
 
             def close(self) -> tuple:
-                self.flush()
-                self.out.close()
-                self.out.file_handle and self.out.file_handle.close()
+                if self.out is None:  # a small table is written at once
+                    held = pa.BufferOutputStream()
+                    self.out = pq.ParquetWriter(held, self.schema)
+                    self.put()
+                    self.out.close()
+                    self.sink = self.open()
+                    self.sink.write(held.getvalue())
+                else:
+                    self.put()
+                    self.out.close()
+                size = self.sink.tell()
+                self.sink.close()
                 fs.move(self.temporary, self.path)
-                return self.key, self.path, self.n, len(self.fields), fs.get_file_info(self.path).size
+                return self.key, self.path, self.n, len(self.fields), size
 
         def batch_of(done: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([dict(zip(("id", "file", "rows", "columns", "bytes"), d, strict=True)) for d in done], schema=schema)
@@ -339,13 +367,18 @@ def ingest_tables(resources: DataFrame, captures: DataFrame, root: str, version:
     """
     spark = resources.sparkSession
     folder = shared_folder(spark, "ingest")
-    captures = captures.withColumnRenamed("id", "captured")
+    readers = readers or library_readers()
     written: list[DataFrame] = []
+    # bodies are met once and written by the readers that may take them, so each reader reads its own only
+    takers = F.concat_ws(",", *[F.when(can_read(r.name), F.lit(r.name)) for r in readers])
+    met = resources.join(captures.withColumnRenamed("id", "captured"), F.col("id") == F.col("captured"), "left").withColumn("takers", takers)
+    met.write.partitionBy("takers").parquet(f"{folder}/bodies")
+    met = spark.read.schema(met.schema).parquet(f"{folder}/bodies")
 
     def through(reader: TableReader) -> Reader:
         def read(mine: DataFrame) -> DataFrame:
             here = f"{folder}/{len(written)}"
-            bodies = mine.join(captures, F.col("id") == F.col("captured"), "left")
+            bodies = met.filter(F.array_contains(F.split("takers", ","), reader.name)).join(mine.select("id").distinct(), "id", "left_semi")
             answered = F.col("status").isNull() | (F.col("status") == 200)
             rows = stored(reader.rows(bodies.filter(answered & (F.col("content").isNotNull() | F.lit(reader.name == "file_reference")))), f"{here}-rows")
             refused = bodies.filter(~answered).select(F.col("id").cast("string").alias("id"), F.lit(-1).alias("row"), F.concat(F.lit("HTTP "), "status").alias("error"))
@@ -359,7 +392,7 @@ def ingest_tables(resources: DataFrame, captures: DataFrame, root: str, version:
 
         return Reader(reader.name, can_read(reader.name), read)
 
-    ended = stored(ingest_resources(resources, [through(r) for r in readers or library_readers()]), f"{folder}/ended")
+    ended = stored(ingest_resources(resources, [through(r) for r in readers]), f"{folder}/ended")
     files = reduce(DataFrame.unionByName, written).join(ended.filter("status = 'completed'").select(F.col("id").cast("string").alias("id"), "reader"), ["id", "reader"], "left_semi")
     widths = files.groupBy("id").agg(F.max("columns").alias("columns")).withColumnRenamed("id", "sized")
     sized = ended.join(widths, ended["id"].cast("string") == F.col("sized"), "left")

@@ -1,5 +1,7 @@
 """Readers behind the router: odd bodies, fallbacks, tables of very different resources, tasks that run twice."""
 
+import uuid
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +93,15 @@ def test_layouts(layout, wanted):
 def test_no_resources(spark, tmp_path):
     outcomes, files = R.ingest_tables(spark.createDataFrame([], RESOURCES), spark.createDataFrame([], CAPTURES), str(tmp_path), "v")
     assert outcomes.collect() == [] and files.collect() == []
+
+
+def test_captures_are_read_once_for_all_readers(spark, tmp_path):
+    def seen(frames):
+        (tmp_path / uuid.uuid4().hex).touch()
+        yield from frames
+
+    resources = spark.createDataFrame([("1", "csv,json", "http://h/1", "x", False, "x"), ("2", "json", "http://h/2", "x", False, "x")], RESOURCES)
+    captures = spark.createDataFrame([("1", 0, "p", 200, b'[{"a":1}]'), ("2", 0, "p", 200, b'[{"a":2},{"a":3}]')], CAPTURES).coalesce(1).mapInPandas(seen, CAPTURES)
+    outcomes, _ = R.ingest_tables(resources, captures, str(tmp_path / "tables"), "v")
+    assert {r["resource_id"]: (r["status"], r["rows_processed"]) for r in outcomes.collect()} == {"1": ("SUCCESS", 1), "2": ("SUCCESS", 2)}
+    assert len([p for p in tmp_path.iterdir() if p.is_file()]) == 1
