@@ -216,8 +216,10 @@ def s11(t: Tables) -> DataFrame:
 def s11_log(t: Tables) -> DataFrame:
     """A log of each thousand events of a type."""
     path = shared_folder(t.spark, "log")
-    lines = t.events.select("event_id", F.col("event_type").alias("kind"), F.floor(F.col("event_id") / 1000).alias("part"), F.concat(F.lit("<EV="), "event_id", F.lit(";"), "event_type", F.lit(">\r")).alias("line"))
-    lines.repartition("kind", "part").sortWithinPartitions("kind", "part", "event_id").select("line", "kind", "part").write.partitionBy("kind", "part").text(path)
+    log = F.concat_ws("-", F.col("event_type"), F.floor(F.col("event_id") / 1000).cast("string"))
+    lines = t.events.select("event_id", log.alias("log"), F.concat(F.lit("<EV="), "event_id", F.lit(";"), "event_type", F.lit(">\r")).alias("line"))
+    # folders of one level are listed by one job, not by one for each kind
+    lines.repartition("log").sortWithinPartitions("log", "event_id").select("line", "log").write.partitionBy("log").text(path)
     return scan_log(t.spark, path)
 
 
